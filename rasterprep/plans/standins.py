@@ -9,12 +9,19 @@ live in ``rasterprep.plans.oracle``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from rasterprep.functions import arrays as A
 from rasterprep.functions import paths as P
+from rasterprep.operators import evaluate as EV
+from rasterprep.operators import feed as FD
 from rasterprep.operators import inventory as INV
+from rasterprep.operators import labels as LB
+from rasterprep.operators import raster as R
+from rasterprep.operators import runs as RU
 from rasterprep.operators import sampling as S
+from rasterprep.sinks import writers as SK
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,6 +126,403 @@ def q_row_count(spark, sf_dir):
     return out
 
 
+
+# --- paths (P1-P9, X3) ------------------------------------------------------------
+
+def q_path_prefix(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return pages.select("page_id", "url",
+                        P.field_prefix("url", 3, "/").alias("url_prefix3"),
+                        P.field_prefix("url", 2, ".").alias("host_prefix2"))
+
+
+def customer_meta(spark, sf_dir) -> DataFrame:
+    """Patch-like names from ``customer``: 6-field radar names, 7- or 5-field patch ids."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    s1_name = F.when(F.col("c_mktsegment") != "HOUSEHOLD",
+                     F.concat(F.lit("S1A_IW_"), F.col("c_mktsegment"), F.lit("_"),
+                              F.col("c_nationkey").cast("string"), F.lit("_"), key, F.lit("_"),
+                              F.pmod(F.col("c_custkey"), F.lit(7)).cast("string")))
+    tail = F.when(F.col("c_acctbal") > 0,
+                  F.concat(F.lit("_"), F.floor("c_acctbal").cast("string"), F.lit("_"),
+                           F.pmod(F.col("c_custkey"), F.lit(3)).cast("string"))).otherwise(F.lit(""))
+    patch_id = F.concat(F.lit("S2A_MSIL2A_"), F.col("c_mktsegment"), F.lit("_"),
+                        F.col("c_nationkey").cast("string"), F.lit("_"), key, tail)
+    return c.select("c_custkey", patch_id.alias("patch_id"), s1_name.alias("s1_name"))
+
+
+def q_with_paths(spark, sf_dir):
+    return R.with_paths(customer_meta(spark, sf_dir), "s3://archive")
+
+
+def scheme_urls(spark, sf_dir) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    s3url = F.regexp_replace(F.regexp_replace("url", r"^https://", "s3://"), r"^http://", "s3a://")
+    return pages.select("page_id", s3url.alias("uri"))
+
+
+def q_strip_scheme(spark, sf_dir):
+    return scheme_urls(spark, sf_dir).select("page_id", "uri", P.strip_scheme("uri").alias("stripped"))
+
+
+def q_normalize_uri(spark, sf_dir):
+    u = scheme_urls(spark, sf_dir)
+    return u.select("page_id", P.normalize_uri("uri").alias("normalized"),
+                    P.normalize_uri(P.strip_scheme("uri"), cwd="/data").alias("normalized_local"))
+
+
+def q_split_bucket_key(spark, sf_dir):
+    u = scheme_urls(spark, sf_dir).withColumn("stripped", P.strip_scheme("uri"))
+    return u.select("page_id", P.bucket_of("stripped").alias("bucket"),
+                    P.key_of("stripped").alias("object_key"),
+                    P.ensure_trailing_slash("stripped").alias("folder"),
+                    P.valid_uri("uri").alias("valid"))
+
+
+def part_meta(spark, sf_dir) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    key = F.col("p_partkey").cast("string")
+    size = F.col("p_size").cast("string")
+    meta = p.select(
+        F.concat(F.lit("S2B_MSIL2A_"), size, F.lit("_"), key, F.lit("_T33_"), size, F.lit("_"), key)
+        .alias("patch_id"),
+        F.concat(F.lit("S1B_IW_GRDH_"), size, F.lit("_"), key, F.lit("_X")).alias("s1_name"))
+    return R.with_paths(meta, "s3://archive")
+
+
+def q_expand_band_paths(spark, sf_dir):
+    return R.expand_band_paths(part_meta(spark, sf_dir))
+
+
+# --- arrays (P10-P15, J4, J5) -----------------------------------------------------
+
+def embedding_codes(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    codes = F.transform("embedding", lambda v: F.floor(F.abs(v.cast("double")) * 2000).cast("int"))
+    return e.select("vec_id", codes.alias("codes"))
+
+
+def q_remap_classes(spark, sf_dir):
+    df = embedding_codes(spark, sf_dir).withColumn("idx", A.remap_classes("codes"))
+    ok = df.where(~A.has_null("idx"))
+    return ok.select("vec_id", F.posexplode(F.arrays_zip("codes", "idx")).alias("pixel", "z")) \
+             .select("vec_id", "pixel", F.col("z.codes").alias("code"), F.col("z.idx").alias("idx"))
+
+
+def q_code_lookup(spark, sf_dir):
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    coded = p.select("p_partkey", (F.lit(100) + F.col("p_size") * 20
+                                   + F.pmod(F.col("p_partkey"), F.lit(5))).cast("int").alias("code"))
+    return R.code_lookup(coded, "code")
+
+
+def q_stack_bands(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    q = [F.slice("embedding", 1 + 16 * k, 16) for k in range(4)]
+    image = A.concat_channels(A.stack_bands(q[0], q[1]), 2, A.stack_bands(q[2], q[3]), 2)
+    return (e.select("vec_id", F.posexplode(image).alias("pos", "v"))
+            .select("vec_id", "pos", F.col("v").cast("double").alias("value")))
+
+
+def q_pad_to_size(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    padded = A.pad_to_size("embedding", 8, 8, 10, 10)
+    return (e.select("vec_id", F.posexplode(padded).alias("pos", "v"))
+            .select("vec_id", "pos", F.col("v").cast("double").alias("value")))
+
+
+def q_display_rgb(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    r, g, b = (F.slice("embedding", 1 + 21 * k, 21) for k in range(3))
+    return e.select("vec_id", F.posexplode(A.display_rgb(r, g, b, divisor=0.25)).alias("pos", "value"))
+
+
+def q_assemble_patch(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    bands = li.select(F.col("l_orderkey").alias("patch_id"),
+                      F.col("l_linenumber").cast("string").alias("band"),
+                      F.col("l_extendedprice").alias("pixels"))
+    names = ["1", "2", "3"]
+    wide = R.assemble_patch(bands, names).where(R.complete(names))
+    return wide.select(F.col("patch_id").alias("l_orderkey"),
+                       *[F.col(f"`{n}`").alias(f"band_{n}") for n in names])
+
+
+# --- labels (A4, P14, J6, T1, P28) ------------------------------------------------
+
+def order_labels(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy("l_orderkey").agg(
+        F.collect_set(F.concat("l_returnflag", "l_linestatus")).alias("labels"))
+
+
+def q_distinct_labels(spark, sf_dir):
+    return LB.distinct_labels(order_labels(spark, sf_dir))
+
+
+def q_label_vocab(spark, sf_dir):
+    return LB.label_vocab(order_labels(spark, sf_dir))
+
+
+def q_label_index_lookup(spark, sf_dir):
+    labels = order_labels(spark, sf_dir)
+    return LB.label_index_lookup(labels, LB.label_vocab(labels), "l_orderkey")
+
+
+def q_multi_hot(spark, sf_dir):
+    labels = order_labels(spark, sf_dir)
+    hot = LB.with_multi_hot(labels, LB.label_vocab(labels))
+    return hot.select("l_orderkey", F.posexplode("multi_hot").alias("idx", "hot")) \
+              .select("l_orderkey", "idx", F.col("hot").cast("int").alias("hot"))
+
+
+def q_label_preview(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    sets = ev.groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("types"))
+    return sets.select("user_id", A.label_preview("types").alias("preview"))
+
+
+# --- events as run steps (P25, A3, P26, A8, P33) ----------------------------------
+
+STEP_NAMES = ["view", "click", "purchase", "signup", "error"]
+
+
+def q_steps_by_name(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    last = RU.last_value(ev, ["user_id", "event_type"], "value", ["ts", "event_id"])
+    return last.groupBy("user_id").pivot("event_type", STEP_NAMES).agg(F.max("value"))
+
+
+def q_total_duration(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.groupBy("user_id").agg(F.round(F.sum("value"), 6).alias("total_duration"),
+                                     F.count(F.lit(1)).alias("steps"))
+
+
+def q_summary_fields(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id",
+                     F.get_json_object("props", "$.k").try_cast("int").alias("k"),
+                     F.get_json_object("props", "$.missing").alias("missing"))
+
+
+def q_run_metrics(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return RU.last_value(ev, ["user_id", "event_type"], "value", ["ts", "event_id"])
+
+
+def q_step_times(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    log_time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    whole = F.date_format("ts", "SSSSSS") == "000000"  # ts may be TIMESTAMP_NTZ
+    iso = F.when(whole, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")) \
+        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    return ev.select("event_id", log_time.alias("log_time"), iso.alias("iso_time"),
+                     F.unix_seconds(F.to_timestamp(log_time, "yyyy-MM-dd HH:mm:ss")).alias("epoch_s"))
+
+
+# --- run keys and records (P22-P24, X5-X10) ---------------------------------------
+
+def run_paths(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    d = F.col("l_discount").cast("string")
+    ln = F.col("l_linenumber").cast("string")
+    g = (F.pmod(F.col("l_quantity").cast("int"), F.lit(4)) + 1).cast("string")
+    root = F.lit("s3://bucket/user/exp/")
+    path = (F.when(F.col("l_returnflag") == "A",
+                   F.concat(root, F.lit("petastorm/frac_"), d, F.lit("/exec_"), ln,
+                            F.lit("/profile/conversion_profile.json")))
+            .when(F.col("l_returnflag") == "N",
+                  F.concat(root, F.lit("petastorm/frac_"), d, F.lit("/exec_"), ln,
+                           F.lit("/train_gpu"), g, F.lit("_profile.json")))
+            .otherwise(F.concat(root, F.lit("local/frac_"), d, F.lit("/train_"), g,
+                                F.lit("gpu_profile.json"))))
+    return li.select("l_orderkey", "l_linenumber", path.alias("path")) \
+             .withColumn("key", RU.object_key("path"))
+
+
+def q_parse_run_path(spark, sf_dir):
+    r = run_paths(spark, sf_dir)
+    return r.select("l_orderkey", "l_linenumber", "key",
+                    P.run_fraction("key").alias("fraction"),
+                    P.run_executors("key").alias("executor"),
+                    P.run_fraction("key", last=False).alias("fraction_first"))
+
+
+def q_parse_gpu_count(spark, sf_dir):
+    r = run_paths(spark, sf_dir)
+    return r.select("l_orderkey", "l_linenumber",
+                    P.gpu_count("key").alias("gpus"),
+                    P.gpu_count("key", P.GPU_FILE_PATTERN_LOOSE).alias("gpus_loose"),
+                    P.gpu_count_any("key").alias("gpus_any"))
+
+
+def q_fraction_regex(spark, sf_dir):
+    r = run_paths(spark, sf_dir)
+    return r.select("l_orderkey", "l_linenumber", P.fraction_regex("key").alias("fraction"))
+
+
+def q_run_record_filter(spark, sf_dir):
+    r = run_paths(spark, sf_dir).where(F.col("key").endswith("_profile.json"))
+    parsed = r.select("l_orderkey", "l_linenumber", "key",
+                      P.run_fraction("key").alias("fraction"),
+                      P.run_executors("key").alias("executor"))
+    kept = parsed.where((F.col("fraction") >= 0.001) & F.col("executor").isNotNull())
+    return kept.select("l_orderkey", "l_linenumber", "fraction", "executor",
+                       F.col("key").contains("/exec_7/").alias("exec_match"),
+                       P.has_run_depth("key", 5, 3).alias("deep"))
+
+
+# --- speedup and curves (C1, J7, W5, A5, A6, O1) ----------------------------------
+
+def flag_runs(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy("l_returnflag", "l_linenumber").agg(
+        F.count(F.lit(1)).cast("double").alias("total_time"))
+
+
+def q_speedup(spark, sf_dir):
+    return RU.speedup(flag_runs(spark, sf_dir), "l_linenumber", 1, key="l_returnflag")
+
+
+def q_speedup_window(spark, sf_dir):
+    return RU.speedup_window(flag_runs(spark, sf_dir), "l_linenumber", 1, key="l_returnflag")
+
+
+def q_group_curves(spark, sf_dir):
+    sp = RU.speedup(flag_runs(spark, sf_dir), "l_linenumber", 1, key="l_returnflag")
+    return RU.curve_points(sp, "l_linenumber", "speedup", key="l_returnflag")
+
+
+def q_ideal_line(spark, sf_dir):
+    return RU.ideal_line(flag_runs(spark, sf_dir), "l_linenumber")
+
+
+def q_sort_runs(spark, sf_dir):
+    runs = flag_runs(spark, sf_dir)
+    w = Window.orderBy("l_returnflag", "l_linenumber")  # run tables hold one row per run
+    return RU.sort_runs(runs, ["l_returnflag", "l_linenumber"]).withColumn("rank", F.row_number().over(w))
+
+
+# --- sizes and plans from counts (P19-P21, P27, P29) -------------------------------
+
+def status_counts(spark, sf_dir) -> DataFrame:
+    o = table(spark, sf_dir, "orders")
+    counts = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return counts.withColumn("total", F.sum("n").over(Window.partitionBy()))
+
+
+def q_fraction_label(spark, sf_dir):
+    c = status_counts(spark, sf_dir).withColumn("fraction", F.col("n") / F.col("total"))
+    return c.select("o_orderstatus", "n", "fraction", P.fraction_label("fraction").alias("label"))
+
+
+def q_dataset_bytes(spark, sf_dir):
+    c = status_counts(spark, sf_dir)
+    return c.select("o_orderstatus", "n", SK.dataset_bytes(F.col("n")).alias("bytes"),
+                    SK.dataset_gib(F.col("n")).alias("gib"))
+
+
+def q_partition_plan(spark, sf_dir):
+    c = status_counts(spark, sf_dir)
+    parts = SK.partition_plan(F.col("n"), cores=3, executors=8)
+    return c.select("o_orderstatus", parts.alias("partitions"),
+                    SK.tasks_per_executor(parts, 8).alias("tasks_per_executor"))
+
+
+def q_steps_per_epoch(spark, sf_dir):
+    c = status_counts(spark, sf_dir)
+    gb = FD.global_batch(16, 4)
+    steps = FD.steps_per_epoch(F.col("n"), gb, 30).cast("long")
+    return c.select("o_orderstatus", steps.alias("steps"), (steps * gb).cast("long").alias("samples_per_epoch"))
+
+
+def q_run_grid(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    fr = li.where(F.col("l_discount") > 0).select(F.col("l_discount").alias("fraction")).distinct()
+    conv = RU.run_grid(fr, [8, 5, 2, 1], "n").select(
+        F.lit("convert").alias("kind"), "fraction", "n",
+        P.output_dir(F.lit("s3://bucket/user"), F.lit("exp"), "fraction", "n").alias("output_dir"))
+    train = RU.run_grid(fr, [4, 3, 2, 1], "n").select(
+        F.lit("train").alias("kind"), "fraction", "n",
+        FD.global_batch(16, F.col("n")).alias("global_batch"),
+        FD.scaled_lr(0.001, F.col("n")).alias("learning_rate"))
+    return RU.append_records([conv, train])
+
+
+# --- feed planning (F1-F4) ---------------------------------------------------------
+
+FEED_EPOCHS, FEED_BATCH, FEED_REPLICAS = 2, 64, 4
+
+
+def feed_orders(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").select("o_orderkey")
+
+
+def q_repeat_epochs(spark, sf_dir):
+    return FD.repeat_epochs(feed_orders(spark, sf_dir), FEED_EPOCHS)
+
+
+def _shuffled(spark, sf_dir):
+    df = FD.repeat_epochs(feed_orders(spark, sf_dir), FEED_EPOCHS)
+    return FD.epoch_shuffle(df, "o_orderkey", seed=42, max_epochs=FEED_EPOCHS)
+
+
+def q_epoch_shuffle(spark, sf_dir):
+    return _shuffled(spark, sf_dir).drop("__n")
+
+
+def q_assign_batches(spark, sf_dir):
+    return FD.assign_batches(_shuffled(spark, sf_dir), FEED_BATCH).drop("__n")
+
+
+def q_assign_shards(spark, sf_dir):
+    df = FD.assign_batches(_shuffled(spark, sf_dir), FEED_BATCH)
+    return FD.assign_shards(df, FEED_REPLICAS).drop("__n")
+
+
+# --- evaluation (A9, A10) ----------------------------------------------------------
+
+def embedding_predictions(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "embeddings")
+    bits = F.transform(F.sequence(F.lit(0), F.size("embedding") - 1),
+                       lambda i: F.pmod((F.col("label") / F.pow(F.lit(2), i % 4)).cast("int"), F.lit(2)))
+    pred = F.transform("embedding", lambda v: F.when(v > 0, 1).otherwise(0))
+    sig = F.transform("embedding", lambda v: 1.0 / (1.0 + F.exp(-v.cast("double"))))
+    p_true = F.zip_with(sig, bits, lambda p, t: F.when(t == 1, p).otherwise(1.0 - p))
+    return e.select("vec_id", pred.alias("pred"), bits.alias("truth"), p_true.alias("p_true"))
+
+
+def q_pixel_accuracy(spark, sf_dir):
+    acc = EV.pixel_accuracy(embedding_predictions(spark, sf_dir), "pred", "truth")
+    return acc.select(F.round("pixel_accuracy", 9).alias("pixel_accuracy"))
+
+
+def q_pixel_log_loss(spark, sf_dir):
+    ll = EV.pixel_log_loss(embedding_predictions(spark, sf_dir), "p_true")
+    return ll.select(F.round("pixel_log_loss", 9).alias("pixel_log_loss"))
+
+
+# --- set operations and previews (T2, O3) ------------------------------------------
+
+def q_append_records(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(
+        F.lit("customer").alias("kind"), F.col("c_name").alias("name"),
+        F.col("c_nationkey").alias("nationkey"), F.col("c_acctbal").alias("acctbal"),
+        F.col("c_mktsegment").alias("mktsegment"))
+    s = table(spark, sf_dir, "supplier").select(
+        F.lit("supplier").alias("kind"), F.col("s_name").alias("name"),
+        F.col("s_nationkey").alias("nationkey"), F.col("s_acctbal").alias("acctbal"))
+    return RU.append_records([c, s])
+
+
+def q_head(spark, sf_dir):
+    part = table(spark, sf_dir, "part").select(F.array("p_brand").alias("labels"))
+    vocab = LB.label_vocab(part).withColumnRenamed("label", "p_brand")
+    return S.head(vocab, 5, ["idx"])
+
+
 def registry() -> dict:
     """All registered queries, keyed by name (functions named ``q_<key>``)."""
     return {name[2:]: fn for name, fn in globals().items()
