@@ -119,54 +119,86 @@ def code_lookup(df: DataFrame, code_col: str, out: str = "idx",
             .drop("__code"))
 
 
-def to_tensors(patches: DataFrame, image_bands: Sequence[str] = schemas.IMAGE_BANDS,
-               label_band: str = schemas.REFERENCE_BAND, pad_to: tuple[int, int] | None = None,
-               keep: Sequence[str] = ("split",)) -> tuple[DataFrame, DataFrame]:
-    """Stack image bands (HWC float), remap the class map, split good rows from rejects.
+MISSING_PATTERN = "(?i)missing|not ?found|no such file"
+
 
-    ``patches`` has one struct column per band (``height, width, pixels``) as
-    built by ``assemble_patch`` over ``struct(height, width, pixels)``.  Returns
-    ``(samples, rejects)``; samples follow ``schemas.SAMPLES_SCHEMA``.
+def stage_tensors(patches: DataFrame, image_bands: Sequence[str] = schemas.IMAGE_BANDS,
+                  label_band: str = schemas.REFERENCE_BAND, pad_to: tuple[int, int] | None = None,
+                  keep: Sequence[str] = ("split",)) -> DataFrame:
+    """Check, pad, stack and remap one row per patch; failures get a ``reason``.
+
+    ``patches`` has one struct column per band (``height, width, pixels`` and
+    optionally ``error``) as built by ``assemble_patch``.  The result has
+    ``patch_id, *keep, reason, detail, height, width, image, label``; rows with
+    ``reason`` NULL are good samples (see ``split_staged``).
     """
     bands = list(image_bands) + [label_band]
     kept = [k for k in keep if k in patches.columns]
     df = patches
+
+    def b(name: str) -> Column:
+        return F.col(f"`{name}`")
+
+    has_error = "error" in patches.schema[bands[0]].dataType.fieldNames() \
+        if bands[0] in patches.columns else False
+
+    def failed(name: str) -> Column:
+        return b(name)["error"].isNotNull() if has_error else F.lit(False)
+
     if pad_to is not None:
         th, tw = pad_to
         padded = {}
-        for b in bands:
-            c = F.col(f"`{b}`")
+        for name in bands:
+            c = b(name)
             h, w = A.padded_shape(c["height"], c["width"], th, tw)
-            padded[b] = F.when(c.isNotNull(), F.struct(
-                h.alias("height"), w.alias("width"),
-                A.pad_to_size(c["pixels"], c["height"], c["width"], th, tw).alias("pixels")))
+            fields = [h.alias("height"), w.alias("width"),
+                      A.pad_to_size(c["pixels"], c["height"], c["width"], th, tw).alias("pixels")]
+            if has_error:
+                fields.append(c["error"].alias("error"))
+            padded[name] = F.when(c.isNotNull(), F.struct(*fields))
         df = df.withColumns(padded)
-    first = F.col(f"`{image_bands[0]}`")
+    first = b(image_bands[0])
     same_shape = F.lit(True)
-    for b in bands:
-        c = F.col(f"`{b}`")
+    for name in bands:
+        c = b(name)
         same_shape = same_shape & (c["height"] == first["height"]) & (c["width"] == first["width"]) \
             & A.shape_ok(c["pixels"], c["height"], c["width"])
-    label_idx = A.remap_classes(F.col(f"`{label_band}`")["pixels"])
-    missing = F.filter(F.array(*[F.when(F.col(f"`{b}`").isNull(), F.lit(b)) for b in bands]),
-                       lambda x: x.isNotNull())
-    staged = df.select(
-        "patch_id", *kept,
-        F.when(F.size(missing) > 0, F.lit("missing_band"))
-        .when(~same_shape, F.lit("shape_mismatch"))
-        .when(A.has_null(label_idx), F.lit("code_out_of_range")).alias("reason"),
-        F.array_join(missing, ",").alias("missing"),
+    label_idx = A.remap_classes(b(label_band)["pixels"])
+    absent = F.filter(F.array(*[F.when(b(n).isNull() | (failed(n) & b(n)["error"].rlike(MISSING_PATTERN)
+                                                        if has_error else b(n).isNull()), F.lit(n))
+                                for n in bands]), lambda x: x.isNotNull())
+    broken = F.filter(F.array(*[F.when(failed(n) & ~b(n)["error"].rlike(MISSING_PATTERN),
+                                       F.concat(F.lit(n + ": "), b(n)["error"]))
+                                if has_error else F.lit(None).cast("string") for n in bands]),
+                      lambda x: x.isNotNull())
+    reason = (F.when(F.size(broken) > 0, F.lit("decode_error"))
+              .when(F.size(absent) > 0, F.lit("missing_band"))
+              .when(~F.coalesce(same_shape, F.lit(False)), F.lit("shape_mismatch"))
+              .when(A.has_null(label_idx), F.lit("code_out_of_range")))
+    detail = (F.when(F.size(broken) > 0, F.array_join(broken, "; "))
+              .when(F.size(absent) > 0, F.array_join(absent, ",")))
+    return df.select(
+        "patch_id", *kept, reason.alias("reason"), detail.alias("detail"),
         first["height"].alias("height"), first["width"].alias("width"),
-        A.stack_bands(*[F.col(f"`{b}`")["pixels"] for b in image_bands]).alias("image"),
+        A.stack_bands(*[b(n)["pixels"] for n in image_bands]).alias("image"),
         label_idx.alias("label"),
-    )
+        F.lit(len(image_bands)).alias("channels"))
+
+
+def split_staged(staged: DataFrame, keep: Sequence[str] = ("split",)) -> tuple[DataFrame, DataFrame]:
+    """``(samples, rejects)`` from a staged frame; samples follow ``schemas.SAMPLES_SCHEMA``."""
+    kept = [k for k in keep if k in staged.columns]
     samples = (staged.where(F.col("reason").isNull())
                .select("patch_id",
                        A.cast_items("image", "float").alias("image"),
                        A.cast_items("label", "int").alias("label"),
-                       "height", "width", F.lit(len(image_bands)).alias("channels"), *kept))
-    rejects = (staged.where(F.col("reason").isNotNull())
-               .select("patch_id", "reason",
-                       F.when(F.col("reason") == "missing_band", F.col("missing"))
-                       .otherwise(F.lit(None).cast("string")).alias("detail")))
+                       "height", "width", "channels", *kept))
+    rejects = staged.where(F.col("reason").isNotNull()).select("patch_id", "reason", "detail")
     return samples, rejects
+
+
+def to_tensors(patches: DataFrame, image_bands: Sequence[str] = schemas.IMAGE_BANDS,
+               label_band: str = schemas.REFERENCE_BAND, pad_to: tuple[int, int] | None = None,
+               keep: Sequence[str] = ("split",)) -> tuple[DataFrame, DataFrame]:
+    """Stage and split in one call: ``(samples, rejects)``."""
+    return split_staged(stage_tensors(patches, image_bands, label_band, pad_to, keep), keep)

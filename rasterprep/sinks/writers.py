@@ -168,5 +168,21 @@ def write_profile_text(profiles: DataFrame, out: str) -> None:
      .select("line").write.mode("overwrite").text(out))
 
 
+def write_small_file(uri: str, text: str) -> None:
+    """Write one small driver-side document (a run profile) to a local or remote path."""
+    from pyarrow import fs as pafs
+    target = uri
+    if target.startswith("s3a://"):
+        target = "s3://" + target[len("s3a://"):]
+    elif "://" not in target:
+        target = "file://" + target if target.startswith("/") else target
+    filesystem, inner = pafs.FileSystem.from_uri(target)
+    parent = inner.rsplit("/", 1)[0]
+    if parent:
+        filesystem.create_dir(parent, recursive=True)
+    with filesystem.open_output_stream(inner) as f:
+        f.write(text.encode("utf-8"))
+
+
 def split_dirs(out: str, splits: Sequence[str] = schemas.SPLITS) -> list[str]:
     return [f"{out.rstrip('/')}/data/split={s}" for s in splits]
