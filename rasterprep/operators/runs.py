@@ -37,9 +37,12 @@ def step_duration(steps: Column | str, name: str) -> Column:
 
 def has_steps(steps: Column | str, names: Sequence[str]) -> Column:
     """Every step in ``names`` is present."""
+    def named(n: str):
+        return lambda s: s["name"] == F.lit(n)
+
     cond = F.lit(True)
     for n in names:
-        cond = cond & F.exists(_col(steps), lambda s, n=n: s["name"] == F.lit(n))
+        cond = cond & F.exists(_col(steps), named(n))
     return F.coalesce(cond, F.lit(False))
 
 

@@ -28,7 +28,7 @@ from rasterprep.operators import sampling as S
 from rasterprep.sinks import writers as W
 from rasterprep.sources import objects as O
 
-BAND_STRUCT = F.struct("height", "width", "pixels", "error")
+BAND_FIELDS = ("height", "width", "pixels", "error")
 
 
 @dataclass
@@ -92,7 +92,7 @@ def stage(spark: SparkSession, meta: DataFrame, fraction: float, read: str = "pa
     """
     sampled = S.split_dataset(meta, fraction, id_col="patch_id", seed=seed)
     manifest = R.expand_band_paths(sampled, suffix=suffix)
-    bands = band_rows(spark, manifest, read, root, suffix, decoder).withColumn("value", BAND_STRUCT)
+    bands = band_rows(spark, manifest, read, root, suffix, decoder).withColumn("value", F.struct(*BAND_FIELDS))
     wide = R.assemble_patch(bands, schemas.IMAGE_BANDS + [schemas.REFERENCE_BAND],
                             value="value", keep=["split"])
     return sampled, R.stage_tensors(wide, pad_to=pad_to)
