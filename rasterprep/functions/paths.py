@@ -110,25 +110,42 @@ def path_parts(c: Column | str) -> Column:
     return F.split(_col(c), "/")
 
 
-def _parts_with(c: Column | str, prefix: str) -> Column:
-    return F.filter(path_parts(c), lambda p: p.startswith(prefix))
+def key_value(c: Column | str, prefix: str, last: bool = True) -> Column:
+    """Text after ``prefix`` in the last (or first) ``/``-separated part starting with it.
 
+    NULL when no part starts with ``prefix``.  Plain string functions
+    (``instr``/``substring_index``): linear time, inside whole-stage codegen, and
+    cheap even when the optimizer copies the expression into a pushed-down filter.
+    """
+    k = F.concat(F.lit("/"), _col(c))
+    marker = "/" + prefix
+    if last:
+        after = F.substring_index(k, marker, -1)
+    else:
+        after = F.substr(k, F.instr(k, marker) + F.lit(len(marker)))
+    return F.when(k.contains(marker), F.substring_index(after, "/", 1))
 
-def key_value(c: Column | str, prefix: str, last: bool = True) -> Column:
-    """Text after ``prefix`` in the last (or first) path part starting with it; NULL if none."""
-    parts = _parts_with(c, prefix)
-    picked = F.try_element_at(parts, F.lit(-1 if last else 1))
-    return F.substring(picked, len(prefix) + 1, 1 << 20)
+
+def _part_text(c: Column | str, prefix: str, last: bool) -> Column:
+    """Like ``key_value`` but '' (not NULL) when absent, referencing the input once.
+
+    A single reference keeps the expression small when the optimizer inlines it
+    into a pushed-down filter together with the expression that builds the key.
+    """
+    if last:
+        marker = "/" + prefix
+        return F.substring_index(F.substring_index(F.concat(F.lit("/"), _col(c)), marker, -1), "/", 1)
+    return F.regexp_extract(_col(c), rf"(?:^|/){re.escape(prefix)}([^/]*)", 1)
 
 
 def run_fraction(c: Column | str, last: bool = True) -> Column:
     """``frac_<x>`` part as double (conversion runs: last match wins; training: first)."""
-    return key_value(c, "frac_", last).try_cast("double")
+    return _part_text(c, "frac_", last).try_cast("double")
 
 
 def run_executors(c: Column | str, last: bool = True) -> Column:
     """``exec_<n>`` part as int."""
-    return key_value(c, "exec_", last).try_cast("int")
+    return _part_text(c, "exec_", last).try_cast("int")
 
 
 GPU_FILE_PATTERN = r"train_gpu(\d+)_profile\.json"

@@ -53,10 +53,8 @@ def total_duration(steps: Column | str) -> Column:
 
 def object_key(path: Column | str) -> Column:
     """``scheme://bucket/key`` -> ``key``; a path without scheme is kept without leading slashes."""
-    col = _col(path)
-    return F.when(col.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"),
-                  F.regexp_extract(col, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/]*/(.*)$", 1)) \
-        .otherwise(F.regexp_replace(F.regexp_replace(col, r"^file:", ""), r"^/+", ""))
+    # a single regex: scheme + bucket, or a local ``file:`` / leading-slash prefix
+    return F.regexp_replace(_col(path), r"^(?:file:/*|[A-Za-z][A-Za-z0-9+.\-]*://[^/]*/|/+)", "")
 
 
 # --- record builders (C2-C5) ------------------------------------------------------
