@@ -213,3 +213,28 @@ def run_grid(fractions: DataFrame, values: Sequence[int], value_col: str, fracti
     """Every fraction paired with every configuration value (a generator, not a join)."""
     arr = F.array(*[F.lit(int(v)) for v in values])
     return fractions.select(fraction_col, F.explode(arr).alias(value_col))
+
+
+# --- record filters (X5, X6, X10) ------------------------------------------------
+
+def suffix_filter(df: DataFrame, suffix: str, col: str = "path") -> DataFrame:
+    """Keep rows whose object key ends with ``suffix``."""
+    return df.where(F.col(col).endswith(suffix))
+
+
+def run_record_filter(df: DataFrame, min_fraction: float = 0.001, fraction: str = "fraction",
+                      executor: str | None = "executor") -> DataFrame:
+    """Drop records without a fraction, below ``min_fraction`` or without an executor count."""
+    cond = F.col(fraction) >= F.lit(float(min_fraction))
+    if executor:
+        cond = cond & F.col(executor).isNotNull()
+    return df.where(cond)
+
+
+def drop_null_records(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Drop records a parser rejected (all of ``cols`` NULL; default: every column)."""
+    cols = list(cols or df.columns)
+    cond = F.lit(False)
+    for c in cols:
+        cond = cond | F.col(c).isNotNull()
+    return df.where(cond)

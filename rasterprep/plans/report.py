@@ -8,6 +8,8 @@ are the curve points and the ideal line.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,16 +18,23 @@ from rasterprep.sources import metadata as M
 
 CONFIGS = {
     "conversion": (RU.conversion_runs, "executor", "conversion_profile.json"),
+    "conversion_ext": (RU.conversion_runs_ext, None, "conversion_profile.json"),
     "training_batch": (RU.training_runs_batch, "num_gpus", "_profile.json"),
     "training_lr": (RU.training_runs_lr, "num_gpus", "_profile.json"),
 }
 
 
-def load_runs(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    parser, _, suffix = CONFIGS[kind]
-    profiles = M.read_profiles(spark, root, suffix=suffix)
+def load_runs(spark: SparkSession, root: str, kind: str,
+              parser: Callable[[DataFrame], DataFrame] | None = None,
+              suffix: str | None = None) -> DataFrame:
+    """S7 + a record parser (U3): built-in ``kind`` or any ``DataFrame -> DataFrame`` callable.
+
+    The parser sees one row per profile file with ``path`` and ``key`` (object key).
+    """
+    default_parser, _, default_suffix = CONFIGS.get(kind, (None, None, "_profile.json"))
+    profiles = M.read_profiles(spark, root, suffix=suffix or default_suffix)
     keyed = profiles.withColumn("key", RU.object_key("path"))
-    return parser(keyed)
+    return (parser or default_parser)(keyed)
 
 
 def experiment_report(spark: SparkSession, root: str, kind: str,

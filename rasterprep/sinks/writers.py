@@ -91,6 +91,16 @@ def pack_samples(samples: DataFrame) -> DataFrame:
     return to_bytes(samples, {"image": "<f4", "label": "u1"})
 
 
+def pack_patch(patches: DataFrame) -> DataFrame:
+    """S17, five-column packed form: ``patch_id, s1, s2, reference, labels`` as raw bytes.
+
+    Expects ``s1``/``s2`` float tensors, ``reference`` class indices (< 256) and
+    ``labels`` a 0/1 multi-hot vector; written as float32, float32, uint8, int8.
+    """
+    return to_bytes(patches.select("patch_id", "s1", "s2", "reference", "labels"),
+                    {"s1": "<f4", "s2": "<f4", "reference": "u1", "labels": "i1"})
+
+
 # --- dataset writers (S2, S9-S13) ----------------------------------------------------
 
 

@@ -134,3 +134,12 @@ def test_band_manifest_paths(spark, archive):
     assert m.count() == 7 * len(archive[2])
     assert m.where(~F.col("path").endswith(".npy")).count() == 0
     assert set(r.band for r in m.select("band").distinct().collect()) == set(schemas.IMAGE_BANDS + ["reference_map"])
+
+
+def test_pack_patch_bytes(spark):
+    df = spark.createDataFrame([("p", [1.5, 2.5], [0.25], [3, 200], [0, 1, 1])],
+                               "patch_id string, s1 array<float>, s2 array<float>, reference array<int>, labels array<int>")
+    r = W.pack_patch(df).first()
+    assert np.frombuffer(r.s1, "<f4").tolist() == [1.5, 2.5]
+    assert np.frombuffer(r.reference, "u1").tolist() == [3, 200]
+    assert np.frombuffer(r.labels, "i1").tolist() == [0, 1, 1]

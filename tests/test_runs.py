@@ -106,3 +106,28 @@ def test_last_value_relational(spark):
     df = spark.createDataFrame([(1, "a", 1.0, 1), (1, "a", 2.0, 2), (1, "b", 3.0, 1)], "u int, n string, v double, o int")
     got = {(r.u, r.n): r.v for r in RU.last_value(df, ["u", "n"], "v", ["o"]).collect()}
     assert got == {(1, "a"): 2.0, (1, "b"): 3.0}
+
+
+def test_time_helpers(spark):
+    from rasterprep.functions import times as TM
+    df = spark.createDataFrame([("2026-01-30T10:00:01.250000",), ("2026-01-30 10:00:02",), ("junk",)], "t string")
+    rows = df.select(TM.parse_time("t").alias("ts")).select(
+        TM.iso_time("ts").alias("iso"), TM.log_time("ts").alias("log")).collect()
+    assert rows[0].iso == "2026-01-30T10:00:01.250000" and rows[1].iso == "2026-01-30T10:00:02"
+    assert rows[1].log == "2026-01-30 10:00:02" and rows[2].iso is None
+
+
+def test_record_filters_and_custom_parser(spark, profiles_root):
+    df = spark.createDataFrame([(0.0005, 1), (0.01, None), (0.01, 2), (None, None)], "fraction double, executor int")
+    assert RU.run_record_filter(df).count() == 1
+    assert RU.drop_null_records(df).count() == 3
+    parser = lambda p: p.select(F.col("key"), RU.total_duration("steps").alias("t"))
+    runs = RP.load_runs(spark, profiles_root, "custom", parser=parser, suffix="_profile.json")
+    assert runs.count() == 13
+    # the notebook variant reads the fraction from a fixed key part (bucket-relative there)
+    idx = len((profiles_root.lstrip("/") + "/u/d/exp/petastorm/frac_x").split("/")) - 1
+    ext = RP.load_runs(spark, profiles_root, "conversion_ext",
+                       parser=lambda p: RU.conversion_runs_ext(p, part_index=idx))
+    got = {r.fraction: r for r in ext.collect()}
+    # C3 needs no exec_ part, so the frac_0.2/noexec run is kept
+    assert set(got) == {0.05, 0.1, 0.2} and got[0.05].train_partitions == 4
