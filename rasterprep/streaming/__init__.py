@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source pipeline has no event stream, watermark, window over time or
+stateful operator -- its "streaming" reader iterates a static dataset, which is
+planned here as a table (``rasterprep.plans.feed_plan``).  Nothing is added
+that the source does not do.
+"""
