@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from rasterprep import schemas
 from rasterprep.operators import raster as R
 from rasterprep.operators import sampling as S
+from rasterprep.operators import tensors as TZ
 from rasterprep.sinks import writers as W
 from rasterprep.sources import objects as O
 
@@ -72,7 +73,7 @@ def band_rows(spark: SparkSession, manifest: DataFrame, read: str = "paths",
     and matches them to the manifest with an equi-join (J3; full-archive runs).
     """
     if read == "paths":
-        return O.decode_rasters(O.read_paths(manifest, "path"), decoder)
+        return O.read_rasters(manifest, decoder, "path")
     if read == "scan":
         if root is None:
             raise ValueError("read='scan' needs root")
@@ -84,20 +85,41 @@ def band_rows(spark: SparkSession, manifest: DataFrame, read: str = "paths",
 def stage(spark: SparkSession, meta: DataFrame, fraction: float, read: str = "paths",
           root: str | None = None, suffix: str = schemas.RASTER_SUFFIX,
           decoder: O.Decoder = O.npy_decoder, pad_to: tuple[int, int] | None = None,
-          seed: int = schemas.SAMPLE_SEED) -> tuple[DataFrame, DataFrame]:
+          seed: int = schemas.SAMPLE_SEED, partitions: int | None = None,
+          packed: bool = False) -> tuple[DataFrame, DataFrame]:
     """The lazy conversion plan: ``(sampled metadata, staged tensors with reason)``.
 
     Band rows keep their decode error inside the band struct, so one pivot
     (one shuffle) yields both the good samples and every reject with its reason.
+    With ``partitions`` the band rows are hash-partitioned by patch to that
+    count; the pivot reuses the partitioning, and AQE does not merge the
+    partitions by bytes (the stage after the pivot is CPU-bound, not IO-bound).
     """
     sampled = S.split_dataset(meta, fraction, id_col="patch_id", seed=seed)
     manifest = R.expand_band_paths(sampled, suffix=suffix)
     bands = band_rows(spark, manifest, read, root, suffix, decoder).withColumn("value", F.struct(*BAND_FIELDS))
+    if partitions:
+        bands = bands.repartition(int(partitions), "patch_id")
     wide = R.assemble_patch(bands, schemas.IMAGE_BANDS + [schemas.REFERENCE_BAND],
                             value="value", keep=["split"])
+    if packed:
+        return sampled, TZ.stage_packed(wide, pad_to=pad_to)
     return sampled, R.stage_tensors(wide, pad_to=pad_to)
 
 
+def conversion_partitions(spark: SparkSession, rows: int, cores: int | None = None,
+                          executors: int | None = None, target_bytes: int = 128 << 20) -> int:
+    """P20 for the tensor stage: ``min(rows, max(cores * executors * 4, bytes / target))``.
+
+    The first term is the source's plan (4 tasks per core); the second keeps a
+    partition near ``target_bytes`` of output when the archive is much larger
+    than the cluster.
+    """
+    slots = (cores * executors) if cores and executors else spark.sparkContext.defaultParallelism
+    by_size = -(-rows * schemas.BYTES_PER_SAMPLE // target_bytes)
+    return max(1, min(max(rows, 1), max(slots * 4, by_size)))
+
+
 def convert(spark: SparkSession, meta: DataFrame, out: str, fraction: float = 1.0,
             read: str = "paths", root: str | None = None, suffix: str = schemas.RASTER_SUFFIX,
             decoder: O.Decoder = O.npy_decoder, pad_to: tuple[int, int] | None = None,
@@ -111,15 +133,17 @@ def convert(spark: SparkSession, meta: DataFrame, out: str, fraction: float = 1.
     log = StepLog()
     if "s1_path" not in meta.columns:
         raise ValueError("metadata needs s1_path/s2_path/reference_path (see raster.with_paths)")
-    sampled, staged = stage(spark, meta, fraction, read, root, suffix, decoder, pad_to)
+    sampled, _ = stage(spark, meta, fraction, read, root, suffix, decoder, pad_to)
     requested = {r["split"]: r["rows"] for r in
                  log.run("sample", lambda: S.split_counts(sampled.select("split")).collect())}
+    parts = conversion_partitions(spark, int(requested.get("total", 0)), cores, executors)
+    log.record("partitions", parts)
+    _, staged = stage(spark, meta, fraction, read, root, suffix, decoder, pad_to,
+                      partitions=parts, packed=encode_bytes)
     staged = staged.persist(StorageLevel.DISK_ONLY)
     try:
-        samples, rejects = R.split_staged(staged)
-        sink = W.pack_samples(samples) if encode_bytes else samples
-        if cores and executors:
-            sink = sink.repartition(min(max(1, requested.get("total", 1)), cores * executors * 4))
+        samples, rejects = (TZ.split_packed(staged) if encode_bytes else R.split_staged(staged))
+        sink = samples
         log.run("write_data", lambda: W.write_splits(sink, out, target_file_mb))
         log.run("write_rejects", lambda: rejects.write.mode("overwrite").parquet(f"{out}/rejects"))
     finally:

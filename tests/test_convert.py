@@ -143,3 +143,22 @@ def test_pack_patch_bytes(spark):
     assert np.frombuffer(r.s1, "<f4").tolist() == [1.5, 2.5]
     assert np.frombuffer(r.reference, "u1").tolist() == [3, 200]
     assert np.frombuffer(r.labels, "i1").tolist() == [0, 1, 1]
+
+
+@pytest.mark.parametrize("pad", [None, (5, 6)])
+def test_packed_stage_equals_native(spark, archive, pad):
+    root, _, truth = archive
+    meta = _meta(spark, archive)
+    _, native = C.stage(spark, meta, 1.0, read="paths", suffix=".npy", pad_to=pad)
+    _, packed = C.stage(spark, meta, 1.0, read="paths", suffix=".npy", pad_to=pad, packed=True,
+                        partitions=4)
+    n = {r.patch_id: r for r in native.collect()}
+    p = {r.patch_id: r for r in packed.collect()}
+    assert set(n) == set(p)
+    for pid, a in n.items():
+        b = p[pid]
+        assert (a.reason, a.detail) == (b.reason, b.detail), pid
+        if a.reason is None:
+            assert (a.height, a.width, a.channels) == (b.height, b.width, b.channels)
+            assert np.array_equal(np.array(a.image, dtype="<f4"), np.frombuffer(b.image, "<f4"))
+            assert np.frombuffer(b.label, "u1").tolist() == a.label
