@@ -7,14 +7,19 @@ overrides a value that is already set.
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "rasterprep") -> SparkSession:
-    """A local session for tests and benchmarks (UI off, UTC, AQE on)."""
+                  app: str = "rasterprep", driver_memory: str | None = None) -> SparkSession:
+    """A local session for tests and benchmarks (UI off, UTC, AQE on).
+
+    ``driver_memory`` defaults to ``$RASTERPREP_DRIVER_MEMORY`` or 4g, which fits
+    a 7 GB container.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -25,7 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "8g")
+        .config("spark.driver.memory",
+                driver_memory or os.environ.get("RASTERPREP_DRIVER_MEMORY", "4g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
