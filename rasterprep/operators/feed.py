@@ -19,7 +19,7 @@ def repeat_epochs(df: DataFrame, epochs: int, col: str = "epoch") -> DataFrame:
     """``epochs`` copies of every row tagged 0..epochs-1 (a generator, not a join)."""
     if epochs < 1:
         raise ValueError("epochs must be >= 1")
-    return df.withColumn(col, F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
+    return df.withColumn(col, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(epochs - 1).cast("long"))))
 
 
 def epoch_shuffle(df: DataFrame, id_col: str, seed: int = 42, epoch_col: str | None = "epoch",

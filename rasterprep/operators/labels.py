@@ -26,7 +26,7 @@ def distinct_labels(df: DataFrame, labels_col: str = "labels") -> DataFrame:
 def label_vocab(df: DataFrame, labels_col: str = "labels") -> DataFrame:
     """Sorted distinct labels (binary code-point order) numbered from 0: ``(label, idx)``."""
     w = Window.orderBy("label")  # one task over the distinct set: bounded by the label domain
-    return distinct_labels(df, labels_col).withColumn("idx", F.row_number().over(w) - 1)
+    return distinct_labels(df, labels_col).withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
 
 
 def vocab_array(vocab: DataFrame, max_size: int = MAX_VOCAB) -> Column:

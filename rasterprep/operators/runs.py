@@ -181,7 +181,7 @@ def speedup_window(runs: DataFrame, baseline_col: str, baseline_value, time_col:
 def curve_points(runs: DataFrame, x: str, y: str, key: str = "fraction") -> DataFrame:
     """A5: points of each curve numbered along x: ``(key, point, x, y)`` (one row per point)."""
     w = Window.partitionBy(key).orderBy(F.col(x), F.col(y))
-    return runs.select(key, F.row_number().over(w).alias("point"), x, y)
+    return runs.select(key, F.row_number().over(w).cast("long").alias("point"), x, y)
 
 
 def group_curves(runs: DataFrame, x: str, y: str, key: str = "fraction") -> DataFrame:
@@ -191,8 +191,8 @@ def group_curves(runs: DataFrame, x: str, y: str, key: str = "fraction") -> Data
 
 def ideal_line(runs: DataFrame, x: str) -> DataFrame:
     """The line ``y = x`` for x = 1..max(x)."""
-    return (runs.agg(F.max(x).cast("int").alias("__m"))
-            .select(F.explode(F.sequence(F.lit(1), F.col("__m"))).alias("x"))
+    return (runs.agg(F.max(x).cast("long").alias("__m"))
+            .select(F.explode(F.sequence(F.lit(1).cast("long"), F.col("__m"))).alias("x"))
             .withColumn("y", F.col("x")))
 
 

@@ -210,7 +210,8 @@ def q_remap_classes(spark, sf_dir):
     df = embedding_codes(spark, sf_dir).withColumn("idx", A.remap_classes("codes"))
     ok = df.where(~A.has_null("idx"))
     return ok.select("vec_id", F.posexplode(F.arrays_zip("codes", "idx")).alias("pixel", "z")) \
-             .select("vec_id", "pixel", F.col("z.codes").alias("code"), F.col("z.idx").alias("idx"))
+             .select("vec_id", F.col("pixel").cast("long").alias("pixel"),
+                     F.col("z.codes").alias("code"), F.col("z.idx").alias("idx"))
 
 
 def q_code_lookup(spark, sf_dir):
@@ -225,20 +226,21 @@ def q_stack_bands(spark, sf_dir):
     q = [F.slice("embedding", 1 + 16 * k, 16) for k in range(4)]
     image = A.concat_channels(A.stack_bands(q[0], q[1]), 2, A.stack_bands(q[2], q[3]), 2)
     return (e.select("vec_id", F.posexplode(image).alias("pos", "v"))
-            .select("vec_id", "pos", F.col("v").cast("double").alias("value")))
+            .select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("v").cast("double").alias("value")))
 
 
 def q_pad_to_size(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings", spread=True)
     padded = A.pad_to_size("embedding", 8, 8, 10, 10)
     return (e.select("vec_id", F.posexplode(padded).alias("pos", "v"))
-            .select("vec_id", "pos", F.col("v").cast("double").alias("value")))
+            .select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("v").cast("double").alias("value")))
 
 
 def q_display_rgb(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings", spread=True)
     r, g, b = (F.slice("embedding", 1 + 21 * k, 21) for k in range(3))
-    return e.select("vec_id", F.posexplode(A.display_rgb(r, g, b, divisor=0.25)).alias("pos", "value"))
+    return (e.select("vec_id", F.posexplode(A.display_rgb(r, g, b, divisor=0.25)).alias("pos", "value"))
+            .withColumn("pos", F.col("pos").cast("long")))
 
 
 def q_assemble_patch(spark, sf_dir):
@@ -277,7 +279,7 @@ def q_multi_hot(spark, sf_dir):
     labels = order_labels(spark, sf_dir)
     hot = LB.with_multi_hot(labels, LB.label_vocab(labels))
     return hot.select("l_orderkey", F.posexplode("multi_hot").alias("idx", "hot")) \
-              .select("l_orderkey", "idx", F.col("hot").cast("int").alias("hot"))
+              .select("l_orderkey", F.col("idx").cast("long").alias("idx"), F.col("hot").cast("int").alias("hot"))
 
 
 def q_label_preview(spark, sf_dir):
@@ -407,7 +409,7 @@ def q_ideal_line(spark, sf_dir):
 def q_sort_runs(spark, sf_dir):
     runs = flag_runs(spark, sf_dir)
     w = Window.orderBy("l_returnflag", "l_linenumber")  # run tables hold one row per run
-    return RU.sort_runs(runs, ["l_returnflag", "l_linenumber"]).withColumn("rank", F.row_number().over(w))
+    return RU.sort_runs(runs, ["l_returnflag", "l_linenumber"]).withColumn("rank", F.row_number().over(w).cast("long"))
 
 
 # --- sizes and plans from counts (P19-P21, P27, P29) -------------------------------
