@@ -69,6 +69,7 @@ def band_rows(spark: SparkSession, manifest: DataFrame, read: str = "paths",
     """Decoded band rows ``(patch_id, band, split, height, width, pixels, error)``.
 
     ``read='paths'`` opens only the manifest's files inside tasks (sampled runs);
+    (``read='patches'`` in ``stage`` skips band rows altogether, see ``tensors.read_patches``);
     ``read='scan'`` lists and reads every file under ``root`` with ``binaryFile``
     and matches them to the manifest with an equi-join (J3; full-archive runs).
     """
@@ -96,6 +97,10 @@ def stage(spark: SparkSession, meta: DataFrame, fraction: float, read: str = "pa
     partitions by bytes (the stage after the pivot is CPU-bound, not IO-bound).
     """
     sampled = S.split_dataset(meta, fraction, id_col="patch_id", seed=seed)
+    if read == "patches":
+        # no pixel shuffle: spread the (small) metadata, then read whole patches per task
+        rows = sampled.repartition(int(partitions), "patch_id") if partitions else sampled
+        return sampled, TZ.read_patches(rows, decoder, suffix=suffix, pad_to=pad_to)
     manifest = R.expand_band_paths(sampled, suffix=suffix)
     bands = band_rows(spark, manifest, read, root, suffix, decoder).withColumn("value", F.struct(*BAND_FIELDS))
     if partitions:
@@ -121,7 +126,7 @@ def conversion_partitions(spark: SparkSession, rows: int, cores: int | None = No
 
 
 def convert(spark: SparkSession, meta: DataFrame, out: str, fraction: float = 1.0,
-            read: str = "paths", root: str | None = None, suffix: str = schemas.RASTER_SUFFIX,
+            read: str = "patches", root: str | None = None, suffix: str = schemas.RASTER_SUFFIX,
             decoder: O.Decoder = O.npy_decoder, pad_to: tuple[int, int] | None = None,
             target_file_mb: float | None = 50, encode_bytes: bool = True,
             cores: int | None = None, executors: int | None = None) -> dict:
@@ -138,8 +143,10 @@ def convert(spark: SparkSession, meta: DataFrame, out: str, fraction: float = 1.
                  log.run("sample", lambda: S.split_counts(sampled.select("split")).collect())}
     parts = conversion_partitions(spark, int(requested.get("total", 0)), cores, executors)
     log.record("partitions", parts)
+    if read == "patches" and not encode_bytes:
+        read = "paths"  # array outputs come from the native pivot path
     _, staged = stage(spark, meta, fraction, read, root, suffix, decoder, pad_to,
-                      partitions=parts, packed=encode_bytes)
+                      partitions=parts, packed=encode_bytes or read == "patches")
     staged = staged.persist(StorageLevel.DISK_ONLY)
     try:
         samples, rejects = (TZ.split_packed(staged) if encode_bytes else R.split_staged(staged))

@@ -107,10 +107,11 @@ def test_pad_to(spark, archive):
     assert np.array_equal(np.array(r.image, dtype=np.float32), img.reshape(-1))
 
 
-def test_convert_writes_splits_profile_and_rejects(spark, archive, tmp_path):
+@pytest.mark.parametrize("read", ["paths", "patches"])
+def test_convert_writes_splits_profile_and_rejects(spark, archive, tmp_path, read):
     root, _, truth = archive
     out = str(tmp_path / "out")
-    summary = C.convert(spark, _meta(spark, archive), out, fraction=1.0, read="paths", suffix=".npy",
+    summary = C.convert(spark, _meta(spark, archive), out, fraction=1.0, read=read, suffix=".npy",
                         target_file_mb=0.0001)
     n_ok = sum(1 for k, *_r in truth.values() if k in ("ok", "code5"))
     assert summary["total_rows"] == n_ok and summary["rejected"] == len(truth) - n_ok
@@ -145,12 +146,12 @@ def test_pack_patch_bytes(spark):
     assert np.frombuffer(r.labels, "i1").tolist() == [0, 1, 1]
 
 
-@pytest.mark.parametrize("pad", [None, (5, 6)])
-def test_packed_stage_equals_native(spark, archive, pad):
+@pytest.mark.parametrize("pad,read", [(None, "paths"), ((5, 6), "paths"), (None, "patches"), ((5, 6), "patches")])
+def test_packed_stage_equals_native(spark, archive, pad, read):
     root, _, truth = archive
     meta = _meta(spark, archive)
     _, native = C.stage(spark, meta, 1.0, read="paths", suffix=".npy", pad_to=pad)
-    _, packed = C.stage(spark, meta, 1.0, read="paths", suffix=".npy", pad_to=pad, packed=True,
+    _, packed = C.stage(spark, meta, 1.0, read=read, suffix=".npy", pad_to=pad, packed=True,
                         partitions=4)
     n = {r.patch_id: r for r in native.collect()}
     p = {r.patch_id: r for r in packed.collect()}
