@@ -33,35 +33,42 @@ def object_folders(inventory: DataFrame, path_col: str = "path") -> DataFrame:
     bounded, and the distinct runs with map-side partial aggregation, so a
     folder holding a third of all objects is combined before the shuffle.
     """
-    parts = F.split(folder_key(path_col), "/")
-    prefixes = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))),
-                           lambda i: F.array_join(F.slice(parts, 1, i), "/"))
-    return (inventory
-            .where(F.size(F.split(folder_key(path_col), "/")) > 1)
-            .select(F.explode(prefixes).alias("folder"))
+    keys = inventory.select(folder_key(path_col).alias("__k"))
+    depth = F.size(F.split("__k", "/"))
+    # a generator + substring_index, no lambda: the plan then canonicalises identically
+    # wherever it is reused, so joins against it share one exchange
+    return (keys.where(depth > 1)
+            .select("__k", F.explode(F.sequence(F.lit(1), depth - 1)).alias("__i"))
+            .select(F.call_function("substring_index", F.col("__k"), F.lit("/"), F.col("__i"))
+                    .alias("folder"))
             .distinct())
 
 
 def validate_components(meta: DataFrame, inventory: DataFrame, id_col: str = "patch_id",
                         components: Mapping[str, str] = DEFAULT_COMPONENTS,
-                        path_col: str = "path", schemes: tuple[str, ...] = ("s3",)) -> DataFrame:
+                        path_col: str = "path", schemas: tuple[str, ...] = ("s3",)) -> DataFrame:
     """One row per metadata row: ``(id, all_exist, <name>_exists...)``.
 
     A component exists when its path is a valid URI (X3: by default ``s3://``)
     and at least one inventory object lies under it.  Invalid paths count as
     missing, as a failed list call does in the source.
+
+    The distinct folder table is the *same* DataFrame on the right of every
+    component join, so Spark builds it once and reuses the exchange: the
+    listing is scanned once, not once per component.
     """
-    folders = object_folders(inventory, path_col).withColumn("__hit", F.lit(True))
-    out = meta.select(id_col, *components.values())
+    folders = object_folders(inventory, path_col)
+    names = list(components)
+    out = meta.select(id_col, *[F.when(P.valid_uri(components[n], schemas), folder_key(components[n]))
+                                .alias(f"__k_{n}") for n in names])
     flags = []
-    for name, col in components.items():
-        flag = f"{name}_exists"
-        right = folders.withColumnRenamed("folder", f"__f_{name}").withColumnRenamed("__hit", flag)
-        out = (out.withColumn(f"__k_{name}", F.when(P.valid_uri(col, schemes), folder_key(col)))
-               .join(right, F.col(f"__k_{name}") == F.col(f"__f_{name}"), "left")
-               .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-               .drop(f"__k_{name}", f"__f_{name}"))
-        flags.append(flag)
+    for n in names:
+        right = folders.alias(f"__f_{n}")
+        hit = F.col(f"__f_{n}.folder")
+        out = (out.join(right, F.col(f"__k_{n}") == hit, "left")
+               .withColumn(f"{n}_exists", hit.isNotNull())
+               .drop(hit))
+        flags.append(f"{n}_exists")
     all_exist = F.lit(True)
     for f in flags:
         all_exist = all_exist & F.col(f)
