@@ -138,14 +138,19 @@ def _part_text(c: Column | str, prefix: str, last: bool) -> Column:
     return F.regexp_extract(_col(c), rf"(?:^|/){re.escape(prefix)}([^/]*)", 1)
 
 
+def _number(text: Column, dtype: str) -> Column:
+    # empty text -> NULL before the cast: a failing try_cast takes a slow exception path
+    return F.nullif(text, F.lit("")).try_cast(dtype)
+
+
 def run_fraction(c: Column | str, last: bool = True) -> Column:
     """``frac_<x>`` part as double (conversion runs: last match wins; training: first)."""
-    return _part_text(c, "frac_", last).try_cast("double")
+    return _number(_part_text(c, "frac_", last), "double")
 
 
 def run_executors(c: Column | str, last: bool = True) -> Column:
     """``exec_<n>`` part as int."""
-    return _part_text(c, "exec_", last).try_cast("int")
+    return _number(_part_text(c, "exec_", last), "int")
 
 
 GPU_FILE_PATTERN = r"train_gpu(\d+)_profile\.json"

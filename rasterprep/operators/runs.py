@@ -87,7 +87,7 @@ def conversion_runs_ext(profiles: DataFrame, key_col: str = "key", part_index: i
     """As C2 without executor (fraction from key part ``part_index``, X9), plus sample and
     partition counts per split; ``{split}_partitions`` falls back to ``{split}_rdd_partitions``."""
     parts = P.path_parts(key_col)
-    frac = F.substring(F.get(parts, part_index), 6, 1 << 20).try_cast("double")
+    frac = F.nullif(F.substring(F.get(parts, part_index), 6, 1 << 20), F.lit("")).try_cast("double")
     cols = [frac.alias("fraction"), F.col("summary.total_duration").alias("total_time"),
             *[step_duration("steps", s).alias(s) for s in CONVERSION_STEPS]]
     for sp in ("train", "validation", "test"):

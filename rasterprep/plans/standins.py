@@ -344,8 +344,11 @@ def run_paths(spark, sf_dir, spread: bool = True) -> DataFrame:
                            F.lit("/train_gpu"), g, F.lit("_profile.json")))
             .otherwise(F.concat(root, F.lit("local/frac_"), d, F.lit("/train_"), g,
                                 F.lit("gpu_profile.json"))))
-    return li.select("l_orderkey", "l_linenumber", path.alias("path")) \
-             .withColumn("key", RU.object_key("path"))
+    # ``inline`` of a one-element array computes path and key once per row: filters on
+    # the parsed parts stay above the generator instead of copying the key expression
+    return li.select("l_orderkey", "l_linenumber",
+                     F.inline(F.array(F.struct(path.alias("path"),
+                                               RU.object_key(path).alias("key")))))
 
 
 def q_parse_run_path(spark, sf_dir):
