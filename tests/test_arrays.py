@@ -80,3 +80,14 @@ def test_shape_and_cast(spark):
     df = spark.createDataFrame([([1, 2, 3, 4], 2, 2), ([1, 2, 3], 2, 2)], "px array<int>, h int, w int")
     assert [r[0] for r in df.select(A.shape_ok("px", "h", "w")).collect()] == [True, False]
     assert df.select(A.cast_items("px", "tinyint")).schema[0].dataType.elementType.typeName() == "byte"
+
+
+def test_assemble_patch_partition_invariant(spark):
+    rows = [(f"p{i % 50}", str(b), float(i)) for i in range(400) for b in (1, 2, 3)]
+    df = spark.createDataFrame(rows, "patch_id string, band string, pixels double")
+    want = sorted(tuple(r) for r in R.assemble_patch(df, ["1", "2", "3"]).collect())
+    for parts in (1, 4, 17):
+        got = sorted(tuple(r) for r in R.assemble_patch(df.repartition(parts), ["1", "2", "3"]).collect())
+        assert got == want
+    # repeated (patch, band) pairs resolve to the max, whatever the order
+    assert dict((r[0], r[1]) for r in want)["p0"] == max(float(i) for i in range(400) if i % 50 == 0)
