@@ -9,6 +9,8 @@ positions come from ``ranking.bucket_rank``: the table is shuffled once by
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,19 +24,22 @@ def repeat_epochs(df: DataFrame, epochs: int, col: str = "epoch") -> DataFrame:
     return df.withColumn(col, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(epochs - 1).cast("long"))))
 
 
-def epoch_shuffle(df: DataFrame, id_col: str, seed: int = 42, epoch_col: str | None = "epoch",
-                  out: str = "pos", max_epochs: int | None = None) -> DataFrame:
+def epoch_shuffle(df: DataFrame, id_col: str | Sequence[str], seed: int = 42,
+                  epoch_col: str | None = "epoch", out: str = "pos",
+                  max_epochs: int | None = None) -> DataFrame:
     """``pos`` = 0-based position in the epoch's shuffled order.
 
     Equals ``row_number() over (partition by epoch order by md5(seed:epoch:id), id) - 1``.
+    ``id_col`` may list several columns (see ``sampling.sample_stratified`` on copies).
     """
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
     if epoch_col:
-        key = hash_key(seed, epoch_col, id_col)
+        key = hash_key(seed, epoch_col, *ids)
         strata = [epoch_col]
     else:
-        key = hash_key(seed, id_col)
+        key = hash_key(seed, *ids)
         strata = []
-    return bucket_rank(df, key, strata=strata, tiebreak=[id_col], out=out,
+    return bucket_rank(df, key, strata=strata, tiebreak=ids, out=out,
                        max_strata=max_epochs, total_col="__n")
 
 

@@ -35,25 +35,29 @@ def sample_size(n: Column, fraction: float) -> Column:
     return F.bround(n.cast("double") * F.lit(float(fraction)), 0).cast("long")
 
 
-def sample_stratified(df: DataFrame, fraction: float, id_col: str,
+def sample_stratified(df: DataFrame, fraction: float, id_col: str | Sequence[str],
                       strata: Sequence[str] | str | None = ("split",),
                       seed: int = schemas.SAMPLE_SEED, max_strata: int | None = None,
                       digits: int = 4) -> DataFrame:
     """M1: exactly ``round(n * fraction)`` rows per stratum; ``fraction >= 1`` returns ``df``.
 
     With ``strata`` empty/None this is M2 (one stratum: the whole table).
+    ``id_col`` names the column(s) identifying a row.  Rows sharing all of them
+    tie and share a hash bucket; when an id can repeat massively (copies of one
+    patch), add a row-unique column such as a path so copies spread over buckets.
     """
     if float(fraction) >= 1.0:
         return df
     check_fraction(fraction)
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
     if isinstance(strata, str):
         strata = [strata]
     strata = [s for s in (strata or []) if s in df.columns]
-    return bucket_sample(df, hash_key(seed, id_col), sample_size(F.col(_TOTAL), fraction),
-                         strata=strata, tiebreak=[id_col], max_strata=max_strata, digits=digits)
+    return bucket_sample(df, hash_key(seed, *ids), sample_size(F.col(_TOTAL), fraction),
+                         strata=strata, tiebreak=ids, max_strata=max_strata, digits=digits)
 
 
-def sample_random(df: DataFrame, fraction: float, id_col: str,
+def sample_random(df: DataFrame, fraction: float, id_col: str | Sequence[str],
                   seed: int = schemas.SAMPLE_SEED) -> DataFrame:
     """M2: exact-size sample of the whole table (used when there is no split column)."""
     return sample_stratified(df, fraction, id_col, strata=None, seed=seed)
@@ -65,7 +69,7 @@ def split_filter(df: DataFrame, splits: Sequence[str] = tuple(schemas.SPLITS),
     return df.where(F.col(col).isin(list(splits)))
 
 
-def split_dataset(df: DataFrame, fraction: float, id_col: str = "patch_id",
+def split_dataset(df: DataFrame, fraction: float, id_col: str | Sequence[str] = "patch_id",
                   splits: Sequence[str] = tuple(schemas.SPLITS), col: str = "split",
                   seed: int = schemas.SAMPLE_SEED) -> DataFrame:
     """M3: known splits only, then an exact per-split sample; one frame with ``split`` kept.

@@ -79,3 +79,17 @@ def test_plan_split_eval_keeps_all(spark):
     rows = plan.collect()
     assert len(rows) == 50 and sorted(r.pos for r in rows) == list(range(50))
     assert max(r.batch for r in rows) == 3
+
+
+def test_copies_spread_with_row_unique_id(spark):
+    # one patch id copied into a third of the rows: with a row-unique column in the id,
+    # copies land in many hash buckets and the sample stays exact
+    rows = [("hot", f"f{i}", "train") for i in range(300)] + [(f"p{i}", f"g{i}", "train") for i in range(600)]
+    df = spark.createDataFrame(rows, "patch_id string, path string, split string")
+    got = S.sample_stratified(df, 0.1, ["patch_id", "path"])
+    assert got.count() == 90
+    key = hash_key(42, "patch_id", "path")
+    buckets = df.where("patch_id = 'hot'").select(F.substring(key, 1, 4).alias("b")).distinct().count()
+    assert buckets > 250
+    shuffled = FD.epoch_shuffle(FD.repeat_epochs(df, 1), ["patch_id", "path"])
+    assert sorted(r.pos for r in shuffled.collect()) == list(range(900))
