@@ -92,19 +92,21 @@ def stage(spark: SparkSession, meta: DataFrame, fraction: float, read: str = "pa
 
     Band rows keep their decode error inside the band struct, so one pivot
     (one shuffle) yields both the good samples and every reject with its reason.
-    With ``partitions`` the band rows are hash-partitioned by patch to that
-    count; the pivot reuses the partitioning, and AQE does not merge the
-    partitions by bytes (the stage after the pivot is CPU-bound, not IO-bound).
+    With ``partitions`` the (small) metadata or band manifest is spread
+    round-robin to that many tasks before any file is read.
     """
     sampled = S.split_dataset(meta, fraction, id_col="patch_id", seed=seed)
     if read == "patches":
-        # no pixel shuffle: spread the (small) metadata, then read whole patches per task
-        rows = sampled.repartition(int(partitions), "patch_id") if partitions else sampled
+        # no pixel shuffle: spread the (small) metadata round-robin -- not by patch id, so
+        # copies of one patch cannot pile up in one task -- then read whole patches per task
+        rows = sampled.repartition(int(partitions)) if partitions else sampled
         return sampled, TZ.read_patches(rows, decoder, suffix=suffix, pad_to=pad_to)
     manifest = R.expand_band_paths(sampled, suffix=suffix)
-    bands = band_rows(spark, manifest, read, root, suffix, decoder).withColumn("value", F.struct(*BAND_FIELDS))
     if partitions:
-        bands = bands.repartition(int(partitions), "patch_id")
+        # spread the band manifest (paths only) before the reads; the pivot then shuffles
+        # after map-side pre-aggregation, so a copied patch is combined before the exchange
+        manifest = manifest.repartition(int(partitions))
+    bands = band_rows(spark, manifest, read, root, suffix, decoder).withColumn("value", F.struct(*BAND_FIELDS))
     wide = R.assemble_patch(bands, schemas.IMAGE_BANDS + [schemas.REFERENCE_BAND],
                             value="value", keep=["split"])
     if packed:
