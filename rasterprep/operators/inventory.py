@@ -46,8 +46,9 @@ def object_folders(inventory: DataFrame, path_col: str = "path") -> DataFrame:
 
 def validate_components(meta: DataFrame, inventory: DataFrame, id_col: str = "patch_id",
                         components: Mapping[str, str] = DEFAULT_COMPONENTS,
-                        path_col: str = "path", schemas: tuple[str, ...] = ("s3",)) -> DataFrame:
-    """One row per metadata row: ``(id, all_exist, <name>_exists...)``.
+                        path_col: str = "path", schemas: tuple[str, ...] = ("s3",),
+                        keep: Sequence[str] = ()) -> DataFrame:
+    """One row per metadata row: ``(id, all_exist, <name>_exists..., *keep)``.
 
     A component exists when its path is a valid URI (X3: by default ``s3://``)
     and at least one inventory object lies under it.  Invalid paths count as
@@ -59,8 +60,9 @@ def validate_components(meta: DataFrame, inventory: DataFrame, id_col: str = "pa
     """
     folders = object_folders(inventory, path_col)
     names = list(components)
-    out = meta.select(id_col, *[F.when(P.valid_uri(components[n], schemas), folder_key(components[n]))
-                                .alias(f"__k_{n}") for n in names])
+    out = meta.select(id_col, *keep,
+                      *[F.when(P.valid_uri(components[n], schemas), folder_key(components[n]))
+                        .alias(f"__k_{n}") for n in names])
     flags = []
     for n in names:
         right = folders.alias(f"__f_{n}")
@@ -72,7 +74,7 @@ def validate_components(meta: DataFrame, inventory: DataFrame, id_col: str = "pa
     all_exist = F.lit(True)
     for f in flags:
         all_exist = all_exist & F.col(f)
-    return out.select(id_col, all_exist.alias("all_exist"), *flags)
+    return out.select(id_col, all_exist.alias("all_exist"), *flags, *keep)
 
 
 def missing_components(validation: DataFrame) -> DataFrame:

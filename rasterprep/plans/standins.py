@@ -77,9 +77,9 @@ def validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per split: sampled documents (fraction 0.5) and how many have all three components."""
     meta = S.split_dataset(document_manifest(spark, sf_dir), 0.5, id_col="doc_id")
-    checked = INV.validate_components(meta, component_inventory(spark, sf_dir), id_col="doc_id")
-    return (checked.join(meta.select("doc_id", "split"), "doc_id")
-            .groupBy("split")
+    checked = INV.validate_components(meta, component_inventory(spark, sf_dir), id_col="doc_id",
+                                      keep=["split"])
+    return (checked.groupBy("split")
             .agg(F.count(F.lit(1)).alias("sampled"),
                  F.count_if(F.col("all_exist")).alias("complete")))
 
