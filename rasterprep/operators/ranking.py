@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_DIGITS = 4          # 65,536 buckets per stratum
+DEFAULT_DIGITS = 3          # 4,096 buckets per stratum (~24k rows each at 10^8 rows)
 BROADCAST_MAX_ROWS = 1 << 20  # broadcast the bucket table only below this proven bound
 
 _KEY = "__rank_key"

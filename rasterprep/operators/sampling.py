@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rasterprep import schemas
-from rasterprep.operators.ranking import _TOTAL, bucket_sample, hash_key
+from rasterprep.operators.ranking import _TOTAL, DEFAULT_DIGITS, bucket_sample, hash_key
 
 
 def check_fraction(fraction: float, allow_above_one: bool = False) -> float:
@@ -38,7 +38,7 @@ def sample_size(n: Column, fraction: float) -> Column:
 def sample_stratified(df: DataFrame, fraction: float, id_col: str | Sequence[str],
                       strata: Sequence[str] | str | None = ("split",),
                       seed: int = schemas.SAMPLE_SEED, max_strata: int | None = None,
-                      digits: int = 4) -> DataFrame:
+                      digits: int = DEFAULT_DIGITS) -> DataFrame:
     """M1: exactly ``round(n * fraction)`` rows per stratum; ``fraction >= 1`` returns ``df``.
 
     With ``strata`` empty/None this is M2 (one stratum: the whole table).
