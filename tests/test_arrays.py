@@ -1,5 +1,4 @@
 import numpy as np
-from pyspark.sql import functions as F
 
 from rasterprep import schemas
 from rasterprep.functions import arrays as A

@@ -1,12 +1,10 @@
 import glob
 import json
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from rasterprep import schemas
-from rasterprep.operators import inventory as INV
 from rasterprep.operators import raster as R
 from rasterprep.plans import check as CK
 from rasterprep.plans import feed_plan as FP
