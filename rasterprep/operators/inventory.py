@@ -21,9 +21,12 @@ DEFAULT_COMPONENTS = {"s1": "s1_path", "s2": "s2_path", "ref": "reference_path"}
 
 
 def folder_key(c: Column | str) -> Column:
-    """Normalised folder key: scheme stripped, trailing slashes removed."""
+    """Normalised folder key: any ``scheme:`` prefix and leading/trailing slashes removed.
+
+    ``s3://b/k``, ``s3a://b/k/``, ``file:///b/k`` and ``/b/k`` all give ``b/k``.
+    """
     col = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(P.strip_scheme(col), r"/+$", "")
+    return F.regexp_replace(col, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?/*|/+$", "")
 
 
 def object_folders(inventory: DataFrame, path_col: str = "path") -> DataFrame:

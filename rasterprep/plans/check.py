@@ -1,12 +1,14 @@
 """Metadata -> optional exact sample -> component validation -> summary report.
 
-The object store is listed once (``sources.objects.list_objects``) instead of
-three list calls per patch; validation is a set of equi-joins (J1).
+Instead of three list calls per patch, the folders the metadata points at are
+listed in the tasks (``sources.objects.list_under``) -- or a whole root through
+``binaryFile`` -- and validation is a set of equi-joins (J1).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rasterprep.operators import inventory as INV
 from rasterprep.operators import sampling as S
@@ -15,7 +17,8 @@ from rasterprep.sources import objects as O
 
 
 def check(meta: DataFrame, inventory: DataFrame, fraction: float = 1.0,
-          id_col: str = "patch_id") -> tuple[DataFrame, DataFrame, DataFrame]:
+          id_col: str = "patch_id",
+          schemes: tuple[str, ...] = ("s3",)) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Lazy C8: ``(validation rows, summary row, missing rows)``.
 
     Sampling is stratified by ``split`` when the column exists (M1), else one
@@ -25,12 +28,43 @@ def check(meta: DataFrame, inventory: DataFrame, fraction: float = 1.0,
     if fraction < 1.0:
         meta = S.sample_stratified(meta, fraction, id_col,
                                    strata=["split"] if "split" in meta.columns else None)
-    validation = INV.validate_components(meta, inventory, id_col=id_col)
+    validation = INV.validate_components(meta, inventory, id_col=id_col, schemas=schemes)
     return validation, INV.validation_summary(validation, fraction), INV.missing_components(validation)
 
 
-def check_files(spark: SparkSession, meta: DataFrame, store_root: str, out: str,
-                fraction: float = 1.0) -> None:
-    """Run C8 against the objects under ``store_root`` and write the report to ``out``."""
-    _, summary, missing = check(meta, O.list_objects(spark, store_root), fraction)
+def listing_prefixes(meta: DataFrame, components: tuple[str, ...] = ("s1_path", "s2_path", "reference_path"),
+                     level: int = 1) -> DataFrame:
+    """Distinct folders to list: each component folder cut back by ``level`` parts.
+
+    ``level=1`` lists the tile folders that hold the patch folders (few list
+    calls per thousand objects); ``level=0`` lists the patch folders themselves
+    (the source's per-patch checks, best for tiny samples).
+    """
+    cols = [F.col(c) for c in components]
+    folders = meta.select(F.explode(F.array(*cols)).alias("f")).where(F.col("f").isNotNull())
+    cut = F.regexp_replace("f", r"/+$", "")
+    for _ in range(level):
+        cut = F.regexp_replace(cut, r"/[^/]*$", "")
+    return folders.select(cut.alias("prefix")).distinct()
+
+
+def check_files(spark: SparkSession, meta: DataFrame, out: str, fraction: float = 1.0,
+                store_root: str | None = None, level: int = 1,
+                schemes: tuple[str, ...] = ("s3",)) -> None:
+    """Run C8 and write the report to ``out``.
+
+    By default the objects are listed in the tasks, under the folders the
+    (sampled) metadata points at (``sources.objects.list_under``); with
+    ``store_root`` the whole root is listed through ``binaryFile`` instead.
+    """
+    S.check_fraction(fraction)
+    if fraction < 1.0:
+        meta = S.sample_stratified(meta, fraction, "patch_id",
+                                   strata=["split"] if "split" in meta.columns else None)
+    if store_root is not None:
+        inventory = O.list_objects(spark, store_root)
+    else:
+        inventory = O.list_under(listing_prefixes(meta, level=level)).select("path")
+    _, summary, missing = check(meta, inventory, 1.0, schemes=schemes)
+    summary = summary.withColumn("fraction_used", F.lit(float(fraction)))
     W.write_validation_report(summary, missing, out)

@@ -181,3 +181,51 @@ def read_rasters(df: DataFrame, decoder: Decoder = npy_decoder, path_col: str =
             yield pa.RecordBatch.from_arrays(cols, names=names + ["height", "width", "pixels", "error"])
 
     return df.mapInArrow(run, schema)
+
+
+def _fs_and_path(uri: str):
+    from pyarrow import fs as pafs
+    target = uri
+    if target.startswith("s3a://"):
+        target = "s3://" + target[len("s3a://"):]
+    elif target.startswith("file:") and not target.startswith("file://"):
+        target = "file://" + target[len("file:"):]
+    elif "://" not in target:
+        target = "file://" + target
+    return pafs.FileSystem.from_uri(target)
+
+
+def list_under(prefixes: DataFrame, prefix_col: str = "prefix", recursive: bool = True) -> DataFrame:
+    """S5, distributed: list every object under each row's prefix inside the tasks.
+
+    ``binaryFile`` builds its file index on the driver, which does not fit an
+    archive of millions of objects.  Here the prefixes (e.g. tile folders taken
+    from the metadata) are a DataFrame; each task lists its own prefixes through
+    ``pyarrow.fs`` and emits ``(prefix, path)`` rows, so the listing is spread over
+    the executors and never gathered on the driver.  A prefix that does not exist
+    lists nothing; a failing listing raises (task retry) rather than hiding objects.
+    """
+    import pyarrow as pa
+    from pyarrow import fs as pafs
+
+    schema = T.StructType([T.StructField("prefix", T.StringType()), T.StructField("path", T.StringType())])
+
+    def run(batches):
+        for batch in batches:
+            out_prefix, out_path = [], []
+            for uri in batch.column(batch.schema.get_field_index(prefix_col)).to_pylist():
+                if uri is None:
+                    continue
+                filesystem, inner = _fs_and_path(uri.rstrip("/"))
+                scheme = uri.split("://", 1)[0] + "://" if "://" in uri else ""
+                infos = filesystem.get_file_info(
+                    pafs.FileSelector(inner, recursive=recursive, allow_not_found=True))
+                for info in infos:
+                    if info.type == pafs.FileType.File:
+                        out_prefix.append(uri)
+                        out_path.append(scheme + info.path if scheme and scheme != "file://"
+                                        else ("file://" + info.path if scheme == "file://" else info.path))
+            yield pa.RecordBatch.from_arrays([pa.array(out_prefix, pa.string()), pa.array(out_path, pa.string())],
+                                             names=["prefix", "path"])
+
+    return prefixes.select(F.col(prefix_col).alias(prefix_col)).distinct().mapInArrow(run, schema)

@@ -1,4 +1,6 @@
 from rasterprep.operators import inventory as INV
+from pyspark.sql import functions as F
+
 from rasterprep.plans import check as CK
 
 
@@ -59,3 +61,44 @@ def test_list_objects_reads_paths_only(spark, tmp_path):
     assert sorted(r.path.rsplit("/", 1)[1] for r in df.collect()) == ["x.tif", "z.tif"]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<path:string>" in plan
+
+
+def test_distributed_listing_and_check_files(spark, tmp_path):
+    from rasterprep.sources.objects import list_under
+    root = tmp_path / "store"
+    for rel in ["S1/t1/p1/a.tif", "S2/t1/p1/b.tif", "REF/t1/p1/c.tif", "S1/t1/p2/a.tif", "S2/t2/p3/x/y.tif"]:
+        f = root / rel
+        f.parent.mkdir(parents=True, exist_ok=True)
+        f.write_bytes(b"1")
+    prefixes = spark.createDataFrame([(str(root / "S1" / "t1"),), (str(root / "nope"),)], "prefix string")
+    got = sorted(r.path.rsplit("/", 1)[1] for r in list_under(prefixes).collect())
+    assert got == ["a.tif", "a.tif"]
+    meta = spark.createDataFrame(
+        [("p1", "train", f"{root}/S1/t1/p1", f"{root}/S2/t1/p1", f"{root}/REF/t1/p1"),
+         ("p2", "train", f"{root}/S1/t1/p2", f"{root}/S2/t1/p2", f"{root}/REF/t1/p2"),
+         ("p3", "test", f"{root}/S1/t2/p3", f"{root}/S2/t2/p3", f"{root}/REF/t2/p3")],
+        "patch_id string, split string, s1_path string, s2_path string, reference_path string")
+    # local paths: the metadata uses file:// URIs, accepted through ``schemas``
+    inv = list_under(CK.listing_prefixes(meta)).select("path")
+    uri = meta.withColumns({c: F.concat(F.lit("file://"), F.col(c))
+                            for c in ["s1_path", "s2_path", "reference_path"]})
+    val = INV.validate_components(uri, inv, schemas=("file",))
+    flags = {r.patch_id: (r.s1_exists, r.s2_exists, r.ref_exists) for r in val.collect()}
+    assert flags == {"p1": (True, True, True), "p2": (True, False, False), "p3": (False, True, False)}
+
+
+def test_check_files_end_to_end(spark, tmp_path):
+    import glob as _glob
+    import json as _json
+    root = tmp_path / "store"
+    for rel in ["S1/t1/p1/a.tif", "S2/t1/p1/b.tif", "REF/t1/p1/c.tif", "S1/t1/p2/a.tif"]:
+        f = root / rel
+        f.parent.mkdir(parents=True, exist_ok=True)
+        f.write_bytes(b"1")
+    rows = [(p, "train", f"file://{root}/S1/t1/{p}", f"file://{root}/S2/t1/{p}", f"file://{root}/REF/t1/{p}")
+            for p in ("p1", "p2")]
+    meta = spark.createDataFrame(rows, "patch_id string, split string, s1_path string, s2_path string, "
+                                       "reference_path string")
+    CK.check_files(spark, meta, str(tmp_path / "rep"), schemes=("file",))
+    s = _json.loads(open(_glob.glob(str(tmp_path / "rep" / "summary" / "part-*.json"))[0]).readline())
+    assert (s["all_files_found"], s["not_found"], s["total_checked"], s["fraction_used"]) == (1, 1, 2, 1.0)
