@@ -262,22 +262,29 @@ def order_labels(spark, sf_dir) -> DataFrame:
         F.collect_set(F.concat("l_returnflag", "l_linestatus")).alias("labels"))
 
 
+def line_labels(spark, sf_dir) -> DataFrame:
+    """One single-label list per line: the same label set as ``order_labels`` without
+    grouping, so vocabularies need no per-order aggregation first."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(F.array(F.concat("l_returnflag", "l_linestatus")).alias("labels"))
+
+
 def q_distinct_labels(spark, sf_dir):
-    return LB.distinct_labels(order_labels(spark, sf_dir))
+    return LB.distinct_labels(line_labels(spark, sf_dir))
 
 
 def q_label_vocab(spark, sf_dir):
-    return LB.label_vocab(order_labels(spark, sf_dir))
+    return LB.label_vocab(line_labels(spark, sf_dir))
 
 
 def q_label_index_lookup(spark, sf_dir):
     labels = order_labels(spark, sf_dir)
-    return LB.label_index_lookup(labels, LB.label_vocab(labels), "l_orderkey")
+    return LB.label_index_lookup(labels, LB.label_vocab(line_labels(spark, sf_dir)), "l_orderkey")
 
 
 def q_multi_hot(spark, sf_dir):
     labels = order_labels(spark, sf_dir)
-    hot = LB.with_multi_hot(labels, LB.label_vocab(labels))
+    hot = LB.with_multi_hot(labels, LB.label_vocab(line_labels(spark, sf_dir)))
     return hot.select("l_orderkey", F.posexplode("multi_hot").alias("idx", "hot")) \
               .select("l_orderkey", F.col("idx").cast("long").alias("idx"), F.col("hot").cast("int").alias("hot"))
 
