@@ -11,8 +11,9 @@ characters split every stratum into ``16**digits`` buckets of near-equal size:
 3. rank rows inside their bucket only (windows of about ``n / 16**digits`` rows)
    and add the bucket's offset.
 
-Sampling (``bucket_sample``) even skips step 3 for all buckets that lie wholly
-inside or outside the sample: only the one boundary bucket per stratum is sorted.
+Sampling (``bucket_sample``) drops the buckets that lie wholly outside the
+sample with a map-side join before anything is shuffled, so only about the
+sample's rows are ranked.
 The result equals ``row_number() over (partition by strata order by key, tie)``.
 """
 
@@ -83,15 +84,14 @@ def bucket_sample(df: DataFrame, key: Column, take: Column | None, strata: Seque
             .select(*strata, _BUCKET, _START, _CNT, _TAKE))
     bound = (max_strata if strata else 1)
     bound = bound * (16 ** digits) if bound is not None else None
+    # one pass after the count: the map-side join keeps only rows of buckets that
+    # reach into the sample; only those rows (about the sample's size) are shuffled
+    # and ranked inside their bucket
     joined = keyed.join(_maybe_broadcast(plan, bound), on=[*strata, _BUCKET], how="inner")
-    whole = joined.where(F.col(_START) + F.col(_CNT) <= F.col(_TAKE))
-    edge = joined.where(F.col(_START) + F.col(_CNT) > F.col(_TAKE))
     w = Window.partitionBy(*strata, _BUCKET).orderBy(F.col(_KEY), *[F.col(t) for t in tiebreak])
-    edge = (edge.withColumn(_RN, F.row_number().over(w))
+    return (joined.withColumn(_RN, F.row_number().over(w))
             .where(F.col(_START) + F.col(_RN) <= F.col(_TAKE))
-            .drop(_RN))
-    cols = df.columns
-    return whole.select(*cols).unionByName(edge.select(*cols))
+            .select(*df.columns))
 
 
 def bucket_rank(df: DataFrame, key: Column, strata: Sequence[str] = (),
