@@ -131,3 +131,20 @@ def test_record_filters_and_custom_parser(spark, profiles_root):
     got = {r.fraction: r for r in ext.collect()}
     # C3 needs no exec_ part, so the frac_0.2/noexec run is kept
     assert set(got) == {0.05, 0.1, 0.2} and got[0.05].train_partitions == 4
+
+
+def test_malformed_profile_is_dropped(spark, profiles_root):
+    import os
+    bad = os.path.join(profiles_root, "u/d/exp/petastorm/frac_0.3/exec_1/profile/conversion_profile.json")
+    os.makedirs(os.path.dirname(bad), exist_ok=True)
+    with open(bad, "w") as f:
+        f.write("{ not json")
+    runs = RP.load_runs(spark, profiles_root, "conversion")
+    assert 0.3 not in {r.fraction for r in runs.collect()}
+
+
+def test_ensure_parallelism(spark):
+    one = spark.range(0, 100).coalesce(1)
+    assert M.ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(0, 100).repartition(8)
+    assert M.ensure_parallelism(many, 4) is many
