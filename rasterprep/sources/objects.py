@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import functools
 import io
 from collections.abc import Callable, Iterator
 
@@ -63,16 +64,41 @@ def path_key(c) -> "F.Column":
     return F.regexp_replace(F.regexp_replace(col, r"^[A-Za-z][A-Za-z0-9+.\-]*:", ""), r"^/+", "")
 
 
-def _open_bytes(path: str) -> bytes:
-    from pyarrow import fs as pafs
-    uri = path
+def _normalise_uri(path: str) -> str:
     if path.startswith("s3a://"):
-        uri = "s3://" + path[len("s3a://"):]
-    elif path.startswith("file:") and not path.startswith("file://"):
-        uri = "file://" + path[len("file:"):]
-    elif "://" not in path:
-        uri = "file://" + path
-    filesystem, inner = pafs.FileSystem.from_uri(uri)
+        return "s3://" + path[len("s3a://"):]
+    if path.startswith("file:") and not path.startswith("file://"):
+        return "file://" + path[len("file:"):]
+    if "://" not in path:
+        return "file://" + path
+    return path
+
+
+@functools.lru_cache(maxsize=64)
+def _filesystem(scheme: str, authority: str):
+    """One filesystem client per (scheme, bucket/host) and Python worker, not per file."""
+    from pyarrow import fs as pafs
+    root = f"{scheme}://{authority}/" if scheme != "file" else "file:///"
+    return pafs.FileSystem.from_uri(root)[0]
+
+
+def _resolve(path: str):
+    """``(filesystem, path inside it)`` for a URI or local path; clients are cached."""
+    from urllib.parse import urlsplit
+    uri = _normalise_uri(path)
+    parts = urlsplit(uri)
+    if parts.scheme in ("s3", "gs", "gcs"):
+        return _filesystem(parts.scheme, parts.netloc), parts.netloc + parts.path
+    if parts.scheme == "file":
+        return _filesystem("file", ""), parts.path
+    if parts.scheme in ("hdfs", "viewfs"):
+        return _filesystem(parts.scheme, parts.netloc), parts.path
+    from pyarrow import fs as pafs
+    return pafs.FileSystem.from_uri(uri)
+
+
+def _open_bytes(path: str) -> bytes:
+    filesystem, inner = _resolve(path)
     with filesystem.open_input_stream(inner) as f:
         return f.read()
 
@@ -183,18 +209,6 @@ def read_rasters(df: DataFrame, decoder: Decoder = npy_decoder, path_col: str =
     return df.mapInArrow(run, schema)
 
 
-def _fs_and_path(uri: str):
-    from pyarrow import fs as pafs
-    target = uri
-    if target.startswith("s3a://"):
-        target = "s3://" + target[len("s3a://"):]
-    elif target.startswith("file:") and not target.startswith("file://"):
-        target = "file://" + target[len("file:"):]
-    elif "://" not in target:
-        target = "file://" + target
-    return pafs.FileSystem.from_uri(target)
-
-
 def list_under(prefixes: DataFrame, prefix_col: str = "prefix", recursive: bool = True) -> DataFrame:
     """S5, distributed: list every object under each row's prefix inside the tasks.
 
@@ -216,7 +230,7 @@ def list_under(prefixes: DataFrame, prefix_col: str = "prefix", recursive: bool
             for uri in batch.column(batch.schema.get_field_index(prefix_col)).to_pylist():
                 if uri is None:
                     continue
-                filesystem, inner = _fs_and_path(uri.rstrip("/"))
+                filesystem, inner = _resolve(uri.rstrip("/"))
                 scheme = uri.split("://", 1)[0] + "://" if "://" in uri else ""
                 infos = filesystem.get_file_info(
                     pafs.FileSelector(inner, recursive=recursive, allow_not_found=True))
