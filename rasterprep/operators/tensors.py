@@ -134,9 +134,13 @@ def band_path_array(s1_bands: Sequence[str] = schemas.S1_BANDS,
 def read_patches(meta: DataFrame, decoder=None, image_bands: Sequence[str] = schemas.IMAGE_BANDS,
                  label_band: str = schemas.REFERENCE_BAND, suffix: str = schemas.RASTER_SUFFIX,
                  pad_to: tuple[int, int] | None = None, keep: Sequence[str] = ("split",),
-                 lut: Sequence[int] | None = None, io_threads: int = 8) -> DataFrame:
+                 lut: Sequence[int] | None = None, io_threads: int = 8,
+                 rows_per_batch: int = 64) -> DataFrame:
     """C7 without a pixel shuffle: each task reads, decodes and packs whole patches.
 
+    Output Arrow batches hold at most ``rows_per_batch`` patches (~400 KB each at
+    full size), whatever the input batch size, so worker memory stays bounded.
+
     ``meta`` rows carry ``patch_id``, ``s1_name``, ``s1_path``, ``s2_path``,
     ``reference_path`` (see ``raster.with_paths``).  A patch's band files are
     fetched concurrently (``io_threads``, like a bulk object-store fetch),
@@ -177,9 +181,14 @@ def read_patches(meta: DataFrame, decoder=None, image_bands: Sequence[str] = sch
             return arr
         return np.pad(arr, [(0, max(0, pad_to[0] - arr.shape[0])), (0, max(0, pad_to[1] - arr.shape[1]))])
 
+    def chunks(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, rows_per_batch):
+                yield batch.slice(start, rows_per_batch)
+
     def run(batches):
         with ThreadPoolExecutor(max_workers=max(1, io_threads)) as pool:
-            for batch in batches:
+            for batch in chunks(batches):
                 entries = batch.column(batch.schema.get_field_index("__bands")).to_pylist()
                 jobs = [[(e["band"], pool.submit(load, e["path"]) if e["path"] is not None else None)
                          for e in row] for row in entries]

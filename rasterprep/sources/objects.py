@@ -168,7 +168,8 @@ def decode_rasters(files: DataFrame, decoder: Decoder = npy_decoder,
     return files.mapInPandas(run, schema)
 
 
-def read_rasters(df: DataFrame, decoder: Decoder = npy_decoder, path_col: str = "path") -> DataFrame:
+def read_rasters(df: DataFrame, decoder: Decoder = npy_decoder, path_col: str = "path",
+                 rows_per_batch: int = 256) -> DataFrame:
     """S3 + S4 fused for sampled runs: open each row's ``path`` and decode it in the same task.
 
     Equivalent to ``decode_rasters(read_paths(df))`` but the file bytes never
@@ -182,8 +183,14 @@ def read_rasters(df: DataFrame, decoder: Decoder = npy_decoder, path_col: str =
     schema = T.StructType(keep + DECODED_FIELDS)
     names = [f.name for f in keep]
 
-    def run(batches):
+    def chunks(batches):
+        # output rows are decoded bands, far larger than the input paths: bound each batch
         for batch in batches:
+            for start in range(0, batch.num_rows, rows_per_batch):
+                yield batch.slice(start, rows_per_batch)
+
+    def run(batches):
+        for batch in chunks(batches):
             paths = batch.column(batch.schema.get_field_index(path_col)).to_pylist()
             hs, ws, errs, flats, lengths = [], [], [], [], []
             for p in paths:

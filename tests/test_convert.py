@@ -163,3 +163,11 @@ def test_packed_stage_equals_native(spark, archive, pad, read):
             assert (a.height, a.width, a.channels) == (b.height, b.width, b.channels)
             assert np.array_equal(np.array(a.image, dtype="<f4"), np.frombuffer(b.image, "<f4"))
             assert np.frombuffer(b.label, "u1").tolist() == a.label
+
+
+def test_read_patches_small_output_batches(spark, archive):
+    from rasterprep.operators import tensors as TZ
+    meta = _meta(spark, archive).coalesce(1)
+    full = {r.patch_id: r.reason for r in TZ.read_patches(meta, suffix=".npy").collect()}
+    tiny = {r.patch_id: r.reason for r in TZ.read_patches(meta, suffix=".npy", rows_per_batch=2).collect()}
+    assert full == tiny and len(full) == len(archive[2])
