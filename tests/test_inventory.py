@@ -102,3 +102,13 @@ def test_check_files_end_to_end(spark, tmp_path):
     CK.check_files(spark, meta, str(tmp_path / "rep"), schemes=("file",))
     s = _json.loads(open(_glob.glob(str(tmp_path / "rep" / "summary" / "part-*.json"))[0]).readline())
     assert (s["all_files_found"], s["not_found"], s["total_checked"], s["fraction_used"]) == (1, 1, 2, 1.0)
+
+
+def test_listing_scanned_once(spark, tmp_path):
+    _inventory(spark).write.parquet(str(tmp_path / "inv"))
+    inv = spark.read.parquet(str(tmp_path / "inv"))
+    val = INV.validate_components(_meta(spark), inv)
+    val.collect()
+    plan = val._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # three component joins, one scan of the listing: the folder table is reused
+    assert plan.count("FileScan parquet") == 1
