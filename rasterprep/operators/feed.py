@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rasterprep.operators.ranking import bucket_rank, hash_key
+from rasterprep.operators.ranking import DEFAULT_DIGITS, bucket_rank, hash_key
 
 
 def repeat_epochs(df: DataFrame, epochs: int, col: str = "epoch") -> DataFrame:
@@ -26,7 +26,7 @@ def repeat_epochs(df: DataFrame, epochs: int, col: str = "epoch") -> DataFrame:
 
 def epoch_shuffle(df: DataFrame, id_col: str | Sequence[str], seed: int = 42,
                   epoch_col: str | None = "epoch", out: str = "pos",
-                  max_epochs: int | None = None) -> DataFrame:
+                  max_epochs: int | None = None, digits: int = DEFAULT_DIGITS) -> DataFrame:
     """``pos`` = 0-based position in the epoch's shuffled order.
 
     Equals ``row_number() over (partition by epoch order by md5(seed:epoch:id), id) - 1``.
@@ -40,7 +40,7 @@ def epoch_shuffle(df: DataFrame, id_col: str | Sequence[str], seed: int = 42,
         key = hash_key(seed, *ids)
         strata = []
     return bucket_rank(df, key, strata=strata, tiebreak=ids, out=out,
-                       max_strata=max_epochs, total_col="__n")
+                       max_strata=max_epochs, total_col="__n", digits=digits)
 
 
 def assign_batches(df: DataFrame, batch_size: int, pos_col: str = "pos", total_col: str = "__n",
@@ -85,7 +85,7 @@ def dataset_sizes(samples: DataFrame, split_col: str = "split") -> DataFrame:
 
 
 def plan_split(samples: DataFrame, id_col: str, epochs: int, batch_size: int, replicas: int,
-               shuffle: bool = True, seed: int = 42) -> DataFrame:
+               shuffle: bool = True, seed: int = 42, digits: int = DEFAULT_DIGITS) -> DataFrame:
     """C9 for one split: epochs -> (shuffle) -> batches -> shards as one planned table.
 
     Evaluation splits are planned with ``shuffle=False``: one pass in a fixed
@@ -93,12 +93,12 @@ def plan_split(samples: DataFrame, id_col: str, epochs: int, batch_size: int, re
     """
     if shuffle:
         df = repeat_epochs(samples, epochs)
-        df = epoch_shuffle(df, id_col, seed=seed, max_epochs=epochs)
+        df = epoch_shuffle(df, id_col, seed=seed, max_epochs=epochs, digits=digits)
         df = assign_batches(df, batch_size)
     else:
         # one pass; a fixed hashed order (epoch-independent) keeps the ranking distributed
         df = samples.withColumn("epoch", F.lit(0))
         df = bucket_rank(df, hash_key(seed, id_col), strata=[], tiebreak=[id_col], out="pos",
-                         total_col="__n")
+                         total_col="__n", digits=digits)
         df = assign_batches(df, batch_size, drop_remainder=False)
     return assign_shards(df, replicas).drop("__n")
