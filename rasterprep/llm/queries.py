@@ -9,22 +9,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterprep.llm import fuse
+import public_tokenizers
+
+from rasterprep.llm import fuse, merges, scan_bpe
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level token counts of every document."""
+    got = merges.token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                              public_tokenizers.PATTERN)
+    return got.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens",
+                      (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of ``documents`` after whitespace is normalised."""
-    got = fuse.exact_dedup(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    got = fuse.exact_dedup(_documents(spark, sf_dir))
     return got.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
                       F.col("sha").alias("text_sha256"))
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's byte-level ids and of their decoded bytes."""
+    got = scan_bpe.round_trip_digests(_documents(spark, sf_dir),
+                                      public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return got.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
+    "op5_token_counts": op5_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_byte_bpe": op9_byte_bpe,
 }
 
 SQL = {
