@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from rasterprep.llm import fuse, merges, scan_bpe
+from rasterprep.llm import fuse, langid, merges, pulearn, scan_bpe, zquality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,14 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out()))
+    return langid.identify(docs, model).select(
+        F.col("id").alias("doc_id"), langid.held_out("id").alias("held_out"), "lang_pred", "score")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level token counts of every document."""
     got = merges.token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
@@ -30,6 +38,15 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels that are not held out."""
+    docs, labels = _documents(spark, sf_dir), _table(spark, sf_dir, "labels")
+    model = zquality.fit(docs, labels.where(~zquality.held_out()))
+    return zquality.score(docs, model).select(
+        F.col("id").alias("doc_id"), zquality.held_out("id").alias("held_out"), "score",
+        (F.col("score") >= zquality.GOOD).cast("int").alias("predicted"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates of ``documents`` after whitespace is normalised."""
     got = fuse.exact_dedup(_documents(spark, sf_dir))
@@ -37,6 +54,15 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col("sha").alias("text_sha256"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels that are not held out."""
+    docs, labels = _documents(spark, sf_dir), _table(spark, sf_dir, "labels")
+    model = pulearn.fit(docs.where(~pulearn.held_out()), labels.where(~pulearn.held_out()))
+    return pulearn.score(docs, model).select(
+        F.col("id").alias("doc_id"), pulearn.held_out("id").alias("held_out"), "score",
+        (F.col("score") >= pulearn.TOXIC).cast("int").alias("predicted"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's byte-level ids and of their decoded bytes."""
     got = scan_bpe.round_trip_digests(_documents(spark, sf_dir),
@@ -45,8 +71,11 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op5_token_counts": op5_token_counts,
+    "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_toxicity": op8_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
