@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from rasterprep.llm import fuse, langid, merges, pulearn, scan_bpe, zquality
+from rasterprep.llm import dac, fuse, langid, merges, packing, pulearn, scan_bpe, zquality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,13 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to and read from a file of directly addressable codes."""
+    got = dac.write_and_read(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return got.select(F.col("id").alias("doc_id"), "start",
+                      (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the documents that are not held out."""
     docs = _table(spark, sf_dir, "documents")
@@ -30,6 +37,13 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), langid.held_out("id").alias("held_out"), "lang_pred", "score")
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens packed into sequences of at most 2048."""
+    got = packing.pack(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+    return got.select(F.col("id").alias("doc_id"), "piece", "start", "length",
+                      F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level token counts of every document."""
     got = merges.token_counts(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
@@ -71,7 +85,9 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_token_files": op2_token_files,
     "op3_language_id": op3_language_id,
+    "op4_packing": op4_packing,
     "op5_token_counts": op5_token_counts,
     "op6_quality": op6_quality,
     "op7_exact_dedup": op7_exact_dedup,
