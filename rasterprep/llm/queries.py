@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from rasterprep.llm import dac, fuse, langid, merges, packing, pulearn, scan_bpe, zquality
+from rasterprep.llm import dac, fuse, iblt, langid, merges, packing, pulearn, scan_bpe, zquality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and its edited text, and how alike they are."""
+    return iblt.fingerprints(_documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to and read from a file of directly addressable codes."""
     got = dac.write_and_read(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -85,6 +90,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_token_files": op2_token_files,
     "op3_language_id": op3_language_id,
     "op4_packing": op4_packing,
