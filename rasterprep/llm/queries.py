@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from rasterprep.llm import dac, fuse, iblt, langid, merges, packing, pulearn, scan_bpe, zquality
+from rasterprep.llm import adaptjoin, dac, fuse, iblt, langid, merges, packing, pulearn, scan_bpe, zquality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +89,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumnRenamed("id", "doc_id")
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that share 85% of their 4-word shingles."""
+    got = adaptjoin.near_components(_documents(spark, sf_dir), width=4, percent=85)
+    return got.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_token_files": op2_token_files,
@@ -99,6 +105,7 @@ QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 SQL = {
