@@ -234,6 +234,13 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     return ToxicModel(weights, bias, prior)
 
 
+def _probabilities(weights: np.ndarray, wanted: np.ndarray, bias: float, data: np.ndarray,
+                   offs: np.ndarray) -> np.ndarray:
+    feature, text = word_features(data, offs, wanted)
+    z = np.bincount(text, weights[feature], len(offs) - 1) + bias
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """``(id, score)``: the probability that every row's whole text is toxic.
@@ -248,9 +255,7 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id",
         w = weights.value
         wanted = w != 0
         for rows, data, offs in text_chunks(batches, "text", 2 << 20):
-            feature, text = word_features(data, offs, wanted)
-            z = np.bincount(text, w[feature], rows.num_rows) + bias
-            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            p = _probabilities(w, wanted, bias, data, offs)
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(p, pa.float64())],
                                              names=["id", "score"])
 
@@ -259,6 +264,21 @@ def score(docs: DataFrame, model: ToxicModel, id_col: str = "doc_id",
     return picked.mapInArrow(run, f"id {kind}, score double")
 
 
+def keep_rows(docs: DataFrame, model: ToxicModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores below ``TOXIC``, with all their columns; no row
+    is moved."""
+    weights = docs.sparkSession.sparkContext.broadcast(model.weights)
+    bias = model.bias
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = weights.value
+        wanted = w != 0
+        for rows, data, offs in text_chunks(batches, text_col, 2 << 20):
+            yield rows.filter(pa.array(_probabilities(w, wanted, bias, data, offs) < TOXIC))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     """Rows whose labels are never learned: ``crc32(id as text) mod 4 = 2``."""
     return F.coalesce(id_crc(id_col) % 4 == 2, F.lit(False))

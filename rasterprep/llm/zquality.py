@@ -127,6 +127,19 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 _COMPRESSORS: dict[int, tuple] = {}
 
 
+def _probabilities(model: QualityModel, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """The score of every text of a chunk; a worker prepares a model's dictionaries once."""
+    if model.constant is not None:
+        return np.full(len(offs) - 1, model.constant)
+    key = hash((model.good, model.bad))
+    if key not in _COMPRESSORS:
+        _COMPRESSORS.clear()
+        _COMPRESSORS[key] = (_compressor(model.good), _compressor(model.bad))
+    raw, edges = data.tobytes(), offs.tolist()
+    x = features(sizes(*_COMPRESSORS[key], [raw[a:b] for a, b in zip(edges, edges[1:])]))
+    return 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30)))
+
+
 def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """``(id, score)``: the probability that every row's whole text is good.
@@ -136,29 +149,26 @@ def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
     empty result.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        good = bad = None
-        if model.constant is None:
-            key = hash((model.good, model.bad))
-            if key not in _COMPRESSORS:
-                _COMPRESSORS.clear()
-                _COMPRESSORS[key] = (_compressor(model.good), _compressor(model.bad))
-            good, bad = _COMPRESSORS[key]
         for rows, data, offs in text_chunks(batches, "text"):
-            if good is None:
-                p = np.full(rows.num_rows, model.constant)
-            else:
-                raw = data.tobytes()
-                edges = offs.tolist()
-                x = features(sizes(good, bad, [raw[a:b] for a, b in zip(edges, edges[1:])]))
-                p = 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30)))
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(p, pa.float64())],
-                                             names=["id", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), pa.array(_probabilities(model, data, offs), pa.float64())],
+                names=["id", "score"])
 
     picked = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = picked.schema["id"].dataType.simpleString()
     return picked.mapInArrow(run, f"id {kind}, score double")
 
 
+def keep_rows(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text scores ``GOOD`` or more, with all their columns; no
+    row is moved."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offs in text_chunks(batches, text_col):
+            yield rows.filter(pa.array(_probabilities(model, data, offs) >= GOOD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id"):
     """Rows whose labels are never learned: ``crc32(id as text) mod 3 = 1``."""
     return F.coalesce(id_crc(id_col) % 3 == 1, F.lit(False))
