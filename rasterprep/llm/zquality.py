@@ -108,20 +108,31 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     cut = F.lit(0)
     for y, n in share.items():
         cut = F.when(F.col("y") == y, int(1e6 * min(1.0, rows / n))).otherwise(cut)
-    chosen = marked.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < cut)   # about 2 * rows rows
-    got = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-           .join(F.broadcast(chosen), "id")
-           .select("id", "y", F.coalesce("text", F.lit("")).alias("text")).orderBy("id").toPandas())
-    texts = [t.encode() for t in got["text"]]
-    y = got["y"].to_numpy()
-    calibrate = np.arange(len(y)) % 3 == 0
-    raw = {c: _dictionary([t for t, k, own in zip(texts, y, calibrate) if k == c and not own]) for c in (0, 1)}
-    x = features(sizes(_compressor(raw[1]), _compressor(raw[0]),
-                       [t for t, own in zip(texts, calibrate) if own]))
-    yc = y[calibrate]
-    seen = {c: max(1, int((yc == c).sum())) for c in (0, 1)}
-    weight = np.where(yc == 1, share[1] / seen[1], share[0] / seen[0])
-    return QualityModel(raw[1], raw[0], _logistic(x, yc, weight).tolist())
+    dealt = F.pmod(F.xxhash64("id"), F.lit(1_000_000))
+    chosen = marked.where(dealt < cut)                                        # about 2 * rows rows
+    texts = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+             .join(F.broadcast(chosen), "id")
+             .withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(3)) == 0))
+    # a sample of each dictionary text comes to the driver, of the others only their sizes
+    got = (texts.where("NOT own").select("id", "y", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
+           .toPandas().sort_values("id", kind="stable"))
+    raw = {c: _dictionary([t.encode() for t in got.loc[got["y"] == c, "text"]]) for c in (0, 1)}
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair = (_compressor(raw[1]), _compressor(raw[0]))
+        for rows, data, offs in text_chunks(batches, "text"):
+            text, edges = data.tobytes(), offs.tolist()
+            got = sizes(*pair, [text[a:b] for a, b in zip(edges, edges[1:])])
+            yield pa.RecordBatch.from_arrays([rows.column(0), *(pa.array(c) for c in got.T)],
+                                             names=["y", "g", "b", "n"])
+
+    seen = texts.where("own").select("y", "text").mapInArrow(
+        measure, "y int, g double, b double, n double").toPandas().sort_values(["y", "g", "b", "n"])
+    y, x = seen["y"].to_numpy(), features(seen[["g", "b", "n"]].to_numpy())
+    if len(set(y)) < 2:
+        return QualityModel(b"", b"", [0.0] * 7, constant=share[1] / (share[0] + share[1]))
+    weight = np.where(y == 1, share[1] / (y == 1).sum(), share[0] / (y == 0).sum())
+    return QualityModel(raw[1], raw[0], _logistic(x, y, weight).tolist())
 
 
 _COMPRESSORS: dict[int, tuple] = {}
