@@ -110,24 +110,9 @@ def path_parts(c: Column | str) -> Column:
     return F.split(_col(c), "/")
 
 
-def key_value(c: Column | str, prefix: str, last: bool = True) -> Column:
-    """Text after ``prefix`` in the last (or first) ``/``-separated part starting with it.
-
-    NULL when no part starts with ``prefix``.  Plain string functions
-    (``instr``/``substring_index``): linear time, inside whole-stage codegen, and
-    cheap even when the optimizer copies the expression into a pushed-down filter.
-    """
-    k = F.concat(F.lit("/"), _col(c))
-    marker = "/" + prefix
-    if last:
-        after = F.substring_index(k, marker, -1)
-    else:
-        after = F.substr(k, F.instr(k, marker) + F.lit(len(marker)))
-    return F.when(k.contains(marker), F.substring_index(after, "/", 1))
-
-
 def _part_text(c: Column | str, prefix: str, last: bool) -> Column:
-    """Like ``key_value`` but '' (not NULL) when absent, referencing the input once.
+    """Text after ``prefix`` in the last (or first) ``/``-separated part that starts with it,
+    '' when absent, referencing the input once.
 
     A single reference keeps the expression small when the optimizer inlines it
     into a pushed-down filter together with the expression that builds the key.
@@ -153,9 +138,9 @@ def run_executors(c: Column | str, last: bool = True) -> Column:
     return _number(_part_text(c, "exec_", last), "int")
 
 
-GPU_FILE_PATTERN = r"train_gpu(\d+)_profile\.json"
-GPU_FILE_PATTERN_LOOSE = r"gpu(\d+)_profile\.json"
-GPU_FILE_PATTERN_OLD = r"train_(\d+)gpu"
+GPU_FILE_PATTERN = schemas.GPU_FILE_PATTERN
+GPU_FILE_PATTERN_LOOSE = schemas.GPU_FILE_PATTERN_LOOSE
+GPU_FILE_PATTERN_OLD = schemas.GPU_FILE_PATTERN_OLD
 
 
 def regex_int(c: Column | str, pattern: str, group: int = 1) -> Column:

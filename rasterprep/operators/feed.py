@@ -26,7 +26,7 @@ def repeat_epochs(df: DataFrame, epochs: int, col: str = "epoch") -> DataFrame:
 
 def epoch_shuffle(df: DataFrame, id_col: str | Sequence[str], seed: int = 42,
                   epoch_col: str | None = "epoch", out: str = "pos",
-                  max_epochs: int | None = None, digits: int = DEFAULT_DIGITS) -> DataFrame:
+                  digits: int = DEFAULT_DIGITS) -> DataFrame:
     """``pos`` = 0-based position in the epoch's shuffled order.
 
     Equals ``row_number() over (partition by epoch order by md5(seed:epoch:id), id) - 1``.
@@ -39,8 +39,7 @@ def epoch_shuffle(df: DataFrame, id_col: str | Sequence[str], seed: int = 42,
     else:
         key = hash_key(seed, *ids)
         strata = []
-    return bucket_rank(df, key, strata=strata, tiebreak=ids, out=out,
-                       max_strata=max_epochs, total_col="__n", digits=digits)
+    return bucket_rank(df, key, strata=strata, tiebreak=ids, out=out, total_col="__n", digits=digits)
 
 
 def assign_batches(df: DataFrame, batch_size: int, pos_col: str = "pos", total_col: str = "__n",
@@ -84,7 +83,23 @@ def dataset_sizes(samples: DataFrame, split_col: str = "split") -> DataFrame:
     return samples.groupBy(split_col).agg(F.count(F.lit(1)).alias("samples"))
 
 
-def plan_split(samples: DataFrame, id_col: str, epochs: int, batch_size: int, replicas: int,
+def profile_sizes(profiles: DataFrame, splits: Sequence[str] = ("train", "validation", "test"),
+                  split_col: str = "split") -> DataFrame:
+    """S14, the other source: samples per split as the conversion profiles record them."""
+    entries = F.array(*[F.struct(F.lit(s).alias(split_col), F.col(f"summary.{s}_samples").alias("samples"))
+                        for s in splits])
+    return profiles.select(F.inline(entries))
+
+
+def check_sizes(samples: DataFrame, profiles: DataFrame, split_col: str = "split") -> DataFrame:
+    """S14 cross-check: ``(split, samples, recorded, agrees)`` of the table and its profile."""
+    recorded = profile_sizes(profiles, split_col=split_col).withColumnRenamed("samples", "recorded")
+    return (recorded.join(dataset_sizes(samples, split_col), split_col, "left")
+            .select(split_col, F.coalesce("samples", F.lit(0)).alias("samples"), "recorded")
+            .withColumn("agrees", F.col("samples").eqNullSafe(F.col("recorded"))))
+
+
+def plan_split(samples: DataFrame, id_col: str | Sequence[str], epochs: int, batch_size: int, replicas: int,
                shuffle: bool = True, seed: int = 42, digits: int = DEFAULT_DIGITS) -> DataFrame:
     """C9 for one split: epochs -> (shuffle) -> batches -> shards as one planned table.
 
@@ -93,12 +108,13 @@ def plan_split(samples: DataFrame, id_col: str, epochs: int, batch_size: int, re
     """
     if shuffle:
         df = repeat_epochs(samples, epochs)
-        df = epoch_shuffle(df, id_col, seed=seed, max_epochs=epochs, digits=digits)
+        df = epoch_shuffle(df, id_col, seed=seed, digits=digits)
         df = assign_batches(df, batch_size)
     else:
         # one pass; a fixed hashed order (epoch-independent) keeps the ranking distributed
-        df = samples.withColumn("epoch", F.lit(0))
-        df = bucket_rank(df, hash_key(seed, id_col), strata=[], tiebreak=[id_col], out="pos",
+        ids = [id_col] if isinstance(id_col, str) else list(id_col)
+        df = samples.withColumn("epoch", F.lit(0).cast("long"))
+        df = bucket_rank(df, hash_key(seed, *ids), strata=[], tiebreak=ids, out="pos",
                          total_col="__n", digits=digits)
         df = assign_batches(df, batch_size, drop_remainder=False)
     return assign_shards(df, replicas).drop("__n")

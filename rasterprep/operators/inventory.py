@@ -49,7 +49,7 @@ def object_folders(inventory: DataFrame, path_col: str = "path") -> DataFrame:
 
 def validate_components(meta: DataFrame, inventory: DataFrame, id_col: str = "patch_id",
                         components: Mapping[str, str] = DEFAULT_COMPONENTS,
-                        path_col: str = "path", schemas: tuple[str, ...] = ("s3",),
+                        path_col: str = "path", schemes: tuple[str, ...] = ("s3",),
                         keep: Sequence[str] = ()) -> DataFrame:
     """One row per metadata row: ``(id, all_exist, <name>_exists..., *keep)``.
 
@@ -57,15 +57,18 @@ def validate_components(meta: DataFrame, inventory: DataFrame, id_col: str = "pa
     and at least one inventory object lies under it.  Invalid paths count as
     missing, as a failed list call does in the source.
 
-    The distinct folder table is the *same* DataFrame on the right of every
+    A row without a valid path gets a salted key that no folder has, so invalid rows spread
+    over all partitions of the joins.  The distinct folder table is the *same* DataFrame on the right of every
     component join, so Spark builds it once and reuses the exchange: the
     listing is scanned once, not once per component.
     """
     folders = object_folders(inventory, path_col)
     names = list(components)
+    # folder keys have no leading slash, so this key matches none
+    nowhere = F.concat(F.lit("/"), F.pmod(F.xxhash64(id_col), F.lit(1 << 20)).cast("string"))
     out = meta.select(id_col, *keep,
-                      *[F.when(P.valid_uri(components[n], schemas), folder_key(components[n]))
-                        .alias(f"__k_{n}") for n in names])
+                      *[F.when(P.valid_uri(components[n], schemes), folder_key(components[n]))
+                        .otherwise(nowhere).alias(f"__k_{n}") for n in names])
     flags = []
     for n in names:
         right = folders.alias(f"__f_{n}")

@@ -1,20 +1,16 @@
 """Image-level label lists: vocabulary, index lookup, multi-hot.
 
-Label lists are short (a patch has a handful of classes) and the vocabulary is
-the label domain (tens of classes), so per-row arrays stay small.  The one
-global step -- numbering the sorted vocabulary -- runs on the *distinct* label
-set, produced by a partially aggregated ``distinct`` and bounded by the domain
-(checked: ``vocab_array`` raises above ``max_size``).
+The vocabulary is the distinct label set with its sorted index.  Labels find their
+index by an equi-join (AQE broadcasts the vocabulary when its measured size is small);
+per row only the row's own indices are gathered.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-from rasterprep.functions import arrays as A
+from collections.abc import Sequence
 
-MAX_VOCAB = 1 << 16
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 
 def distinct_labels(df: DataFrame, labels_col: str = "labels") -> DataFrame:
@@ -29,42 +25,51 @@ def label_vocab(df: DataFrame, labels_col: str = "labels") -> DataFrame:
     return distinct_labels(df, labels_col).withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
 
 
-def vocab_array(vocab: DataFrame, max_size: int = MAX_VOCAB) -> Column:
-    """The sorted vocabulary as one constant ``array<string>`` (a scalar subquery).
-
-    Raises at run time when the vocabulary exceeds ``max_size``: the array is
-    shipped to every task, so its size must stay bounded.
-    """
-    arr = vocab.agg(F.array_sort(F.collect_list("label")).alias("v"))
-    checked = arr.select(F.when(F.size("v") <= max_size, F.col("v"))
-                         .otherwise(F.raise_error(F.lit("label vocabulary exceeds max_size")))
-                         .alias("v"))
-    return checked.scalar()
-
-
 def label_index_lookup(df: DataFrame, vocab: DataFrame, id_col: str,
                        labels_col: str = "labels") -> DataFrame:
-    """``(id, label, idx)`` for every label of every row; unknown labels get ``idx`` NULL.
+    """``(id, label, idx)`` for every label of every row; unknown labels get ``idx`` NULL."""
+    exploded = df.select(id_col, F.explode(labels_col).alias("label"))
+    return exploded.join(vocab, "label", "left").select(id_col, "label", "idx")
+
+
+def _row_indices(df: DataFrame, vocab: DataFrame, id_cols: Sequence[str], labels_col: str) -> DataFrame:
+    """Per id: the indices of its labels and the labels that the vocabulary lacks.
 
-    The vocabulary side is the distinct label set (domain-bounded), so it is broadcast.
+    ``id_cols`` identify a row, so a group holds one row's own labels.
     """
-    exploded = df.select(id_col, F.explode(labels_col).alias("label"))
-    return exploded.join(F.broadcast(vocab), "label", "left").select(id_col, "label", "idx")
+    exploded = df.select(*id_cols, F.explode(labels_col).alias("label")).where(F.col("label").isNotNull())
+    return (exploded.join(vocab, "label", "left").groupBy(*id_cols)
+            .agg(F.collect_set("idx").alias("__hits"),
+                 F.collect_set(F.when(F.col("idx").isNull(), F.col("label"))).alias("__unknown")))
+
 
+def with_multi_hot(df: DataFrame, vocab: DataFrame, id_cols: str | Sequence[str],
+                   labels_col: str = "labels", out: str = "multi_hot") -> DataFrame:
+    """Add a 0/1 vector over the sorted vocabulary; NULL for rows with an unknown label.
 
-def with_multi_hot(df: DataFrame, vocab: DataFrame, labels_col: str = "labels",
-                   out: str = "multi_hot") -> DataFrame:
-    """Add a 0/1 vector over the sorted vocabulary; NULL for rows with an unknown label."""
-    # the scalar subquery is bound to a column first: lambdas may not hold subqueries
-    return (df.withColumn("__vocab", vocab_array(vocab))
-            .withColumn(out, A.multi_hot(labels_col, F.col("__vocab")))
-            .drop("__vocab"))
+    ``id_cols`` identify a row.  A NULL list gives NULL, an empty list all zeros.
+    """
+    ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
+    found = _row_indices(df, vocab, ids, labels_col)
+    found = found.select(*[F.col(c).alias(f"__id{i}") for i, c in enumerate(ids)], "__hits", "__unknown")
+    size = vocab.agg(F.count(F.lit(1)).alias("n")).scalar()
+    same = F.lit(True)
+    for i, c in enumerate(ids):
+        same = same & F.col(c).eqNullSafe(F.col(f"__id{i}"))
+    hot = F.transform(F.sequence(F.lit(0).cast("long"), F.col("__size") - 1),
+                      lambda i: F.array_contains(F.coalesce("__hits", F.array().cast("array<bigint>")), i).cast("tinyint"))
+    empty = F.array().cast("array<tinyint>")
+    return (df.join(found, same, "left").select(*df.columns, "__hits", "__unknown")
+            .withColumn("__size", size)
+            .withColumn(out, F.when(F.col(labels_col).isNotNull() & (F.coalesce(F.size("__unknown"), F.lit(0)) <= 0),
+                                    F.when(F.col("__size") > 0, hot).otherwise(empty)))
+            .drop("__hits", "__unknown", "__size"))
 
 
 def multi_hot_rejects(df: DataFrame, vocab: DataFrame, id_col: str,
                       labels_col: str = "labels") -> DataFrame:
     """P14 rejects: rows holding a label outside the vocabulary, as ``(id, reason, detail)``."""
-    unknown = F.array_except(F.col(labels_col), F.col("__vocab"))
-    return (df.withColumn("__vocab", vocab_array(vocab)).where(F.size(unknown) > 0)
+    found = _row_indices(df, vocab, [id_col], labels_col)
+    return (found.where(F.size("__unknown") > 0)
             .select(id_col, F.lit("unknown_label").alias("reason"),
-                    F.array_join(unknown, ",").alias("detail")))
+                    F.array_join(F.array_sort("__unknown"), ",").alias("detail")))

@@ -12,8 +12,9 @@ characters split every stratum into ``16**digits`` buckets of near-equal size:
    and add the bucket's offset.
 
 Sampling (``bucket_sample``) drops the buckets that lie wholly outside the
-sample with a map-side join before anything is shuffled, so only about the
-sample's rows are ranked.
+sample before rows are ranked; AQE broadcasts the small bucket table when its
+measured size allows.  A NULL id is a value like any other: it hashes as
+``NULL_MARK`` and sorts first among ties.
 The result equals ``row_number() over (partition by strata order by key, tie)``.
 """
 
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_DIGITS = 3          # 4,096 buckets per stratum (~24k rows each at 10^8 rows)
-BROADCAST_MAX_ROWS = 1 << 20  # broadcast the bucket table only below this proven bound
+NULL_MARK = "\\N"           # stands for NULL in a hash key
 
 _KEY = "__rank_key"
 _BUCKET = "__rank_bucket"
@@ -41,7 +42,8 @@ def hash_key(seed: str | int | Column, *parts: Column | str) -> Column:
     pieces: list[Column] = [seed if isinstance(seed, Column) else F.lit(str(seed))]
     for p in parts:
         pieces.append(F.lit(":"))
-        pieces.append((F.col(p) if isinstance(p, str) else p).cast("string"))
+        text = (F.col(p) if isinstance(p, str) else p).cast("string")
+        pieces.append(F.coalesce(text, F.lit(NULL_MARK)))
     return F.md5(F.concat(*pieces))
 
 
@@ -55,24 +57,13 @@ def _bucket_table(keyed: DataFrame, strata: Sequence[str]) -> DataFrame:
                 Window.partitionBy(*strata) if strata else Window.partitionBy())))
 
 
-def _maybe_broadcast(df: DataFrame, bound_rows: int | None) -> DataFrame:
-    # Broadcast only when the row bound is proven; otherwise AQE decides at runtime
-    # from the materialised size of the (small, aggregated) table.
-    if bound_rows is not None and bound_rows <= BROADCAST_MAX_ROWS:
-        return F.broadcast(df)
-    return df
-
-
 def bucket_sample(df: DataFrame, key: Column, take: Column | None, strata: Sequence[str] = (),
-                  tiebreak: Sequence[str] = (), digits: int = DEFAULT_DIGITS,
-                  max_strata: int | None = None) -> DataFrame:
+                  tiebreak: Sequence[str] = (), digits: int = DEFAULT_DIGITS) -> DataFrame:
     """Keep the first ``take`` rows of every stratum in ``(key, *tiebreak)`` order.
 
     ``take`` is a Column over the stratum size ``n`` (exposed as column
     ``__rank_total``), e.g. ``F.bround(F.col('__rank_total') * 0.1)``.  Rows whose
     stratum value is NULL are dropped (grouping by a missing split yields no stratum).
-    ``max_strata`` is a caller-proven bound on the number of strata; with it the
-    bucket table is broadcast.
     """
     strata = list(strata)
     keyed = df.withColumn(_KEY, key).withColumn(_BUCKET, F.substring(_KEY, 1, digits))
@@ -82,12 +73,9 @@ def bucket_sample(df: DataFrame, key: Column, take: Column | None, strata: Seque
             .withColumn(_TAKE, take)
             .where(F.col(_START) < F.col(_TAKE))
             .select(*strata, _BUCKET, _START, _CNT, _TAKE))
-    bound = (max_strata if strata else 1)
-    bound = bound * (16 ** digits) if bound is not None else None
-    # one pass after the count: the map-side join keeps only rows of buckets that
-    # reach into the sample; only those rows (about the sample's size) are shuffled
-    # and ranked inside their bucket
-    joined = keyed.join(_maybe_broadcast(plan, bound), on=[*strata, _BUCKET], how="inner")
+    # one pass after the count: the join keeps only rows of buckets that reach into the
+    # sample; only those rows (about the sample's size) are ranked inside their bucket
+    joined = keyed.join(plan, on=[*strata, _BUCKET], how="inner")
     w = Window.partitionBy(*strata, _BUCKET).orderBy(F.col(_KEY), *[F.col(t) for t in tiebreak])
     return (joined.withColumn(_RN, F.row_number().over(w))
             .where(F.col(_START) + F.col(_RN) <= F.col(_TAKE))
@@ -96,8 +84,7 @@ def bucket_sample(df: DataFrame, key: Column, take: Column | None, strata: Seque
 
 def bucket_rank(df: DataFrame, key: Column, strata: Sequence[str] = (),
                 tiebreak: Sequence[str] = (), out: str = "pos",
-                digits: int = DEFAULT_DIGITS, max_strata: int | None = None,
-                total_col: str | None = None) -> DataFrame:
+                digits: int = DEFAULT_DIGITS, total_col: str | None = None) -> DataFrame:
     """Add ``out`` = 0-based position of each row inside its stratum in ``(key, *tiebreak)`` order.
 
     The table is shuffled once, by (stratum, bucket), which spreads even a hot
@@ -112,9 +99,7 @@ def bucket_rank(df: DataFrame, key: Column, strata: Sequence[str] = (),
     offsets = _bucket_table(keyed, strata).select(*strata, _BUCKET, _START, _TOTAL)
     w = Window.partitionBy(*strata, _BUCKET).orderBy(F.col(_KEY), *[F.col(t) for t in tiebreak])
     ranked = keyed.withColumn(_RN, F.row_number().over(w))
-    bound = (max_strata if strata else 1)
-    bound = bound * (16 ** digits) if bound is not None else None
-    joined = ranked.join(_maybe_broadcast(offsets, bound), on=[*strata, _BUCKET], how="inner")
+    joined = ranked.join(offsets, on=[*strata, _BUCKET], how="inner")
     res = joined.withColumn(out, (F.col(_START) + F.col(_RN) - 1).cast("long"))
     extra = [out]
     if total_col:

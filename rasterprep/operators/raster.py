@@ -119,7 +119,8 @@ def code_lookup(df: DataFrame, code_col: str, out: str = "idx",
             .drop("__code"))
 
 
-MISSING_PATTERN = "(?i)missing|not ?found|no such file"
+#: An ``error`` that marks an absent band; any other is a decoding error.
+MISSING_PATTERN = "^missing"
 
 
 def stage_tensors(patches: DataFrame, image_bands: Sequence[str] = schemas.IMAGE_BANDS,

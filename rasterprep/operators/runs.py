@@ -51,6 +51,18 @@ def total_duration(steps: Column | str) -> Column:
     return F.aggregate(_col(steps), F.lit(0.0), lambda a, s: a + F.coalesce(s["duration"], F.lit(0.0)))
 
 
+def top_level_duration(steps: Column | str) -> Column:
+    """A3 without nested steps: a step counts unless it lies inside another one's time span."""
+    def start(s):
+        return F.unix_micros(F.try_to_timestamp(s["timestamp"])) / F.lit(1e6)
+
+    every = _col(steps)
+    top = F.filter(every, lambda s: ~F.exists(every, lambda o: (
+        (start(o) <= start(s)) & (start(o) + o["duration"] >= start(s) + s["duration"])
+        & (o["duration"] > s["duration"]))))
+    return total_duration(top)
+
+
 def object_key(path: Column | str) -> Column:
     """``scheme://bucket/key`` -> ``key``; a path without scheme is kept without leading slashes."""
     # a single regex: scheme + bucket, or a local ``file:`` / leading-slash prefix
@@ -100,12 +112,16 @@ def conversion_runs_ext(profiles: DataFrame, key_col: str = "key", part_index: i
                     & required(CONVERSION_STEPS))
 
 
+def exec_only(key: Column | str, executors: int = 8) -> Column:
+    """The run was made with ``executors`` executors (a ``/exec_<n>/`` key part)."""
+    return _col(key).contains(f"/exec_{executors}/")
+
+
 def training_runs_batch(profiles: DataFrame, key_col: str = "key", executors: int = 8,
                         min_fraction: float = 0.001) -> DataFrame:
     """C4: runs under ``/exec_{executors}/`` (X7), fraction = first ``frac_`` part, GPUs from
     ``train_gpu<n>_profile.json`` (older ``train_<n>gpu`` accepted)."""
-    k = F.col(key_col)
-    df = profiles.where(k.contains(f"/exec_{executors}/")).select(
+    df = profiles.where(exec_only(key_col, executors)).select(
         P.run_fraction(key_col, last=False).alias("fraction"),
         P.gpu_count_any(key_col).alias("num_gpus"),
         F.col("summary.global_batch_size").alias("batch_size"),
@@ -172,10 +188,14 @@ def speedup(runs: DataFrame, baseline_col: str, baseline_value, time_col: str =
 
 def speedup_window(runs: DataFrame, baseline_col: str, baseline_value, time_col: str = "total_time",
                    key: str = "fraction", out: str = "speedup") -> DataFrame:
-    """The same speedup without a join: baseline time as a windowed ``max`` per key."""
+    """The same speedup without a join: baseline time as a windowed ``max`` per key; a
+    duplicate baseline raises, as in ``speedup``."""
     w = Window.partitionBy(key)
-    base = F.max(F.when(F.col(baseline_col) == F.lit(baseline_value), F.col(time_col))).over(w)
-    return runs.withColumn(out, F.try_divide(base.cast("double"), F.col(time_col).cast("double")))
+    is_base = F.col(baseline_col) == F.lit(baseline_value)
+    base = F.max(F.when(is_base, F.col(time_col))).over(w)
+    checked = F.when(F.count_if(is_base).over(w) <= 1, base).otherwise(F.raise_error(
+        F.concat(F.lit("duplicate baseline for "), F.col(key).cast("string"))))
+    return runs.withColumn(out, F.try_divide(checked.cast("double"), F.col(time_col).cast("double")))
 
 
 def curve_points(runs: DataFrame, x: str, y: str, key: str = "fraction") -> DataFrame:

@@ -37,11 +37,11 @@ def sample_size(n: Column, fraction: float) -> Column:
 
 def sample_stratified(df: DataFrame, fraction: float, id_col: str | Sequence[str],
                       strata: Sequence[str] | str | None = ("split",),
-                      seed: int = schemas.SAMPLE_SEED, max_strata: int | None = None,
-                      digits: int = DEFAULT_DIGITS) -> DataFrame:
+                      seed: int = schemas.SAMPLE_SEED, digits: int = DEFAULT_DIGITS) -> DataFrame:
     """M1: exactly ``round(n * fraction)`` rows per stratum; ``fraction >= 1`` returns ``df``.
 
-    With ``strata`` empty/None this is M2 (one stratum: the whole table).
+    With ``strata`` empty/None this is M2 (one stratum: the whole table); a stratum column
+    that ``df`` lacks raises.
     ``id_col`` names the column(s) identifying a row.  Rows sharing all of them
     tie and share a hash bucket; when an id can repeat massively (copies of one
     patch), add a row-unique column such as a path so copies spread over buckets.
@@ -52,9 +52,12 @@ def sample_stratified(df: DataFrame, fraction: float, id_col: str | Sequence[str
     ids = [id_col] if isinstance(id_col, str) else list(id_col)
     if isinstance(strata, str):
         strata = [strata]
-    strata = [s for s in (strata or []) if s in df.columns]
+    strata = list(strata or [])
+    absent = [s for s in strata if s not in df.columns]
+    if absent:
+        raise ValueError(f"strata columns {absent} are not in the table; pass strata=None for one stratum")
     return bucket_sample(df, hash_key(seed, *ids), sample_size(F.col(_TOTAL), fraction),
-                         strata=strata, tiebreak=ids, max_strata=max_strata, digits=digits)
+                         strata=strata, tiebreak=ids, digits=digits)
 
 
 def sample_random(df: DataFrame, fraction: float, id_col: str | Sequence[str],
@@ -71,14 +74,10 @@ def split_filter(df: DataFrame, splits: Sequence[str] = tuple(schemas.SPLITS),
 
 def split_dataset(df: DataFrame, fraction: float, id_col: str | Sequence[str] = "patch_id",
                   splits: Sequence[str] = tuple(schemas.SPLITS), col: str = "split",
-                  seed: int = schemas.SAMPLE_SEED) -> DataFrame:
-    """M3: known splits only, then an exact per-split sample; one frame with ``split`` kept.
-
-    The split count is bounded by ``splits``, so the sampler's bucket table is broadcast.
-    """
+                  seed: int = schemas.SAMPLE_SEED, digits: int = DEFAULT_DIGITS) -> DataFrame:
+    """M3: known splits only, then an exact per-split sample; one frame with ``split`` kept."""
     kept = split_filter(df, splits, col)
-    return sample_stratified(kept, fraction, id_col, strata=[col], seed=seed,
-                             max_strata=len(splits))
+    return sample_stratified(kept, fraction, id_col, strata=[col], seed=seed, digits=digits)
 
 
 def split_counts(df: DataFrame, col: str = "split", total_label: str = "total") -> DataFrame:

@@ -1,20 +1,18 @@
-"""Vectorised tensor staging for the byte sink (the fast path of C7).
+"""Patch staging for the byte sink (the fast path of C7).
 
 ``raster.stage_tensors`` builds ``array<float>`` tensors with SQL higher-order
 functions, which Spark evaluates element by element outside codegen.  When the
-output is raw bytes anyway (the sink form), this ``mapInArrow`` step does the
-same checks, padding, channel stacking and class remapping with numpy on whole
-Arrow batches of patch rows and emits the bytes directly.  Spark still plans,
-partitions and shuffles everything; Python only touches each patch's pixels once.
+output is raw bytes (the sink form), the steps here do the same checks, padding,
+channel stacking and class remapping with numpy, one patch at a time, in one kernel
+(``pack_patch_arrays``).  Spark plans and partitions everything.
 
-Output columns: ``patch_id, *keep, reason, detail, height, width, channels,
-image (float32 LE, HWC), label (uint8)``; ``reason`` NULL marks a good sample.
+Output columns: ``*ids, *keep, reason, detail, height, width, channels, <one float32
+LE, HWC tensor per band group>, label (uint8)``; ``reason`` NULL marks a good sample.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -23,210 +21,175 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rasterprep import schemas
-from rasterprep.operators.raster import MISSING_PATTERN
+from rasterprep.operators.raster import band_entries
+from rasterprep.sources.objects import MISSING, Decoder, load_band, npy_decoder
 
-_MISSING = re.compile(MISSING_PATTERN[4:], re.IGNORECASE)  # drop Java's inline (?i)
+IMAGE_GROUP = {"image": tuple(schemas.IMAGE_BANDS)}
 
 
-def _band_view(col: pa.Array):
-    """Per-row accessors for one band struct column of a batch."""
-    valid = col.is_valid().to_numpy(zero_copy_only=False)
-    hs = col.field("height").to_numpy(zero_copy_only=False)
-    ws = col.field("width").to_numpy(zero_copy_only=False)
-    px = col.field("pixels")
-    offsets = px.offsets.to_numpy()
-    values = px.values.to_numpy(zero_copy_only=False)
-    px_valid = px.is_valid().to_numpy(zero_copy_only=False)
-    errors = col.field("error").to_pylist() if "error" in [f.name for f in col.type] else [None] * len(col)
-    return valid, hs, ws, offsets, values, px_valid, errors
+def _class_table(lut: Sequence[int] | None) -> np.ndarray:
+    table = np.asarray(lut if lut is not None else schemas.class_lut(), dtype=np.int64)
+    if table.min() < 0 or table.max() > 255:
+        raise ValueError("class indices must fit one byte")
+    return table
+
+
+def pack_patch_arrays(bands: Mapping[str, tuple[np.ndarray | None, str | None]],
+                      groups: Mapping[str, Sequence[str]], label_band: str, table: np.ndarray,
+                      pad_to: tuple[int, int] | None) -> dict:
+    """Check, pad, stack and remap one patch: ``reason, detail, height, width, <groups>, label``.
+
+    ``bands`` maps a band to ``(array, error)``; an error that starts with ``missing`` is an
+    absent band, any other a broken one.
+    """
+    out = dict.fromkeys(("reason", "detail", "height", "width", "label", *groups))
+    absent = [b for b, (_, e) in bands.items() if e is not None and e.startswith(MISSING)]
+    broken = [f"{b}: {e}" for b, (_, e) in bands.items() if e is not None and not e.startswith(MISSING)]
+    if broken:
+        return out | {"reason": "decode_error", "detail": "; ".join(broken)}
+    if absent:
+        return out | {"reason": "missing_band", "detail": ",".join(absent)}
+    arrays = {}
+    for b, (arr, _) in bands.items():
+        if pad_to is not None and arr is not None:
+            arr = np.pad(arr, [(0, max(0, pad_to[0] - arr.shape[0])), (0, max(0, pad_to[1] - arr.shape[1]))])
+        arrays[b] = arr
+    if any(a is None or a.size == 0 for a in arrays.values()) or len({a.shape for a in arrays.values()}) != 1:
+        return out | {"reason": "shape_mismatch"}
+    codes = arrays[label_band].astype(np.int64)
+    if codes.min() < 0 or codes.max() >= len(table):
+        return out | {"reason": "code_out_of_range"}
+    out["height"], out["width"] = codes.shape
+    for name, members in groups.items():
+        out[name] = np.stack([arrays[b] for b in members], -1).astype("<f4").tobytes()
+    out["label"] = table[codes].astype("u1").tobytes()
+    return out
+
+
+def _staged_schema(fields: list[T.StructField], groups: Mapping[str, Sequence[str]]) -> T.StructType:
+    return T.StructType(
+        fields + [T.StructField("reason", T.StringType()), T.StructField("detail", T.StringType()),
+                  T.StructField("height", T.IntegerType()), T.StructField("width", T.IntegerType()),
+                  T.StructField("channels", T.IntegerType())]
+        + [T.StructField(g, T.BinaryType()) for g in groups] + [T.StructField("label", T.BinaryType())])
+
+
+def _staged_batch(batch: pa.RecordBatch, passed: Sequence[str], rows: list[dict],
+                  groups: Mapping[str, Sequence[str]], names: list[str]) -> pa.RecordBatch:
+    kinds = {"reason": pa.string(), "detail": pa.string(), "height": pa.int32(), "width": pa.int32()}
+    channels = sum(len(m) for m in groups.values())
+    cols = [batch.column(batch.schema.get_field_index(k)) for k in passed]
+    cols += [pa.array([r[k] for r in rows], t) for k, t in kinds.items()]
+    cols.append(pa.array([channels] * len(rows), pa.int32()))
+    cols += [pa.array([r[k] for r in rows], pa.binary()) for k in (*groups, "label")]
+    return pa.RecordBatch.from_arrays(cols, names=names)
 
 
 def stage_packed(patches: DataFrame, image_bands: Sequence[str] = schemas.IMAGE_BANDS,
                  label_band: str = schemas.REFERENCE_BAND, pad_to: tuple[int, int] | None = None,
                  keep: Sequence[str] = ("split",), lut: Sequence[int] | None = None) -> DataFrame:
-    """Check, pad, stack and remap one row per patch and encode to bytes (see module doc)."""
-    kept = [k for k in keep if k in patches.columns]
+    """Stage patches that arrive as one struct column per band (``raster.assemble_patch``)."""
+    passed = ["patch_id"] + [k for k in keep if k in patches.columns]
+    groups = {"image": tuple(image_bands)}
     bands = list(image_bands) + [label_band]
-    table = np.asarray(lut if lut is not None else schemas.class_lut(), dtype=np.int64)
-    n_img = len(image_bands)
-    out_schema = T.StructType(
-        [T.StructField("patch_id", T.StringType())]
-        + [patches.schema[k] for k in kept]
-        + [T.StructField("reason", T.StringType()), T.StructField("detail", T.StringType()),
-           T.StructField("height", T.IntegerType()), T.StructField("width", T.IntegerType()),
-           T.StructField("channels", T.IntegerType()),
-           T.StructField("image", T.BinaryType()), T.StructField("label", T.BinaryType())])
+    table = _class_table(lut)
+    out_schema = _staged_schema([patches.schema[k] for k in passed], groups)
     names = out_schema.fieldNames()
 
-    def pad(arr: np.ndarray) -> np.ndarray:
-        if pad_to is None:
-            return arr
-        th, tw = pad_to
-        return np.pad(arr, [(0, max(0, th - arr.shape[0])), (0, max(0, tw - arr.shape[1]))])
+    def band(value) -> tuple[np.ndarray | None, str | None]:
+        if value is None:
+            return None, f"{MISSING} band"
+        if value.get("error") is not None:
+            return None, value["error"]
+        pixels, h, w = value["pixels"], value["height"], value["width"]
+        if pixels is None or h is None or w is None or len(pixels) != h * w:
+            return None, None
+        return np.asarray(pixels, np.float32).reshape(h, w), None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            views = {b: _band_view(batch.column(batch.schema.get_field_index(b))) for b in bands}
-            n = batch.num_rows
-            cols = {k: [] for k in ("reason", "detail", "height", "width", "channels", "image", "label")}
-            for i in range(n):
-                absent, broken, arrays = [], [], {}
-                for b in bands:
-                    valid, hs, ws, offsets, values, px_valid, errors = views[b]
-                    err = errors[i] if valid[i] else None
-                    if not valid[i] or (err is not None and _MISSING.search(err)):
-                        absent.append(b)
-                    elif err is not None:
-                        broken.append(f"{b}: {err}")
-                    elif px_valid[i] and offsets[i + 1] - offsets[i] == hs[i] * ws[i]:
-                        arrays[b] = pad(values[offsets[i]:offsets[i + 1]].reshape(int(hs[i]), int(ws[i])))
-                reason = detail = image = label = h = w = None
-                if broken:
-                    reason, detail = "decode_error", "; ".join(broken)
-                elif absent:
-                    reason, detail = "missing_band", ",".join(absent)
-                elif len(arrays) < len(bands) or len({a.shape for a in arrays.values()}) != 1:
-                    reason = "shape_mismatch"
-                else:
-                    codes = arrays[label_band].astype(np.int64)
-                    if codes.min() < 0 or codes.max() >= len(table):
-                        reason = "code_out_of_range"
-                    else:
-                        h, w = arrays[label_band].shape
-                        stacked = np.stack([arrays[b] for b in image_bands], axis=-1)
-                        image = stacked.astype("<f4").tobytes()
-                        label = table[codes].astype("u1").tobytes()
-                cols["reason"].append(reason)
-                cols["detail"].append(detail)
-                cols["height"].append(h)
-                cols["width"].append(w)
-                cols["channels"].append(n_img)
-                cols["image"].append(image)
-                cols["label"].append(label)
-            arrays_out = [batch.column(batch.schema.get_field_index("patch_id"))]
-            arrays_out += [batch.column(batch.schema.get_field_index(k)) for k in kept]
-            arrays_out += [pa.array(cols["reason"], pa.string()), pa.array(cols["detail"], pa.string()),
-                           pa.array(cols["height"], pa.int32()), pa.array(cols["width"], pa.int32()),
-                           pa.array(cols["channels"], pa.int32()),
-                           pa.array(cols["image"], pa.binary()), pa.array(cols["label"], pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays_out, names=names)
-
-    return patches.select("patch_id", *kept, *[F.col(f"`{b}`") for b in bands]).mapInArrow(run, out_schema)
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                columns = {b: part.column(part.schema.get_field_index(b)).to_pylist() for b in bands}
+                rows = [pack_patch_arrays({b: band(columns[b][i]) for b in bands}, groups, label_band, table, pad_to)
+                        for i in range(part.num_rows)]
+                yield _staged_batch(part, passed, rows, groups, names)
+
+    return patches.select(*passed, *[F.col(f"`{b}`") for b in bands]).mapInArrow(run, out_schema)
 
 
 def split_packed(staged: DataFrame, keep: Sequence[str] = ("split",)) -> tuple[DataFrame, DataFrame]:
-    """``(samples in sink form, rejects)`` from ``stage_packed`` output."""
-    kept = [k for k in keep if k in staged.columns]
-    samples = (staged.where(F.col("reason").isNull())
-               .select("patch_id", "image", "label", "height", "width", "channels", *kept))
-    rejects = staged.where(F.col("reason").isNotNull()).select("patch_id", "reason", "detail")
+    """``(samples in sink form, rejects)`` of a staged frame."""
+    dropped = ("reason", "detail")
+    ids = [c for c in ("sample_id", "patch_id") if c in staged.columns]
+    samples = staged.where(F.col("reason").isNull()).select(*[c for c in staged.columns if c not in dropped])
+    rejects = staged.where(F.col("reason").isNotNull()).select(*ids, *dropped)
     return samples, rejects
 
 
-def band_path_array(s1_bands: Sequence[str] = schemas.S1_BANDS,
-                    s2_bands: Sequence[str] = schemas.S2_BANDS,
-                    suffix: str = schemas.RASTER_SUFFIX):
-    """All band paths of a patch as one ``array<struct<band, path>>`` column (P9 without explode)."""
-    from rasterprep.operators.raster import band_entries
-    return F.array(*band_entries(s1_bands, s2_bands, True, suffix))
-
-
-def read_patches(meta: DataFrame, decoder=None, image_bands: Sequence[str] = schemas.IMAGE_BANDS,
+def read_patches(meta: DataFrame, decoder: Decoder | None = None,
+                 groups: Mapping[str, Sequence[str]] = IMAGE_GROUP,
                  label_band: str = schemas.REFERENCE_BAND, suffix: str = schemas.RASTER_SUFFIX,
                  pad_to: tuple[int, int] | None = None, keep: Sequence[str] = ("split",),
                  lut: Sequence[int] | None = None, io_threads: int = 8,
                  rows_per_batch: int = 64) -> DataFrame:
     """C7 without a pixel shuffle: each task reads, decodes and packs whole patches.
 
-    Output Arrow batches hold at most ``rows_per_batch`` patches (~400 KB each at
-    full size), whatever the input batch size, so worker memory stays bounded.
-
     ``meta`` rows carry ``patch_id``, ``s1_name``, ``s1_path``, ``s2_path``,
-    ``reference_path`` (see ``raster.with_paths``).  A patch's band files are
-    fetched concurrently (``io_threads``, like a bulk object-store fetch),
-    decoded, checked, stacked and remapped with numpy, and emitted in the
-    ``stage_packed`` schema.  Only the metadata is partitioned (by the caller);
-    pixel data never crosses the network.
+    ``reference_path`` (see ``raster.with_paths``).  ``groups`` names the output tensors
+    and their bands.  A patch's band files are fetched concurrently (``io_threads``, like a
+    bulk object-store fetch) and emitted in batches of at most ``rows_per_batch`` patches
+    (~400 KB each at full size), so worker memory stays bounded.  Only the metadata is
+    partitioned (by the caller); pixel data never crosses the network.  A store error
+    fails the task; only absent and undecodable files make rejects.
     """
     from concurrent.futures import ThreadPoolExecutor
 
-    from rasterprep.sources.objects import _open_bytes, npy_decoder
-
     decode = decoder or npy_decoder
-    kept = [k for k in keep if k in meta.columns]
-    bands = list(image_bands) + [label_band]
+    passed = [k for k in ("sample_id", "patch_id", *keep) if k in meta.columns]
+    bands = list(dict.fromkeys(b for members in groups.values() for b in members)) + [label_band]
     s1 = [b for b in bands if b in schemas.S1_BANDS]
     s2 = [b for b in bands if b not in schemas.S1_BANDS and b != label_band]
-    staged_in = meta.select("patch_id", *kept, band_path_array(s1, s2, suffix).alias("__bands"))
-    table = np.asarray(lut if lut is not None else schemas.class_lut(), dtype=np.int64)
-    out_schema = T.StructType(
-        [T.StructField("patch_id", T.StringType())] + [meta.schema[k] for k in kept]
-        + [T.StructField("reason", T.StringType()), T.StructField("detail", T.StringType()),
-           T.StructField("height", T.IntegerType()), T.StructField("width", T.IntegerType()),
-           T.StructField("channels", T.IntegerType()),
-           T.StructField("image", T.BinaryType()), T.StructField("label", T.BinaryType())])
+    staged_in = meta.select(*passed, F.array(*band_entries(s1, s2, True, suffix)).alias("__bands"))
+    table = _class_table(lut)
+    out_schema = _staged_schema([meta.schema[k] for k in passed], groups)
     names = out_schema.fieldNames()
 
-    def load(path):
-        try:
-            arr = decode(_open_bytes(path))
-            if arr.ndim != 2:
-                raise ValueError(f"expected a 2-D band, got shape {arr.shape}")
-            return arr, None
-        except Exception as e:
-            return None, f"{type(e).__name__}: {e}"
-
-    def pad(arr):
-        if pad_to is None:
-            return arr
-        return np.pad(arr, [(0, max(0, pad_to[0] - arr.shape[0])), (0, max(0, pad_to[1] - arr.shape[1]))])
-
-    def chunks(batches):
-        for batch in batches:
-            for start in range(0, batch.num_rows, rows_per_batch):
-                yield batch.slice(start, rows_per_batch)
-
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(max_workers=max(1, io_threads)) as pool:
-            for batch in chunks(batches):
-                entries = batch.column(batch.schema.get_field_index("__bands")).to_pylist()
-                jobs = [[(e["band"], pool.submit(load, e["path"]) if e["path"] is not None else None)
-                         for e in row] for row in entries]
-                out = {k: [] for k in ("reason", "detail", "height", "width", "channels", "image", "label")}
-                for row in jobs:
-                    absent, broken, arrays = [], [], {}
-                    for band, fut in row:
-                        arr, err = fut.result() if fut is not None else (None, "missing path")
-                        if err is not None and _MISSING.search(err):
-                            absent.append(band)
-                        elif err is not None:
-                            broken.append(f"{band}: {err}")
-                        else:
-                            arrays[band] = pad(arr)
-                    reason = detail = image = label = h = w = None
-                    if broken:
-                        reason, detail = "decode_error", "; ".join(broken)
-                    elif absent:
-                        reason, detail = "missing_band", ",".join(absent)
-                    elif len({a.shape for a in arrays.values()}) != 1:
-                        reason = "shape_mismatch"
-                    else:
-                        codes = arrays[label_band].astype(np.int64)
-                        if codes.min() < 0 or codes.max() >= len(table):
-                            reason = "code_out_of_range"
-                        else:
-                            h, w = codes.shape
-                            image = np.stack([arrays[b] for b in image_bands], -1).astype("<f4").tobytes()
-                            label = table[codes].astype("u1").tobytes()
-                    for k, v in (("reason", reason), ("detail", detail), ("height", h), ("width", w),
-                                 ("channels", len(image_bands)), ("image", image), ("label", label)):
-                        out[k].append(v)
-                cols = [batch.column(batch.schema.get_field_index("patch_id"))]
-                cols += [batch.column(batch.schema.get_field_index(k)) for k in kept]
-                cols += [pa.array(out["reason"], pa.string()), pa.array(out["detail"], pa.string()),
-                         pa.array(out["height"], pa.int32()), pa.array(out["width"], pa.int32()),
-                         pa.array(out["channels"], pa.int32()),
-                         pa.array(out["image"], pa.binary()), pa.array(out["label"], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, names=names)
+            for batch in batches:
+                for lo in range(0, batch.num_rows, rows_per_batch):
+                    part = batch.slice(lo, rows_per_batch)
+                    jobs = [[(e["band"], pool.submit(load_band, e["path"], decode)) for e in row]
+                            for row in part.column(part.schema.get_field_index("__bands")).to_pylist()]
+                    rows = [pack_patch_arrays({b: f.result() for b, f in row}, groups, label_band, table, pad_to)
+                            for row in jobs]
+                    yield _staged_batch(part, passed, rows, groups, names)
 
     return staged_in.mapInArrow(run, out_schema)
+
+
+def unpack_samples(samples: DataFrame) -> DataFrame:
+    """The array form (``image array<float>``, ``label array<int>``) of samples in sink form."""
+    kinds = {"image": ("<f4", pa.float32(), T.FloatType()), "label": ("u1", pa.int32(), T.IntegerType())}
+    schema = T.StructType([T.StructField(f.name, T.ArrayType(kinds[f.name][2], False), f.nullable)
+                           if f.name in kinds else f for f in samples.schema.fields])
+    names = schema.fieldNames()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                cols = []
+                for name in names:
+                    col = part.column(part.schema.get_field_index(name))
+                    if name in kinds:
+                        dtype, item, _ = kinds[name]
+                        flats = [np.frombuffer(x.as_py(), dtype) for x in col]
+                        offs = np.concatenate([[0], np.cumsum([len(x) for x in flats])]).astype(np.int32)
+                        flat = np.concatenate(flats) if flats else np.empty(0, dtype)
+                        col = pa.ListArray.from_arrays(pa.array(offs), pa.array(flat.astype(item.to_pandas_dtype())))
+                    cols.append(col)
+                yield pa.RecordBatch.from_arrays(cols, names=names)
+
+    return samples.mapInArrow(run, schema)

@@ -1,8 +1,8 @@
 """Metadata -> optional exact sample -> component validation -> summary report.
 
 Instead of three list calls per patch, the folders the metadata points at are
-listed in the tasks (``sources.objects.list_under``) -- or a whole root through
-``binaryFile`` -- and validation is a set of equi-joins (J1).
+listed in the tasks (``sources.objects.list_under``), and validation is a set of
+equi-joins (J1).
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ def check(meta: DataFrame, inventory: DataFrame, fraction: float = 1.0,
     if fraction < 1.0:
         meta = S.sample_stratified(meta, fraction, id_col,
                                    strata=["split"] if "split" in meta.columns else None)
-    validation = INV.validate_components(meta, inventory, id_col=id_col, schemas=schemes)
+    validation = INV.validate_components(meta, inventory, id_col=id_col, schemes=schemes)
     return validation, INV.validation_summary(validation, fraction), INV.missing_components(validation)
 
 
@@ -49,22 +49,18 @@ def listing_prefixes(meta: DataFrame, components: tuple[str, ...] = ("s1_path",
 
 
 def check_files(spark: SparkSession, meta: DataFrame, out: str, fraction: float = 1.0,
-                store_root: str | None = None, level: int = 1,
-                schemes: tuple[str, ...] = ("s3",)) -> None:
+                level: int = 1, schemes: tuple[str, ...] = ("s3",),
+                partitions: int | None = None) -> None:
     """Run C8 and write the report to ``out``.
 
-    By default the objects are listed in the tasks, under the folders the
-    (sampled) metadata points at (``sources.objects.list_under``); with
-    ``store_root`` the whole root is listed through ``binaryFile`` instead.
+    Objects are listed in ``partitions`` tasks, under the folders the (sampled) metadata
+    points at (``sources.objects.list_under``).
     """
     S.check_fraction(fraction)
     if fraction < 1.0:
         meta = S.sample_stratified(meta, fraction, "patch_id",
                                    strata=["split"] if "split" in meta.columns else None)
-    if store_root is not None:
-        inventory = O.list_objects(spark, store_root)
-    else:
-        inventory = O.list_under(listing_prefixes(meta, level=level)).select("path")
+    inventory = O.list_under(listing_prefixes(meta, level=level), partitions=partitions).select("path")
     _, summary, missing = check(meta, inventory, 1.0, schemes=schemes)
     summary = summary.withColumn("fraction_used", F.lit(float(fraction)))
     W.write_validation_report(summary, missing, out)

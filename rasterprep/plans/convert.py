@@ -1,21 +1,18 @@
-"""Metadata -> exact split sample -> band files -> tensors -> split datasets.
-
-One lazy plan for all splits::
-
-    read_metadata -> split_dataset (M3) -> expand_band_paths (P9)
-      -> read + decode (S3/S4, only the sampled files)        [Python: bytes only]
-      -> assemble_patch (J4) -> to_tensors (P10-P13, P18)      [native SQL]
-      -> write_splits (S9-S12, partitionBy split) + rejects table
-
-Pixels are processed in one pass: good samples are written directly; the
-rejects table is built afterwards by staging again only the sampled patches
-that are absent from the written data (normally a small set), so nothing is
-cached on executor disks and a lost executor only costs its own task retries.
+"""Metadata -> exact split sample -> whole patches in tasks -> split datasets.
+
+The sampled metadata (small) is written first, with a row-unique ``sample_id``; every
+later count and join uses it.  Each split's patches are read, decoded and packed by the
+tasks and written as they come; no pixel is shuffled or kept.  Patches absent from the
+written data are staged once more into a small table, from which recovered samples are
+appended to the dataset and the others go to ``rejects``: every requested row ends in
+one of the two, or the job fails.
 """
 
 from __future__ import annotations
 
 import json
+import os
+import platform
 import time
 from dataclasses import dataclass, field
 
@@ -30,6 +27,7 @@ from rasterprep.sinks import writers as W
 from rasterprep.sources import objects as O
 
 BAND_FIELDS = ("height", "width", "pixels", "error")
+PACKED_COLUMNS = ("sample_id", "patch_id", "image", "label", "height", "width", "channels", "split")
 
 
 @dataclass
@@ -38,6 +36,7 @@ class StepLog:
 
     steps: list[dict] = field(default_factory=list)
     summary: dict = field(default_factory=dict)
+    logs: list[dict] = field(default_factory=list)
     start: float = field(default_factory=time.time)
 
     def run(self, name: str, fn, **meta):
@@ -51,11 +50,26 @@ class StepLog:
     def record(self, key: str, value) -> None:
         self.summary[key] = value
 
+    def log(self, message: str) -> None:
+        self.logs.append({"timestamp": _iso(time.time()), "message": message})
+
     def to_json(self) -> str:
         summary = dict(self.summary)
         summary["total_duration"] = sum(s["duration"] for s in self.steps)
-        return json.dumps({"start_time": _iso(self.start), "end_time": _iso(time.time()),
-                           "steps": self.steps, "summary": summary, "logs": []}, indent=2)
+        host = {"hostname": platform.node(), "platform": platform.platform(), "cpu_count": os.cpu_count()}
+        return json.dumps({"start_time": _iso(self.start), "end_time": _iso(time.time()), "host_info": host,
+                           "steps": self.steps, "summary": summary, "logs": self.logs}, indent=2)
+
+    def to_text(self) -> str:
+        """The same as a text report: header, messages, steps with their metadata, summary."""
+        data = json.loads(self.to_json())
+        lines = [f"run {data['start_time']} .. {data['end_time']} on {data['host_info']['hostname']}"]
+        lines += [f"[{m['timestamp']}] {m['message']}" for m in data["logs"]]
+        for s in data["steps"]:
+            extra = " ".join(f"{k}={v}" for k, v in s.items() if k not in ("name", "duration", "timestamp"))
+            lines.append(f"{s['name']}: {s['duration']:.2f}s {extra}".rstrip())
+        lines += [f"{k}: {v}" for k, v in data["summary"].items()]
+        return "\n".join(lines) + "\n"
 
 
 def _iso(t: float) -> str:
@@ -63,57 +77,28 @@ def _iso(t: float) -> str:
     return _dt.datetime.fromtimestamp(t).isoformat()
 
 
-def band_rows(spark: SparkSession, manifest: DataFrame, read: str = "paths",
-              root: str | None = None, suffix: str = schemas.RASTER_SUFFIX,
-              decoder: O.Decoder = O.npy_decoder) -> DataFrame:
-    """Decoded band rows ``(patch_id, band, split, height, width, pixels, error)``.
+def stage(meta: DataFrame, suffix: str = schemas.RASTER_SUFFIX, decoder: O.Decoder = O.npy_decoder,
+          pad_to: tuple[int, int] | None = None, read: str = "patches",
+          partitions: int | None = None) -> DataFrame:
+    """Staged patches of (sampled) metadata, with ``reason`` NULL for good samples.
 
-    ``read='paths'`` opens only the manifest's files inside tasks (sampled runs);
-    (``read='patches'`` in ``stage`` skips band rows altogether, see ``tensors.read_patches``);
-    ``read='scan'`` lists and reads every file under ``root`` with ``binaryFile``
-    and matches them to the manifest with an equi-join (J3; full-archive runs).
+    ``read='patches'`` reads whole patches in tasks and packs bytes (``tensors.read_patches``);
+    ``read='paths'`` reads band rows and builds array tensors with SQL functions
+    (``raster.stage_tensors``), for tables that go on as arrays.  Only files named by
+    ``meta`` are opened.  With ``partitions`` the metadata is spread round-robin first -- not
+    by patch id, so copies of one patch cannot pile up in one task.
     """
+    rows = meta.repartition(int(partitions)) if partitions else meta
+    if read == "patches":
+        return TZ.read_patches(rows, decoder, suffix=suffix, pad_to=pad_to)
     if read == "paths":
-        return O.read_rasters(manifest, decoder, "path")
-    if read == "scan":
-        if root is None:
-            raise ValueError("read='scan' needs root")
-        decoded = O.decode_rasters(O.scan_files(spark, root, suffix), decoder)
-        return R.fetch_bands(manifest, decoded)
+        bands = O.read_rasters(R.expand_band_paths(rows, suffix=suffix), decoder, "path")
+        wide = R.assemble_patch(bands.withColumn("value", F.struct(*BAND_FIELDS)),
+                                schemas.IMAGE_BANDS + [schemas.REFERENCE_BAND], value="value", keep=["split"])
+        return R.stage_tensors(wide, pad_to=pad_to)
     raise ValueError(f"unknown read mode {read!r}")
 
 
-def stage(spark: SparkSession, meta: DataFrame, fraction: float, read: str = "paths",
-          root: str | None = None, suffix: str = schemas.RASTER_SUFFIX,
-          decoder: O.Decoder = O.npy_decoder, pad_to: tuple[int, int] | None = None,
-          seed: int = schemas.SAMPLE_SEED, partitions: int | None = None,
-          packed: bool = False) -> tuple[DataFrame, DataFrame]:
-    """The lazy conversion plan: ``(sampled metadata, staged tensors with reason)``.
-
-    Band rows keep their decode error inside the band struct, so one pivot
-    (one shuffle) yields both the good samples and every reject with its reason.
-    With ``partitions`` the (small) metadata or band manifest is spread
-    round-robin to that many tasks before any file is read.
-    """
-    sampled = S.split_dataset(meta, fraction, id_col="patch_id", seed=seed)
-    if read == "patches":
-        # no pixel shuffle: spread the (small) metadata round-robin -- not by patch id, so
-        # copies of one patch cannot pile up in one task -- then read whole patches per task
-        rows = sampled.repartition(int(partitions)) if partitions else sampled
-        return sampled, TZ.read_patches(rows, decoder, suffix=suffix, pad_to=pad_to)
-    manifest = R.expand_band_paths(sampled, suffix=suffix)
-    if partitions:
-        # spread the band manifest (paths only) before the reads; the pivot then shuffles
-        # after map-side pre-aggregation, so a copied patch is combined before the exchange
-        manifest = manifest.repartition(int(partitions))
-    bands = band_rows(spark, manifest, read, root, suffix, decoder).withColumn("value", F.struct(*BAND_FIELDS))
-    wide = R.assemble_patch(bands, schemas.IMAGE_BANDS + [schemas.REFERENCE_BAND],
-                            value="value", keep=["split"])
-    if packed:
-        return sampled, TZ.stage_packed(wide, pad_to=pad_to)
-    return sampled, R.stage_tensors(wide, pad_to=pad_to)
-
-
 def conversion_partitions(spark: SparkSession, rows: int, cores: int | None = None,
                           executors: int | None = None, target_bytes: int = 128 << 20) -> int:
     """P20 for the tensor stage: ``min(rows, max(cores * executors * 4, bytes / target))``.
@@ -128,50 +113,86 @@ def conversion_partitions(spark: SparkSession, rows: int, cores: int | None = No
 
 
 def convert(spark: SparkSession, meta: DataFrame, out: str, fraction: float = 1.0,
-            read: str = "patches", root: str | None = None, suffix: str = schemas.RASTER_SUFFIX,
-            decoder: O.Decoder = O.npy_decoder, pad_to: tuple[int, int] | None = None,
-            target_file_mb: float | None = 50, encode_bytes: bool = True,
-            cores: int | None = None, executors: int | None = None) -> dict:
-    """Run C7 and write ``{out}/data`` (split datasets), ``{out}/rejects`` and
-    ``{out}/profile/conversion_profile.json``; returns the profile summary.
-
-    Counts recorded per split: requested (sampled), written and rejected (D6).
+            suffix: str = schemas.RASTER_SUFFIX, decoder: O.Decoder = O.npy_decoder,
+            pad_to: tuple[int, int] | None = None, target_file_mb: float | None = 50,
+            encode_bytes: bool = True, cores: int | None = None, executors: int | None = None) -> dict:
+    """Run C7; returns the profile summary.
+
+    Writes ``{out}/data`` (split datasets, replacing an earlier run's), ``{out}/rejects``,
+    ``{out}/manifest`` (the sampled rows) and ``{out}/profile/conversion_profile.json`` and
+    ``.txt``.  Counts per split: requested (sampled) and written (D6); requested =
+    written + rejected, else the job fails.  ``encode_bytes=False`` writes array tensors.
     """
-    log = StepLog()
+    log, out = StepLog(), out.rstrip("/")
     if "s1_path" not in meta.columns:
         raise ValueError("metadata needs s1_path/s2_path/reference_path (see raster.with_paths)")
-    sampled, _ = stage(spark, meta, fraction, read, root, suffix, decoder, pad_to)
-    requested = {r["split"]: r["rows"] for r in
-                 log.run("sample", lambda: S.split_counts(sampled.select("split")).collect())}
-    parts = conversion_partitions(spark, int(requested.get("total", 0)), cores, executors)
-    log.record("partitions", parts)
-    if read == "patches" and not encode_bytes:
-        read = "paths"  # array outputs come from the native pivot path
-    packed = encode_bytes or read == "patches"
-    _, staged = stage(spark, meta, fraction, read, root, suffix, decoder, pad_to,
-                      partitions=parts, packed=packed)
-    samples, _ = (TZ.split_packed(staged) if packed else R.split_staged(staged))
-    # one pass over the pixels: only good samples are written
-    log.run("write_data", lambda: W.write_splits(samples, out, target_file_mb))
-    # rejects: the sampled patches absent from the written data, staged again for
-    # their reasons -- a small second pass instead of keeping all tensors around
-    written_ids = spark.read.parquet(f"{out}/data").select("patch_id")
-    missing = sampled.join(written_ids, "patch_id", "left_anti")
-    _, restaged = stage(spark, missing, 1.0, read, root, suffix, decoder, pad_to, packed=packed)
-    rejects = restaged.where(F.col("reason").isNotNull()).select("patch_id", "reason", "detail")
-    log.run("write_rejects", lambda: rejects.write.mode("overwrite").parquet(f"{out}/rejects"))
-    written = {r["split"]: r["samples"] for r in
-               log.run("count_written", lambda: spark.read.parquet(f"{out}/data")
-                       .groupBy("split").agg(F.count(F.lit(1)).alias("samples")).collect())}
+
+    def manifest() -> DataFrame:
+        sampled = S.split_dataset(meta.drop("sample_id"), fraction, id_col="patch_id")
+        sampled = sampled.withColumn("sample_id", F.monotonically_increasing_id())
+        sampled.write.mode("overwrite").parquet(f"{out}/manifest")
+        return spark.read.schema(sampled.schema).parquet(f"{out}/manifest")
+
+    def prepare() -> None:
+        """Settings and an empty dataset: what an earlier run left there is gone."""
+        spark.createDataFrame([], schema).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy("split").parquet(f"{out}/data")
+
+    def good(staged: DataFrame) -> DataFrame:
+        samples = TZ.split_packed(staged)[0].select(*PACKED_COLUMNS)
+        return samples if encode_bytes else TZ.unpack_samples(samples)
+
+    def append(rows: DataFrame) -> None:
+        writer = rows.write.mode("append").partitionBy("split")
+        if target_file_mb:
+            writer = writer.option("maxRecordsPerFile", W.records_per_file(target_file_mb))
+        writer.parquet(f"{out}/data")
+
+    sampled = log.run("read_metadata", manifest)
+    requested = {r["split"]: r["rows"] for r in S.split_counts(sampled.select("split")).collect()}
+    schema = good(stage(sampled, suffix, decoder, pad_to)).schema
+    log.run("spark_init", prepare)
+    slots = executors or 1
+    for sp in schemas.SPLITS:
+        n = int(requested.get(sp, 0))
+        parts = conversion_partitions(spark, n, cores, executors)
+        log.record(f"{sp}_requested", n)
+        log.record(f"{sp}_rdd_partitions", parts if n else 0)
+        log.record(f"{sp}_tasks_per_executor", max(1, parts // slots) if n else 0)
+        log.record(f"{sp}_total_data_size_gb", round(n * schemas.BYTES_PER_SAMPLE / (1 << 30), 2))
+
+        def write_split(sp=sp, n=n, parts=parts) -> None:
+            if n:       # X2: an empty split has no folder
+                append(good(stage(sampled.where(F.col("split") == sp), suffix, decoder, pad_to, partitions=parts)))
+
+        log.run(f"write_{sp}", write_split, rows=n)
+
+    def reject() -> DataFrame:
+        """Stage what is absent once more, into one table; append what is good now."""
+        done = spark.read.schema(schema).parquet(f"{out}/data").select("sample_id")
+        missing = sampled.join(done, "sample_id", "left_anti")
+        total = conversion_partitions(spark, int(requested.get("total", 0)), cores, executors)
+        stage(missing, suffix, decoder, pad_to, partitions=total).write.mode("overwrite").parquet(f"{out}/restaged")
+        staged = spark.read.schema(TZ.read_patches(sampled).schema).parquet(f"{out}/restaged")
+        recovered = staged.where(F.col("reason").isNull())
+        if recovered.select("sample_id").limit(1).count():
+            append(good(staged))
+        TZ.split_packed(staged)[1].write.mode("overwrite").parquet(f"{out}/rejects")
+        return spark.read.schema(schemas.REJECTS_SCHEMA).parquet(f"{out}/rejects")
+
+    rejected = int(log.run("write_rejects", reject).count())
+    written = {r["split"]: r["samples"] for r in log.run(
+        "count_written", lambda: spark.read.schema(schema).parquet(f"{out}/data")
+        .groupBy("split").agg(F.count(F.lit(1)).alias("samples")).collect())}
     for sp in schemas.SPLITS:
-        log.record(f"{sp}_requested", int(requested.get(sp, 0)))
         log.record(f"{sp}_samples", int(written.get(sp, 0)))
-    log.record("total_rows", int(sum(written.values())))
-    n_rejected = spark.read.parquet(f"{out}/rejects").count()
-    log.record("rejected", int(n_rejected))
-    # patches that failed transiently in the first pass but not when re-staged
-    log.record("unaccounted", int(requested.get("total", 0)) - int(sum(written.values())) - int(n_rejected))
-    log.record("dataset_size_gb", round(sum(written.values()) * schemas.BYTES_PER_SAMPLE / (1 << 30), 2))
-    profile = log.to_json()
-    W.write_small_file(f"{out}/profile/conversion_profile.json", profile)
-    return json.loads(profile)["summary"]
+    total = int(sum(written.values()))
+    log.record("total_rows", total)
+    log.record("rejected", rejected)
+    log.record("dataset_size_gb", round(total * schemas.BYTES_PER_SAMPLE / (1 << 30), 2))
+    log.log(f"{total} samples written, {rejected} rejected")
+    W.write_small_file(f"{out}/profile/conversion_profile.json", log.to_json())
+    W.write_small_file(f"{out}/profile/conversion_profile.txt", log.to_text())
+    if int(requested.get("total", 0)) != total + rejected:
+        raise RuntimeError(f"{requested.get('total', 0)} rows requested, {total} written, {rejected} rejected")
+    return json.loads(log.to_json())["summary"]

@@ -12,23 +12,29 @@ from pyspark.sql import functions as F
 from rasterprep import schemas
 from rasterprep.operators import feed as FD
 from rasterprep.operators import inventory as INV
+from rasterprep.operators.ranking import DEFAULT_DIGITS
 
 
 def feed_plan(samples: DataFrame, epochs: int = 10, batch_per_replica: int = 16,
-              replicas: int = 1, seed: int = 42, id_col: str = "patch_id") -> dict[str, DataFrame]:
+              replicas: int = 1, seed: int = 42, id_col: str | list[str] = "patch_id",
+              digits: int = DEFAULT_DIGITS) -> dict[str, DataFrame]:
     """Plan tables keyed by split; raises when a split is missing.
 
+    ``id_col`` may list several columns; where one patch is copied into a large share of the
+    rows, include the data's row-unique ``sample_id`` so that the copies spread over buckets.
+
     Train is shuffled per epoch and batched with the remainder dropped;
     validation and test are planned as a single pass that keeps every sample.
     """
     INV.assert_splits_exist(samples, schemas.SPLITS)
     gb = batch_per_replica * replicas
-    keys = samples.select(id_col, "split")
+    ids = [id_col] if isinstance(id_col, str) else list(id_col)
+    keys = samples.select(*ids, "split")
     plans = {}
     for sp in schemas.SPLITS:
         part = keys.where(F.col("split") == sp).drop("split")
-        plans[sp] = FD.plan_split(part, id_col, epochs, gb, replicas, shuffle=(sp == "train"),
-                                  seed=seed)
+        plans[sp] = FD.plan_split(part, ids, epochs, gb, replicas, shuffle=(sp == "train"),
+                                  seed=seed, digits=digits)
     return plans
 
 

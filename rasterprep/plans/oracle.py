@@ -232,16 +232,20 @@ FROM (SELECT vec_id, embedding, unnest(range(0, 100)) AS pos FROM embeddings)
 SQL["display_rgb"] = """
 SELECT vec_id, pos,
        greatest(0.0, least(1.0, CAST(embedding[(pos % 3) * 21 + (pos // 3) + 1] AS DOUBLE) / 0.25)) AS value
-FROM (SELECT vec_id, embedding, unnest(range(0, 63)) AS pos FROM embeddings)
+FROM (SELECT vec_id, embedding, unnest(range(0, 66)) AS pos FROM embeddings)
 """
 
 SQL["assemble_patch"] = """
+SELECT *, band_1 IS NOT NULL AND band_2 IS NOT NULL AND band_3 IS NOT NULL AND band_4 IS NOT NULL AND band_5 IS NOT NULL AND band_6 IS NOT NULL AND band_7 IS NOT NULL AS complete FROM (
 SELECT l_orderkey,
        max(CASE WHEN l_linenumber = 1 THEN l_extendedprice END) AS band_1,
        max(CASE WHEN l_linenumber = 2 THEN l_extendedprice END) AS band_2,
-       max(CASE WHEN l_linenumber = 3 THEN l_extendedprice END) AS band_3
-FROM lineitem GROUP BY l_orderkey
-HAVING band_1 IS NOT NULL AND band_2 IS NOT NULL AND band_3 IS NOT NULL
+       max(CASE WHEN l_linenumber = 3 THEN l_extendedprice END) AS band_3,
+       max(CASE WHEN l_linenumber = 4 THEN l_extendedprice END) AS band_4,
+       max(CASE WHEN l_linenumber = 5 THEN l_extendedprice END) AS band_5,
+       max(CASE WHEN l_linenumber = 6 THEN l_extendedprice END) AS band_6,
+       max(CASE WHEN l_linenumber = 7 THEN l_extendedprice END) AS band_7
+FROM lineitem GROUP BY l_orderkey)
 """
 
 # --- labels ---------------------------------------------------------------------------
@@ -302,7 +306,8 @@ SELECT user_id, round(sum(value), 6) AS total_duration, count(*) AS steps FROM e
 
 SQL["summary_fields"] = """
 SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-       json_extract_string(props, '$.missing') AS missing
+       json_extract_string(props, '$.missing') AS missing,
+       TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NOT NULL AS complete
 FROM events
 """
 
@@ -416,7 +421,7 @@ FROM sc
 """
 
 SQL["run_grid"] = """
-WITH fr AS (SELECT DISTINCT l_discount AS fraction FROM lineitem WHERE l_discount > 0)
+WITH fr AS (SELECT DISTINCT l_discount AS fraction FROM lineitem)
 SELECT 'convert' AS kind, fraction, e.n,
        's3://bucket/user/exp/petastorm/frac_' || CAST(fraction AS VARCHAR) || '/exec_' || CAST(e.n AS VARCHAR) AS output_dir,
        NULL::INTEGER AS global_batch, NULL::DOUBLE AS learning_rate
@@ -474,3 +479,17 @@ SELECT 'supplier', s_name, s_nationkey, s_acctbal, NULL FROM supplier
 SQL["head"] = """
 SELECT p_brand, row_number() OVER (ORDER BY p_brand) - 1 AS idx FROM (SELECT DISTINCT p_brand FROM part) ORDER BY idx LIMIT 5
 """
+
+SQL["curve_points"] = SQL["group_curves"]
+
+_GRADED = """
+SELECT d.doc_id, l.quality,
+       row_number() OVER (ORDER BY md5('42:' || coalesce(CAST(l.quality AS VARCHAR), '\\N') || ':' || CAST(d.doc_id AS VARCHAR)),
+                          l.quality NULLS FIRST, d.doc_id) - 1 AS pos,
+       count(*) OVER () AS n
+FROM documents d LEFT JOIN labels l USING (doc_id)
+"""
+
+SQL["sample_nullable_key"] = f"SELECT doc_id, quality FROM ({_GRADED}) WHERE pos < round_even(n * 0.3::DOUBLE, 0)"
+
+SQL["shuffle_nullable_key"] = f"SELECT doc_id, quality, pos FROM ({_GRADED})"

@@ -39,9 +39,16 @@ def load_runs(spark: SparkSession, root: str, kind: str,
 
 def experiment_report(spark: SparkSession, root: str, kind: str,
                       time_col: str = "total_time") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(runs with speedup sorted, curve points, ideal line)`` for one configuration."""
+    """``(runs with speedup sorted, curve points, ideal line)`` for one configuration.
+
+    ``conversion_ext`` runs carry no executor count, hence no speedup: their one curve is
+    the time over the fraction, and their ideal line is empty.
+    """
     _, x, _ = CONFIGS[kind]
     runs = load_runs(spark, root, kind)
+    if x is None:
+        curves = RU.curve_points(runs.withColumn("curve", F.lit(kind)), "fraction", time_col, key="curve")
+        return RU.sort_runs(runs, ["fraction"]), curves, RU.ideal_line(runs.where(F.lit(False)), "fraction")
     with_speedup = RU.speedup(runs, x, 1, time_col=time_col)
     curves = RU.curve_points(with_speedup, x, "speedup")
     ideal = RU.ideal_line(runs, x)

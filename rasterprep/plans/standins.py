@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from rasterprep.functions import arrays as A
 from rasterprep.functions import paths as P
+from rasterprep.functions import times as TM
 from rasterprep.operators import evaluate as EV
 from rasterprep.operators import feed as FD
 from rasterprep.operators import inventory as INV
@@ -25,10 +26,9 @@ from rasterprep.sinks import writers as SK
 from rasterprep.sources import metadata as M
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """Read one driver table; ``spread`` for queries dominated by per-row work."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return M.ensure_parallelism(df) if spread else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one driver table."""
+    return M.read_metadata(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --- manifest stand-in: documents as patches, lang as split ---------------------
@@ -106,6 +106,20 @@ def q_sample_random(spark, sf_dir):
     return S.sample_random(cust, 0.1, "c_custkey")
 
 
+def graded_documents(spark, sf_dir) -> DataFrame:
+    """``(doc_id, quality)``: most documents have no label, so the key is mostly NULL."""
+    docs = table(spark, sf_dir, "documents").select("doc_id")
+    return docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+
+
+def q_sample_nullable_key(spark, sf_dir):
+    return S.sample_random(graded_documents(spark, sf_dir), 0.3, ["quality", "doc_id"])
+
+
+def q_shuffle_nullable_key(spark, sf_dir):
+    return FD.epoch_shuffle(graded_documents(spark, sf_dir), ["quality", "doc_id"], epoch_col=None).drop("__n")
+
+
 def q_split_dataset(spark, sf_dir):
     meta = document_manifest(spark, sf_dir).select("doc_id", "split")
     return S.split_counts(S.split_dataset(meta, 0.5, id_col="doc_id"))
@@ -201,7 +215,7 @@ def q_expand_band_paths(spark, sf_dir):
 # --- arrays (P10-P15, J4, J5) -----------------------------------------------------
 
 def embedding_codes(spark, sf_dir) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings", spread=True)
+    e = table(spark, sf_dir, "embeddings")
     codes = F.transform("embedding", lambda v: F.floor(F.abs(v.cast("double")) * 2000).cast("int"))
     return e.select("vec_id", codes.alias("codes"))
 
@@ -222,7 +236,7 @@ def q_code_lookup(spark, sf_dir):
 
 
 def q_stack_bands(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings", spread=True)
+    e = table(spark, sf_dir, "embeddings")
     q = [F.slice("embedding", 1 + 16 * k, 16) for k in range(4)]
     image = A.concat_channels(A.stack_bands(q[0], q[1]), 2, A.stack_bands(q[2], q[3]), 2)
     return (e.select("vec_id", F.posexplode(image).alias("pos", "v"))
@@ -230,15 +244,16 @@ def q_stack_bands(spark, sf_dir):
 
 
 def q_pad_to_size(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings", spread=True)
+    e = table(spark, sf_dir, "embeddings")
     padded = A.pad_to_size("embedding", 8, 8, 10, 10)
     return (e.select("vec_id", F.posexplode(padded).alias("pos", "v"))
             .select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("v").cast("double").alias("value")))
 
 
 def q_display_rgb(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings", spread=True)
-    r, g, b = (F.slice("embedding", 1 + 21 * k, 21) for k in range(3))
+    e = table(spark, sf_dir, "embeddings")
+    # three planes of 22 values that share an end: all 64 values take part
+    r, g, b = (F.slice("embedding", 1 + 21 * k, 22) for k in range(3))
     return (e.select("vec_id", F.posexplode(A.display_rgb(r, g, b, divisor=0.25)).alias("pos", "value"))
             .withColumn("pos", F.col("pos").cast("long")))
 
@@ -248,9 +263,9 @@ def q_assemble_patch(spark, sf_dir):
     bands = li.select(F.col("l_orderkey").alias("patch_id"),
                       F.col("l_linenumber").cast("string").alias("band"),
                       F.col("l_extendedprice").alias("pixels"))
-    names = ["1", "2", "3"]
-    wide = R.assemble_patch(bands, names).where(R.complete(names))
-    return wide.select(F.col("patch_id").alias("l_orderkey"),
+    names = [str(n) for n in range(1, 8)]       # every line number of the table
+    wide = R.assemble_patch(bands, names)
+    return wide.select(F.col("patch_id").alias("l_orderkey"), R.complete(names).alias("complete"),
                        *[F.col(f"`{n}`").alias(f"band_{n}") for n in names])
 
 
@@ -284,7 +299,7 @@ def q_label_index_lookup(spark, sf_dir):
 
 def q_multi_hot(spark, sf_dir):
     labels = order_labels(spark, sf_dir)
-    hot = LB.with_multi_hot(labels, LB.label_vocab(line_labels(spark, sf_dir)))
+    hot = LB.with_multi_hot(labels, LB.label_vocab(line_labels(spark, sf_dir)), "l_orderkey")
     return hot.select("l_orderkey", F.posexplode("multi_hot").alias("idx", "hot")) \
               .select("l_orderkey", F.col("idx").cast("long").alias("idx"), F.col("hot").cast("int").alias("hot"))
 
@@ -303,20 +318,32 @@ STEP_NAMES = ["view", "click", "purchase", "signup", "error"]
 def q_steps_by_name(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     last = RU.last_value(ev, ["user_id", "event_type"], "value", ["ts", "event_id"])
-    return last.groupBy("user_id").pivot("event_type", STEP_NAMES).agg(F.max("value"))
+    runs = user_profiles(last.withColumnRenamed("value", "duration"))
+    return runs.select("user_id", *[RU.step_duration("steps", n).alias(n) for n in STEP_NAMES])
+
+
+def user_profiles(steps: DataFrame) -> DataFrame:
+    """One profile-like row per user; ``steps`` holds one row per user and event type, so a
+    user's array has at most as many items as there are types."""
+    return steps.groupBy("user_id").agg(F.collect_list(F.struct(
+        F.col("event_type").alias("name"), "duration")).alias("steps"))
 
 
 def q_total_duration(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
-    return ev.groupBy("user_id").agg(F.round(F.sum("value"), 6).alias("total_duration"),
-                                     F.count(F.lit(1)).alias("steps"))
+    per_type = ev.groupBy("user_id", "event_type").agg(F.sum("value").alias("duration"),
+                                                       F.count(F.lit(1)).alias("n"))
+    counts = per_type.groupBy("user_id").agg(F.sum("n").alias("steps"))
+    runs = user_profiles(per_type).select("user_id", F.round(RU.total_duration("steps"), 6).alias("total_duration"))
+    return runs.join(counts, "user_id")
 
 
 def q_summary_fields(spark, sf_dir):
-    ev = table(spark, sf_dir, "events", spread=True).select("event_id", "props")
-    return ev.select("event_id",
-                     F.get_json_object("props", "$.k").try_cast("int").alias("k"),
-                     F.get_json_object("props", "$.missing").alias("missing"))
+    ev = table(spark, sf_dir, "events").select("event_id", "props")
+    summary = F.from_json("props", "k int, missing string")
+    return ev.select("event_id", summary.alias("summary")).select(
+        "event_id", F.col("summary.k").alias("k"), F.col("summary.missing").alias("missing"),
+        RU.required(["summary.k"]).alias("complete"))
 
 
 def q_run_metrics(spark, sf_dir):
@@ -325,25 +352,22 @@ def q_run_metrics(spark, sf_dir):
 
 
 def q_step_times(spark, sf_dir):
-    ev = table(spark, sf_dir, "events", spread=True).select("event_id", "ts")
-    log_time = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    whole = F.date_format("ts", "SSSSSS") == "000000"  # ts may be TIMESTAMP_NTZ
-    iso = F.when(whole, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")) \
-        .otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-    return ev.select("event_id", log_time.alias("log_time"), iso.alias("iso_time"),
-                     F.unix_seconds(F.to_timestamp(log_time, "yyyy-MM-dd HH:mm:ss")).alias("epoch_s"))
+    ev = table(spark, sf_dir, "events").select("event_id", "ts")
+    return ev.select("event_id", TM.log_time("ts").alias("log_time"), TM.iso_time("ts").alias("iso_time"),
+                     F.unix_seconds(TM.parse_time(TM.log_time("ts"))).alias("epoch_s"))
 
 
 # --- run keys and records (P22-P24, X5-X10) ---------------------------------------
 
-def run_paths(spark, sf_dir, spread: bool = True) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem", spread=spread).select(
+def run_keys(spark, sf_dir) -> DataFrame:
+    """``(l_orderkey, l_linenumber, key)``: an object key per line, built once."""
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag")
     d = F.col("l_discount").cast("string")
     ln = F.col("l_linenumber").cast("string")
     g = (F.pmod(F.col("l_quantity").cast("int"), F.lit(4)) + 1).cast("string")
-    root = F.lit("s3://bucket/user/exp/")
-    path = (F.when(F.col("l_returnflag") == "A",
+    root = F.lit("user/exp/")
+    key = (F.when(F.col("l_returnflag") == "A",
                    F.concat(root, F.lit("petastorm/frac_"), d, F.lit("/exec_"), ln,
                             F.lit("/profile/conversion_profile.json")))
             .when(F.col("l_returnflag") == "N",
@@ -351,15 +375,13 @@ def run_paths(spark, sf_dir, spread: bool = True) -> DataFrame:
                            F.lit("/train_gpu"), g, F.lit("_profile.json")))
             .otherwise(F.concat(root, F.lit("local/frac_"), d, F.lit("/train_"), g,
                                 F.lit("gpu_profile.json"))))
-    # ``inline`` of a one-element array computes path and key once per row: filters on
-    # the parsed parts stay above the generator instead of copying the key expression
-    return li.select("l_orderkey", "l_linenumber",
-                     F.inline(F.array(F.struct(path.alias("path"),
-                                               RU.object_key(path).alias("key")))))
+    # ``inline`` of a one-element array computes the key once per row: what is parsed from
+    # it stays above the generator instead of copying the key expression
+    return li.select("l_orderkey", "l_linenumber", F.inline(F.array(F.struct(key.alias("key")))))
 
 
 def q_parse_run_path(spark, sf_dir):
-    r = run_paths(spark, sf_dir)
+    r = run_keys(spark, sf_dir)
     return r.select("l_orderkey", "l_linenumber", "key",
                     P.run_fraction("key").alias("fraction"),
                     P.run_executors("key").alias("executor"),
@@ -367,7 +389,7 @@ def q_parse_run_path(spark, sf_dir):
 
 
 def q_parse_gpu_count(spark, sf_dir):
-    r = run_paths(spark, sf_dir)
+    r = run_keys(spark, sf_dir)
     return r.select("l_orderkey", "l_linenumber",
                     P.gpu_count("key").alias("gpus"),
                     P.gpu_count("key", P.GPU_FILE_PATTERN_LOOSE).alias("gpus_loose"),
@@ -375,19 +397,18 @@ def q_parse_gpu_count(spark, sf_dir):
 
 
 def q_fraction_regex(spark, sf_dir):
-    r = run_paths(spark, sf_dir)
+    r = run_keys(spark, sf_dir)
     return r.select("l_orderkey", "l_linenumber", P.fraction_regex("key").alias("fraction"))
 
 
 def q_run_record_filter(spark, sf_dir):
-    # not spread: the record filter is pushed below any repartition anyway
-    r = run_paths(spark, sf_dir, spread=False).where(F.col("key").endswith("_profile.json"))
-    parsed = r.select("l_orderkey", "l_linenumber", "key",
-                      P.run_fraction("key").alias("fraction"),
-                      P.run_executors("key").alias("executor"))
-    kept = parsed.where((F.col("fraction") >= 0.001) & F.col("executor").isNotNull())
+    r = RU.suffix_filter(run_keys(spark, sf_dir), "_profile.json", "key")
+    # parsed once, inside a second generator that the filter stays above
+    parts = F.struct(P.run_fraction("key").alias("fraction"), P.run_executors("key").alias("executor"))
+    parsed = r.select("l_orderkey", "l_linenumber", "key", F.inline(F.array(parts)))
+    kept = RU.run_record_filter(parsed)
     return kept.select("l_orderkey", "l_linenumber", "fraction", "executor",
-                       F.col("key").contains("/exec_7/").alias("exec_match"),
+                       RU.exec_only("key", 7).alias("exec_match"),
                        P.has_run_depth("key", 5, 3).alias("deep"))
 
 
@@ -408,6 +429,13 @@ def q_speedup_window(spark, sf_dir):
 
 
 def q_group_curves(spark, sf_dir):
+    sp = RU.speedup_window(flag_runs(spark, sf_dir), "l_linenumber", 1, key="l_returnflag")
+    curves = RU.group_curves(sp, "l_linenumber", "speedup", key="l_returnflag")
+    return curves.select("l_returnflag", F.posexplode("points").alias("point", "p")).select(
+        "l_returnflag", (F.col("point") + 1).cast("long").alias("point"), "p.*")
+
+
+def q_curve_points(spark, sf_dir):
     sp = RU.speedup(flag_runs(spark, sf_dir), "l_linenumber", 1, key="l_returnflag")
     return RU.curve_points(sp, "l_linenumber", "speedup", key="l_returnflag")
 
@@ -417,9 +445,11 @@ def q_ideal_line(spark, sf_dir):
 
 
 def q_sort_runs(spark, sf_dir):
-    runs = flag_runs(spark, sf_dir)
-    w = Window.orderBy("l_returnflag", "l_linenumber")  # run tables hold one row per run
-    return RU.sort_runs(runs, ["l_returnflag", "l_linenumber"]).withColumn("rank", F.row_number().over(w).cast("long"))
+    # ids that increase along the sorted partitions show the order the sort produced
+    runs = RU.sort_runs(flag_runs(spark, sf_dir), ["l_returnflag", "l_linenumber"])
+    runs = runs.withColumn("__at", F.monotonically_increasing_id())
+    w = Window.orderBy("__at")                  # run tables hold one row per run
+    return runs.withColumn("rank", F.row_number().over(w).cast("long")).drop("__at")
 
 
 # --- sizes and plans from counts (P19-P21, P27, P29) -------------------------------
@@ -457,7 +487,7 @@ def q_steps_per_epoch(spark, sf_dir):
 
 def q_run_grid(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
-    fr = li.where(F.col("l_discount") > 0).select(F.col("l_discount").alias("fraction")).distinct()
+    fr = li.select(F.col("l_discount").alias("fraction")).distinct()
     conv = RU.run_grid(fr, [8, 5, 2, 1], "n").select(
         F.lit("convert").alias("kind"), "fraction", "n",
         P.output_dir(F.lit("s3://bucket/user"), F.lit("exp"), "fraction", "n").alias("output_dir"))
@@ -483,7 +513,7 @@ def q_repeat_epochs(spark, sf_dir):
 
 def _shuffled(spark, sf_dir):
     df = FD.repeat_epochs(feed_orders(spark, sf_dir), FEED_EPOCHS)
-    return FD.epoch_shuffle(df, "o_orderkey", seed=42, max_epochs=FEED_EPOCHS)
+    return FD.epoch_shuffle(df, "o_orderkey", seed=42)
 
 
 def q_epoch_shuffle(spark, sf_dir):
@@ -502,7 +532,7 @@ def q_assign_shards(spark, sf_dir):
 # --- evaluation (A9, A10) ----------------------------------------------------------
 
 def embedding_predictions(spark, sf_dir) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings", spread=True)
+    e = table(spark, sf_dir, "embeddings")
     bits = F.transform(F.sequence(F.lit(0), F.size("embedding") - 1),
                        lambda i: F.pmod((F.col("label") / F.pow(F.lit(2), i % 4)).cast("int"), F.lit(2)))
     pred = F.transform("embedding", lambda v: F.when(v > 0, 1).otherwise(0))

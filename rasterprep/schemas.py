@@ -41,9 +41,10 @@ BYTES_PER_SAMPLE = PATCH_HEIGHT * PATCH_WIDTH * len(IMAGE_BANDS) * 4 + PATCH_HEI
 SPLITS = ["train", "validation", "test"]
 SAMPLE_SEED = 42
 
-# Reasons recorded in the rejects table.
-REJECT_REASONS = ["missing_band", "shape_mismatch", "code_out_of_range",
-                  "unknown_label", "decode_error"]
+# GPU counts in profile file names: the launcher's form, its loose form, the older form.
+GPU_FILE_PATTERN = r"train_gpu(\d+)_profile\.json"
+GPU_FILE_PATTERN_LOOSE = r"gpu(\d+)_profile\.json"
+GPU_FILE_PATTERN_OLD = r"train_(\d+)gpu"
 
 # ---------------------------------------------------------------------------
 # Derived tables (built by rule from the fixed values above).
@@ -62,23 +63,8 @@ def class_lut() -> list[int]:
 # Struct types
 # ---------------------------------------------------------------------------
 
-VALIDATION_SCHEMA = T.StructType([
-    T.StructField("patch_id", T.StringType()),
-    T.StructField("all_exist", T.BooleanType()),
-    T.StructField("s1_exists", T.BooleanType()),
-    T.StructField("s2_exists", T.BooleanType()),
-    T.StructField("ref_exists", T.BooleanType()),
-])
-
-BANDS_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("height", T.IntegerType()),
-    T.StructField("width", T.IntegerType()),
-    T.StructField("pixels", T.ArrayType(T.DoubleType())),
-    T.StructField("error", T.StringType()),
-])
-
 REJECTS_SCHEMA = T.StructType([
+    T.StructField("sample_id", T.LongType()),
     T.StructField("patch_id", T.StringType()),
     T.StructField("reason", T.StringType()),
     T.StructField("detail", T.StringType()),

@@ -8,7 +8,6 @@ overrides a value that is already set.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -36,26 +35,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only when unset.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
-    """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="rasterprep-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
-
-
 def shuffle_partitions(cores: int, executors: int) -> int:
     """The converter's shuffle partition count, cores x executors x 4."""
     return int(cores) * int(executors) * 4

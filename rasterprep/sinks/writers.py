@@ -9,7 +9,8 @@ without touching the rest.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+import os
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,13 +51,16 @@ def records_per_file(target_mb: float, bytes_per_row: int = schemas.BYTES_PER_SA
 # --- byte encoding (P17, S17) -------------------------------------------------------
 
 
-def to_bytes(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+def to_bytes(df: DataFrame, columns: dict[str, str], on_overflow: str = "raise") -> DataFrame:
     """Replace array columns by their raw little-endian bytes (numpy ``tobytes``).
 
     ``columns`` maps column -> numpy dtype (e.g. ``{"image": "<f4", "label": "u1"}``).
     Runs as ``mapInArrow``: each batch's flat child values are cast once and
-    sliced by the list offsets, no per-element Python.
+    sliced by the list offsets, no per-element Python.  Narrowing is checked: an integer
+    outside the target type raises, or gives NULL bytes with ``on_overflow="null"``.
     """
+    if on_overflow not in ("raise", "null"):
+        raise ValueError(f"on_overflow must be 'raise' or 'null', got {on_overflow!r}")
     out_fields = []
     for f in df.schema.fields:
         out_fields.append(T.StructField(f.name, T.BinaryType(), f.nullable) if f.name in columns else f)
@@ -73,8 +77,18 @@ def to_bytes(df: DataFrame, columns: dict[str, str]) -> DataFrame:
                     continue
                 dtype = np.dtype(columns[name])
                 offsets = col.offsets.to_numpy()
-                flat = col.values.to_numpy(zero_copy_only=False).astype(dtype, copy=False)
-                valid = col.is_valid().to_numpy(zero_copy_only=False)
+                wide = col.values.to_numpy(zero_copy_only=False)
+                valid = col.is_valid().to_numpy(zero_copy_only=False).copy()
+                if dtype.kind in "iu" and len(wide):
+                    info = np.iinfo(dtype)
+                    outside = ~((wide >= info.min) & (wide <= info.max))
+                    if outside.any():
+                        if on_overflow == "raise":
+                            raise ValueError(f"column {name}: {wide[outside][0]} does not fit {dtype}")
+                        before = np.concatenate([[0], np.cumsum(outside)])
+                        valid &= before[offsets[1:]] == before[offsets[:-1]]
+                with np.errstate(invalid="ignore"):
+                    flat = wide.astype(dtype, copy=False)
                 data = [flat[offsets[i]:offsets[i + 1]].tobytes() if valid[i] else None
                         for i in range(len(col))]
                 arrays.append(pa.array(data, type=pa.binary()))
@@ -86,7 +100,7 @@ def to_bytes(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 def pack_samples(samples: DataFrame) -> DataFrame:
     """Sink form of the tensor table: ``image`` float32 bytes, ``label`` uint8 bytes.
 
-    Class indices are < 256, so the byte narrowing is exact.
+    Class indices are < 256; one that is not raises.
     """
     return to_bytes(samples, {"image": "<f4", "label": "u1"})
 
@@ -115,12 +129,13 @@ def write_splits(samples: DataFrame, out: str, target_file_mb: float | None = 50
     """Write ``{out}/data/split=<s>/`` for every non-empty split (X2), Parquet.
 
     ``target_file_mb`` caps rows per file (``maxRecordsPerFile``, S10/S11);
-    ``rowgroup_mb`` sets ``parquet.block.size``; ``partitions`` coalesces the
-    output first (S12).  Dynamic partition overwrite replaces only the splits
-    present in ``samples``.
+    ``rowgroup_mb`` sets ``parquet.block.size``; ``partitions`` forces the number of
+    output tasks (S12) by a shuffle, so that whatever computes ``samples`` keeps its own
+    parallelism.  Dynamic partition overwrite replaces only the splits present in
+    ``samples``; without it the whole dataset is replaced.
     """
     path = f"{out.rstrip('/')}/data"
-    df = samples.coalesce(partitions) if partitions else samples
+    df = samples.repartition(partitions) if partitions else samples
     writer = df.write.mode("overwrite").partitionBy("split")
     if dynamic_overwrite:
         writer = writer.option("partitionOverwriteMode", "dynamic")
@@ -163,14 +178,28 @@ def write_profiles(profiles: DataFrame, out: str, fmt: str = "json") -> None:
 
 
 def profile_text(profiles: DataFrame) -> DataFrame:
-    """S8 text rendering: one line per step plus a total line, per profile."""
-    steps = profiles.select("path", F.posexplode("steps").alias("i", "s")).select(
-        "path", "i",
-        F.format_string("%s: %.2fs", F.col("s.name"), F.col("s.duration")).alias("line"))
+    """S8 text rendering, ``(path, i, line)`` in order of ``i``: a header, the log messages,
+    one line per step, the total, and the summary values that are present."""
+    head = profiles.select("path", F.lit(0).cast("long").alias("i"), F.format_string(
+        "run %s .. %s on %s", "start_time", "end_time",
+        F.coalesce(F.col("host_info.hostname"), F.lit("?"))).alias("line"))
+    logs = profiles.select("path", F.posexplode("logs").alias("n", "l")).select(
+        "path", (F.lit(1 << 20) + F.col("n")).cast("long").alias("i"),
+        F.format_string("[%s] %s", F.col("l.timestamp"), F.col("l.message")).alias("line"))
+    steps = profiles.select("path", F.posexplode("steps").alias("n", "s")).select(
+        "path", (F.lit(1 << 40) + F.col("n")).cast("long").alias("i"),
+        F.concat(F.format_string("%s: %.2fs", F.col("s.name"), F.col("s.duration")),
+                 F.when(F.col("s.epochs").isNotNull(), F.format_string(" epochs=%d", F.col("s.epochs")))
+                 .otherwise(F.lit(""))).alias("line"))
     totals = profiles.select(
-        "path", F.lit(1 << 30).alias("i"),
+        "path", F.lit(1 << 50).cast("long").alias("i"),
         F.format_string("total_duration: %.2fs", F.col("summary.total_duration")).alias("line"))
-    return steps.unionByName(totals)
+    keys = [f.name for f in schemas.PROFILE_SCHEMA["summary"].dataType.fields if f.name != "total_duration"]
+    values = F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"summary.{k}").cast("string").alias("v")) for k in keys])
+    summary = profiles.select("path", F.posexplode(values).alias("n", "e")).where("e.v IS NOT NULL").select(
+        "path", (F.lit((1 << 50) + 1) + F.col("n")).cast("long").alias("i"),
+        F.concat("e.k", F.lit(": "), "e.v").alias("line"))
+    return head.unionByName(logs).unionByName(steps).unionByName(totals).unionByName(summary)
 
 
 def write_profile_text(profiles: DataFrame, out: str) -> None:
@@ -185,14 +214,10 @@ def write_small_file(uri: str, text: str) -> None:
     if target.startswith("s3a://"):
         target = "s3://" + target[len("s3a://"):]
     elif "://" not in target:
-        target = "file://" + target if target.startswith("/") else target
+        target = "file://" + os.path.abspath(target)
     filesystem, inner = pafs.FileSystem.from_uri(target)
     parent = inner.rsplit("/", 1)[0]
     if parent:
         filesystem.create_dir(parent, recursive=True)
     with filesystem.open_output_stream(inner) as f:
         f.write(text.encode("utf-8"))
-
-
-def split_dirs(out: str, splits: Sequence[str] = schemas.SPLITS) -> list[str]:
-    return [f"{out.rstrip('/')}/data/split={s}" for s in splits]

@@ -40,18 +40,3 @@ def profile_logs(profiles: DataFrame) -> DataFrame:
                     F.col("log.usage.cpu_percent").alias("cpu_percent"),
                     F.col("log.usage.ram_percent").alias("ram_percent"),
                     F.col("log.usage.ram_used_gb").alias("ram_used_gb")))
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan over the cluster's cores when it arrives in too few splits.
-
-    A small input (one file with one Parquet row group) is read by one task, so
-    per-row work (regexes, array functions, decoding) would run on one core.
-    When the scan has fewer partitions than ``min_partitions`` (default: the
-    default parallelism) it is round-robin repartitioned; a large input that
-    already splits into many partitions is returned unchanged, at no cost.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)

@@ -7,12 +7,19 @@
   inside tasks through ``pyarrow.fs`` (sampled runs must not scan the archive).
 * ``decode_rasters``-- bytes -> ``(height, width, pixels array<float>, error)`` with a
   pluggable decoder; decoding failures become data (``error``), not job failures.
+* ``list_under``    -- distributed listing below a table of prefixes.
+
+An absent object is data (``error`` starting with ``missing``).  Any other store error
+(access denied, throttling, a broken connection) is retried and then fails the task:
+an expired credential must not turn an archive into rejects.
 """
 
 from __future__ import annotations
 
 import functools
 import io
+import os
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -70,7 +77,7 @@ def _normalise_uri(path: str) -> str:
     if path.startswith("file:") and not path.startswith("file://"):
         return "file://" + path[len("file:"):]
     if "://" not in path:
-        return "file://" + path
+        return "file://" + os.path.abspath(path)
     return path
 
 
@@ -97,10 +104,43 @@ def _resolve(path: str):
     return pafs.FileSystem.from_uri(uri)
 
 
+MISSING = "missing"     # start of the ``error`` of an object that is not there
+STORE_ATTEMPTS = 4
+
+
 def _open_bytes(path: str) -> bytes:
-    filesystem, inner = _resolve(path)
-    with filesystem.open_input_stream(inner) as f:
-        return f.read()
+    """An object's bytes; store errors are retried, then raised.  ``FileNotFoundError`` is not."""
+    for attempt in range(STORE_ATTEMPTS):
+        try:
+            filesystem, inner = _resolve(path)
+            with filesystem.open_input_stream(inner) as f:
+                return f.read()
+        except (FileNotFoundError, NotADirectoryError):
+            raise
+        except OSError:
+            if attempt == STORE_ATTEMPTS - 1:
+                raise
+            time.sleep(0.2 * 2 ** attempt)
+    raise AssertionError("unreachable")
+
+
+def load_band(path: str | None, decoder: "Decoder") -> tuple[np.ndarray | None, str | None]:
+    """``(2-D array, None)`` or ``(None, error)`` of one band file; store errors raise."""
+    if path is None:
+        return None, f"{MISSING} path"
+    try:
+        data = _open_bytes(path)
+    except (FileNotFoundError, NotADirectoryError):
+        return None, f"{MISSING} object"
+    try:
+        arr = decoder(data)
+        if arr.ndim != 2:
+            raise ValueError(f"expected a 2-D band, got shape {arr.shape}")
+        return arr, None
+    except MemoryError:
+        raise
+    except Exception as e:  # the decoder's verdict on these bytes
+        return None, f"decode: {type(e).__name__}: {e}"
 
 
 def read_paths(df: DataFrame, path_col: str = "path") -> DataFrame:
@@ -119,9 +159,9 @@ def read_paths(df: DataFrame, path_col: str = "path") -> DataFrame:
                 try:
                     contents.append(_open_bytes(p))
                     errors.append(None)
-                except Exception as e:  # missing object, permissions, transient errors
+                except (FileNotFoundError, NotADirectoryError):
                     contents.append(None)
-                    errors.append(f"{type(e).__name__}: {e}")
+                    errors.append(f"{MISSING} object")
             yield pdf.assign(content=contents, error=errors)
 
     return df.mapInPandas(run, schema)
@@ -147,7 +187,7 @@ def decode_rasters(files: DataFrame, decoder: Decoder = npy_decoder,
             for data, err in zip(pdf[content_col], prev):
                 if err is not None or data is None:
                     hs.append(None); ws.append(None); pxs.append(None)
-                    errs.append(err or "missing content")
+                    errs.append(err or f"{MISSING} content")
                     continue
                 try:
                     arr = decoder(bytes(data))
@@ -155,9 +195,11 @@ def decode_rasters(files: DataFrame, decoder: Decoder = npy_decoder,
                     hs.append(int(h)); ws.append(int(w))
                     pxs.append(np.ascontiguousarray(arr, dtype=np.float32).reshape(-1))
                     errs.append(None)
+                except MemoryError:
+                    raise
                 except Exception as e:
                     hs.append(None); ws.append(None); pxs.append(None)
-                    errs.append(f"{type(e).__name__}: {e}")
+                    errs.append(f"decode: {type(e).__name__}: {e}")
             out = pdf[names].copy()
             out["height"] = pd.array(hs, dtype="Int32")
             out["width"] = pd.array(ws, dtype="Int32")
@@ -194,16 +236,14 @@ def read_rasters(df: DataFrame, decoder: Decoder = npy_decoder, path_col: str =
             paths = batch.column(batch.schema.get_field_index(path_col)).to_pylist()
             hs, ws, errs, flats, lengths = [], [], [], [], []
             for p in paths:
-                try:
-                    arr = decoder(_open_bytes(p))
-                    h, w = arr.shape
-                    flat = np.ascontiguousarray(arr, dtype=np.float32).reshape(-1)
-                    hs.append(int(h)); ws.append(int(w)); errs.append(None)
-                    flats.append(flat); lengths.append(flat.size)
-                except Exception as e:  # missing object or undecodable bytes
-                    hs.append(None); ws.append(None)
-                    errs.append(f"{type(e).__name__}: {e}")
-                    lengths.append(0)
+                arr, error = load_band(p, decoder)
+                errs.append(error)
+                if arr is None:
+                    hs.append(None); ws.append(None); lengths.append(0)
+                    continue
+                flat = np.ascontiguousarray(arr, dtype=np.float32).reshape(-1)
+                hs.append(int(arr.shape[0])); ws.append(int(arr.shape[1]))
+                flats.append(flat); lengths.append(flat.size)
             offsets = np.zeros(len(paths) + 1, dtype=np.int32)
             np.cumsum(lengths, out=offsets[1:])
             values = pa.array(np.concatenate(flats) if flats else np.zeros(0, np.float32), pa.float32())
@@ -216,37 +256,51 @@ def read_rasters(df: DataFrame, decoder: Decoder = npy_decoder, path_col: str =
     return df.mapInArrow(run, schema)
 
 
-def list_under(prefixes: DataFrame, prefix_col: str = "prefix", recursive: bool = True) -> DataFrame:
+def list_under(prefixes: DataFrame, prefix_col: str = "prefix", recursive: bool = True,
+               partitions: int | None = None, rows_per_batch: int = 10_000) -> DataFrame:
     """S5, distributed: list every object under each row's prefix inside the tasks.
 
-    ``binaryFile`` builds its file index on the driver, which does not fit an
-    archive of millions of objects.  Here the prefixes (e.g. tile folders taken
-    from the metadata) are a DataFrame; each task lists its own prefixes through
-    ``pyarrow.fs`` and emits ``(prefix, path)`` rows, so the listing is spread over
-    the executors and never gathered on the driver.  A prefix that does not exist
-    lists nothing; a failing listing raises (task retry) rather than hiding objects.
+    The distinct prefixes are dealt over ``partitions`` tasks (default: the session's
+    shuffle partitions) -- by an explicit count, since a prefix table is so few bytes that
+    AQE would merge it into one task.  A task walks one folder at a time through
+    ``pyarrow.fs`` and emits ``(prefix, path)`` rows in batches of ``rows_per_batch``, so
+    neither it nor the driver holds a listing.  A prefix that does not exist lists
+    nothing; a failing listing raises (task retry) rather than hiding objects.
     """
     import pyarrow as pa
     from pyarrow import fs as pafs
 
     schema = T.StructType([T.StructField("prefix", T.StringType()), T.StructField("path", T.StringType())])
 
+    def objects(uri: str):
+        filesystem, inner = _resolve(uri.rstrip("/"))
+        scheme = uri.split("://", 1)[0] + "://" if "://" in uri else ""
+        folders = [inner]
+        while folders:
+            for info in filesystem.get_file_info(pafs.FileSelector(folders.pop(), allow_not_found=True)):
+                if info.type == pafs.FileType.Directory and recursive:
+                    folders.append(info.path)
+                elif info.type == pafs.FileType.File:
+                    yield scheme + info.path
+
     def run(batches):
+        found: list[tuple[str, str]] = []
+
+        def emit():
+            return pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()),
+                                               pa.array([f[1] for f in found], pa.string())],
+                                              names=["prefix", "path"])
+
         for batch in batches:
-            out_prefix, out_path = [], []
-            for uri in batch.column(batch.schema.get_field_index(prefix_col)).to_pylist():
-                if uri is None:
-                    continue
-                filesystem, inner = _resolve(uri.rstrip("/"))
-                scheme = uri.split("://", 1)[0] + "://" if "://" in uri else ""
-                infos = filesystem.get_file_info(
-                    pafs.FileSelector(inner, recursive=recursive, allow_not_found=True))
-                for info in infos:
-                    if info.type == pafs.FileType.File:
-                        out_prefix.append(uri)
-                        out_path.append(scheme + info.path if scheme and scheme != "file://"
-                                        else ("file://" + info.path if scheme == "file://" else info.path))
-            yield pa.RecordBatch.from_arrays([pa.array(out_prefix, pa.string()), pa.array(out_path, pa.string())],
-                                             names=["prefix", "path"])
-
-    return prefixes.select(F.col(prefix_col).alias(prefix_col)).distinct().mapInArrow(run, schema)
+            for uri in batch.column(0).to_pylist():
+                for path in objects(uri):
+                    found.append((uri, path))
+                    if len(found) >= rows_per_batch:
+                        yield emit()
+                        found = []
+        if found:
+            yield emit()
+
+    wanted = prefixes.select(F.col(prefix_col).alias("prefix")).where("prefix IS NOT NULL").distinct()
+    n = partitions or int(prefixes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return wanted.repartition(n).mapInArrow(run, schema)

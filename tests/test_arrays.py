@@ -69,7 +69,7 @@ def test_multi_hot_and_rejects(spark):
     df = spark.createDataFrame([(1, ["b", "a"]), (2, []), (3, ["c"])], "id int, labels array<string>")
     vocab = LB.label_vocab(df.where("id < 3"))
     assert [(r.label, r.idx) for r in vocab.orderBy("idx").collect()] == [("a", 0), ("b", 1)]
-    hot = {r.id: r.multi_hot for r in LB.with_multi_hot(df, vocab).collect()}
+    hot = {r.id: r.multi_hot for r in LB.with_multi_hot(df, vocab, "id").collect()}
     assert hot[1] == [1, 1] and hot[2] == [0, 0] and hot[3] is None
     rej = LB.multi_hot_rejects(df, vocab, "id").collect()
     assert [(r.id, r.reason, r.detail) for r in rej] == [(3, "unknown_label", "c")]

@@ -82,7 +82,7 @@ def test_distributed_listing_and_check_files(spark, tmp_path):
     inv = list_under(CK.listing_prefixes(meta)).select("path")
     uri = meta.withColumns({c: F.concat(F.lit("file://"), F.col(c))
                             for c in ["s1_path", "s2_path", "reference_path"]})
-    val = INV.validate_components(uri, inv, schemas=("file",))
+    val = INV.validate_components(uri, inv, schemes=("file",))
     flags = {r.patch_id: (r.s1_exists, r.s2_exists, r.ref_exists) for r in val.collect()}
     assert flags == {"p1": (True, True, True), "p2": (True, False, False), "p3": (False, True, False)}
 
@@ -112,3 +112,30 @@ def test_listing_scanned_once(spark, tmp_path):
     plan = val._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     # three component joins, one scan of the listing: the folder table is reused
     assert plan.count("FileScan parquet") == 1
+
+
+def test_listing_is_dealt_over_tasks(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from rasterprep.sources.objects import list_under
+    for i in range(40):
+        (tmp_path / f"t{i}" / "p").mkdir(parents=True)
+        (tmp_path / f"t{i}" / "p" / "a.tif").write_bytes(b"")
+        (tmp_path / f"t{i}" / "b.tif").write_bytes(b"")
+    prefixes = spark.createDataFrame([(str(tmp_path / f"t{i}"),) for i in range(40)] * 10
+                                     + [(str(tmp_path / "none"),), (None,)], "prefix string")
+    got = list_under(prefixes, partitions=6, rows_per_batch=7).withColumn("part", F.spark_partition_id())
+    rows = got.collect()
+    assert len(rows) == 80 and len({r["part"] for r in rows}) > 1
+    flat = list_under(prefixes, recursive=False)
+    assert flat.count() == 40
+
+
+def test_invalid_paths_are_missing(spark):
+    from rasterprep.operators import inventory as INV
+    meta = spark.createDataFrame(
+        [("a", "s3://b/x", "s3a://b/y", None), ("b", None, None, None)],
+        "patch_id string, s1_path string, s2_path string, reference_path string")
+    inv = spark.createDataFrame([("s3://b/x/f.tif",), ("s3a://b/y/f.tif",)], "path string")
+    got = {r["patch_id"]: (r["s1_exists"], r["s2_exists"], r["ref_exists"])
+           for r in INV.validate_components(meta, inv).collect()}
+    assert got == {"a": (True, False, False), "b": (False, False, False)}

@@ -143,8 +143,18 @@ def test_malformed_profile_is_dropped(spark, profiles_root):
     assert 0.3 not in {r.fraction for r in runs.collect()}
 
 
-def test_ensure_parallelism(spark):
-    one = spark.range(0, 100).coalesce(1)
-    assert M.ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100).repartition(8)
-    assert M.ensure_parallelism(many, 4) is many
+def test_speedup_window_refuses_a_duplicate_baseline(spark):
+    from rasterprep.operators import runs as RU
+    runs = spark.createDataFrame([("a", 1, 2.0), ("a", 1, 3.0), ("a", 2, 1.0)], "fraction string, n int, total_time double")
+    with pytest.raises(Exception, match="duplicate baseline"):
+        RU.speedup_window(runs, "n", 1).collect()
+
+
+def test_nested_steps_count_once_at_the_top(spark):
+    from rasterprep.operators import runs as RU
+    df = spark.createDataFrame(
+        [([("outer", 10.0, "2024-01-01T00:00:00"), ("inner", 4.0, "2024-01-01T00:00:01"),
+           ("after", 2.0, "2024-01-01T00:00:10")],)],
+        "steps array<struct<name string, duration double, timestamp string>>")
+    r = df.select(RU.total_duration("steps").alias("all"), RU.top_level_duration("steps").alias("top")).first()
+    assert (r["all"], r["top"]) == (16.0, 12.0)

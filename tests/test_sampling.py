@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def test_epoch_shuffle_is_exact_global_rank(spark):
     w = Window.partitionBy("epoch").orderBy(hash_key(42, "epoch", "k"), "k")
     want = sorted((r.epoch, r.k, r.pos) for r in rep.withColumn("pos", F.row_number().over(w) - 1).collect())
     for parts in (1, 5):
-        got = FD.epoch_shuffle(rep.repartition(parts), "k", seed=42, max_epochs=3)
+        got = FD.epoch_shuffle(rep.repartition(parts), "k", seed=42)
         assert sorted((r.epoch, r.k, r.pos) for r in got.collect()) == want
 
 
@@ -93,3 +94,29 @@ def test_copies_spread_with_row_unique_id(spark):
     assert buckets > 250
     shuffled = FD.epoch_shuffle(FD.repeat_epochs(df, 1), ["patch_id", "path"])
     assert sorted(r.pos for r in shuffled.collect()) == list(range(900))
+
+
+def test_null_ids_are_ranked_like_others(spark):
+    from rasterprep.operators import feed as FD
+    from rasterprep.operators import sampling as SP
+    rows = [(i if i < 10 else None,) for i in range(13)]
+    df = spark.createDataFrame(rows, "id int").repartition(3)
+    pos = [r["pos"] for r in FD.epoch_shuffle(df, "id", epoch_col=None).collect()]
+    assert sorted(pos) == list(range(13))
+    assert SP.sample_random(df, 0.5, "id").count() == 6
+    split = df.selectExpr("id", "'train' AS split")
+    assert SP.split_dataset(split, 0.5, "id").count() == 6
+
+
+def test_missing_strata_column_raises(spark):
+    from rasterprep.operators import sampling as SP
+    with pytest.raises(ValueError, match="strata"):
+        SP.sample_stratified(spark.range(5), 0.5, "id", strata=["splt"])
+
+
+def test_epoch_has_one_type(spark):
+    from rasterprep.plans import feed_plan as FP
+    df = spark.createDataFrame([(f"p{i}", s) for i in range(9) for s in ("train", "validation", "test")],
+                               "patch_id string, split string")
+    plans = FP.feed_plan(df, epochs=2, batch_per_replica=2, digits=1)
+    assert {p.schema["epoch"].dataType.simpleString() for p in plans.values()} == {"bigint"}

@@ -9,6 +9,7 @@ from rasterprep.operators import raster as R
 from rasterprep.plans import check as CK
 from rasterprep.plans import feed_plan as FP
 from rasterprep.sinks import writers as W
+from rasterprep.sources import metadata as M
 
 
 def test_write_metadata_roundtrip(spark, tmp_path):
@@ -45,12 +46,15 @@ def test_records_per_file_and_rowgroups(spark, tmp_path):
 
 
 def test_profile_text(spark, tmp_path):
-    prof = spark.createDataFrame(
-        [("a.json", [("read_metadata", 1.234, None, None), ("write_train", 2.0, None, None)], (3.234,))],
-        "path string, steps array<struct<name:string,duration:double,timestamp:string,epochs:int>>, "
-        "summary struct<total_duration:double>")
+    (tmp_path / "a_profile.json").write_text(json.dumps({
+        "start_time": "2024-01-01T00:00:00", "end_time": "2024-01-01T00:00:04", "host_info": {"hostname": "h"},
+        "steps": [{"name": "read_metadata", "duration": 1.234}, {"name": "training", "duration": 2.0, "epochs": 3}],
+        "summary": {"total_duration": 3.234, "train_samples": 7},
+        "logs": [{"timestamp": "t0", "message": "hello"}]}))
+    prof = M.read_profiles(spark, str(tmp_path))
     lines = [r.line for r in W.profile_text(prof).orderBy("i").collect()]
-    assert lines == ["read_metadata: 1.23s", "write_train: 2.00s", "total_duration: 3.23s"]
+    assert lines == ["run 2024-01-01T00:00:00 .. 2024-01-01T00:00:04 on h", "[t0] hello", "read_metadata: 1.23s",
+                     "training: 2.00s epochs=3", "total_duration: 3.23s", "train_samples: 7"]
 
 
 def test_feed_plan_on_dataset(spark):
