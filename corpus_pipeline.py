@@ -47,9 +47,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents' tokens, packed into sequences of at most 2048."""
-    return packing.pack(docs, TOKENIZER).select(
-        F.col("id").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32"),
-        "sequence_id", "offset")
+    packed = packing.pack(docs, TOKENIZER, instead_of_ids={"ids_crc32": F.crc32("ids")})
+    return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32",
+                         "sequence_id", "offset")
 
 
 STAGES = [("quality", quality), ("toxicity", toxicity), ("exact_dedup", exact_dedup),

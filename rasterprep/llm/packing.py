@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterprep.llm.common import chunk_texts, materialize, text_chunks
@@ -155,7 +155,9 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
     histogram = {r["length"]: r["n"] for r in               # at most ``capacity`` rows
                  pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = spark.createDataFrame(plan_rows(plan_bins(histogram, capacity)), PLAN_SCHEMA)
-    ranked = pieces.join(base, ["part", "length"]).withColumn("rank", F.col("base") + F.col("nth"))
+    # computed columns are evaluated below the shuffle, so that only they move
+    moved = pieces.repartition("part", "length")
+    ranked = moved.join(base, ["part", "length"]).withColumn("rank", F.col("base") + F.col("nth"))
     # the plan's rows are bounded by the capacity, not by the corpus
     found = ranked.join(F.broadcast(plan), "length").where("rank >= rank_lo AND rank < rank_hi")
     nth_in_plan = F.col("rank") - F.col("rank_lo")
@@ -166,14 +168,18 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text",
+         instead_of_ids: dict[str, Column] | None = None) -> DataFrame:
     """Pack all documents' tokens into sequences of at most ``capacity``.
 
     Returns ``(id, piece, start, length, ids, sequence_id, offset)`` per piece; offsets of
-    a sequence are gapless from 0.  A null or empty text is its end id alone; null and
+    a sequence are gapless from 0.  ``instead_of_ids`` names columns over ``ids`` that are
+    returned in its place, computed before pieces are shuffled.  A null or empty text is its end id alone; null and
     repeated ids are kept as rows of their own; an empty table gives an empty result.
     """
     pieces = materialize(token_pieces(docs, tokenizer, end_id, capacity, id_col, text_col), "pieces")
+    if instead_of_ids is not None:
+        pieces = pieces.withColumns(instead_of_ids).drop("ids")
     return place(pieces, capacity).drop("part", "nth")
 
 

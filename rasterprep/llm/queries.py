@@ -44,9 +44,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' tokens packed into sequences of at most 2048."""
-    got = packing.pack(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
-    return got.select(F.col("id").alias("doc_id"), "piece", "start", "length",
-                      F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    got = packing.pack(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                       instead_of_ids={"ids_crc32": F.crc32("ids")})
+    return got.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32",
+                      "sequence_id", "offset")
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
