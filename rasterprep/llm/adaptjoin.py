@@ -9,10 +9,14 @@ longer one and asks for more shared elements; a pair must share the smaller of i
 numbers before its texts are compared.
 
 Large groups of near copies would still make a pair for any two members.  So
-components grow in rounds: first each document is compared with one leader it shares
-most prefix elements with; documents already connected need no further link between
-them.  The last round takes every remaining candidate pair between different
-components, which makes the components exact.
+components grow in rounds: documents of crowded elements first meet the leaders of their
+min-hash buckets, then leaders of those elements; documents already connected need no further link between them.  The last
+round takes every remaining candidate pair between different components, which makes
+the components exact.
+
+Each set also has a parity bitmap: every element flips one of its bits, so two bitmaps
+differ in no more bits than their sets in elements.  A pair whose bitmaps differ too
+much is left out inside the join, before it becomes a row.
 
 Documents with equal sets are one node from the start.  Frequent elements are split
 over several groups by the sketch's estimate, before any shuffle.
@@ -36,13 +40,21 @@ from rasterprep.llm.components import connected
 SLOTS = 1 << 20
 SKETCH_ROWS = 64
 #: Shared prefix elements asked for, at most.
-MAX_MATCH = 8
+MAX_MATCH = 3
 #: Expected candidates that one more shared element is asked for (doubling from here).
 CANDIDATES = 64
 #: Documents of one element that stay in one group.
 GROUP_ROWS = 4096
-#: Rounds in which documents meet leaders before all remaining pairs are taken.
-STAR_ROUNDS = 2
+#: Bits of the parity bitmap, and min-hash values of a set.
+BITS, MINS = 512, 32
+#: An element of more nodes than this is busy: its nodes meet leaders before all pairs are taken.
+BUSY_NODES = 16
+#: Min-hash values of a bucket key, and the buckets of the first round (by the first value
+#: of their key).
+BUCKET_MINS = 4
+BUCKETS = (0, 4, 8, 12, 16, 20, 24, 28)
+#: Leaders that a node meets in each of its buckets, and rounds over busy elements.
+LEADERS, ELEMENT_ROUNDS = 8, 2
 
 
 # --- shingles ------------------------------------------------------------------------------
@@ -87,6 +99,21 @@ def set_key(s: np.ndarray) -> int:
         return int(mix64(np.array([total + np.uint64(len(s))])).view(np.int64)[0])
 
 
+def bitmap(s: np.ndarray) -> np.ndarray:
+    """The parity bitmap of a set, as signed 64-bit words."""
+    odd = np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def min_hashes(s: np.ndarray) -> np.ndarray:
+    """The smallest element in each of ``MINS`` equal ranges of hashes (0 where there is none)."""
+    edges = np.arange(MINS, dtype=np.uint64) << np.uint64(64 - MINS.bit_length() + 1)
+    at = np.searchsorted(s, edges)
+    end = np.append(at[1:], len(s))
+    low = s[np.minimum(at, len(s) - 1)]
+    return np.where(end > at, (low >> np.uint64(16)).astype(np.uint32), 0).astype(np.uint32).view(np.int32)
+
+
 # --- how many documents have a shingle ---------------------------------------------------------
 
 def frequency_sketch(docs: DataFrame, width: int) -> np.ndarray:
@@ -146,7 +173,7 @@ def prefix(s: np.ndarray, estimate: np.ndarray, noise: float, percent: int) -> t
 
 
 def _signatures(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """``(id, n, key, match, tokens, parts)`` of every row of ``(id, text)``."""
+    """``(id, n, key, match, bits, mins, tokens, parts)`` of every row of ``(id, text)``."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)      # a fixed size
     shift = np.uint64(64 - SLOTS.bit_length() + 1)
 
@@ -154,13 +181,13 @@ def _signatures(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -
         counts = shared.value
         noise = float(counts.mean())
         for rows, data, offs in text_chunks(batches, "text"):
-            n, keys, need, tokens, parts, lens = [], [], [], [], [], []
+            n, keys, need, tokens, parts, lens, bits, mins = [], [], [], [], [], [], [], []
             for s in shingle_sets(data, offs, width):
                 n.append(len(s))
                 if not len(s):
-                    keys.append(0), need.append(0), lens.append(0)
+                    keys.append(0), need.append(0), lens.append(0), bits.append(None), mins.append(None)
                     continue
-                keys.append(set_key(s))
+                keys.append(set_key(s)), bits.append(bitmap(s)), mins.append(min_hashes(s))
                 t, est, match = prefix(s, counts[(s >> shift).astype(np.int64)].astype(np.float64), noise, percent)
                 need.append(match), lens.append(len(t))
                 tokens.append(t)
@@ -170,12 +197,14 @@ def _signatures(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -
             split = np.concatenate(parts) if parts else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(need, pa.int32()),
+                 pa.array(bits, pa.list_(pa.int64())), pa.array(mins, pa.list_(pa.int32())),
                  pa.ListArray.from_arrays(ends, pa.array(flat.view(np.int64))),
                  pa.ListArray.from_arrays(ends, pa.array(split))],
-                names=["id", "n", "key", "match", "tokens", "parts"])
+                names=["id", "n", "key", "match", "bits", "mins", "tokens", "parts"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, n long, key long, match int, tokens array<long>, parts array<int>")
+    return docs.mapInArrow(run, f"id {kind}, n long, key long, match int, bits array<long>, mins array<int>, "
+                                f"tokens array<long>, parts array<int>")
 
 
 def _postings(nodes: DataFrame) -> DataFrame:
@@ -219,37 +248,64 @@ def _postings(nodes: DataFrame) -> DataFrame:
 
 # --- candidates and their verification -------------------------------------------------------------
 
-def _fits(a: str, b: str, percent: int):
-    """Sizes that leave the similarity possible."""
-    return F.expr(f"100L * least({a}, {b}) >= {percent}L * greatest({a}, {b})")
+def _differ(a: str, b: str) -> str:
+    """SQL: the number of bits in which two bitmaps differ."""
+    return " + ".join(f"bit_count({a}b{i} ^ {b}b{i})" for i in range(BITS // 64))
+
+
+def _may_link(a: str, b: str, percent: int):
+    """Sizes and bitmaps that leave the similarity possible (columns with prefixes)."""
+    differ = _differ(a, b)
+    return F.expr(f"100L * least({a}n, {b}n) >= {percent}L * greatest({a}n, {b}n) AND "
+                  f"{100 + percent}L * ({differ}) <= {100 - percent}L * ({a}n + {b}n)")
+
 
+def _prefixed(df: DataFrame, prefix: str, *others: str) -> DataFrame:
+    words = [f"b{i}" for i in range(BITS // 64)]
+    return df.select(*others, *[F.col(c).alias(prefix + c) for c in ("node", "label", "n", *words)])
 
-def _leader_pairs(postings: DataFrame, labels: DataFrame, seed: int, percent: int) -> DataFrame:
-    """One pair ``(a, b)`` per node: the leader it shares most prefix elements with.
 
-    Leaders of an element are the lowest node by a seeded hash in each band of sizes, per
-    group and, for elements dealt over groups, over all groups.  Pairs within one
-    component are left out.
+def _labelled(marks: DataFrame, labels: DataFrame) -> DataFrame:
+    return marks.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def _min_hash_buckets(busy: DataFrame, marks: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes of busy elements, keyed by runs of their min-hash values."""
+    keys = F.array(*[F.xxhash64(F.lit(at), F.slice("mins", at + 1, BUCKET_MINS)) for at in BUCKETS])
+    some = marks.join(busy.select("node").distinct(), "node", "left_semi")
+    return _labelled(some, labels).withColumn("bucket", F.explode(keys)).drop("mins")
+
+
+def _element_buckets(busy: DataFrame, marks: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes keyed by the busy elements that several components share."""
+    known = busy.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = known.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
+    return (known.join(mixed.select("token"), "token").join(marks.drop("mins"), "node")
+            .withColumnRenamed("token", "bucket"))
+
+
+def _leader_pairs(keyed: DataFrame, seed: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes with leaders of their buckets that may link.
+
+    A bucket's nodes are dealt into ``LEADERS`` groups by a hash; the lowest of each group
+    leads, and every node of the bucket meets all leaders of other components.  Of a node's
+    pairs with one component the one with the closest bitmaps is kept.  Leaders are found by
+    an aggregation, so a bucket with a third of all nodes is no hot key there, and the
+    join back is at most ``LEADERS`` rows per node and bucket.
     """
-    known = postings.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    known = known.withColumn("band", F.floor(F.log("n") / np.log(100 / percent)).cast("int"))
-    rank = F.struct(F.xxhash64("node", F.lit(seed)).alias("h"), "node", "label", "n")
-    leaders = known.groupBy("token", "grp", "band", "dealt").agg(F.min(rank).alias("lead"))
-    met = known.join(leaders.drop("dealt"), ["token", "grp", "band"]).select("node", "n", "label", "lead")
-    # leaders of a dealt element's groups meet each other's lowest
-    groups = leaders.where("dealt")
-    top = groups.groupBy("token", "band").agg(F.min("lead").alias("top"))
-    across = groups.join(top, ["token", "band"]).select(
-        F.col("lead.node").alias("node"), F.col("lead.n").alias("n"), F.col("lead.label").alias("label"),
-        F.col("top").alias("lead"))
-    pairs = (met.unionByName(across).where("label <> lead.label")
-             .where(_fits("n", "lead.n", percent))
-             .groupBy("node", F.col("lead.node").alias("other")).agg(F.count(F.lit(1)).alias("c")))
-    best = pairs.groupBy("node").agg(F.max_by("other", F.struct("c", "other")).alias("other"))
-    return best.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-
-
-def _cross_pairs(postings: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    words = [f"b{i}" for i in range(BITS // 64)]
+    group = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(LEADERS))
+    leaders = keyed.groupBy("bucket", group.alias("g")).agg(
+        F.min(F.struct(F.xxhash64("node", F.lit(seed + 1)).alias("h"), "node", "label", "n", *words)).alias("lead"))
+    one, other = _prefixed(keyed, "x_", "bucket"), _prefixed(leaders.select("bucket", "lead.*"), "y_", "bucket")
+    met = one.join(other, (one["bucket"] == other["bucket"]) & F.expr("x_label <> y_label")
+                   & _may_link("x_", "y_", percent))
+    near = met.groupBy("x_node", "y_label").agg(
+        F.min(F.struct(F.expr(_differ("x_", "y_")).alias("d"), F.col("y_node").alias("node"))).alias("y"))
+    return near.select(F.least("x_node", "y.node").alias("a"), F.greatest("x_node", "y.node").alias("b")).distinct()
+
+
+def _cross_pairs(postings: DataFrame, marks: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Every pair ``(a, b)`` of nodes of different components that shares enough prefix
     elements.
 
@@ -258,35 +314,33 @@ def _cross_pairs(postings: DataFrame, labels: DataFrame, percent: int) -> DataFr
     nodes are connected already costs nothing.
     """
     known = postings.join(labels, "node", "left").select(
-        "token", "node", "n", "match", F.coalesce("label", "node").alias("label"))
+        "token", "node", "match", F.coalesce("label", "node").alias("label"))
     per_label = known.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
     major = per_label.groupBy("token").agg(
         F.max_by("label", F.struct("c", "label")).alias("major"), F.count(F.lit(1)).alias("labels"))
     mixed = known.join(major.where("labels > 1").select("token", "major"), "token")
-    minor = mixed.where("label <> major").select(
-        "token", F.col("node").alias("a"), F.col("n").alias("an"), F.col("match").alias("am"),
-        F.col("label").alias("al"))
-    every = mixed.select("token", F.col("node").alias("b"), F.col("n").alias("bn"),
-                         F.col("match").alias("bm"), F.col("label").alias("bl"),
-                         (F.col("label") == F.col("major")).alias("in_major"))
-    met = minor.join(every, "token").where("al <> bl AND (in_major OR a < b)").where(_fits("an", "bn", percent))
-    return (met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                        F.least("am", "bm").alias("need"))
+    mixed = mixed.join(marks.drop("mins"), "node")
+    minor = _prefixed(mixed.where("label <> major"), "x_", "token", F.col("match").alias("x_match"))
+    every = _prefixed(mixed, "y_", "token", F.col("match").alias("y_match"),
+                      (F.col("label") == F.col("major")).alias("in_major"))
+    met = minor.join(every, (minor["token"] == every["token"]) & F.expr(
+        "x_label <> y_label AND (in_major OR x_node < y_node)") & _may_link("x_", "y_", percent))
+    return (met.groupBy(F.least("x_node", "y_node").alias("a"), F.greatest("x_node", "y_node").alias("b"),
+                        F.least("x_match", "y_match").alias("need"))
             .agg(F.count(F.lit(1)).alias("c")).where("c >= need").select("a", "b"))
 
 
 def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose texts' sets are similar enough, by exact comparison."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = list(text_chunks(iter([batch]), "text", 1 << 62))[0]
-            y = list(text_chunks(iter([batch]), "other", 1 << 62))[0]
-            sx, sy = shingle_sets(x[1], x[2], width), shingle_sets(y[1], y[2], width)
+        for rows, data, offs in text_chunks(batches, "text", 1 << 20):
+            # the other texts of a small chunk are of like size: they passed the size test
+            _, other, edges = next(text_chunks(iter([rows]), "other", 1 << 62))
             ok = []
-            for p, q in zip(sx, sy):
+            for p, q in zip(shingle_sets(data, offs, width), shingle_sets(other, edges, width)):
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 ok.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1)], names=["a", "b"]).filter(
                 pa.array(ok, pa.bool_()))
 
     one = pairs.join(texts.select(F.col("node").alias("a"), "text"), "a")
@@ -309,20 +363,26 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     signed = materialize(_signatures(picked, width, percent, frequency_sketch(picked.select("text"), width)),
                          "signatures")
     # one node for each distinct set; its arrays are equal in all rows
-    nodes = signed.where("n > 0").groupBy(F.col("key").alias("node")).agg(
-        F.min("id").alias("low"), F.first("n").alias("n"), F.first("match").alias("match"),
-        F.first("tokens").alias("tokens"), F.first("parts").alias("parts"))
-    postings = materialize(_postings(nodes), "postings")
-    lowest = signed.where("n > 0").groupBy(F.col("key").alias("node")).agg(F.min("id").alias("low"))
+    by_set = signed.where("n > 0").groupBy(F.col("key").alias("node"))
+    nodes = materialize(by_set.agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+                                   F.first("mins").alias("mins")), "nodes")
+    postings = materialize(_postings(by_set.agg(
+        F.first("n").alias("n"), F.first("match").alias("match"), F.first("tokens").alias("tokens"),
+        F.first("parts").alias("parts"))), "postings")
+    met = postings.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.first("match").alias("m")).where("c >= m")
+    marks = materialize(nodes.join(met.select("node"), "node", "left_semi").select(
+        "node", "n", "mins", *[F.col("bits")[i].alias(f"b{i}") for i in range(BITS // 64)]), "marks")
+    texts = _node_texts(picked, signed, marks, width)
+    crowded = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > BUSY_NODES)
+    busy = materialize(postings.select("token", "node").join(crowded.select("token"), "token", "left_semi"), "busy")
 
-    texts = _node_texts(picked, signed, postings, width)
     labels = postings.sparkSession.createDataFrame([], "node long, label long")
-    for seed in range(1, STAR_ROUNDS + 1):
-        pairs = _leader_pairs(postings, labels, seed, percent)
-        labels = _merged(labels, _links(pairs, texts, width, percent))
-    labels = _merged(labels, _links(_cross_pairs(postings, labels, percent), texts, width, percent))
+    for seed in range(1 + ELEMENT_ROUNDS):
+        keyed = (_element_buckets if seed else _min_hash_buckets)(busy, marks, labels)
+        labels = _merged(labels, _links(_leader_pairs(keyed, 10 * seed, percent), texts, width, percent))
+    labels = _merged(labels, _links(_cross_pairs(postings, marks, labels, percent), texts, width, percent))
 
-    low = lowest.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "low")
+    low = nodes.select("node", "low").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "low")
     least = low.groupBy("label").agg(F.min("low").alias("component_id"))
     per_node = low.join(least, "label").select(F.col("node").alias("key"), "component_id")
     linked = signed.where("n > 0").select("id", "n", "key").join(per_node, "key")
@@ -336,12 +396,10 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
                                  .unionByName(links)), "labels")
 
 
-def _node_texts(docs: DataFrame, signed: DataFrame, postings: DataFrame, width: int) -> DataFrame:
-    """``(node, text)`` of the nodes that may have a partner: those that share as many
-    prefix elements as they must.  One text per node, written once."""
-    busy = postings.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.first("match").alias("m")).where("c >= m")
+def _node_texts(docs: DataFrame, signed: DataFrame, marks: DataFrame, width: int) -> DataFrame:
+    """``(node, text)`` of the nodes that may have a partner: one text per node, written once."""
     row = F.struct(F.col("id").isNull().alias("x"), "id")
-    carriers = signed.join(busy.select(F.col("node").alias("key")), "key", "left_semi").groupBy(
+    carriers = signed.select("key", "id").join(marks.select(F.col("node").alias("key")), "key", "left_semi").groupBy(
         F.col("key").alias("node")).agg(F.min(row).alias("r")).select(
         "node", F.coalesce("r.id", F.lit(0)).alias("k"), F.col("r.x").alias("x"))
 

@@ -144,7 +144,7 @@ def fit(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_co
     picked = sampled(named, "id", rows).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, data, offs in text_chunks(batches, "text", 16 << 20):
+        for part, data, offs in text_chunks(batches, "text"):
             langs = np.array(part.column(0).to_pylist(), object)
             texts = chunk_texts(data, offs)
             for lang in sorted(set(langs)):
