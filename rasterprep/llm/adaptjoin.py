@@ -55,6 +55,8 @@ BUCKET_MINS = 4
 BUCKETS = (0, 4, 8, 12, 16, 20, 24, 28)
 #: Leaders that a node meets in each of its buckets, and rounds over busy elements.
 LEADERS, ELEMENT_ROUNDS = 8, 2
+#: 64-bit words of the filter that keeps unwanted texts out of shuffles.
+FILTER_WORDS = 1 << 17
 
 
 # --- shingles ------------------------------------------------------------------------------
@@ -330,6 +332,18 @@ def _cross_pairs(postings: DataFrame, marks: DataFrame, labels: DataFrame, perce
             .agg(F.count(F.lit(1)).alias("c")).where("c >= need").select("a", "b"))
 
 
+def _likely(df: DataFrame, wanted: DataFrame, *cols: str) -> DataFrame:
+    """The rows of ``df`` whose ``cols`` may be among those of ``wanted``, found without a
+    shuffle: a bitmap of ``FILTER_WORDS`` words (a fixed size, whatever the tables) is
+    broadcast.  An exact join has to follow."""
+    spot = F.pmod(F.xxhash64(*cols), F.lit(FILTER_WORDS * 64))
+    bit = F.expr("shiftleft(1L, cast(__spot % 64 as int))")
+    word = F.expr("__spot div 64")
+    words = wanted.select(spot.alias("__spot")).groupBy(word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    return (df.withColumn("__spot", spot).withColumn("__word", word).join(F.broadcast(words), "__word")
+            .where(F.col("__bits").bitwiseAND(bit) != 0).select(*df.columns))
+
+
 def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose texts' sets are similar enough, by exact comparison."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -343,8 +357,9 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1)], names=["a", "b"]).filter(
                 pa.array(ok, pa.bool_()))
 
-    one = pairs.join(texts.select(F.col("node").alias("a"), "text"), "a")
-    two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("other")), "b")
+    pairs = materialize(pairs, "pairs")
+    one = pairs.join(_likely(texts.select(F.col("node").alias("a"), "text"), pairs, "a"), "a")
+    two = one.join(_likely(texts.select(F.col("node").alias("b"), F.col("text").alias("other")), pairs, "b"), "b")
     return two.select("a", "b", "text", "other").mapInArrow(check, "a long, b long")
 
 
@@ -402,6 +417,7 @@ def _node_texts(docs: DataFrame, signed: DataFrame, marks: DataFrame, width: int
     carriers = signed.select("key", "id").join(marks.select(F.col("node").alias("key")), "key", "left_semi").groupBy(
         F.col("key").alias("node")).agg(F.min(row).alias("r")).select(
         "node", F.coalesce("r.id", F.lit(0)).alias("k"), F.col("r.x").alias("x"))
+    carriers = materialize(carriers, "carriers")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offs in text_chunks(batches, "text"):
@@ -411,7 +427,7 @@ def _node_texts(docs: DataFrame, signed: DataFrame, marks: DataFrame, width: int
 
     texts = docs.where("text IS NOT NULL").select(
         F.coalesce("id", F.lit(0)).alias("k"), F.col("id").isNull().alias("x"), "text")
-    found = carriers.join(texts, ["k", "x"]).select("node", "text").mapInArrow(keyed, "node long, text string")
+    found = carriers.join(_likely(texts, carriers, "k", "x"), ["k", "x"]).select("node", "text").mapInArrow(keyed, "node long, text string")
     # a repeated id may bring a node's text more than once
     return materialize(found.dropDuplicates(["node"]), "node-texts")
 
