@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rasterprep.llm.common import chunk_texts, scratch_dir, text_chunks
-from rasterprep.llm.tokens import encoder
+from rasterprep.llm.tokens import encoder, lower_where_safe
 
 MAGIC = b"DAC1"
 RANK_BITS = 512
@@ -121,17 +121,18 @@ class Block:
 # --- writing and reading files ------------------------------------------------------------------
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id",
-              text_col: str = "text", blank_free: bool = True) -> None:
+              text_col: str = "text", blank_free: bool = True, lower: bool = True) -> None:
     """Tokenise every whole text, append ``end_id`` and write the ids to ``path`` in
     ascending id order (rows without an id first; repeated ids in any order).
 
     Null counts as empty.  Rows are dealt by id range, so files hold consecutive ids.
+    ``blank_free`` and ``lower`` say that the tokenizer drops white space and lower-cases.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, blank_free)
         part, block, start = TaskContext.get().partitionId(), 0, 0
         for rows, data, offs in text_chunks(batches, "text", BLOCK_BYTES):
-            ids, n = enc.encode(chunk_texts(data, offs))
+            ids, n = enc.encode(chunk_texts(lower_where_safe(data) if lower else data, offs))
             ids = np.insert(ids, np.cumsum(n), end_id)
             own = rows.column(0)
             blob = encode_block(ids, own.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64),

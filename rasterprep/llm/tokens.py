@@ -11,6 +11,7 @@ import os
 
 import numpy as np
 
+from rasterprep.llm.common import ascii_lower
 from rasterprep.llm.merges import RaggedCache, space_words
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -23,7 +24,7 @@ class LibraryEncoder:
     space and line feed); otherwise words keep the space before them.
     """
 
-    def __init__(self, path: str, blank_free: bool, limit: int = 1_200_000):
+    def __init__(self, path: str, blank_free: bool, limit: int = 1_600_000):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -67,6 +68,16 @@ class LibraryEncoder:
         return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
 
 
+def lower_where_safe(data: np.ndarray) -> np.ndarray:
+    """The UTF-8 bytes with A-Z in lower case, for a tokenizer that composes (NFC) and then
+    lower-cases: fewer distinct words.  Bytes with a combining mark (some compose with a
+    small letter only) or a ``<|`` (a special string might arise) are returned as they are."""
+    marks = (data == 0xCC) | (data == 0xCD)
+    if marks.any() or ((data[:-1] == 0x3C) & (data[1:] == 0x7C)).any():
+        return data
+    return ascii_lower(data)
+
+
 _ENCODERS: dict[tuple, LibraryEncoder] = {}
 
 

@@ -120,6 +120,16 @@ def test_words_remembered_give_the_librarys_ids(path, blank_free):
             [e.ids for e in library.encode_batch(t[lo:lo + 300], add_special_tokens=False)]
 
 
+def test_lowering_first_gives_the_librarys_ids():
+    library = Tokenizer.from_file(WORD_JSON)
+    t = texts(1500, 8) + [c + m for c in "JHTWYKA" for m in ("\u030c", "\u0331", "\u0308", "\u030a", "")] + \
+        ["<|StartOfText|>", "ÀÉ Straße İI ΑΣ K Ω"] + [chr(c) + "B" for c in range(0xC0, 0x3000, 5)]
+    for x in t:
+        data, _ = utf8(pa.array([x]))
+        low = tokens.lower_where_safe(data).tobytes().decode()
+        assert library.encode(low, add_special_tokens=False).ids == library.encode(x, add_special_tokens=False).ids
+
+
 def test_any_code_of_a_block_is_addressable():
     rng = np.random.default_rng(5)
     ids = np.concatenate([rng.integers(0, 300, 3000), rng.integers(0, 1 << 31, 500), [0, 255, 256, 65535, 65536]])
