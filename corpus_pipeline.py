@@ -47,7 +47,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents' tokens, packed into sequences of at most 2048."""
-    packed = packing.pack(docs, TOKENIZER, instead_of_ids={"ids_crc32": F.crc32("ids")})
+    # executors come here with the heap of four stages: a worker remembers fewer words
+    packed = packing.pack(docs, TOKENIZER, instead_of_ids={"ids_crc32": F.crc32("ids")}, remembered=400_000)
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32",
                          "sequence_id", "offset")
 

@@ -17,6 +17,10 @@ from rasterprep.llm.merges import RaggedCache, space_words
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
+#: Words that a worker remembers, about 300 bytes each.
+REMEMBERED = 1_200_000
+
+
 class LibraryEncoder:
     """Ids of whole texts by a ``tokenizer.json``, without added special tokens.
 
@@ -24,7 +28,7 @@ class LibraryEncoder:
     space and line feed); otherwise words keep the space before them.
     """
 
-    def __init__(self, path: str, blank_free: bool, limit: int = 1_600_000):
+    def __init__(self, path: str, blank_free: bool, limit: int = REMEMBERED):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
@@ -81,9 +85,9 @@ def lower_where_safe(data: np.ndarray) -> np.ndarray:
 _ENCODERS: dict[tuple, LibraryEncoder] = {}
 
 
-def encoder(path: str, blank_free: bool) -> LibraryEncoder:
+def encoder(path: str, blank_free: bool, limit: int = REMEMBERED) -> LibraryEncoder:
     """The worker's encoder of a file, loaded once."""
-    key = (path, blank_free)
+    key = (path, blank_free, limit)
     if key not in _ENCODERS:
-        _ENCODERS[key] = LibraryEncoder(path, blank_free)
+        _ENCODERS[key] = LibraryEncoder(path, blank_free, limit)
     return _ENCODERS[key]
