@@ -384,8 +384,8 @@ def near_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     postings = materialize(_postings(by_set.agg(
         F.first("n").alias("n"), F.first("match").alias("match"), F.first("tokens").alias("tokens"),
         F.first("parts").alias("parts"))), "postings")
-    met = postings.groupBy("node").agg(F.count(F.lit(1)).alias("c"), F.first("match").alias("m")).where("c >= m")
-    marks = materialize(nodes.join(met.select("node"), "node", "left_semi").select(
+    # a pair needs the smaller number of its two nodes, so one shared element keeps a node
+    marks = materialize(nodes.join(postings.select("node").distinct(), "node", "left_semi").select(
         "node", "n", "mins", *[F.col("bits")[i].alias(f"b{i}") for i in range(BITS // 64)]), "marks")
     texts = _node_texts(picked, signed, marks, width)
     crowded = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > BUSY_NODES)

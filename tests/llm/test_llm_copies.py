@@ -198,6 +198,18 @@ def test_components_when_elements_are_dealt_and_prefixes_long(spark, monkeypatch
     assert sorted(map(tuple, got)) == _brute_components(rows, 4, 85)
 
 
+def test_copies_of_a_text_link_with_a_longer_one_at_the_limit(spark):
+    """The copied text asks for more shared elements than the longer one has with it."""
+    rows = []
+    for family, copies in enumerate((8, 16, 32, 64, 128)):
+        words = [f"f{family}w{j}" for j in range(88)]                # 85 shingles of 4 words
+        rows += [(len(rows) + j, " ".join(words)) for j in range(copies)]
+        for more in (15, 16):                                        # 85 of 100 link, 85 of 101 do not
+            rows.append((len(rows), " ".join(words + [f"f{family}m{more}n{j}" for j in range(more)])))
+    got = adaptjoin.near_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
+    assert sorted(map(tuple, got)) == _brute_components(rows, 4, 85)
+
+
 def test_near_copies_of_odd_rows(odd):
     got = adaptjoin.near_components(odd, 4, 85)
     by_id = {}
