@@ -11,9 +11,11 @@ larger sketches.  The recovered digests on either side give the likeness.
 Everything is DataFrame and SQL expressions.  The next document of each row comes
 from one shuffle by ranges of ids; the fingerprints are row-wise.
 
-A paragraph is a run of ``2**level`` words, so that every text has at most
-``MAX_PARAGRAPHS`` of them; a text keeps its digests at its own level and the next, and
-two texts are compared at the finest level both have.
+A paragraph is a run of words that ends where a hash of its last word and the next
+meets a condition (about every ``MEAN_WORDS`` words), or after ``MAX_WORDS`` words.  So a
+changed word alters the paragraphs around it only, and a text has as many paragraphs as
+its length makes.  Digests are dealt by their high bits over blocks, as many as the number
+of digests asks for; each block has its own sketch and retries.
 """
 
 from __future__ import annotations
@@ -21,9 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Paragraphs of a text at its own level, at most.
-MAX_PARAGRAPHS = 24
-#: Cells in each of a sketch's three rows: the first try and the retries.
+#: Words of a paragraph: about so many on average (a power of two), and at most.
+MEAN_WORDS, MAX_WORDS = 16, 128
+#: Digests of a block, at most on average; the number of blocks is a power of two.
+BLOCK_DIGESTS = 24
+#: Cells in each of a block's three rows: the first try and the retries.
 ROW_CELLS = (11, 37, 149, 601, 2411)
 #: Ids in a range that one shuffle group holds, at least; there are at most MAX_RANGES of them.
 RANGE_IDS = 256
@@ -35,31 +39,47 @@ _CHECK = "xxhash64({0}, 7)"
 
 # --- paragraphs ------------------------------------------------------------------------------
 
-def words(text: str) -> str:
-    """SQL: the words of a text column."""
-    return f"filter(split({text}, '{_SPACES}'), w -> w <> '')"
+def word_hashes(text: str) -> str:
+    """SQL: the hashes of a text column's words."""
+    return f"transform(array_remove(split({text}, '{_SPACES}'), ''), w -> xxhash64(w))"
 
 
-def level_of(word_list: str) -> str:
-    """SQL: the level at which a list of words makes at most MAX_PARAGRAPHS paragraphs."""
-    return f"cast(greatest(0, ceil(log2(greatest(size({word_list}), 1) / {MAX_PARAGRAPHS}.0D))) as int)"
+def starts(hashes: str) -> str:
+    """SQL: where the paragraphs of a list of word hashes start, and their end.
+
+    A paragraph starts at the first word, where a hash of the word before and the word
+    says so, and ``MAX_WORDS`` after another start without one between.
+    """
+    cut = f"(({hashes}[i - 1] ^ shiftrightunsigned({hashes}[i], 23)) & {MEAN_WORDS - 1}L) = 0"
+    at = f"filter(sequence(0, size({hashes})), i -> i = 0 OR i = size({hashes}) OR {cut})"
+    runs = (f"flatten(transform(v, (x, i) -> if(i + 1 = size(v), array(x), "
+            f"sequence(x, v[i + 1] - 1, {MAX_WORDS}))))")
+    return f"if(size({hashes}) = 0, array(0), transform(array({at}), v -> {runs})[0])"
 
 
-def digests(word_list: str, level: str) -> str:
-    """SQL: the distinct digests of the paragraphs at a level."""
-    return (f"if(size({word_list}) = 0, cast(array() as array<bigint>), array_distinct(transform("
-            f"sequence(0, size({word_list}) - 1, shiftleft(1, {level})), "
-            f"i -> xxhash64(slice({word_list}, i + 1, shiftleft(1, {level}))))))")
+def digests(hashes: str, ends: str) -> str:
+    """SQL: the distinct digests of the paragraphs between :func:`starts`."""
+    return (f"array_distinct(transform(slice({ends}, 1, size({ends}) - 1), "
+            f"(x, i) -> xxhash64(transform(sequence(x, {ends}[i + 1] - 1), j -> {hashes}[j]))))")
 
 
 def paragraphs(df: DataFrame, text: str, prefix: str) -> DataFrame:
-    """Add ``<prefix>_level`` and the digests ``<prefix>_fine`` and ``<prefix>_coarse``."""
-    w, lv = f"{prefix}_words", f"{prefix}_level"
-    return (df.withColumn(w, F.expr(words(text)))
-            .withColumn(lv, F.expr(level_of(w)))
-            .withColumn(f"{prefix}_fine", F.expr(digests(w, lv)))
-            .withColumn(f"{prefix}_coarse", F.expr(digests(w, f"{lv} + 1")))
-            .drop(w))
+    """Add the digests ``<prefix>_digests``."""
+    h, at = f"{prefix}_hashes", f"{prefix}_starts"
+    return (df.withColumn(h, F.expr(word_hashes(text)))
+            .withColumn(at, F.expr(starts(h)))
+            .withColumn(f"{prefix}_digests", F.expr(digests(h, at)))
+            .drop(h, at))
+
+
+def n_blocks(n: str) -> str:
+    """SQL: the blocks that a number of digests is dealt over."""
+    return f"cast(pow(2, ceil(log2(greatest({n}, {BLOCK_DIGESTS}) / {BLOCK_DIGESTS}.0D))) as int)"
+
+
+def of_block(keys: str, block: str, blocks: str) -> str:
+    """SQL: the digests of a block; cells are found by other bits."""
+    return f"if({blocks} = 1, {keys}, filter({keys}, x -> pmod(shiftrightunsigned(x, 51), {blocks}) = {block}))"
 
 
 # --- sketches -----------------------------------------------------------------------------------
@@ -105,35 +125,36 @@ def peel(difference: str, cells: int) -> str:
             f"named_struct('a', t.a, 'b', t.b), null))[0]")
 
 
-def likeness(a: str, b: str) -> Column:
+def likeness(a: str, b: str, row_cells: tuple[int, ...] = ROW_CELLS) -> Column:
     """Shared paragraphs over all paragraphs of the texts with prefixes ``a`` and ``b``,
-    from their sketches' difference, at the finest level both have.
+    from their sketches' differences, block by block, with sketches of ``row_cells``.
 
-    Two texts without words are alike (1); texts whose levels are further apart (more
-    than twice as many words) share no paragraph (0).  Should every retry get stuck,
-    the digests themselves are compared.
+    Two texts without words are alike (1).  Should every retry of a block get stuck, its
+    digests themselves are compared.
     """
-    same = f"{a}_level = {b}_level"
-    left = f"if({same} OR {a}_level > {b}_level, {a}_fine, {a}_coarse)"
-    right = f"if({same} OR {b}_level > {a}_level, {b}_fine, {b}_coarse)"
-    tries = [peel(subtract(sketch("v.x", c), sketch("v.y", c)), c) for c in ROW_CELLS]
+    x, y = f"{a}_digests", f"{b}_digests"
+    tries = [peel(subtract(sketch("v.x", c), sketch("v.y", c)), c) for c in row_cells]
     plain = ("named_struct('a', size(array_except(v.x, v.y)), 'b', size(array_except(v.y, v.x)))")
     found = f"coalesce({', '.join(tries)}, {plain})"
+    blocks = (f"transform(array({n_blocks(f'greatest(size({x}), size({y}))')}), m -> transform(sequence(0, m - 1), "
+              f"j -> named_struct('x', {of_block(x, 'j', 'm')}, 'y', {of_block(y, 'j', 'm')})))[0]")
+    total = (f"aggregate(transform({blocks}, v -> {found}), named_struct('a', 0, 'b', 0), "
+             f"(t, d) -> named_struct('a', t.a + d.a, 'b', t.b + d.b))")
     # |shared| = |x| - a;  |all| = |x| + b
-    share = (f"transform(array({found}), d -> (size(v.x) - d.a) / cast(size(v.x) + d.b as double))[0]")
-    bound = f"transform(array(named_struct('x', {left}, 'y', {right})), v -> {share})[0]"
+    share = f"transform(array({total}), d -> (size({x}) - d.a) / cast(size({x}) + d.b as double))[0]"
     return F.expr(
-        f"CASE WHEN size({a}_fine) = 0 AND size({b}_fine) = 0 THEN 1.0D "
-        f"WHEN size({a}_fine) = 0 OR size({b}_fine) = 0 OR abs({a}_level - {b}_level) > 1 THEN 0.0D "
-        f"ELSE {bound} END")
+        f"CASE WHEN size({x}) = 0 AND size({y}) = 0 THEN 1.0D "
+        f"WHEN size({x}) = 0 OR size({y}) = 0 THEN 0.0D ELSE {share} END")
 
 
 def fingerprint(prefix: str) -> Column:
-    """The text's level, paragraphs and smallest sketch as one string: per cell the count,
-    the digests' xor and the low half of the checks' xor, in hex."""
-    cells = sketch(f"{prefix}_fine", ROW_CELLS[0])
+    """The numbers of blocks and paragraphs and each block's smallest sketch as one string:
+    per cell the count, the digests' xor and the low half of the checks' xor, in hex."""
+    keys, blocks = f"{prefix}_digests", n_blocks(f"size({prefix}_digests)")
+    cells = (f"transform(array({blocks}), m -> flatten(transform(transform(sequence(0, m - 1), "
+             f"j -> {of_block(keys, 'j', 'm')}), v -> {sketch('v', ROW_CELLS[0])})))[0]")
     return F.expr(
-        f"concat('iblt1:', {prefix}_level, ':', size({prefix}_fine), ':', array_join(transform({cells}, "
+        f"concat('iblt2:', {blocks}, ':', size({keys}), ':', array_join(transform({cells}, "
         f"x -> concat(lpad(lower(hex(x.n)), 2, '0'), lpad(lower(hex(x.k)), 16, '0'), "
         f"lpad(lower(hex(x.h & 4294967295L)), 8, '0'))), ''))")
 
@@ -197,7 +218,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
     for text, prefix in (("text", "a"), ("edited", "e"), ("next", "b")):
         rows = paragraphs(rows, text, prefix)
+    # neighbours mostly share nothing, for which the smallest sketch is too small
     return rows.select(
         "id", "n_chars", "edited_sha256", fingerprint("a").alias("fingerprint"),
         fingerprint("e").alias("edited_fingerprint"),
-        likeness("a", "e").alias("near_edited"), likeness("a", "b").alias("near_next"))
+        likeness("a", "e").alias("near_edited"), likeness("a", "b", ROW_CELLS[1:]).alias("near_next"))

@@ -71,6 +71,24 @@ def test_single_document_is_its_own_next(spark):
     assert r["near_next"] == 1.0 and r["n_chars"] == 35
 
 
+def test_likeness_of_edited_copies(spark):
+    """An early insertion, scattered changes of a long text, and a text within a longer one."""
+    words = [f"w{i}" for i in range(100_000)]
+    changed = [w + "x" if i % 7_000 == 3_000 else w for i, w in enumerate(words)]
+    pairs = [("early", words[:2_000], ["new"] + words[:2_000]), ("scattered", words, changed),
+             ("inside", words[:3_000], words[:1_000]), ("same", ["a"] * 500, ["a"] * 501),
+             ("other", words[:400], words[5_000:5_400])]
+    rows = [(2 * i + 1 - j, " ".join(t)) for i, p in enumerate(pairs) for j, t in enumerate(p[1:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    next_of = {r["id"]: r["near_next"] for r in iblt.fingerprints(docs).collect()}
+    got = {n: next_of[2 * i + 1] for i, (n, _, _) in enumerate(pairs)}
+    assert got["early"] > 0.95 and got["scattered"] > 0.99 and 0.25 < got["inside"] < 0.42
+    assert got["same"] > 0.3 and got["other"] == 0
+    sets = {r["doc_id"]: set(r["t_digests"]) for r in iblt.paragraphs(docs, "text", "t").collect()}
+    assert all(got[n] == len(sets[2 * i + 1] & sets[2 * i]) / len(sets[2 * i + 1] | sets[2 * i])
+               for i, (n, _, _) in enumerate(pairs))
+
+
 def test_fingerprint_plan_has_no_python(odd):
     plan = iblt.fingerprints(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
