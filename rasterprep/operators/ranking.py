@@ -106,3 +106,47 @@ def bucket_rank(df: DataFrame, key: Column, strata: Sequence[str] = (),
         res = res.withColumn(total_col, F.col(_TOTAL))
         extra.append(total_col)
     return res.select(*df.columns, *extra)
+
+
+# --- order-preserving index ---------------------------------------------------------------
+
+#: Values that cut the order of :func:`ordered_index` into ranges.
+RANGE_CUTS = 255
+
+
+def range_cuts(df: DataFrame, col: str, cuts: int = RANGE_CUTS) -> list:
+    """At most ``cuts`` values of ``col`` in ascending order, chosen by a hash, so that they cut
+    distinct values into ranges of like numbers.  They are all that reaches the driver."""
+    picked = df.select(col).where(F.col(col).isNotNull()).orderBy(F.xxhash64(col), col).limit(cuts)
+    return sorted({r[0] for r in picked.collect()})
+
+
+def ordered_index(df: DataFrame, col: str, out: str = "idx", sums: Sequence[str] = (),
+                  cuts: int = RANGE_CUTS) -> DataFrame:
+    """Add ``out``, the 0-based position of each row in the order of ``col`` (unique, not null),
+    and for every column of ``sums`` the sum ``<column>_before`` over the rows before.
+
+    Rows are dealt over ranges of ``col`` and ranked within their range; the counts (and
+    sums) of earlier ranges are added by a join with a table of ``cuts`` + 1 rows.  So no task
+    sorts the whole column, whatever the number of values.  Only the choice of the cuts runs
+    at once.
+    """
+    marks = range_cuts(df, col, cuts)
+    kind = df.schema[col].dataType
+    at = F.lit(0)
+    if marks:
+        at = F.size(F.filter(F.array(*[F.lit(m).cast(kind) for m in marks]), lambda m: m <= F.col(col)))
+    dealt = df.withColumn(_BUCKET, at)
+    per = dealt.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias(_CNT), *[F.sum(s).alias(f"__sum_{s}") for s in sums])
+    # every range gives its numbers to all later ones: at most (cuts + 1)**2 / 2 small rows
+    later = per.where(F.col(_BUCKET) < len(marks)).withColumn(
+        _BUCKET, F.explode(F.sequence(F.col(_BUCKET) + 1, F.lit(len(marks)))))
+    start = later.groupBy(_BUCKET).agg(F.sum(_CNT).alias(_START), *[F.sum(f"__sum_{s}").alias(f"__sum_{s}") for s in sums])
+    order = Window.partitionBy(_BUCKET).orderBy(col)
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    ranked = dealt.withColumn(_RN, F.row_number().over(order)).withColumns(
+        {f"{s}_before": F.coalesce(F.sum(s).over(before), F.lit(0)) for s in sums})
+    found = ranked.join(start, _BUCKET, "left")
+    return found.select(
+        *df.columns, (F.coalesce(_START, F.lit(0)) + F.col(_RN) - 1).cast("long").alias(out),
+        *[(F.col(f"{s}_before") + F.coalesce(f"__sum_{s}", F.lit(0))).alias(f"{s}_before") for s in sums])
