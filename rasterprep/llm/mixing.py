@@ -30,6 +30,8 @@ BLOCK_WORDS, SHARD_SLOTS = 64, 4096
 MAX_SHARDS = 1 << 16
 #: Texts of one bucket of the placing, about.
 BUCKET_ROWS = 1024
+#: Slots that a task makes, about, and tasks at most.
+TASK_SLOTS, MAX_TASKS = 1 << 17, 1 << 16
 #: Rounds of the permutation.
 ROUNDS = 24
 #: One slot in the whole-number arithmetic of the draws.
@@ -173,10 +175,12 @@ def mix_slots(targets: DataFrame, seed: int, shard_slots: int = SHARD_SLOTS) ->
     the cap allows: slots beyond stay empty.
     """
     earlier = Window.partitionBy("idx").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    slots = targets.where("size > 0").agg(F.sum(F.ceil(F.expr("target * blocks / size"))).alias("n")).first()["n"] or 0
+    tasks = min(MAX_TASKS, 1 + slots // TASK_SLOTS)     # the rows to deal are few, what they become is not
     counts = shard_counts(targets, seed, shard_slots).withColumn(
         "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)))         # at most MAX_SHARDS rows a source
     counts = (counts.withColumn("n", F.least(F.col("n"), F.col("cap_slots") - F.col("first"))).where("n > 0")
-              .repartition("idx", "shard"))                              # before slots become rows
+              .repartition(tasks, "idx", "shard"))
     slots = counts.select("idx", "blocks", "shard", F.explode(F.expr("sequence(first, first + n - 1)")).alias("slot"))
     slots = slots.withColumn("pass", F.expr("slot div blocks")).withColumn("at", F.expr("slot % blocks"))
     return slots.select("idx", "shard", "slot", permuted("at", "blocks", "idx", "pass", seed=seed).alias("block"))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterprep.llm.common import chunk_texts, materialize, text_chunks
-from rasterprep.llm.tokens import REMEMBERED, encoder
+from rasterprep.llm.tokens import REMEMBERED, encoder, forget_encoders
 
 PIECE_COLUMNS = "piece int, start long, length long, ids binary, part int, nth long"
 PLAN_SCHEMA = ("length long, rank_lo long, rank_hi long, per_bin long, first_sequence long, "
@@ -98,15 +98,24 @@ def plan_rows(bins: list[tuple[dict[int, int], int]]) -> list[tuple]:
 # --- pieces ------------------------------------------------------------------------------------
 
 def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int,
-                 id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED) -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text", remembered: int = REMEMBERED,
+                 keep_words: bool = True) -> DataFrame:
     """Each document's ids and ``end_id``, cut into pieces of ``capacity`` from its end, so
     that only the first piece may be shorter.
 
     Returns ``(id, piece, start, length, ids, part, nth)``: ``ids`` are little-endian
     unsigned 32-bit integers; ``part`` is the task and ``nth`` counts its earlier pieces
-    of the same length.
+    of the same length.  Without ``keep_words`` a worker forgets its words (and the
+    tokenizer) when a task ends.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from encoded(batches)
+        finally:
+            if not keep_words:
+                forget_encoders()
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, False, remembered)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
@@ -169,16 +178,19 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048,
          id_col: str = "doc_id", text_col: str = "text",
-         instead_of_ids: dict[str, Column] | None = None, remembered: int = REMEMBERED) -> DataFrame:
+         instead_of_ids: dict[str, Column] | None = None, remembered: int = REMEMBERED,
+         keep_words: bool = True) -> DataFrame:
     """Pack all documents' tokens into sequences of at most ``capacity``.
 
     Returns ``(id, piece, start, length, ids, sequence_id, offset)`` per piece; offsets of
     a sequence are gapless from 0.  ``instead_of_ids`` names columns over ``ids`` that are
     returned in its place, computed before pieces are shuffled.  ``remembered`` words are
-    kept by a worker: fewer take less memory and more time.  A null or empty text is its end id alone; null and
+    kept by a worker: fewer take less memory and more time; without ``keep_words`` only until
+    its task ends, which leaves the memory to later stages of other kinds.  A null or empty text is its end id alone; null and
     repeated ids are kept as rows of their own; an empty table gives an empty result.
     """
-    pieces = materialize(token_pieces(docs, tokenizer, end_id, capacity, id_col, text_col, remembered), "pieces")
+    pieces = materialize(token_pieces(docs, tokenizer, end_id, capacity, id_col, text_col, remembered, keep_words),
+                         "pieces")
     if instead_of_ids is not None:
         pieces = pieces.withColumns(instead_of_ids).drop("ids")
     return place(pieces, capacity).drop("part", "nth")

@@ -91,3 +91,8 @@ def encoder(path: str, blank_free: bool, limit: int = REMEMBERED) -> LibraryEnco
     if key not in _ENCODERS:
         _ENCODERS[key] = LibraryEncoder(path, blank_free, limit)
     return _ENCODERS[key]
+
+
+def forget_encoders() -> None:
+    """Free the worker's encoders with all words that they remember."""
+    _ENCODERS.clear()
