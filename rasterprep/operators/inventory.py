@@ -1,21 +1,21 @@
 """Inventory validation: do the component folders of each patch hold any object?
 
 The source checks every patch with three list calls against the object store.
-Here the store is listed once (``sources.objects.list_objects``), every object
-contributes its ancestor folders, and each component path is matched against
-that distinct folder set with an equi-join: list calls go from 3 per patch to
-one listing per root, and the check is a shuffle join that scales with the
-cluster (J1, J2, A1, X12, A7).
+Here the store is listed once (``sources.listing``) and the distinct component prefixes
+are merged with the object paths in sorted ranges: a prefix exists if the first path at or
+after it starts with it.  Each object is shuffled once, as it is, whatever the depth of its
+path (J1, J2, A1, X12, A7).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterprep.functions import paths as P
+from rasterprep.operators.ranking import range_cuts, range_of
 
 DEFAULT_COMPONENTS = {"s1": "s1_path", "s2": "s2_path", "ref": "reference_path"}
 
@@ -29,22 +29,32 @@ def folder_key(c: Column | str) -> Column:
     return F.regexp_replace(col, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?/*|/+$", "")
 
 
-def object_folders(inventory: DataFrame, path_col: str = "path") -> DataFrame:
-    """Distinct ancestor folders of all objects, as ``folder`` (normalised keys).
+def existing_prefixes(prefixes: DataFrame, inventory: DataFrame, path_col: str = "path",
+                      ranges: int | None = None) -> DataFrame:
+    """The distinct ``folder`` keys of ``prefixes`` below which some object lies.
 
-    ``a/b/c/f.tif`` yields ``a``, ``a/b``, ``a/b/c``.  Path depth is small and
-    bounded, and the distinct runs with map-side partial aggregation, so a
-    folder holding a third of all objects is combined before the shuffle.
+    Prefixes (closed by "/") and object paths go into one sorted order, cut into ``ranges``
+    (default: the session's shuffle partitions); a running window carries each path back to
+    the prefixes before it.  The cuts are object paths themselves, so where a range has no
+    path after a prefix, the next range's cut is the first one.  Choosing the cuts reads
+    the paths once more, and is all that runs at once; the result is lazy.
     """
-    keys = inventory.select(folder_key(path_col).alias("__k"))
-    depth = F.size(F.split("__k", "/"))
-    # a generator + substring_index, no lambda: the plan then canonicalises identically
-    # wherever it is reused, so joins against it share one exchange
-    return (keys.where(depth > 1)
-            .select("__k", F.explode(F.sequence(F.lit(1), depth - 1)).alias("__i"))
-            .select(F.call_function("substring_index", F.col("__k"), F.lit("/"), F.col("__i"))
-                    .alias("folder"))
-            .distinct())
+    spark = inventory.sparkSession
+    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    objects = inventory.select(folder_key(path_col).alias("key")).where("key IS NOT NULL")
+    marks = range_cuts(objects, "key", max(1, n - 1))
+    asked = prefixes.select("folder").where("folder IS NOT NULL").distinct().select(
+        F.concat("folder", F.lit("/")).alias("key"), F.col("folder"))
+    both = objects.select("key", F.lit(None).cast("string").alias("folder")).unionByName(asked)
+    # descending, so that the frame that carries the last path seen only grows
+    order = Window.partitionBy("range").orderBy(F.col("key").desc())
+    seen = F.last(F.when(F.col("folder").isNull(), F.col("key")), ignorenulls=True).over(
+        order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    following = F.get(F.array(*[F.lit(m) for m in marks]), F.col("range")) if marks else F.lit(None).cast("string")
+    return (both.withColumn("range", range_of("key", marks, "string"))
+            .withColumn("first", F.coalesce(seen, following))
+            .where(F.col("folder").isNotNull() & F.startswith("first", "key"))
+            .select("folder"))
 
 
 def validate_components(meta: DataFrame, inventory: DataFrame, id_col: str = "patch_id",
@@ -58,12 +68,14 @@ def validate_components(meta: DataFrame, inventory: DataFrame, id_col: str = "pa
     missing, as a failed list call does in the source.
 
     A row without a valid path gets a salted key that no folder has, so invalid rows spread
-    over all partitions of the joins.  The distinct folder table is the *same* DataFrame on the right of every
-    component join, so Spark builds it once and reuses the exchange: the
-    listing is scanned once, not once per component.
+    over all partitions of the joins.  The table of existing prefixes (see
+    :func:`existing_prefixes`) is the *same* DataFrame on the right of every component join,
+    so Spark builds it once and reuses the exchange.
     """
-    folders = object_folders(inventory, path_col)
     names = list(components)
+    asked = meta.select(F.explode(F.array(*[
+        F.when(P.valid_uri(components[n], schemes), folder_key(components[n])) for n in names])).alias("folder"))
+    folders = existing_prefixes(asked, inventory, path_col)
     # folder keys have no leading slash, so this key matches none
     nowhere = F.concat(F.lit("/"), F.pmod(F.xxhash64(id_col), F.lit(1 << 20)).cast("string"))
     out = meta.select(id_col, *keep,
@@ -91,8 +103,9 @@ def missing_components(validation: DataFrame) -> DataFrame:
 def missing_of(meta: DataFrame, inventory: DataFrame, path: str, id_col: str = "patch_id",
                path_col: str = "path") -> DataFrame:
     """J2, single component: metadata rows whose ``path`` folder holds no object (``left_anti``)."""
-    folders = object_folders(inventory, path_col)
-    return (meta.withColumn("__k", folder_key(path))
+    keyed = meta.withColumn("__k", folder_key(path))
+    folders = existing_prefixes(keyed.select(F.col("__k").alias("folder")), inventory, path_col)
+    return (keyed
             .join(folders, F.col("__k") == F.col("folder"), "left_anti").drop("__k"))
 
 

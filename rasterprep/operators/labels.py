@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rasterprep.operators.ranking import ordered_index
+
 
 def distinct_labels(df: DataFrame, labels_col: str = "labels") -> DataFrame:
     """Set union of all label lists, one ``label`` per row."""
@@ -20,9 +22,12 @@ def distinct_labels(df: DataFrame, labels_col: str = "labels") -> DataFrame:
 
 
 def label_vocab(df: DataFrame, labels_col: str = "labels") -> DataFrame:
-    """Sorted distinct labels (binary code-point order) numbered from 0: ``(label, idx)``."""
-    w = Window.orderBy("label")  # one task over the distinct set: bounded by the label domain
-    return distinct_labels(df, labels_col).withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
+    """Sorted distinct labels (binary code-point order) numbered from 0: ``(label, idx)``.
+
+    Labels are ranked within ranges of their order (``ranking.ordered_index``), so no task sorts
+    the whole domain, however large it is.
+    """
+    return ordered_index(distinct_labels(df, labels_col), "label")
 
 
 def label_index_lookup(df: DataFrame, vocab: DataFrame, id_col: str,

@@ -121,6 +121,26 @@ def range_cuts(df: DataFrame, col: str, cuts: int = RANGE_CUTS) -> list:
     return sorted({r[0] for r in picked.collect()})
 
 
+def range_of(c: Column | str, marks: Sequence, kind) -> Column:
+    """The number of ``marks`` (ascending) that are at most ``c``: the range that it falls into.
+
+    The marks are literals, looked up in two steps of about their square root.
+    """
+    col = F.col(c) if isinstance(c, str) else c
+    if not marks:
+        return F.lit(0)
+    width = max(1, int(len(marks) ** 0.5))
+    groups = [marks[lo:lo + width] for lo in range(0, len(marks), width)]
+
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda m: m <= col))
+
+    heads = F.array(*[F.lit(g[0]).cast(kind) for g in groups])
+    tails = F.array(*[F.array(*[F.lit(m).cast(kind) for m in g]) for g in groups])
+    at = below(heads)
+    return F.when(at > 0, (at - 1) * width + below(F.get(tails, at - 1))).otherwise(F.lit(0))
+
+
 def ordered_index(df: DataFrame, col: str, out: str = "idx", sums: Sequence[str] = (),
                   cuts: int = RANGE_CUTS) -> DataFrame:
     """Add ``out``, the 0-based position of each row in the order of ``col`` (unique, not null),
@@ -133,10 +153,7 @@ def ordered_index(df: DataFrame, col: str, out: str = "idx", sums: Sequence[str]
     """
     marks = range_cuts(df, col, cuts)
     kind = df.schema[col].dataType
-    at = F.lit(0)
-    if marks:
-        at = F.size(F.filter(F.array(*[F.lit(m).cast(kind) for m in marks]), lambda m: m <= F.col(col)))
-    dealt = df.withColumn(_BUCKET, at)
+    dealt = df.withColumn(_BUCKET, range_of(col, marks, kind))
     per = dealt.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias(_CNT), *[F.sum(s).alias(f"__sum_{s}") for s in sums])
     # every range gives its numbers to all later ones: at most (cuts + 1)**2 / 2 small rows
     later = per.where(F.col(_BUCKET) < len(marks)).withColumn(

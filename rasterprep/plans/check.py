@@ -1,8 +1,8 @@
 """Metadata -> optional exact sample -> component validation -> summary report.
 
 Instead of three list calls per patch, the folders the metadata points at are
-listed in the tasks (``sources.objects.list_under``), and validation is a set of
-equi-joins (J1).
+listed page by page in the tasks (``sources.listing.list_frontier``), and the component
+prefixes are merged with the listed paths (J1).
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from rasterprep.operators import inventory as INV
 from rasterprep.operators import sampling as S
 from rasterprep.sinks import writers as W
-from rasterprep.sources import objects as O
+from rasterprep.sources import listing as L
 
 
 def check(meta: DataFrame, inventory: DataFrame, fraction: float = 1.0,
@@ -50,17 +50,18 @@ def listing_prefixes(meta: DataFrame, components: tuple[str, ...] = ("s1_path",
 
 def check_files(spark: SparkSession, meta: DataFrame, out: str, fraction: float = 1.0,
                 level: int = 1, schemes: tuple[str, ...] = ("s3",),
-                partitions: int | None = None) -> None:
+                page_size: int = L.PAGE_SIZE, reader: L.PageReader = L.read_page) -> None:
     """Run C8 and write the report to ``out``.
 
-    Objects are listed in ``partitions`` tasks, under the folders the (sampled) metadata
-    points at (``sources.objects.list_under``).
+    Objects are listed below the folders the (sampled) metadata points at, in rounds of pages
+    of ``page_size`` names that ``reader`` reads; the rounds stay in ``{out}/listing``.
     """
     S.check_fraction(fraction)
     if fraction < 1.0:
         meta = S.sample_stratified(meta, fraction, "patch_id",
                                    strata=["split"] if "split" in meta.columns else None)
-    inventory = O.list_under(listing_prefixes(meta, level=level), partitions=partitions).select("path")
+    inventory = L.list_frontier(listing_prefixes(meta, level=level), f"{out.rstrip('/')}/listing",
+                                page_size=page_size, reader=reader).select("path").distinct()
     _, summary, missing = check(meta, inventory, 1.0, schemes=schemes)
     summary = summary.withColumn("fraction_used", F.lit(float(fraction)))
     W.write_validation_report(summary, missing, out)
