@@ -30,11 +30,14 @@ def remap_classes(px: Column | str, lut: Sequence[int] | None = None) -> Column:
     """P10: per-pixel class code -> dense index through ``lut`` (default: the class table).
 
     Codes the table does not list (below its size) map to 0; a code outside the
-    table gives a NULL element -- use ``has_null`` to reject the row.  ``get``
-    rather than ``element_at``: the latter raises under ANSI mode.
+    table, or one that is no whole number, gives a NULL element -- use ``has_null`` to
+    reject the row.  ``get`` rather than ``element_at``: the latter raises under ANSI mode.
     """
-    table = int_array_literal(lut if lut is not None else schemas.class_lut())
-    return F.transform(_col(px), lambda v: F.get(table, v.cast("int")))
+    values = lut if lut is not None else schemas.class_lut()
+    table = int_array_literal(values)
+    # the range first: a cast of NaN or of a huge value would raise under ANSI mode
+    return F.transform(_col(px), lambda v: F.when(
+        (v >= 0) & (v < len(values)), F.when(v.cast("int") == v, F.get(table, v.cast("int")))))
 
 
 def has_null(arr: Column | str) -> Column:
@@ -42,6 +45,11 @@ def has_null(arr: Column | str) -> Column:
     return F.coalesce(F.exists(_col(arr), lambda v: v.isNull()), F.lit(True))
 
 
+def has_fraction(arr: Column | str) -> Column:
+    """True when some element is a finite number with a fraction."""
+    return F.coalesce(F.exists(_col(arr), lambda v: (F.abs(v) < float("inf")) & (v % 1 != 0)), F.lit(False))
+
+
 def stack_bands(*bands: Column | str) -> Column:
     """Equal-length bands -> one channel-last array (pixel-major, band-minor).
 

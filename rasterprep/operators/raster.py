@@ -154,8 +154,7 @@ def stage_tensors(patches: DataFrame, image_bands: Sequence[str] = schemas.IMAGE
             h, w = A.padded_shape(c["height"], c["width"], th, tw)
             fields = [h.alias("height"), w.alias("width"),
                       A.pad_to_size(c["pixels"], c["height"], c["width"], th, tw).alias("pixels")]
-            if has_error:
-                fields.append(c["error"].alias("error"))
+            fields += [c[k].alias(k) for k in ("dtype", "error") if k in patches.schema[name].dataType.fieldNames()]
             padded[name] = F.when(c.isNotNull(), F.struct(*fields))
         df = df.withColumns(padded)
     first = b(image_bands[0])
@@ -165,6 +164,9 @@ def stage_tensors(patches: DataFrame, image_bands: Sequence[str] = schemas.IMAGE
         same_shape = same_shape & (c["height"] == first["height"]) & (c["width"] == first["width"]) \
             & A.shape_ok(c["pixels"], c["height"], c["width"])
     label_idx = A.remap_classes(b(label_band)["pixels"])
+    # pixels are float32 here; the type that a band's file had is a column of its own
+    typed = label_band in patches.columns and "dtype" in patches.schema[label_band].dataType.fieldNames()
+    integer = b(label_band)["dtype"].rlike("^u?int") if typed else F.lit(True)
     absent = F.filter(F.array(*[F.when(b(n).isNull() | (failed(n) & b(n)["error"].rlike(MISSING_PATTERN)
                                                         if has_error else b(n).isNull()), F.lit(n))
                                 for n in bands]), lambda x: x.isNotNull())
@@ -175,9 +177,12 @@ def stage_tensors(patches: DataFrame, image_bands: Sequence[str] = schemas.IMAGE
     reason = (F.when(F.size(broken) > 0, F.lit("decode_error"))
               .when(F.size(absent) > 0, F.lit("missing_band"))
               .when(~F.coalesce(same_shape, F.lit(False)), F.lit("shape_mismatch"))
+              .when(~integer | A.has_fraction(b(label_band)["pixels"]), F.lit("bad_dtype"))
               .when(A.has_null(label_idx), F.lit("code_out_of_range")))
     detail = (F.when(F.size(broken) > 0, F.array_join(broken, "; "))
-              .when(F.size(absent) > 0, F.array_join(absent, ",")))
+              .when(F.size(absent) > 0, F.array_join(absent, ","))
+              .when(F.coalesce(same_shape, F.lit(False)) & ~integer,
+                    F.concat(F.lit(f"{label_band}: "), b(label_band)["dtype"]) if typed else F.lit(None).cast("string")))
     return df.select(
         "patch_id", *kept, reason.alias("reason"), detail.alias("detail"),
         first["height"].alias("height"), first["width"].alias("width"),

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from rasterprep import schemas
 from rasterprep.operators.raster import band_entries
-from rasterprep.sources.objects import MISSING, Decoder, load_band, npy_decoder
+from rasterprep.sources.objects import MISSING, NUMERIC_KINDS, Decoder, as_float32, load_band, npy_decoder
 
 IMAGE_GROUP = {"image": tuple(schemas.IMAGE_BANDS)}
 
@@ -40,7 +40,9 @@ def pack_patch_arrays(bands: Mapping[str, tuple[np.ndarray | None, str | None]],
     """Check, pad, stack and remap one patch: ``reason, detail, height, width, <groups>, label``.
 
     ``bands`` maps a band to ``(array, error)``; an error that starts with ``missing`` is an
-    absent band, any other a broken one.
+    absent band, any other a broken one.  Image bands hold numbers that float32 can hold, the
+    class map whole numbers of an integer type: any other type is a ``bad_dtype``, and no
+    result of a decoder raises here.
     """
     out = dict.fromkeys(("reason", "detail", "height", "width", "label", *groups))
     absent = [b for b, (_, e) in bands.items() if e is not None and e.startswith(MISSING)]
@@ -49,19 +51,29 @@ def pack_patch_arrays(bands: Mapping[str, tuple[np.ndarray | None, str | None]],
         return out | {"reason": "decode_error", "detail": "; ".join(broken)}
     if absent:
         return out | {"reason": "missing_band", "detail": ",".join(absent)}
-    arrays = {}
+    wrong, arrays = [], {}
+    for b, (arr, _) in bands.items():
+        if arr is not None and arr.dtype.kind not in (schemas.CLASS_KINDS if b == label_band else NUMERIC_KINDS):
+            wrong.append(f"{b}: {arr.dtype}")
+    if wrong:
+        return out | {"reason": "bad_dtype", "detail": "; ".join(wrong)}
     for b, (arr, _) in bands.items():
         if pad_to is not None and arr is not None:
             arr = np.pad(arr, [(0, max(0, pad_to[0] - arr.shape[0])), (0, max(0, pad_to[1] - arr.shape[1]))])
         arrays[b] = arr
     if any(a is None or a.size == 0 for a in arrays.values()) or len({a.shape for a in arrays.values()}) != 1:
         return out | {"reason": "shape_mismatch"}
-    codes = arrays[label_band].astype(np.int64)
+    codes = arrays[label_band]
     if codes.min() < 0 or codes.max() >= len(table):
         return out | {"reason": "code_out_of_range"}
+    codes = codes.astype(np.int64)
+    try:
+        exact = {b: as_float32(arrays[b]) for members in groups.values() for b in members}
+    except ValueError as e:
+        return out | {"reason": "bad_dtype", "detail": str(e)}
     out["height"], out["width"] = codes.shape
     for name, members in groups.items():
-        out[name] = np.stack([arrays[b] for b in members], -1).astype("<f4").tobytes()
+        out[name] = np.stack([exact[b] for b in members], -1).astype("<f4").tobytes()
     out["label"] = table[codes].astype("u1").tobytes()
     return out
 
@@ -96,7 +108,7 @@ def stage_packed(patches: DataFrame, image_bands: Sequence[str] = schemas.IMAGE_
     out_schema = _staged_schema([patches.schema[k] for k in passed], groups)
     names = out_schema.fieldNames()
 
-    def band(value) -> tuple[np.ndarray | None, str | None]:
+    def band(name: str, value) -> tuple[np.ndarray | None, str | None]:
         if value is None:
             return None, f"{MISSING} band"
         if value.get("error") is not None:
@@ -104,14 +116,22 @@ def stage_packed(patches: DataFrame, image_bands: Sequence[str] = schemas.IMAGE_
         pixels, h, w = value["pixels"], value["height"], value["width"]
         if pixels is None or h is None or w is None or len(pixels) != h * w:
             return None, None
-        return np.asarray(pixels, np.float32).reshape(h, w), None
+        arr = np.asarray(pixels, np.float32).reshape(h, w)
+        if name != label_band:
+            return arr, None
+        # pixels travel as float32: the type that the file had decides, or whole numbers where it is not known
+        if value.get("dtype"):
+            whole = np.dtype(value["dtype"]).kind in schemas.CLASS_KINDS
+        else:
+            whole = bool((arr == np.floor(arr)).all())
+        return (arr.astype(np.int64) if whole else arr), None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 64):
                 part = batch.slice(lo, 64)
                 columns = {b: part.column(part.schema.get_field_index(b)).to_pylist() for b in bands}
-                rows = [pack_patch_arrays({b: band(columns[b][i]) for b in bands}, groups, label_band, table, pad_to)
+                rows = [pack_patch_arrays({b: band(b, columns[b][i]) for b in bands}, groups, label_band, table, pad_to)
                         for i in range(part.num_rows)]
                 yield _staged_batch(part, passed, rows, groups, names)
 

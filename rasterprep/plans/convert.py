@@ -2,10 +2,11 @@
 
 The sampled metadata (small) is written first, with a row-unique ``sample_id``; every
 later count and join uses it.  Each split's patches are read, decoded and packed by the
-tasks and written as they come; no pixel is shuffled or kept.  Patches absent from the
-written data are staged once more into a small table, from which recovered samples are
-appended to the dataset and the others go to ``rejects``: every requested row ends in
-one of the two, or the job fails.
+tasks and written as they come; no pixel is shuffled or kept.  The write itself counts good
+and bad patches.  Bad ones are staged once more into a small table, from which recovered
+samples are appended to the dataset and the others go to ``rejects``: every requested row
+ends in one of the two, or the job fails.  All tables belong to a version that becomes
+current only then.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import platform
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rasterprep import schemas
@@ -26,7 +27,7 @@ from rasterprep.operators import tensors as TZ
 from rasterprep.sinks import writers as W
 from rasterprep.sources import objects as O
 
-BAND_FIELDS = ("height", "width", "pixels", "error")
+BAND_FIELDS = ("height", "width", "pixels", "dtype", "error")
 PACKED_COLUMNS = ("sample_id", "patch_id", "image", "label", "height", "width", "channels", "split")
 
 
@@ -112,31 +113,48 @@ def conversion_partitions(spark: SparkSession, rows: int, cores: int | None = No
     return max(1, min(max(rows, 1), max(slots * 4, by_size)))
 
 
+def _observed(staged: DataFrame) -> tuple[DataFrame, Observation]:
+    """Staged rows that count themselves, good and bad and per split, while they are written.
+
+    The counts belong to the write's own tasks and count a partition once, also where a task
+    had to be repeated.
+    """
+    seen = Observation()
+    good = F.col("reason").isNull()
+    return staged.observe(
+        seen, F.count_if(~good).alias("bad"), F.count_if(good).alias("good"),
+        *[F.count_if(good & (F.col("split") == sp)).alias(sp) for sp in schemas.SPLITS]), seen
+
+
 def convert(spark: SparkSession, meta: DataFrame, out: str, fraction: float = 1.0,
             suffix: str = schemas.RASTER_SUFFIX, decoder: O.Decoder = O.npy_decoder,
             pad_to: tuple[int, int] | None = None, target_file_mb: float | None = 50,
-            encode_bytes: bool = True, cores: int | None = None, executors: int | None = None) -> dict:
+            encode_bytes: bool = True, cores: int | None = None, executors: int | None = None,
+            keep_versions: int = 0) -> dict:
     """Run C7; returns the profile summary.
 
-    Writes ``{out}/data`` (split datasets, replacing an earlier run's), ``{out}/rejects``,
-    ``{out}/manifest`` (the sampled rows) and ``{out}/profile/conversion_profile.json`` and
-    ``.txt``.  Counts per split: requested (sampled) and written (D6); requested =
-    written + rejected, else the job fails.  ``encode_bytes=False`` writes array tensors.
+    Writes a new version of ``{out}/data`` (split datasets), ``{out}/rejects`` and
+    ``{out}/manifest`` (the sampled rows) and, once all is written and accounted for, makes it
+    the current one (``writers.publish``); a run that fails before leaves the earlier
+    version in use.  ``{out}/profile/conversion_profile.json`` and ``.txt`` are replaced.
+    Counts per split: requested (sampled) and written (D6), observed while writing; requested
+    = written + rejected, else the job fails.  ``encode_bytes=False`` writes array tensors;
+    ``keep_versions`` earlier versions stay readable.
     """
-    log, out = StepLog(), out.rstrip("/")
+    log, out, version = StepLog(), out.rstrip("/"), W.new_version()
+    data, rejects, listed = (W.version_path(out, t, version) for t in W.VERSION_TABLES)
     if "s1_path" not in meta.columns:
         raise ValueError("metadata needs s1_path/s2_path/reference_path (see raster.with_paths)")
 
     def manifest() -> DataFrame:
         sampled = S.split_dataset(meta.drop("sample_id"), fraction, id_col="patch_id")
         sampled = sampled.withColumn("sample_id", F.monotonically_increasing_id())
-        sampled.write.mode("overwrite").parquet(f"{out}/manifest")
-        return spark.read.schema(sampled.schema).parquet(f"{out}/manifest")
+        sampled.write.parquet(listed)
+        return spark.read.schema(sampled.schema).parquet(listed)
 
     def prepare() -> None:
-        """Settings and an empty dataset: what an earlier run left there is gone."""
-        spark.createDataFrame([], schema).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").partitionBy("split").parquet(f"{out}/data")
+        """Settings and an empty dataset, so that one without samples can be read."""
+        spark.createDataFrame([], schema).write.partitionBy("split").parquet(data)
 
     def good(staged: DataFrame) -> DataFrame:
         samples = TZ.split_packed(staged)[0].select(*PACKED_COLUMNS)
@@ -146,13 +164,14 @@ def convert(spark: SparkSession, meta: DataFrame, out: str, fraction: float = 1.
         writer = rows.write.mode("append").partitionBy("split")
         if target_file_mb:
             writer = writer.option("maxRecordsPerFile", W.records_per_file(target_file_mb))
-        writer.parquet(f"{out}/data")
+        writer.parquet(data)
 
     sampled = log.run("read_metadata", manifest)
     requested = {r["split"]: r["rows"] for r in S.split_counts(sampled.select("split")).collect()}
     schema = good(stage(sampled, suffix, decoder, pad_to)).schema
     log.run("spark_init", prepare)
     slots = executors or 1
+    written, bad = dict.fromkeys(schemas.SPLITS, 0), 0
     for sp in schemas.SPLITS:
         n = int(requested.get(sp, 0))
         parts = conversion_partitions(spark, n, cores, executors)
@@ -161,38 +180,50 @@ def convert(spark: SparkSession, meta: DataFrame, out: str, fraction: float = 1.
         log.record(f"{sp}_tasks_per_executor", max(1, parts // slots) if n else 0)
         log.record(f"{sp}_total_data_size_gb", round(n * schemas.BYTES_PER_SAMPLE / (1 << 30), 2))
 
-        def write_split(sp=sp, n=n, parts=parts) -> None:
-            if n:       # X2: an empty split has no folder
-                append(good(stage(sampled.where(F.col("split") == sp), suffix, decoder, pad_to, partitions=parts)))
-
-        log.run(f"write_{sp}", write_split, rows=n)
-
-    def reject() -> DataFrame:
-        """Stage what is absent once more, into one table; append what is good now."""
-        done = spark.read.schema(schema).parquet(f"{out}/data").select("sample_id")
-        missing = sampled.join(done, "sample_id", "left_anti")
-        total = conversion_partitions(spark, int(requested.get("total", 0)), cores, executors)
-        stage(missing, suffix, decoder, pad_to, partitions=total).write.mode("overwrite").parquet(f"{out}/restaged")
-        staged = spark.read.schema(TZ.read_patches(sampled).schema).parquet(f"{out}/restaged")
-        recovered = staged.where(F.col("reason").isNull())
-        if recovered.select("sample_id").limit(1).count():
+        def write_split(sp=sp, n=n, parts=parts) -> dict:
+            if not n:   # X2: an empty split has no folder
+                return {"good": 0, "bad": 0}
+            staged, seen = _observed(
+                stage(sampled.where(F.col("split") == sp), suffix, decoder, pad_to, partitions=parts))
             append(good(staged))
-        TZ.split_packed(staged)[1].write.mode("overwrite").parquet(f"{out}/rejects")
-        return spark.read.schema(schemas.REJECTS_SCHEMA).parquet(f"{out}/rejects")
-
-    rejected = int(log.run("write_rejects", reject).count())
-    written = {r["split"]: r["samples"] for r in log.run(
-        "count_written", lambda: spark.read.schema(schema).parquet(f"{out}/data")
-        .groupBy("split").agg(F.count(F.lit(1)).alias("samples")).collect())}
+            return seen.get
+
+        counts = log.run(f"write_{sp}", write_split, rows=n)
+        written[sp] += counts["good"]
+        bad += counts["bad"]
+
+    def reject() -> int:
+        """Stage what was rejected once more, into one table; append what is good now."""
+        if not bad:
+            spark.createDataFrame([], schemas.REJECTS_SCHEMA).write.parquet(rejects)
+            return 0
+        done = spark.read.schema(schema).parquet(data).select("sample_id")
+        missing = sampled.join(done, "sample_id", "left_anti")
+        staged, seen = _observed(stage(missing, suffix, decoder, pad_to,
+                                       partitions=conversion_partitions(spark, bad, cores, executors)))
+        staged.write.mode("overwrite").parquet(f"{out}/restaged")
+        again = spark.read.schema(staged.schema).parquet(f"{out}/restaged")
+        counts = seen.get
+        if counts["good"]:
+            append(good(again))
+        for sp in schemas.SPLITS:
+            written[sp] += counts[sp]
+        TZ.split_packed(again)[1].write.parquet(rejects)
+        return counts["bad"]
+
+    rejected = int(log.run("write_rejects", reject))
     for sp in schemas.SPLITS:
-        log.record(f"{sp}_samples", int(written.get(sp, 0)))
+        log.record(f"{sp}_samples", int(written[sp]))
     total = int(sum(written.values()))
     log.record("total_rows", total)
     log.record("rejected", rejected)
     log.record("dataset_size_gb", round(total * schemas.BYTES_PER_SAMPLE / (1 << 30), 2))
     log.log(f"{total} samples written, {rejected} rejected")
+    wanted = int(requested.get("total", 0))
+    if wanted == total + rejected:
+        log.run("publish", lambda: W.publish(out, version, {"samples": total, "rejected": rejected}, keep_versions))
     W.write_small_file(f"{out}/profile/conversion_profile.json", log.to_json())
     W.write_small_file(f"{out}/profile/conversion_profile.txt", log.to_text())
-    if int(requested.get("total", 0)) != total + rejected:
-        raise RuntimeError(f"{requested.get('total', 0)} rows requested, {total} written, {rejected} rejected")
+    if wanted != total + rejected:
+        raise RuntimeError(f"{wanted} rows requested, {total} written, {rejected} rejected")
     return json.loads(log.to_json())["summary"]

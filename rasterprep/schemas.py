@@ -63,6 +63,9 @@ def class_lut() -> list[int]:
 # Struct types
 # ---------------------------------------------------------------------------
 
+#: Kinds of numpy items that a class map may hold: whole numbers, signed or not.
+CLASS_KINDS = "iu"
+
 REJECTS_SCHEMA = T.StructType([
     T.StructField("sample_id", T.LongType()),
     T.StructField("patch_id", T.StringType()),

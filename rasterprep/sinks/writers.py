@@ -8,8 +8,11 @@ without touching the rest.
 
 from __future__ import annotations
 
+import json
 import math
 import os
+import time
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rasterprep import schemas
+from rasterprep.sources.objects import _open_bytes, _resolve
 
 # --- sizing (P19, P20) ------------------------------------------------------------
 
@@ -152,13 +156,68 @@ def batch_ids(df: DataFrame, batch_size: int, pos_col: str = "pos", out: str = "
     return df.withColumn(out, (F.col(pos_col) / F.lit(int(batch_size))).cast("long"))
 
 
+# --- versions of a dataset (S9) ---------------------------------------------------------
+
+#: The document that names the version in use, beside the dataset.
+CURRENT = "_current.json"
+#: Tables of a version, each a folder ``{out}/{table}/version={id}``.
+VERSION_TABLES = ("data", "rejects", "manifest")
+
+
+def new_version() -> str:
+    """A fresh version id; later ones sort after earlier ones."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def version_path(out: str, table: str, version: str) -> str:
+    return f"{out.rstrip('/')}/{table}/version={version}"
+
+
+def current_version(out: str) -> dict | None:
+    """What :func:`publish` recorded last, or None for a dataset without versions."""
+    try:
+        return json.loads(_open_bytes(f"{out.rstrip('/')}/{CURRENT}"))
+    except (FileNotFoundError, NotADirectoryError):
+        return None
+
+
+def publish(out: str, version: str, facts: dict, keep: int = 0) -> None:
+    """Switch the dataset to a version whose tables are completely written.
+
+    The switch is one small document, replaced in one step (a local file by a rename, an
+    object by a put), so a reader sees the old version or the new one, and a run that fails
+    before leaves the old one in use.  Then all versions but this and the ``keep`` latest
+    others are removed, with what failed runs left behind.
+    """
+    write_small_file(f"{out.rstrip('/')}/{CURRENT}", json.dumps({"version": version, **facts}))
+    for table in VERSION_TABLES:
+        old = [v for v in _versions(out, table) if v != version]
+        for v in old[:len(old) - keep]:
+            filesystem, inner = _resolve(version_path(out, table, v))
+            filesystem.delete_dir(inner)
+
+
+def _versions(out: str, table: str) -> list[str]:
+    from pyarrow import fs as pafs
+    filesystem, inner = _resolve(f"{out.rstrip('/')}/{table}")
+    found = filesystem.get_file_info(pafs.FileSelector(inner, allow_not_found=True))
+    return sorted(i.base_name.split("=", 1)[1] for i in found if i.base_name.startswith("version="))
+
+
+def table_path(out: str, table: str = "data") -> str:
+    """Where the published version of a table is; ``{out}/{table}`` for one without versions."""
+    now = current_version(out)
+    return version_path(out, table, now["version"]) if now else f"{out.rstrip('/')}/{table}"
+
+
 def read_split(spark: SparkSession, out: str, split: str | None = None,
                schema: T.StructType | None = None) -> DataFrame:
-    """Read the dataset (one split by partition pruning); explicit schema keeps ``split`` a string."""
+    """Read the published dataset (one split by partition pruning); explicit schema keeps
+    ``split`` a string."""
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.parquet(f"{out.rstrip('/')}/data")
+    df = reader.parquet(table_path(out))
     return df.where(F.col("split") == split) if split else df
 
 
@@ -219,5 +278,9 @@ def write_small_file(uri: str, text: str) -> None:
     parent = inner.rsplit("/", 1)[0]
     if parent:
         filesystem.create_dir(parent, recursive=True)
-    with filesystem.open_output_stream(inner) as f:
+    local = isinstance(filesystem, pafs.LocalFileSystem)
+    first = f"{inner}.{uuid.uuid4().hex}" if local else inner      # an object store replaces in one step anyway
+    with filesystem.open_output_stream(first) as f:
         f.write(text.encode("utf-8"))
+    if local:
+        os.replace(first, inner)

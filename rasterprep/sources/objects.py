@@ -5,7 +5,7 @@
 * ``scan_files``    -- ``(path, content)`` for every object under a root (full scans).
 * ``read_paths``    -- contents of the paths named by a manifest column only, read
   inside tasks through ``pyarrow.fs`` (sampled runs must not scan the archive).
-* ``decode_rasters``-- bytes -> ``(height, width, pixels array<float>, error)`` with a
+* ``decode_rasters``-- bytes -> ``(height, width, pixels array<float>, dtype, error)`` with a
   pluggable decoder; decoding failures become data (``error``), not job failures.
 * ``list_under``    -- distributed listing below a table of prefixes.
 
@@ -23,7 +23,6 @@ import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,9 +33,15 @@ DECODED_FIELDS = [
     T.StructField("height", T.IntegerType()),
     T.StructField("width", T.IntegerType()),
     T.StructField("pixels", T.ArrayType(T.FloatType())),
+    T.StructField("dtype", T.StringType()),
     T.StructField("error", T.StringType()),
 ]
 
+#: Kinds of numpy items that a band may hold: whole numbers, signed or not, and floats.
+NUMERIC_KINDS = "iuf"
+#: Files whose bytes a task holds at a time, and fetches at once.
+FILES_PER_BATCH, IO_THREADS = 64, 8
+
 
 def npy_decoder(data: bytes) -> np.ndarray:
     """Default decoder: a ``.npy`` payload holding a 2-D (or 3-D, band 1 is used) array."""
@@ -104,6 +109,44 @@ def _resolve(path: str):
     return pafs.FileSystem.from_uri(uri)
 
 
+def checked_band(arr) -> np.ndarray:
+    """A decoder's result if it is a 2-D array, else ValueError: its type and rank are facts of
+    the file, whatever the decoder returned."""
+    if not isinstance(arr, np.ndarray):
+        raise ValueError(f"expected a 2-D band, got {type(arr).__name__}")
+    if arr.ndim != 2:
+        raise ValueError(f"expected a 2-D band, got shape {arr.shape}")
+    return np.asarray(arr)
+
+
+def as_float32(arr: np.ndarray) -> np.ndarray:
+    """A band's items as float32; ValueError where one has no such value (text, objects, whole
+    numbers that float32 cannot hold exactly, floats beyond its range)."""
+    if arr.dtype.kind not in NUMERIC_KINDS:
+        raise ValueError(f"items of type {arr.dtype} are not numeric")
+    with np.errstate(over="ignore"):
+        out = np.ascontiguousarray(arr, dtype=np.float32)
+    if arr.dtype == np.float32 or not arr.size:
+        return out
+    if arr.dtype.kind == "f":
+        lost = np.isfinite(arr) & ~np.isfinite(out)
+    else:
+        lost = (arr > 1 << 24) | (arr < -(1 << 24)) if arr.dtype.itemsize > 2 else np.zeros(1, bool)
+    if lost.any():
+        raise ValueError(f"{arr[lost].flat[0]} of type {arr.dtype} does not fit float32")
+    return out
+
+
+def _store_bytes(path: str | None) -> tuple[bytes | None, str | None]:
+    """``(bytes, None)`` or ``(None, error)`` of an object; store errors raise."""
+    if path is None:
+        return None, f"{MISSING} path"
+    try:
+        return _open_bytes(path), None
+    except (FileNotFoundError, NotADirectoryError):
+        return None, f"{MISSING} object"
+
+
 MISSING = "missing"     # start of the ``error`` of an object that is not there
 STORE_ATTEMPTS = 4
 
@@ -126,88 +169,108 @@ def _open_bytes(path: str) -> bytes:
 
 def load_band(path: str | None, decoder: "Decoder") -> tuple[np.ndarray | None, str | None]:
     """``(2-D array, None)`` or ``(None, error)`` of one band file; store errors raise."""
-    if path is None:
-        return None, f"{MISSING} path"
-    try:
-        data = _open_bytes(path)
-    except (FileNotFoundError, NotADirectoryError):
-        return None, f"{MISSING} object"
+    data, error = _store_bytes(path)
+    return (None, error) if data is None else decoded_band(data, decoder)
+
+
+def decoded_band(data: bytes, decoder: "Decoder") -> tuple[np.ndarray | None, str | None]:
+    """``(2-D array, None)`` or ``(None, error)`` of a band's bytes."""
     try:
-        arr = decoder(data)
-        if arr.ndim != 2:
-            raise ValueError(f"expected a 2-D band, got shape {arr.shape}")
-        return arr, None
+        return checked_band(decoder(data)), None
     except MemoryError:
         raise
     except Exception as e:  # the decoder's verdict on these bytes
         return None, f"decode: {type(e).__name__}: {e}"
 
 
-def read_paths(df: DataFrame, path_col: str = "path") -> DataFrame:
+def read_paths(df: DataFrame, path_col: str = "path", rows_per_batch: int = FILES_PER_BATCH,
+               io_threads: int = IO_THREADS) -> DataFrame:
     """S3 (targeted): add ``content`` (binary) and ``error`` for each row's ``path_col``.
 
-    Runs in ``mapInPandas``; each task reads only its own rows' objects, so a
-    sampled manifest reads only the sampled files.
+    Each task reads only its own rows' objects, so a sampled manifest reads only the sampled
+    files; it fetches ``io_threads`` of them at once and holds at most ``rows_per_batch``.
     """
+    import pyarrow as pa
+    from concurrent.futures import ThreadPoolExecutor
+
     schema = T.StructType(df.schema.fields + [
         T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())])
+    names = df.columns
+
+    def run(batches: Iterator["pa.RecordBatch"]) -> Iterator["pa.RecordBatch"]:
+        with ThreadPoolExecutor(max_workers=max(1, io_threads)) as pool:
+            for batch in batches:
+                for lo in range(0, batch.num_rows, rows_per_batch):
+                    part = batch.slice(lo, rows_per_batch)
+                    got = list(pool.map(_store_bytes, part.column(names.index(path_col)).to_pylist()))
+                    yield pa.RecordBatch.from_arrays(
+                        [*part.columns, pa.array([g[0] for g in got], pa.binary()),
+                         pa.array([g[1] for g in got], pa.string())], names=[*names, "content", "error"])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            contents, errors = [], []
-            for p in pdf[path_col]:
-                try:
-                    contents.append(_open_bytes(p))
-                    errors.append(None)
-                except (FileNotFoundError, NotADirectoryError):
-                    contents.append(None)
-                    errors.append(f"{MISSING} object")
-            yield pdf.assign(content=contents, error=errors)
-
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
-def decode_rasters(files: DataFrame, decoder: Decoder = npy_decoder,
-                   content_col: str = "content") -> DataFrame:
-    """Decode ``content`` into ``height, width, pixels, error``; drops ``content``.
+def _decoded_columns(bands: list[tuple[np.ndarray | None, str | None]]) -> list:
+    """The columns of ``DECODED_FIELDS`` for bands as ``load_band`` returns them: pixels are one
+    list array over a single buffer."""
+    import pyarrow as pa
 
-    Every other column is passed through.  A row whose bytes are missing or fail
-    to decode gets NULL pixels and the error text.  Keep Arrow batches small for
-    full-size rasters (``spark.sql.execution.arrow.maxRecordsPerBatch``).
+    hs, ws, kinds, errs, flats, lengths = [], [], [], [], [], []
+    for arr, error in bands:
+        flat = None
+        if arr is not None:
+            try:
+                flat = as_float32(arr).reshape(-1)
+            except ValueError as e:
+                error = f"decode: {e}"
+        hs.append(int(arr.shape[0]) if flat is not None else None)
+        ws.append(int(arr.shape[1]) if flat is not None else None)
+        kinds.append(str(arr.dtype) if arr is not None else None)
+        errs.append(error)
+        lengths.append(0 if flat is None else flat.size)
+        if flat is not None:
+            flats.append(flat)
+    offsets = np.zeros(len(bands) + 1, dtype=np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    values = pa.array(np.concatenate(flats) if flats else np.zeros(0, np.float32), pa.float32())
+    mask = pa.array([e is not None for e in errs], pa.bool_())
+    return [pa.array(hs, pa.int32()), pa.array(ws, pa.int32()),
+            pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=mask),
+            pa.array(kinds, pa.string()), pa.array(errs, pa.string())]
+
+
+def decode_rasters(files: DataFrame, decoder: Decoder = npy_decoder, content_col: str = "content",
+                   rows_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """Decode ``content`` into ``height, width, pixels, dtype, error``; drops ``content``.
+
+    Every other column is passed through.  A row whose bytes are missing or fail to decode,
+    or whose items float32 cannot hold, gets NULL pixels and the error text; ``dtype`` is the
+    type that the file has.  At most ``rows_per_batch`` decoded bands are held at a time.
     """
-    keep = [f for f in files.schema.fields if f.name not in (content_col, "error")]
-    prior_error = "error" in files.columns
+    import pyarrow as pa
+
+    keep = [f for f in files.schema.fields if f.name not in (content_col, "error", "dtype")]
     schema = T.StructType(keep + DECODED_FIELDS)
     names = [f.name for f in keep]
+    columns = files.columns
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            hs, ws, pxs, errs = [], [], [], []
-            prev = pdf["error"] if prior_error else [None] * len(pdf)
-            for data, err in zip(pdf[content_col], prev):
-                if err is not None or data is None:
-                    hs.append(None); ws.append(None); pxs.append(None)
-                    errs.append(err or f"{MISSING} content")
-                    continue
-                try:
-                    arr = decoder(bytes(data))
-                    h, w = arr.shape
-                    hs.append(int(h)); ws.append(int(w))
-                    pxs.append(np.ascontiguousarray(arr, dtype=np.float32).reshape(-1))
-                    errs.append(None)
-                except MemoryError:
-                    raise
-                except Exception as e:
-                    hs.append(None); ws.append(None); pxs.append(None)
-                    errs.append(f"decode: {type(e).__name__}: {e}")
-            out = pdf[names].copy()
-            out["height"] = pd.array(hs, dtype="Int32")
-            out["width"] = pd.array(ws, dtype="Int32")
-            out["pixels"] = pxs
-            out["error"] = errs
-            yield out
-
-    return files.mapInPandas(run, schema)
+    def run(batches: Iterator["pa.RecordBatch"]) -> Iterator["pa.RecordBatch"]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows_per_batch):
+                part = batch.slice(lo, rows_per_batch)
+                prior = (part.column(columns.index("error")).to_pylist() if "error" in columns
+                         else [None] * part.num_rows)
+                bands = []
+                for data, error in zip(part.column(columns.index(content_col)), prior):
+                    if error is not None or not data.is_valid:
+                        bands.append((None, error or f"{MISSING} content"))
+                    else:
+                        bands.append(decoded_band(data.as_py(), decoder))
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(columns.index(n)) for n in names], *_decoded_columns(bands)],
+                    names=schema.fieldNames())
+
+    return files.mapInArrow(run, schema)
 
 
 def read_rasters(df: DataFrame, decoder: Decoder = npy_decoder, path_col: str = "path",
@@ -216,42 +279,26 @@ def read_rasters(df: DataFrame, decoder: Decoder = npy_decoder, path_col: str =
 
     Equivalent to ``decode_rasters(read_paths(df))`` but the file bytes never
     travel back to the JVM: the task reads, decodes and emits
-    ``height, width, pixels, error`` next to the row's other columns.  Pixels of
+    ``height, width, pixels, dtype, error`` next to the row's other columns.  Pixels of
     a batch are built as one Arrow list array from a single concatenated buffer.
     """
     import pyarrow as pa
+    from concurrent.futures import ThreadPoolExecutor
 
-    keep = [f for f in df.schema.fields if f.name != "error"]
+    keep = [f for f in df.schema.fields if f.name not in ("error", "dtype")]
     schema = T.StructType(keep + DECODED_FIELDS)
     names = [f.name for f in keep]
 
-    def chunks(batches):
-        # output rows are decoded bands, far larger than the input paths: bound each batch
-        for batch in batches:
-            for start in range(0, batch.num_rows, rows_per_batch):
-                yield batch.slice(start, rows_per_batch)
-
     def run(batches):
-        for batch in chunks(batches):
-            paths = batch.column(batch.schema.get_field_index(path_col)).to_pylist()
-            hs, ws, errs, flats, lengths = [], [], [], [], []
-            for p in paths:
-                arr, error = load_band(p, decoder)
-                errs.append(error)
-                if arr is None:
-                    hs.append(None); ws.append(None); lengths.append(0)
-                    continue
-                flat = np.ascontiguousarray(arr, dtype=np.float32).reshape(-1)
-                hs.append(int(arr.shape[0])); ws.append(int(arr.shape[1]))
-                flats.append(flat); lengths.append(flat.size)
-            offsets = np.zeros(len(paths) + 1, dtype=np.int32)
-            np.cumsum(lengths, out=offsets[1:])
-            values = pa.array(np.concatenate(flats) if flats else np.zeros(0, np.float32), pa.float32())
-            mask = pa.array([e is not None for e in errs], pa.bool_())
-            pixels = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=mask)
-            cols = [batch.column(batch.schema.get_field_index(n)) for n in names]
-            cols += [pa.array(hs, pa.int32()), pa.array(ws, pa.int32()), pixels, pa.array(errs, pa.string())]
-            yield pa.RecordBatch.from_arrays(cols, names=names + ["height", "width", "pixels", "error"])
+        with ThreadPoolExecutor(max_workers=IO_THREADS) as pool:
+            for batch in batches:
+                # output rows are decoded bands, far larger than the input paths: bound each batch
+                for start in range(0, batch.num_rows, rows_per_batch):
+                    part = batch.slice(start, rows_per_batch)
+                    paths = part.column(part.schema.get_field_index(path_col)).to_pylist()
+                    bands = list(pool.map(lambda path: load_band(path, decoder), paths))
+                    cols = [part.column(part.schema.get_field_index(n)) for n in names]
+                    yield pa.RecordBatch.from_arrays(cols + _decoded_columns(bands), names=schema.fieldNames())
 
     return df.mapInArrow(run, schema)
 
