@@ -24,6 +24,14 @@ CONFIGS = {
 }
 
 
+def write_quarantine(spark: SparkSession, root: str, out: str, suffix: str = "_profile.json") -> DataFrame:
+    """The profiles below ``root`` that no record can be made from, written as ``{out}/rejects``
+    (``path, reason, detail``) and returned, so that a file the report leaves out is named."""
+    _, rejects = M.read_profiles_checked(spark, root, suffix)
+    rejects.write.mode("overwrite").json(f"{out.rstrip('/')}/rejects")
+    return spark.read.schema(rejects.schema).json(f"{out.rstrip('/')}/rejects")
+
+
 def load_runs(spark: SparkSession, root: str, kind: str,
               parser: Callable[[DataFrame], DataFrame] | None = None,
               suffix: str | None = None) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rasterprep import schemas
+from rasterprep.sources import footers as FT
 from rasterprep.sources.objects import _open_bytes, _resolve
 
 # --- sizing (P19, P20) ------------------------------------------------------------
@@ -47,7 +48,7 @@ def tasks_per_executor(partitions: Column, executors: int) -> Column:
     return F.greatest(F.lit(1).cast("long"), (partitions / F.lit(int(executors))).cast("long"))
 
 
-def records_per_file(target_mb: float, bytes_per_row: int = schemas.BYTES_PER_SAMPLE) -> int:
+def records_per_file(target_mb: float, bytes_per_row: float = schemas.BYTES_PER_SAMPLE) -> int:
     """Rows per file so that a file is about ``target_mb`` MiB."""
     return max(1, int(math.floor(target_mb * (1 << 20) / bytes_per_row)))
 
@@ -129,13 +130,16 @@ def write_metadata(df: DataFrame, out: str, mode: str = "overwrite") -> None:
 
 def write_splits(samples: DataFrame, out: str, target_file_mb: float | None = 50,
                  bytes_per_row: int = schemas.BYTES_PER_SAMPLE, rowgroup_mb: float | None = None,
-                 partitions: int | None = None, dynamic_overwrite: bool = True) -> str:
+                 partitions: int | None = None, dynamic_overwrite: bool = True,
+                 pilot_rows: int | None = None) -> str:
     """Write ``{out}/data/split=<s>/`` for every non-empty split (X2), Parquet.
 
     ``target_file_mb`` caps rows per file (``maxRecordsPerFile``, S10/S11);
     ``rowgroup_mb`` sets ``parquet.block.size``; ``partitions`` forces the number of
     output tasks (S12) by a shuffle, so that whatever computes ``samples`` keeps its own
-    parallelism.  Dynamic partition overwrite replaces only the splits present in
+    parallelism.  With ``pilot_rows`` so many rows are written to a pilot first and the rows of
+    a file, which is one row group, follow from the bytes that their footers show: samples
+    that compress well make no small files.  Dynamic partition overwrite replaces only the splits present in
     ``samples``; without it the whole dataset is replaced.
     """
     path = f"{out.rstrip('/')}/data"
@@ -144,13 +148,26 @@ def write_splits(samples: DataFrame, out: str, target_file_mb: float | None = 50
     if dynamic_overwrite:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     if target_file_mb:
-        writer = writer.option("maxRecordsPerFile", records_per_file(target_file_mb, bytes_per_row))
+        if pilot_rows:
+            bytes_per_row = measured_row_bytes(samples, out, pilot_rows) or bytes_per_row
+        rows = records_per_file(target_file_mb, bytes_per_row)
+        writer = writer.option("maxRecordsPerFile", rows)
+        if pilot_rows:      # the file's rows close the row group, not the bytes that buffers take
+            writer = writer.option("parquet.block.row.count.limit", rows).option("parquet.block.size", 1 << 40)
     if rowgroup_mb:
         writer = writer.option("parquet.block.size", int(rowgroup_mb * (1 << 20)))
     writer.parquet(path)
     return path
 
 
+def measured_row_bytes(samples: DataFrame, out: str, pilot_rows: int) -> float | None:
+    """Compressed bytes that a row of ``samples`` takes, from the footers of a pilot of at
+    most ``pilot_rows`` rows, which stays in ``{out}/_pilot``; None without rows."""
+    path = f"{out.rstrip('/')}/_pilot"
+    samples.drop("split").limit(pilot_rows).coalesce(1).write.mode("overwrite").parquet(path)
+    return FT.bytes_per_row(FT.dataset_footers(samples.sparkSession, path))
+
+
 def batch_ids(df: DataFrame, batch_size: int, pos_col: str = "pos", out: str = "part") -> DataFrame:
     """S11 when the batch must be visible: ``part = pos div batch_size``."""
     return df.withColumn(out, (F.col(pos_col) / F.lit(int(batch_size))).cast("long"))
