@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rasterprep.functions import arrays as A
+from rasterprep.operators import kernels as K
 from rasterprep.operators.ranking import ordered_index
 
 
@@ -48,27 +50,35 @@ def _row_indices(df: DataFrame, vocab: DataFrame, id_cols: Sequence[str], labels
                  F.collect_set(F.when(F.col("idx").isNull(), F.col("label"))).alias("__unknown")))
 
 
+#: Labels of a vocabulary that rows look up by themselves; beyond, labels are joined.
+SMALL_VOCAB = 256
+
+
 def with_multi_hot(df: DataFrame, vocab: DataFrame, id_cols: str | Sequence[str],
-                   labels_col: str = "labels", out: str = "multi_hot") -> DataFrame:
+                   labels_col: str = "labels", out: str = "multi_hot",
+                   small_vocab: int = SMALL_VOCAB) -> DataFrame:
     """Add a 0/1 vector over the sorted vocabulary; NULL for rows with an unknown label.
 
-    ``id_cols`` identify a row.  A NULL list gives NULL, an empty list all zeros.
+    ``id_cols`` identify a row.  A NULL list gives NULL, an empty list all zeros; NULL labels
+    count for nothing.  A vocabulary of at most ``small_vocab`` labels (looked at now) is a
+    constant that every row is checked against, without a shuffle.  A larger one is joined
+    label by label; a row's own positions are gathered and expanded once, in numpy.
     """
+    first = vocab.select("label", "idx").limit(small_vocab + 1).collect()
+    if len(first) <= small_vocab:
+        known = [r["label"] for r in sorted(first, key=lambda r: r["idx"])]
+        words = F.array(*[F.lit(w) for w in known]).cast(df.schema[labels_col].dataType)
+        return df.withColumn(out, A.multi_hot(F.array_compact(labels_col), words))
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     found = _row_indices(df, vocab, ids, labels_col)
     found = found.select(*[F.col(c).alias(f"__id{i}") for i, c in enumerate(ids)], "__hits", "__unknown")
-    size = vocab.agg(F.count(F.lit(1)).alias("n")).scalar()
     same = F.lit(True)
     for i, c in enumerate(ids):
         same = same & F.col(c).eqNullSafe(F.col(f"__id{i}"))
-    hot = F.transform(F.sequence(F.lit(0).cast("long"), F.col("__size") - 1),
-                      lambda i: F.array_contains(F.coalesce("__hits", F.array().cast("array<bigint>")), i).cast("tinyint"))
-    empty = F.array().cast("array<tinyint>")
-    return (df.join(found, same, "left").select(*df.columns, "__hits", "__unknown")
-            .withColumn("__size", size)
-            .withColumn(out, F.when(F.col(labels_col).isNotNull() & (F.coalesce(F.size("__unknown"), F.lit(0)) <= 0),
-                                    F.when(F.col("__size") > 0, hot).otherwise(empty)))
-            .drop("__hits", "__unknown", "__size"))
+    known = F.col(labels_col).isNotNull() & (F.coalesce(F.size("__unknown"), F.lit(0)) <= 0)
+    hits = F.when(known, F.coalesce("__hits", F.array().cast("array<bigint>")))
+    joined = df.join(found, same, "left").select(*df.columns, hits.alias("__at"))
+    return K.with_hot(joined, "__at", vocab.count(), out).drop("__at")
 
 
 def multi_hot_rejects(df: DataFrame, vocab: DataFrame, id_col: str,

@@ -223,6 +223,25 @@ SELECT vec_id, pos, CAST(embedding[(pos % 4) * 16 + (pos // 4) + 1] AS DOUBLE) A
 FROM (SELECT vec_id, embedding, unnest(range(0, 64)) AS pos FROM embeddings)
 """
 
+SQL["concat_channels"] = SQL["stack_bands"]
+
+SQL["pad_batches"] = """
+SELECT vec_id, pos,
+       CASE WHEN pos % 12 < 8 AND pos // 12 < 8 THEN CAST(embedding[(pos // 12) * 8 + pos % 12 + 1] AS DOUBLE) ELSE 0.0 END AS value
+FROM (SELECT vec_id, embedding, unnest(range(0, 108)) AS pos FROM embeddings)
+"""
+
+SQL["class_code_check"] = f"""
+WITH p AS (
+  SELECT p_partkey, CAST(CASE WHEN p_partkey % 3 = 0 THEN p_retailprice / 2 ELSE floor(p_retailprice / 2) END AS DOUBLE) AS code
+  FROM part)
+SELECT p_partkey, p.code,
+       CASE WHEN p.code = floor(p.code) AND p.code >= 0 AND p.code < 1000 THEN COALESCE(ct.idx, 0) END AS idx,
+       CASE WHEN p.code <> floor(p.code) THEN 'bad_dtype'
+            WHEN p.code < 0 OR p.code >= 1000 THEN 'code_out_of_range' END AS reason
+FROM p LEFT JOIN {CLASS_TABLE} ct ON ct.code = p.code
+"""
+
 SQL["pad_to_size"] = """
 SELECT vec_id, pos,
        CASE WHEN pos % 10 < 8 AND pos // 10 < 8 THEN CAST(embedding[(pos // 10) * 8 + pos % 10 + 1] AS DOUBLE) ELSE 0.0 END AS value

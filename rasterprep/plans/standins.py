@@ -18,6 +18,7 @@ from rasterprep.functions import times as TM
 from rasterprep.operators import evaluate as EV
 from rasterprep.operators import feed as FD
 from rasterprep.operators import inventory as INV
+from rasterprep.operators import kernels as K
 from rasterprep.operators import labels as LB
 from rasterprep.operators import raster as R
 from rasterprep.operators import runs as RU
@@ -236,6 +237,15 @@ def q_code_lookup(spark, sf_dir):
 
 
 def q_stack_bands(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    bands = e.select("vec_id", *[F.slice("embedding", 1 + 16 * k, 16).alias(f"b{k}") for k in range(4)])
+    image = K.with_stacked(bands, [f"b{k}" for k in range(4)])
+    return (image.select("vec_id", F.posexplode("image").alias("pos", "v"))
+            .select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("v").cast("double").alias("value")))
+
+
+def q_concat_channels(spark, sf_dir):
+    """P12 by column functions: two tensors of two bands each."""
     e = table(spark, sf_dir, "embeddings")
     q = [F.slice("embedding", 1 + 16 * k, 16) for k in range(4)]
     image = A.concat_channels(A.stack_bands(q[0], q[1]), 2, A.stack_bands(q[2], q[3]), 2)
@@ -243,6 +253,24 @@ def q_stack_bands(spark, sf_dir):
             .select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("v").cast("double").alias("value")))
 
 
+def q_pad_batches(spark, sf_dir):
+    """P13 over whole batches: 8 x 8 bands padded to 9 x 12."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    padded = K.with_padded(e, "embedding", 8, 8, 9, 12)
+    return (padded.select("vec_id", F.posexplode("padded").alias("pos", "v"))
+            .select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("v").cast("double").alias("value")))
+
+
+def q_class_code_check(spark, sf_dir):
+    """Codes that are no whole number of the class table are rejected, with a reason."""
+    price = F.col("p_retailprice") / 2
+    ps = table(spark, sf_dir, "part").select(
+        "p_partkey", F.when(F.col("p_partkey") % 3 == 0, price).otherwise(F.floor(price)).cast("double").alias("code"))
+    idx = A.remap_classes(F.array("code"))[0]
+    return ps.select("p_partkey", "code", idx.alias("idx"), F.when(A.has_fraction(F.array("code")), F.lit("bad_dtype"))
+                     .when(idx.isNull(), F.lit("code_out_of_range")).alias("reason"))
+
+
 def q_pad_to_size(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings")
     padded = A.pad_to_size("embedding", 8, 8, 10, 10)
