@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rasterprep import schemas
 from rasterprep.functions import arrays as A
 from rasterprep.functions import paths as P
-from rasterprep.sources.objects import path_key
+from rasterprep.sources.objects import Decoder, npy_decoder, path_key, read_rasters
 
 
 def with_paths(meta: DataFrame, root: str, s1_folder: str = schemas.S1_FOLDER,
@@ -62,20 +62,19 @@ def expand_band_paths(meta: DataFrame, s1_bands: Sequence[str] = schemas.S1_BAND
             .select("patch_id", "e.band", "e.path", *kept))
 
 
-def fetch_bands(manifest: DataFrame, decoded: DataFrame) -> DataFrame:
-    """Band manifest rows matched to decoded files on the normalised path.
+def fetch_bands(manifest: DataFrame, inventory: DataFrame, decoder: Decoder = npy_decoder) -> DataFrame:
+    """Band manifest rows with the decoded band of their file, where the inventory lists it.
 
-    Left join, so a band without a file stays visible (``error = 'missing_band'``).
-    Both sides are shuffled on the path key; the decoded side carries the pixels.
+    Only paths are joined (on the normalised path); each task then opens the files of its own
+    rows, so no pixel is shuffled.  A band without a listed file stays, with ``error``
+    ``missing_band`` and nothing opened.
     """
-    files = decoded.select(path_key("path").alias("__pk"), "height", "width", "pixels",
-                           F.col("error").alias("__err"))
-    return (manifest.withColumn("__pk", path_key("path"))
-            .join(files, "__pk", "left")
-            .withColumn("error", F.when(F.col("__pk").isNotNull() & F.col("pixels").isNull()
-                                        & F.col("__err").isNull(), F.lit("missing_band"))
-                        .otherwise(F.col("__err")))
-            .drop("__pk", "__err"))
+    listed = inventory.select(path_key("path").alias("__pk")).distinct()
+    keyed = manifest.withColumn("__pk", path_key("path"))
+    found = keyed.join(listed.withColumn("__there", F.lit(True)), "__pk", "left")
+    opened = read_rasters(found.withColumn("__file", F.when(F.col("__there"), F.col("path"))), decoder, "__file")
+    return opened.withColumn("error", F.when(F.col("__there"), F.col("error")).otherwise(F.lit("missing_band"))).select(
+        *manifest.columns, "height", "width", "pixels", "dtype", "error")
 
 
 def assemble_patch(bands: DataFrame, band_names: Sequence[str], id_col: str = "patch_id",

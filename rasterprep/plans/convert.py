@@ -24,6 +24,7 @@ from rasterprep import schemas
 from rasterprep.operators import raster as R
 from rasterprep.operators import sampling as S
 from rasterprep.operators import tensors as TZ
+from rasterprep.session import shuffle_partitions
 from rasterprep.sinks import writers as W
 from rasterprep.sources import objects as O
 
@@ -108,9 +109,12 @@ def conversion_partitions(spark: SparkSession, rows: int, cores: int | None = No
     partition near ``target_bytes`` of output when the archive is much larger
     than the cluster.
     """
-    slots = (cores * executors) if cores and executors else spark.sparkContext.defaultParallelism
+    if cores and executors:
+        tasks = shuffle_partitions(cores, executors)
+    else:
+        tasks = spark.sparkContext.defaultParallelism * 4
     by_size = -(-rows * schemas.BYTES_PER_SAMPLE // target_bytes)
-    return max(1, min(max(rows, 1), max(slots * 4, by_size)))
+    return max(1, min(max(rows, 1), max(tasks, by_size)))
 
 
 def _observed(staged: DataFrame) -> tuple[DataFrame, Observation]:

@@ -231,6 +231,17 @@ SELECT vec_id, pos,
 FROM (SELECT vec_id, embedding, unnest(range(0, 108)) AS pos FROM embeddings)
 """
 
+SQL["cast_items"] = """
+SELECT vec_id, pos, CAST(trunc(CAST(embedding[pos + 1] AS DOUBLE) * 100) AS INTEGER) AS item
+FROM (SELECT vec_id, embedding, unnest(range(0, 64)) AS pos FROM embeddings)
+"""
+
+SQL["to_bytes"] = """
+WITH c AS (
+  SELECT vec_id, [CAST(floor(abs(CAST(v AS DOUBLE)) * 2000) AS INTEGER) for v in embedding] AS codes FROM embeddings)
+SELECT vec_id, array_to_string([printf('%02x%02x', v % 256, v // 256) for v in codes], '') AS codes_hex FROM c
+"""
+
 SQL["class_code_check"] = f"""
 WITH p AS (
   SELECT p_partkey, CAST(CASE WHEN p_partkey % 3 = 0 THEN p_retailprice / 2 ELSE floor(p_retailprice / 2) END AS DOUBLE) AS code
@@ -385,6 +396,72 @@ FROM parsed
 WHERE ends_with(key, '_profile.json') AND fraction >= 0.001 AND executor IS NOT NULL
 """
 
+# a profile per line: what its key says, the durations of its steps, its summary
+RUN_PROFILES = RUN_PATHS.replace("SELECT l_orderkey, l_linenumber,", "SELECT *,", 1) + """,
+prof AS (
+  SELECT *, CAST(l_extendedprice AS DOUBLE) AS price, CAST(l_quantity AS DOUBLE) AS quantity,
+         CASE WHEN l_linenumber <> 7 THEN CAST(l_quantity AS DOUBLE) * 10 END AS total_time,
+         CASE WHEN l_orderkey % 7 <> 0 THEN CAST(l_quantity AS DOUBLE) END AS read_metadata,
+         CASE WHEN (l_orderkey + 1) % 7 <> 0 THEN CAST(l_quantity AS DOUBLE) * 2 END AS spark_init,
+         CASE WHEN (l_orderkey + 2) % 7 <> 0 THEN CAST(l_quantity AS DOUBLE) * 3 END AS write_train,
+         CASE WHEN (l_orderkey + 3) % 7 <> 0 THEN CAST(l_quantity AS DOUBLE) * 4 END AS write_validation,
+         CASE WHEN (l_orderkey + 4) % 7 <> 0 THEN CAST(l_quantity AS DOUBLE) * 5 END AS write_test,
+         CASE WHEN l_orderkey % 11 <> 0 THEN CAST(l_extendedprice AS DOUBLE) END AS train_time,
+         CASE WHEN l_orderkey % 13 <> 0 THEN CAST(l_extendedprice AS DOUBLE) / 4 END AS test_time
+  FROM parsed
+)"""
+CONVERTED = """read_metadata, spark_init, write_train, write_validation, write_test"""
+ALL_CONVERTED = """total_time IS NOT NULL AND read_metadata IS NOT NULL AND spark_init IS NOT NULL
+  AND write_train IS NOT NULL AND write_validation IS NOT NULL AND write_test IS NOT NULL"""
+
+SQL["conversion_runs"] = f"""
+WITH {RUN_PROFILES}
+SELECT fraction, executor, total_time, {CONVERTED} FROM prof
+WHERE fraction >= 0.001 AND executor IS NOT NULL AND {ALL_CONVERTED}
+"""
+
+SQL["conversion_runs_ext"] = f"""
+WITH {RUN_PROFILES}
+SELECT fraction, total_time, {CONVERTED},
+       CAST(l_partkey AS BIGINT) AS train_samples, CAST(l_suppkey AS BIGINT) AS validation_samples,
+       CAST(l_linenumber AS BIGINT) AS test_samples,
+       CAST(CASE WHEN l_orderkey % 2 <> 0 THEN l_linenumber ELSE l_linenumber + 100 END AS INTEGER) AS train_partitions,
+       CAST(l_linenumber + 200 AS INTEGER) AS validation_partitions,
+       CAST(l_linenumber + 300 AS INTEGER) AS test_partitions
+FROM prof
+WHERE starts_with(string_split(key, '/')[4], 'frac_') AND fraction >= 0.001 AND {ALL_CONVERTED}
+"""
+
+SQL["training_runs_batch"] = rf"""
+WITH {RUN_PROFILES}, g AS (
+  SELECT *, COALESCE(TRY_CAST(nullif(regexp_extract(key, 'train_gpu(\d+)_profile\.json', 1), '') AS INTEGER),
+                     TRY_CAST(nullif(regexp_extract(key, 'train_(\d+)gpu', 1), '') AS INTEGER)) AS num_gpus
+  FROM prof WHERE contains(key, '/exec_7/'))
+SELECT fraction, num_gpus, CAST(l_linenumber * 16 AS INTEGER) AS batch_size, total_time, train_time, test_time,
+       CAST(l_tax AS DOUBLE) AS test_accuracy
+FROM g WHERE fraction >= 0.001 AND num_gpus IS NOT NULL AND train_time IS NOT NULL AND test_time IS NOT NULL
+"""
+
+SQL["training_runs_lr"] = rf"""
+WITH {RUN_PROFILES}, g AS (
+  SELECT *, TRY_CAST(nullif(regexp_extract(key, 'gpu(\d+)_profile\.json', 1), '') AS INTEGER) AS num_gpus,
+         TRY_CAST(nullif(regexp_extract(key, 'frac_([0-9.]+)', 1), '') AS DOUBLE) AS any_fraction
+  FROM prof)
+SELECT any_fraction AS fraction, num_gpus, CAST(l_linenumber * 16 AS INTEGER) AS batch_size,
+       CAST(l_discount AS DOUBLE) AS learning_rate, total_time, train_time, test_time, CAST(l_tax AS DOUBLE) AS test_accuracy
+FROM g WHERE train_time IS NOT NULL AND test_time IS NOT NULL AND any_fraction IS NOT NULL AND num_gpus IS NOT NULL
+"""
+
+SQL["require_steps"] = "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 7 <> 0 AND l_orderkey % 11 <> 0"
+
+SQL["drop_null_records"] = rf"""
+WITH {RUN_PATHS}, r AS (
+  SELECT l_orderkey, l_linenumber, executor,
+         TRY_CAST(nullif(regexp_extract(key, 'train_gpu(\d+)_profile\.json', 1), '') AS INTEGER) AS gpus
+  FROM parsed)
+SELECT * FROM r WHERE executor IS NOT NULL OR gpus IS NOT NULL
+"""
+
 # --- speedup --------------------------------------------------------------------------------
 
 FLAG_RUNS = """
@@ -512,3 +589,15 @@ FROM documents d LEFT JOIN labels l USING (doc_id)
 SQL["sample_nullable_key"] = f"SELECT doc_id, quality FROM ({_GRADED}) WHERE pos < round_even(n * 0.3::DOUBLE, 0)"
 
 SQL["shuffle_nullable_key"] = f"SELECT doc_id, quality, pos FROM ({_GRADED})"
+
+SQL["dataset_sizes"] = """
+SELECT CASE lang WHEN 'en' THEN 'train' WHEN 'fr' THEN 'validation' WHEN 'de' THEN 'validation' WHEN 'es' THEN 'test' END AS split,
+       count(*) AS samples
+FROM documents GROUP BY 1
+"""
+
+SQL["batch_ids"] = """
+SELECT c_custkey, pos, pos // 16 AS part
+FROM (SELECT c_custkey, row_number() OVER (ORDER BY md5('42:' || CAST(c_custkey AS VARCHAR)), c_custkey) - 1 AS pos
+      FROM customer)
+"""

@@ -136,6 +136,16 @@ ROW_COUNT_TABLES = ["region", "nation", "customer", "supplier", "part", "orders"
                     "conversations"]
 
 
+def q_dataset_sizes(spark, sf_dir):
+    return FD.dataset_sizes(document_manifest(spark, sf_dir))
+
+
+def q_batch_ids(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select("c_custkey")
+    placed = FD.epoch_shuffle(rows, "c_custkey", epoch_col=None).drop("__n")
+    return SK.batch_ids(placed, 16)
+
+
 def q_row_count(spark, sf_dir):
     out = None
     for name in ROW_COUNT_TABLES:
@@ -261,6 +271,18 @@ def q_pad_batches(spark, sf_dir):
             .select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("v").cast("double").alias("value")))
 
 
+def q_cast_items(spark, sf_dir):
+    e = table(spark, sf_dir, "embeddings")
+    scaled = F.transform("embedding", lambda v: v.cast("double") * 100)
+    return (e.select("vec_id", F.posexplode(A.cast_items(scaled, "tinyint")).alias("pos", "v"))
+            .select("vec_id", F.col("pos").cast("long").alias("pos"), F.col("v").cast("int").alias("item")))
+
+
+def q_to_bytes(spark, sf_dir):
+    codes = SK.to_bytes(embedding_codes(spark, sf_dir), {"codes": "<u2"})
+    return codes.select("vec_id", F.lower(F.hex("codes")).alias("codes_hex"))
+
+
 def q_class_code_check(spark, sf_dir):
     """Codes that are no whole number of the class table are rejected, with a reason."""
     price = F.col("p_retailprice") / 2
@@ -387,10 +409,9 @@ def q_step_times(spark, sf_dir):
 
 # --- run keys and records (P22-P24, X5-X10) ---------------------------------------
 
-def run_keys(spark, sf_dir) -> DataFrame:
-    """``(l_orderkey, l_linenumber, key)``: an object key per line, built once."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag")
+def run_keys(spark, sf_dir, *more: str) -> DataFrame:
+    """``(l_orderkey, l_linenumber, *more, key)``: an object key per line, built once."""
+    li = table(spark, sf_dir, "lineitem")
     d = F.col("l_discount").cast("string")
     ln = F.col("l_linenumber").cast("string")
     g = (F.pmod(F.col("l_quantity").cast("int"), F.lit(4)) + 1).cast("string")
@@ -405,7 +426,60 @@ def run_keys(spark, sf_dir) -> DataFrame:
                                 F.lit("gpu_profile.json"))))
     # ``inline`` of a one-element array computes the key once per row: what is parsed from
     # it stays above the generator instead of copying the key expression
-    return li.select("l_orderkey", "l_linenumber", F.inline(F.array(F.struct(key.alias("key")))))
+    return li.select("l_orderkey", "l_linenumber", *more, F.inline(F.array(F.struct(key.alias("key")))))
+
+
+def run_profiles(spark, sf_dir) -> DataFrame:
+    """A run profile per line: its key, steps (some are missing) and summary."""
+    rows = run_keys(spark, sf_dir, "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_partkey", "l_suppkey")
+    order, line = F.col("l_orderkey"), F.col("l_linenumber").cast("int")
+    price, quantity = F.col("l_extendedprice").cast("double"), F.col("l_quantity").cast("double")
+
+    def step(name: str, present, duration):
+        return F.when(present, F.struct(F.lit(name).alias("name"), duration.alias("duration")))
+
+    steps = [step(n, (order + k) % 7 != 0, quantity * (k + 1)) for k, n in enumerate(RU.CONVERSION_STEPS)]
+    steps += [step("training", order % 11 != 0, price), step("evaluation", order % 13 != 0, price / 4)]
+    none = F.lit(None).cast("int")
+    summary = F.struct(
+        F.when(line != 7, quantity * 10).alias("total_duration"),
+        F.col("l_partkey").cast("long").alias("train_samples"), F.col("l_suppkey").cast("long").alias("validation_samples"),
+        line.cast("long").alias("test_samples"),
+        F.when(order % 2 != 0, line).alias("train_partitions"), none.alias("validation_partitions"),
+        none.alias("test_partitions"), *[(line + 100 * (k + 1)).alias(f"{sp}_rdd_partitions")
+                                         for k, sp in enumerate(("train", "validation", "test"))],
+        (line * 16).alias("global_batch_size"), F.col("l_discount").cast("double").alias("learning_rate"),
+        F.col("l_tax").cast("double").alias("test_accuracy"))
+    return rows.select("l_orderkey", "l_linenumber", "key", summary.alias("summary"),
+                       F.filter(F.array(*steps), lambda s: s.isNotNull()).alias("steps"))
+
+
+def q_conversion_runs(spark, sf_dir):
+    return RU.conversion_runs(run_profiles(spark, sf_dir))
+
+
+def q_conversion_runs_ext(spark, sf_dir):
+    return RU.conversion_runs_ext(run_profiles(spark, sf_dir), part_index=3)
+
+
+def q_training_runs_batch(spark, sf_dir):
+    return RU.training_runs_batch(run_profiles(spark, sf_dir), executors=7)
+
+
+def q_training_runs_lr(spark, sf_dir):
+    return RU.training_runs_lr(run_profiles(spark, sf_dir))
+
+
+def q_require_steps(spark, sf_dir):
+    runs = run_profiles(spark, sf_dir)
+    return runs.where(RU.has_steps("steps", ["read_metadata", "training"])).select("l_orderkey", "l_linenumber")
+
+
+def q_drop_null_records(spark, sf_dir):
+    keys = run_keys(spark, sf_dir)
+    records = keys.select("l_orderkey", "l_linenumber", P.run_executors("key").alias("executor"),
+                          P.gpu_count("key").alias("gpus"))
+    return RU.drop_null_records(records, ["executor", "gpus"])
 
 
 def q_parse_run_path(spark, sf_dir):

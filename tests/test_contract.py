@@ -126,3 +126,34 @@ def test_full_scan_reads_every_object(spark, tmp_path):
     got = O.decode_rasters(O.scan_files(spark, str(tmp_path), ".npy")).collect()
     assert sorted(r["path"].rsplit("/", 1)[1] for r in got) == ["x.npy", "y.npy"]
     assert all(r["pixels"] == [1.0] * 4 for r in got)
+
+
+def test_bands_are_fetched_where_the_inventory_lists_them(spark, tmp_path):
+    rows = []
+    for i in range(4):
+        np.save(tmp_path / f"{i}.npy", np.full((1, 2), i, np.int16))
+        rows.append((f"p{i % 2}", f"B{i}", f"file://{tmp_path}/{i}.npy"))
+    manifest = spark.createDataFrame(rows + [("p9", "B9", None)], "patch_id string, band string, path string")
+    listed = spark.createDataFrame([(str(tmp_path / f"{i}.npy"),) for i in (0, 1, 1, 3)] + [("s3://else/x",)], "path string")
+    got = {r["band"]: r for r in R.fetch_bands(manifest, listed).collect()}
+    assert {b: r["error"] for b, r in got.items()} == {
+        "B0": None, "B1": None, "B2": "missing_band", "B3": None, "B9": "missing_band"}
+    assert got["B3"]["pixels"] == [3.0, 3.0] and got["B3"]["dtype"] == "int16" and got["B2"]["pixels"] is None
+    plan = R.fetch_bands(manifest, listed)._jdf.queryExecution().executedPlan().toString()
+    # the decoding step stands above every exchange
+    assert plan.index("MapInArrow") < plan.index("Exchange")
+
+
+def test_channel_axis_and_profile_tables(spark, tmp_path):
+    from rasterprep.sinks import writers as W
+    from rasterprep.sources import metadata as M
+    df = spark.createDataFrame([([1.0, 2.0], 1, 2)], "px array<double>, height int, width int")
+    one = df.withColumn("channels", A.with_channel_axis())
+    assert one.where(A.shape_ok("px", "height", "width", F.col("channels"))).count() == 1
+    (tmp_path / "a_profile.json").write_text('{"start_time": "t", "steps": [{"name": "x", "duration": 2.5}], '
+                                             '"summary": {"train_samples": 3}}')
+    profiles = M.read_profiles(spark, str(tmp_path)).drop("path")
+    for fmt in ("json", "parquet"):
+        W.write_profiles(profiles, str(tmp_path / fmt), fmt)
+        back = spark.read.schema(profiles.schema).format(fmt).load(str(tmp_path / fmt)).first()
+        assert (back["steps"][0]["duration"], back["summary"]["train_samples"]) == (2.5, 3)
