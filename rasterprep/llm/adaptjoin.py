@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterprep.llm.common import (ascii_lower, ascii_words, materialize, mix64, slice_hashes,
@@ -175,7 +175,7 @@ def prefix(s: np.ndarray, estimate: np.ndarray, noise: float, percent: int) -> t
 
 
 def _signatures(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """``(id, n, key, match, bits, mins, tokens, parts)`` of every row of ``(id, text)``."""
+    """``(id, t, n, key, match, bits, mins, tokens, parts)`` of every row of ``(id, t, text)``."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)      # a fixed size
     shift = np.uint64(64 - SLOTS.bit_length() + 1)
 
@@ -198,14 +198,14 @@ def _signatures(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -
             flat = np.concatenate(tokens) if tokens else np.empty(0, np.uint64)
             split = np.concatenate(parts) if parts else np.empty(0, np.int32)
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(need, pa.int32()),
+                [rows.column(0), rows.column(1), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(need, pa.int32()),
                  pa.array(bits, pa.list_(pa.int64())), pa.array(mins, pa.list_(pa.int32())),
                  pa.ListArray.from_arrays(ends, pa.array(flat.view(np.int64))),
                  pa.ListArray.from_arrays(ends, pa.array(split))],
-                names=["id", "n", "key", "match", "bits", "mins", "tokens", "parts"])
+                names=["id", "t", "n", "key", "match", "bits", "mins", "tokens", "parts"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, n long, key long, match int, bits array<long>, mins array<int>, "
+    return docs.mapInArrow(run, f"id {kind}, t long, n long, key long, match int, bits array<long>, mins array<int>, "
                                 f"tokens array<long>, parts array<int>")
 
 
@@ -344,8 +344,11 @@ def _likely(df: DataFrame, wanted: DataFrame, *cols: str) -> DataFrame:
             .where(F.col("__bits").bitwiseAND(bit) != 0).select(*df.columns))
 
 
-def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose texts' sets are similar enough, by exact comparison."""
+def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose texts' sets are similar enough, by exact comparison.
+
+    Most nodes are in no pair, so a round reads the texts of its own pairs' nodes, once each.
+    """
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offs in text_chunks(batches, "text", 1 << 20):
             # the other texts of a small chunk are of like size: they passed the size test
@@ -358,51 +361,86 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
                 pa.array(ok, pa.bool_()))
 
     pairs = materialize(pairs, "pairs")
-    one = pairs.join(_likely(texts.select(F.col("node").alias("a"), "text"), pairs, "a"), "a")
-    two = one.join(_likely(texts.select(F.col("node").alias("b"), F.col("text").alias("other")), pairs, "b"), "b")
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = _node_texts(docs, nodes.join(paired, "node", "left_semi"), width)
+    one = pairs.join(texts.select(F.col("node").alias("a"), "text"), "a")
+    two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("other")), "b")
     return two.select("a", "b", "text", "other").mapInArrow(check, "a long, b long")
 
 
-def near_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """Components of documents whose shingle sets' Jaccard similarity is at least
-    ``percent`` / 100: ``(id, n_shingles, component_id)`` per row.
-
-    ``component_id`` is the smallest id reachable over similar pairs.  Null counts as
-    empty; a text without words links with nothing and has its own id.  Equal texts link
-    with each other, also under one id.  Rows without an id are linked like others and
-    have the component's smallest id (null if none).  An empty table gives an empty
-    result.
-    """
-    picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    signed = materialize(_signatures(picked, width, percent, frequency_sketch(picked.select("text"), width)),
+def _row_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """``(id, t, n, component, component_id)`` of every row of ``(id, t, text)``; ``component`` is
+    a number of the component, null for a text without words."""
+    signed = materialize(_signatures(docs, width, percent, frequency_sketch(docs.select("text"), width)),
                          "signatures")
     # one node for each distinct set; its arrays are equal in all rows
     by_set = signed.where("n > 0").groupBy(F.col("key").alias("node"))
-    nodes = materialize(by_set.agg(F.min("id").alias("low"), F.first("n").alias("n"), F.first("bits").alias("bits"),
-                                   F.first("mins").alias("mins")), "nodes")
+    row = F.struct(F.col("id").isNull().alias("x"), "id", "t")
+    nodes = materialize(by_set.agg(F.min("id").alias("low"), F.min(row).alias("carrier"), F.first("n").alias("n"),
+                                   F.first("bits").alias("bits"), F.first("mins").alias("mins")), "nodes")
     postings = materialize(_postings(by_set.agg(
         F.first("n").alias("n"), F.first("match").alias("match"), F.first("tokens").alias("tokens"),
         F.first("parts").alias("parts"))), "postings")
-    # a pair needs the smaller number of its two nodes, so one shared element keeps a node
-    marks = materialize(nodes.join(postings.select("node").distinct(), "node", "left_semi").select(
+    marks = materialize(nodes.join(_pairable(postings), "node", "left_semi").select(
         "node", "n", "mins", *[F.col("bits")[i].alias(f"b{i}") for i in range(BITS // 64)]), "marks")
-    texts = _node_texts(picked, signed, marks, width)
     crowded = postings.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > BUSY_NODES)
     busy = materialize(postings.select("token", "node").join(crowded.select("token"), "token", "left_semi"), "busy")
 
     labels = postings.sparkSession.createDataFrame([], "node long, label long")
     for seed in range(1 + ELEMENT_ROUNDS):
         keyed = (_element_buckets if seed else _min_hash_buckets)(busy, marks, labels)
-        labels = _merged(labels, _links(_leader_pairs(keyed, 10 * seed, percent), texts, width, percent))
-    labels = _merged(labels, _links(_cross_pairs(postings, marks, labels, percent), texts, width, percent))
+        labels = _merged(labels, _links(_leader_pairs(keyed, 10 * seed, percent), docs, nodes, width, percent))
+    labels = _merged(labels, _links(_cross_pairs(postings, marks, labels, percent), docs, nodes, width, percent))
+
+    low = nodes.select("node", "low").join(labels, "node", "left").select(
+        "node", F.coalesce("label", "node").alias("component"), "low")
+    least = low.groupBy("component").agg(F.min("low").alias("component_id"))
+    per_node = low.join(least, "component").select(F.col("node").alias("key"), "component", "component_id")
+    linked = signed.where("n > 0").select("id", "t", "n", "key").join(per_node, "key")
+    return linked.select("id", "t", "n", "component", "component_id").unionByName(
+        signed.where("n = 0").select("id", "t", "n", F.lit(None).cast("long").alias("component"),
+                                     F.col("id").alias("component_id")))
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, t, text)``: ``t`` tells rows of one id, or without one, apart by their text."""
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
+
+
+def near_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """Components of documents whose shingle sets' Jaccard similarity is at least
+    ``percent`` / 100: ``(id, n_shingles, component_id)`` per row.
+
+    ``component_id`` is the smallest id reachable over similar pairs.  Null counts as
+    empty; a text without words links with nothing and has its own id.  Equal texts link
+    with each other, also under one id.  Rows without an id are linked like others and
+    have the component's smallest id (null if none).  An empty table gives an empty
+    result.
+    """
+    return _row_components(_rows(docs, id_col, text_col), width, percent).select(
+        "id", F.col("n").alias("n_shingles"), "component_id")
 
-    low = nodes.select("node", "low").join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"), "low")
-    least = low.groupBy("label").agg(F.min("low").alias("component_id"))
-    per_node = low.join(least, "label").select(F.col("node").alias("key"), "component_id")
-    linked = signed.where("n > 0").select("id", "n", "key").join(per_node, "key")
-    return linked.select("id", F.col("n").alias("n_shingles"), "component_id").unionByName(
-        signed.where("n = 0").select("id", F.col("n").alias("n_shingles"), F.col("id").alias("component_id")))
+
+def _pairable(postings: DataFrame) -> DataFrame:
+    """The nodes that may be in a pair.
+
+    A pair needs the smaller of its two numbers of shared elements.  So a node stays if it
+    shares as many as its own number asks for, or, for some smaller number m, if at least m
+    of its elements are shared with a node that asks for m at most.
+    """
+    # an element's two smallest (number, node): a node's peers ask for the first that is not its own
+    ends = postings.groupBy("token").agg(F.min(F.struct("match", "node")).alias("first"))
+    after = postings.join(ends, "token").where(F.col("node") != F.col("first.node")).groupBy("token").agg(
+        F.min("match").alias("second"), F.first("first").alias("first"))
+    asked = postings.join(after, "token").withColumn(
+        "peer", F.when(F.col("node") == F.col("first.node"), F.col("second")).otherwise(F.col("first.match")))
+    met = asked.groupBy("node").agg(F.max("match").alias("match"), F.count(F.lit(1)).alias("all"),
+                                    *[F.count_if(F.col("peer") <= m).alias(f"at{m}") for m in range(1, MAX_MATCH)])
+    enough = F.col("all") >= F.col("match")
+    for m in range(1, MAX_MATCH):
+        enough = enough | ((F.col("match") > m) & (F.col(f"at{m}") >= m))
+    return met.where(enough).select("node")
 
 
 def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -411,13 +449,14 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
                                  .unionByName(links)), "labels")
 
 
-def _node_texts(docs: DataFrame, signed: DataFrame, marks: DataFrame, width: int) -> DataFrame:
-    """``(node, text)`` of the nodes that may have a partner: one text per node, written once."""
-    row = F.struct(F.col("id").isNull().alias("x"), "id")
-    carriers = signed.select("key", "id").join(marks.select(F.col("node").alias("key")), "key", "left_semi").groupBy(
-        F.col("key").alias("node")).agg(F.min(row).alias("r")).select(
-        "node", F.coalesce("r.id", F.lit(0)).alias("k"), F.col("r.x").alias("x"))
-    carriers = materialize(carriers, "carriers")
+def _node_texts(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """``(node, text)`` of ``nodes``: one text per node, that of its carrier row, written once.
+
+    Rows are found by id and text hash, so rows of one id, or without one, never meet each
+    other's nodes.
+    """
+    carriers = materialize(nodes.select("node", F.coalesce("carrier.id", F.lit(0)).alias("k"),
+                                        F.col("carrier.x").alias("x"), F.col("carrier.t").alias("t")), "carriers")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offs in text_chunks(batches, "text"):
@@ -426,15 +465,42 @@ def _node_texts(docs: DataFrame, signed: DataFrame, marks: DataFrame, width: int
             yield rows.filter(pa.array(same))
 
     texts = docs.where("text IS NOT NULL").select(
-        F.coalesce("id", F.lit(0)).alias("k"), F.col("id").isNull().alias("x"), "text")
-    found = carriers.join(_likely(texts, carriers, "k", "x"), ["k", "x"]).select("node", "text").mapInArrow(keyed, "node long, text string")
-    # a repeated id may bring a node's text more than once
+        F.coalesce("id", F.lit(0)).alias("k"), F.col("id").isNull().alias("x"), "t", "text")
+    at = ["k", "x", "t"]
+    found = carriers.join(_likely(texts, carriers, *at), at).select("node", "text").mapInArrow(
+        keyed, "node long, text string")
+    # repeated rows bring a node's text more than once
     return materialize(found.dropDuplicates(["node"]), "node-texts")
 
 
+def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, but for all rows except one of each
+    component of near copies: the one with the smallest id (without ids: with the smallest
+    text hash).  Of rows that repeat that one exactly, any one stays.  Texts without words
+    link with nothing and all stay.
+    """
+    names = docs.columns
+    rows = _rows(docs, id_col, text_col)
+    found = materialize(_row_components(rows, width, percent), "components")
+    row = F.struct(F.col("id").isNull().alias("x"), "id", "t")
+    grouped = found.where("component IS NOT NULL").groupBy("component").agg(
+        F.min(row).alias("r"), F.count(F.lit(1)).alias("size")).select(
+        F.col("r.id").alias("__id"), F.col("r.t").alias("__t"), (F.col("size") > 1).alias("__many"))
+    blank = found.where("component IS NULL").select(
+        F.col("id").alias("__id"), F.col("t").alias("__t"), F.lit(False).alias("__many")).distinct()
+    tagged = docs.withColumn("__t", F.xxhash64(text_col))
+    kept = tagged.join(grouped.unionByName(blank).withColumnRenamed("__t", "__u"),
+                       F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__t") == F.col("__u")))
+    # a component of several rows may have its chosen row more than once
+    order = Window.partitionBy(id_col, "__t").orderBy(F.lit(1))
+    once = kept.where("__many").withColumn("__n", F.row_number().over(order)).where("__n = 1")
+    return kept.where("NOT __many").select(*names).unionByName(once.select(*names))
+
+
 def keep_rows(docs: DataFrame, components: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` whose id is their component's smallest, with all their columns;
-    rows without an id stay."""
+    rows without an id stay (see :func:`near_dedup` for exactly one row a component)."""
     names = docs.columns
     stay = components.where("id = component_id").select(F.col("id").alias(id_col)).distinct()
     return docs.join(stay, id_col, "left_semi").select(*names).unionByName(

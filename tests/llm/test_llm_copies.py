@@ -241,6 +241,60 @@ def test_near_copies_of_odd_rows(odd):
     assert adaptjoin.near_components(odd.where("false"), 4, 85).count() == 0
 
 
+def test_a_third_of_the_rows_without_an_id_and_a_third_with_one(spark):
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") * 2 + str(rng.randint(0, 40)) for _ in range(60)) for _ in range(90)]
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else 1000 + i, t) for i, t in enumerate(texts)]
+    # near copies: without an id of one with an id, with the repeated id of one without
+    rows += [(None, rows[2][1] + " tail"), (7, rows[0][1] + " tail"), (7, rows[0][1] + " tail"), (None, None), (7, "")]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, id string, t int").repartition(3)
+    got = adaptjoin.near_components(df, 4, 85).collect()
+    assert len(got) == len(rows)
+    kept = adaptjoin.near_dedup(df, 4, 85)
+    assert kept.columns == df.columns
+    left = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    want = set(rows) - {(None, rows[2][1] + " tail"), rows[0]}       # the row with an id stays
+    assert left == sorted(want, key=str)
+
+
+def test_near_dedup_keeps_one_row_of_each_component(spark, odd):
+    rows = _copies(9)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in adaptjoin.near_dedup(df, 5, 80).collect()}
+    assert kept == {c for _, _, c in _brute_components(rows, 5, 80)}
+    same = [(None, "one two three four five six")] * 3 + [(4, "one two three four five six"), (4, "one two three four five six")]
+    df = spark.createDataFrame(same, "doc_id long, text string")
+    assert [tuple(r) for r in adaptjoin.near_dedup(df).collect()] == [same[3]]
+    df = spark.createDataFrame(same[:3], "doc_id long, text string")
+    assert [tuple(r) for r in adaptjoin.near_dedup(df).collect()] == [same[0]]
+    assert adaptjoin.near_dedup(odd.where("false")).count() == 0
+    left = [r["doc_id"] for r in adaptjoin.near_dedup(odd, 4, 85).collect()]
+    assert sorted(x for x in left if x is not None) == [1, 2, 2, 3, 5, 6, 8, 9] and left.count(None) == 1
+
+
+def test_documents_that_share_one_passage_and_little_else(spark):
+    rng = random.Random(3)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(rng.choice([4, 300]))) + " " + passage)
+            for i in range(700)]
+    got = adaptjoin.near_components(spark.createDataFrame(rows, "doc_id long, text string"), 4, 85).collect()
+    assert sorted(map(tuple, got)) == _brute_components(rows, 4, 85)
+    assert len({r["component_id"] for r in got}) > 200
+
+
+def test_nodes_stay_exactly_where_a_pair_may_ask_for_them(spark):
+    rng = random.Random(6)
+    for _ in range(4):
+        match = {n: rng.randint(1, 3) for n in range(40)}
+        held = sorted({(rng.randint(0, 60), n) for n in range(40) for _ in range(5)})
+        df = spark.createDataFrame([(t, n, match[n]) for t, n in held], "token long, node long, match int")
+        tokens = {n: {t for t, m in held if m == n} for n in match}
+        may = {x for x in match for y in match if x != y
+               and len(tokens[x] & tokens[y]) >= min(match[x], match[y])}
+        got = {r["node"] for r in adaptjoin._pairable(df).collect()}
+        assert may <= got <= {x for x in match if any(tokens[x] & tokens[y] for y in match if y != x)}
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 60)] + [(1, 1)]
     got = dict(map(tuple, connected(spark.createDataFrame(edges, "a long, b long")).collect()))
