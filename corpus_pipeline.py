@@ -4,7 +4,7 @@ Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; :func:`run`
 each result as Parquet below the shared folder and reads it back for the next.  All
 stages but the last return the columns of ``documents``; the last returns one row per
 packed piece.  Null texts count as empty, empty tables give empty results, and rows
-without an id stay in the duplicate stages unless they repeat another text exactly.
+without an id are duplicates like others.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of near copies (five words, 0.8)."""
-    return adaptjoin.keep_rows(docs, adaptjoin.near_components(docs, width=5, percent=80))
+    return adaptjoin.near_dedup(docs, width=5, percent=80)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
