@@ -16,7 +16,9 @@ the components exact.
 
 Each set also has a parity bitmap: every element flips one of its bits, so two bitmaps
 differ in no more bits than their sets in elements.  A pair whose bitmaps differ too
-much is left out inside the join, before it becomes a row.
+much is left out inside the join, before it becomes a row.  The pairs left are compared
+once more by bitmaps as wide as their sets ask for; only then texts are read, those of paired
+nodes.
 
 Documents with equal sets are one node from the start.  Frequent elements are split
 over several groups by the sketch's estimate, before any shuffle.
@@ -47,6 +49,8 @@ CANDIDATES = 64
 GROUP_ROWS = 4096
 #: Bits of the parity bitmap, and min-hash values of a set.
 BITS, MINS = 512, 32
+#: Bits of the bitmap that paired nodes are compared by before their texts are, at most.
+MAX_BITS = 1 << 17
 #: An element of more nodes than this is busy: its nodes meet leaders before all pairs are taken.
 BUSY_NODES = 16
 #: Min-hash values of a bucket key, and the buckets of the first round (by the first value
@@ -101,12 +105,18 @@ def set_key(s: np.ndarray) -> int:
         return int(mix64(np.array([total + np.uint64(len(s))])).view(np.int64)[0])
 
 
-def bitmap(s: np.ndarray) -> np.ndarray:
+def bitmap(s: np.ndarray, bits: int = BITS) -> np.ndarray:
     """The parity bitmap of a set, as signed 64-bit words."""
-    odd = np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
+def wide_bitmap(s: np.ndarray) -> np.ndarray:
+    """A parity bitmap of twice as many bits as the set has elements, or more (a power of two, from
+    ``BITS`` to ``MAX_BITS``): a short one is all noise for a large set."""
+    return bitmap(s, min(MAX_BITS, max(BITS, 1 << (2 * len(s)).bit_length())))
+
+
 def min_hashes(s: np.ndarray) -> np.ndarray:
     """The smallest element in each of ``MINS`` equal ranges of hashes (0 where there is none)."""
     edges = np.arange(MINS, dtype=np.uint64) << np.uint64(64 - MINS.bit_length() + 1)
@@ -175,7 +185,7 @@ def prefix(s: np.ndarray, estimate: np.ndarray, noise: float, percent: int) -> t
 
 
 def _signatures(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """``(id, t, n, key, match, bits, mins, tokens, parts)`` of every row of ``(id, t, text)``."""
+    """``(id, t, n, key, match, bits, mins, wide, tokens, parts)`` of every row of ``(id, t, text)``."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)      # a fixed size
     shift = np.uint64(64 - SLOTS.bit_length() + 1)
 
@@ -183,13 +193,15 @@ def _signatures(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -
         counts = shared.value
         noise = float(counts.mean())
         for rows, data, offs in text_chunks(batches, "text"):
-            n, keys, need, tokens, parts, lens, bits, mins = [], [], [], [], [], [], [], []
+            n, keys, need, tokens, parts, lens, bits, mins, wide = [], [], [], [], [], [], [], [], []
             for s in shingle_sets(data, offs, width):
                 n.append(len(s))
                 if not len(s):
                     keys.append(0), need.append(0), lens.append(0), bits.append(None), mins.append(None)
+                    wide.append(None)
                     continue
                 keys.append(set_key(s)), bits.append(bitmap(s)), mins.append(min_hashes(s))
+                wide.append(wide_bitmap(s))
                 t, est, match = prefix(s, counts[(s >> shift).astype(np.int64)].astype(np.float64), noise, percent)
                 need.append(match), lens.append(len(t))
                 tokens.append(t)
@@ -200,13 +212,14 @@ def _signatures(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -
             yield pa.RecordBatch.from_arrays(
                 [rows.column(0), rows.column(1), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(need, pa.int32()),
                  pa.array(bits, pa.list_(pa.int64())), pa.array(mins, pa.list_(pa.int32())),
+                 pa.array(wide, pa.list_(pa.int64())),
                  pa.ListArray.from_arrays(ends, pa.array(flat.view(np.int64))),
                  pa.ListArray.from_arrays(ends, pa.array(split))],
-                names=["id", "t", "n", "key", "match", "bits", "mins", "tokens", "parts"])
+                names=["id", "t", "n", "key", "match", "bits", "mins", "wide", "tokens", "parts"])
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInArrow(run, f"id {kind}, t long, n long, key long, match int, bits array<long>, mins array<int>, "
-                                f"tokens array<long>, parts array<int>")
+                                f"wide array<long>, tokens array<long>, parts array<int>")
 
 
 def _postings(nodes: DataFrame) -> DataFrame:
@@ -344,6 +357,21 @@ def _likely(df: DataFrame, wanted: DataFrame, *cols: str) -> DataFrame:
             .where(F.col("__bits").bitwiseAND(bit) != 0).select(*df.columns))
 
 
+def _wide_enough(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose wide bitmaps leave the similarity possible; the longer bitmap of a pair is
+    folded to the shorter one's length, which gives the bitmap of that length."""
+    one = nodes.select(F.col("node").alias("a"), F.col("n").alias("an"), F.col("wide").alias("aw"))
+    two = nodes.select(F.col("node").alias("b"), F.col("n").alias("bn"), F.col("wide").alias("bw"))
+
+    def word(w: str) -> str:
+        return f"aggregate(sequence(0, size({w}) div m - 1), 0L, (x, k) -> x ^ {w}[i + k * m])"
+
+    differ = (f"element_at(transform(array(least(size(aw), size(bw))), m -> aggregate(sequence(0, m - 1), 0, "
+              f"(t, i) -> t + bit_count({word('aw')} ^ {word('bw')}))), 1)")
+    return pairs.join(one, "a").join(two, "b").where(F.expr(
+        f"{100 + percent}L * ({differ}) <= {100 - percent}L * (an + bn)")).select("a", "b")
+
+
 def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` whose texts' sets are similar enough, by exact comparison.
 
@@ -360,7 +388,7 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, perc
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1)], names=["a", "b"]).filter(
                 pa.array(ok, pa.bool_()))
 
-    pairs = materialize(pairs, "pairs")
+    pairs = materialize(_wide_enough(materialize(pairs, "candidates"), nodes, percent), "pairs")
     paired = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     texts = _node_texts(docs, nodes.join(paired, "node", "left_semi"), width)
     one = pairs.join(texts.select(F.col("node").alias("a"), "text"), "a")
@@ -377,7 +405,8 @@ def _row_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     by_set = signed.where("n > 0").groupBy(F.col("key").alias("node"))
     row = F.struct(F.col("id").isNull().alias("x"), "id", "t")
     nodes = materialize(by_set.agg(F.min("id").alias("low"), F.min(row).alias("carrier"), F.first("n").alias("n"),
-                                   F.first("bits").alias("bits"), F.first("mins").alias("mins")), "nodes")
+                                   F.first("bits").alias("bits"), F.first("mins").alias("mins"),
+                                   F.first("wide").alias("wide")), "nodes")
     postings = materialize(_postings(by_set.agg(
         F.first("n").alias("n"), F.first("match").alias("match"), F.first("tokens").alias("tokens"),
         F.first("parts").alias("parts"))), "postings")
@@ -467,10 +496,9 @@ def _node_texts(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     texts = docs.where("text IS NOT NULL").select(
         F.coalesce("id", F.lit(0)).alias("k"), F.col("id").isNull().alias("x"), "t", "text")
     at = ["k", "x", "t"]
-    found = carriers.join(_likely(texts, carriers, *at), at).select("node", "text").mapInArrow(
-        keyed, "node long, text string")
-    # repeated rows bring a node's text more than once
-    return materialize(found.dropDuplicates(["node"]), "node-texts")
+    # repeated rows bring a node's text more than once; the join has brought them together
+    found = carriers.join(_likely(texts, carriers, *at), at).dropDuplicates(at)
+    return materialize(found.select("node", "text").mapInArrow(keyed, "node long, text string"), "node-texts")
 
 
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",

@@ -26,11 +26,14 @@ CHUNK_BYTES = 4 << 20
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the session's ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a folder all machines share.  Only where it is
-    unset (tests) a temporary folder is used.
+    On a cluster that setting names a folder all machines share, and is needed.  Only a
+    local session without it (tests) uses a temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         base = "file://" + tempfile.mkdtemp(prefix="corpus-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
