@@ -49,6 +49,8 @@ CANDIDATES = 64
 GROUP_ROWS = 4096
 #: Bits of the parity bitmap, and min-hash values of a set.
 BITS, MINS = 512, 32
+#: Bytes of text whose words are hashed together: numpy takes some fifty times as much meanwhile.
+CHUNK = 1 << 20
 #: Bits of the bitmap that paired nodes are compared by before their texts are, at most.
 MAX_BITS = 1 << 17
 #: An element of more nodes than this is busy: its nodes meet leaders before all pairs are taken.
@@ -139,7 +141,7 @@ def frequency_sketch(docs: DataFrame, width: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.uint32)
-        for _, data, offs in text_chunks(batches, "text"):
+        for _, data, offs in text_chunks(batches, "text", CHUNK):
             sets = shingle_sets(data, offs, width)
             h = np.concatenate(sets) if sets else np.empty(0, np.uint64)
             total += np.bincount((h >> shift).astype(np.int64), minlength=SLOTS).astype(np.uint32)
@@ -192,7 +194,7 @@ def _signatures(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
         noise = float(counts.mean())
-        for rows, data, offs in text_chunks(batches, "text"):
+        for rows, data, offs in text_chunks(batches, "text", CHUNK):
             n, keys, need, tokens, parts, lens, bits, mins, wide = [], [], [], [], [], [], [], [], []
             for s in shingle_sets(data, offs, width):
                 n.append(len(s))
@@ -378,7 +380,7 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, perc
     Most nodes are in no pair, so a round reads the texts of its own pairs' nodes, once each.
     """
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offs in text_chunks(batches, "text", 1 << 20):
+        for rows, data, offs in text_chunks(batches, "text", CHUNK):
             # the other texts of a small chunk are of like size: they passed the size test
             _, other, edges = next(text_chunks(iter([rows]), "other", 1 << 62))
             ok = []
@@ -488,7 +490,7 @@ def _node_texts(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
                                         F.col("carrier.x").alias("x"), F.col("carrier.t").alias("t")), "carriers")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offs in text_chunks(batches, "text"):
+        for rows, data, offs in text_chunks(batches, "text", CHUNK):
             keys = [set_key(s) if len(s) else 0 for s in shingle_sets(data, offs, width)]
             same = np.array(keys, np.int64) == rows.column(0).to_numpy(zero_copy_only=False)
             yield rows.filter(pa.array(same))
