@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rasterprep.llm.common import (ascii_lower, ascii_words, materialize, mix64, slice_hashes,
-                                   text_chunks)
+                                   text_chunks, then_released)
 from rasterprep.llm.components import connected
 
 #: Counters of the frequency sketch (4 bytes each), and rows that carry them.
@@ -164,7 +164,7 @@ def frequency_sketch(docs: DataFrame, width: int) -> np.ndarray:
                            for x in total.values()], pa.binary())], names=["slot", "counts"])
 
     schema = "slot int, counts binary"
-    summed = docs.mapInArrow(count, schema).repartition(SKETCH_ROWS, "slot").mapInArrow(add, schema)
+    summed = docs.mapInArrow(lambda b: then_released(count(b)), schema).repartition(SKETCH_ROWS, "slot").mapInArrow(add, schema)
     out = np.zeros((SKETCH_ROWS, size), np.uint32)
     for r in summed.collect():
         out[r["slot"]] = np.frombuffer(zlib.decompress(bytes(r["counts"])), "<u4")
@@ -220,7 +220,7 @@ def _signatures(docs: DataFrame, width: int, percent: int, sketch: np.ndarray) -
                 names=["id", "t", "n", "key", "match", "bits", "mins", "wide", "tokens", "parts"])
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, t long, n long, key long, match int, bits array<long>, mins array<int>, "
+    return docs.mapInArrow(lambda b: then_released(run(b)), f"id {kind}, t long, n long, key long, match int, bits array<long>, mins array<int>, "
                                 f"wide array<long>, tokens array<long>, parts array<int>")
 
 
@@ -395,7 +395,8 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, perc
     texts = _node_texts(docs, nodes.join(paired, "node", "left_semi"), width)
     one = pairs.join(texts.select(F.col("node").alias("a"), "text"), "a")
     two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("other")), "b")
-    return two.select("a", "b", "text", "other").mapInArrow(check, "a long, b long")
+    return two.select("a", "b", "text", "other").mapInArrow(
+        lambda b: then_released(check(b)), "a long, b long")
 
 
 def _row_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -500,7 +501,8 @@ def _node_texts(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     at = ["k", "x", "t"]
     # repeated rows bring a node's text more than once; the join has brought them together
     found = carriers.join(_likely(texts, carriers, *at), at).dropDuplicates(at)
-    return materialize(found.select("node", "text").mapInArrow(keyed, "node long, text string"), "node-texts")
+    return materialize(found.select("node", "text").mapInArrow(
+        lambda b: then_released(keyed(b)), "node long, text string"), "node-texts")
 
 
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id",

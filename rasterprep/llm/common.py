@@ -7,6 +7,7 @@ of numpy temporaries into memory at once.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
@@ -81,6 +82,17 @@ def chunk_texts(data: np.ndarray, offs: np.ndarray) -> list[str]:
     return [raw[a:b].decode("utf-8", "replace") for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())]
 
 
+def then_released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; once they are all made, what Arrow and the C library keep of freed memory goes
+    back to the system, so that an idle worker leaves it to the next stage."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:              # a C library without it
+        pass
+
+
 # --- hashing --------------------------------------------------------------------------
 
 def mix64(x: np.ndarray) -> np.ndarray:
