@@ -1,7 +1,8 @@
 """Quality scores from compression: which dictionary makes a text smaller?
 
 Two zstandard dictionaries are trained, one on good and one on bad labelled texts.
-A text is compressed whole with each; the difference of the two sizes over the text's
+A whole text is compressed with each, in portions, as a compressor that has seen much of a
+long text needs no dictionary any more; the difference of the two sizes over the text's
 bytes says which kind of text it resembles.  A logistic fit on labelled texts that no
 dictionary saw turns the difference into a probability.
 """
@@ -21,8 +22,11 @@ from rasterprep.llm.common import id_crc, text_chunks
 
 #: Labelled documents of each class used for fitting, at most about.
 TRAIN_ROWS = 6_000
-#: Bytes of a training document that go into a dictionary's sample.
-SAMPLE_BYTES = 4_096
+#: Code points of a labelled document that a dictionary is trained on, at most: spans spread
+#: over the whole text.
+SAMPLE_CHARS, SPANS = 4_096, 4
+#: Bytes compressed at once.
+PORTION = 512
 DICT_BYTES = 112_640
 LEVEL = 3
 #: A document is good from this score on.
@@ -49,21 +53,22 @@ def _compressor(raw: bytes) -> zstandard.ZstdCompressor:
 
 def sizes(good: zstandard.ZstdCompressor, bad: zstandard.ZstdCompressor,
           texts: list[bytes]) -> np.ndarray:
-    """``(compressed with good, with bad, bytes)`` of every text."""
-    return np.array([(len(good.compress(t)), len(bad.compress(t)), len(t)) for t in texts],
-                    np.float64).reshape(-1, 3)
+    """``(compressed with good, with bad, bytes)`` of every text, summed over its portions."""
+    out = np.zeros((len(texts), 3))
+    for i, text in enumerate(texts):
+        parts = [text[a:a + PORTION] for a in range(0, max(1, len(text)), PORTION)]
+        out[i] = (sum(len(good.compress(p)) for p in parts), sum(len(bad.compress(p)) for p in parts), len(text))
+    return out
 
 
 def features(size: np.ndarray) -> np.ndarray:
-    """The size difference normalised by the text's bytes and by the compressed bytes,
-    the first also damped by length (a short text's difference says less), and how far
-    the text shrinks at all."""
+    """The size difference normalised by the text's bytes and by the compressed bytes, the first
+    also damped by length, as a short text's difference says less."""
     n = np.maximum(size[:, 2], 1)
     diff = np.clip((size[:, 1] - size[:, 0]) / n, -1, 1)
     share = (size[:, 1] - size[:, 0]) / np.maximum(size[:, 1] + size[:, 0], 1)
     root = 1 / np.sqrt(1 + n / 100)
-    shrunk = np.minimum((size[:, 1] + size[:, 0]) / (2 * n), 1)
-    return np.stack([np.ones(len(n)), diff, share, root, diff * root, shrunk, shrunk ** 2], axis=1)
+    return np.stack([np.ones(len(n)), diff, share, diff * root], axis=1)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e-3) -> np.ndarray:
@@ -85,7 +90,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
 
 def _dictionary(texts: list[bytes]) -> bytes:
     """A trained dictionary; too few samples for training give a raw one of their bytes."""
-    samples = [t[:SAMPLE_BYTES] for t in texts if t]
+    samples = [t for t in texts if t]
     total = sum(map(len, samples))
     try:
         return zstandard.train_dictionary(min(DICT_BYTES, max(1024, total // 4)), samples).as_bytes()
@@ -93,18 +98,31 @@ def _dictionary(texts: list[bytes]) -> bytes:
         return b"".join(samples)[-DICT_BYTES:]
 
 
+def spread(text_col: str, id_col: str, chars: int = SAMPLE_CHARS, spans: int = SPANS):
+    """At most ``chars`` code points of a text: all of a shorter one; of a longer one ``spans``
+    spans, one at a place in each equal part of it that a hash of the id chooses."""
+    wide = chars // spans
+    size, part = f"char_length({text_col})", f"(char_length({text_col}) div {spans})"
+    span = (f"substring({text_col}, cast(1 + i * {part} + pmod(xxhash64({id_col}, i), {part} - {wide} + 1) as int), "
+            f"{wide})")
+    return F.expr(f"if({size} <= {chars}, {text_col}, array_join(transform(sequence(0, {spans - 1}), "
+                  f"i -> {span}), ''))")
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
-        text_col: str = "text", rows: int = TRAIN_ROWS) -> QualityModel:
+        text_col: str = "text", rows: int = TRAIN_ROWS, chars: int = SAMPLE_CHARS) -> QualityModel:
     """Learn from the labelled rows given (``label_col`` 1 or 0; others are ignored).
 
     About ``rows`` documents of each class at most, dealt by a hash of the id, come to
-    the driver; the rest of the corpus is never collected.
+    the driver; the rest of the corpus is never collected.  A dictionary is trained on ``chars``
+    code points of a document at most, taken from all parts of its text; scores and their
+    calibration read whole texts.
     """
     marked = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y")))
     share = {r["y"]: r["n"] for r in marked.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(share) < 2:
-        return QualityModel(b"", b"", [0.0] * 7, constant=float(next(iter(share), 1)))
+        return QualityModel(b"", b"", [0.0] * 4, constant=float(next(iter(share), 1)))
     cut = F.lit(0)
     for y, n in share.items():
         cut = F.when(F.col("y") == y, int(1e6 * min(1.0, rows / n))).otherwise(cut)
@@ -114,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
              .join(F.broadcast(chosen), "id")
              .withColumn("own", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(3)) == 0))
     # a sample of each dictionary text comes to the driver, of the others only their sizes
-    got = (texts.where("NOT own").select("id", "y", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
+    got = (texts.where("NOT own").select("id", "y", spread("text", "id", chars).alias("text"))
            .toPandas().sort_values("id", kind="stable"))
     raw = {c: _dictionary([t.encode() for t in got.loc[got["y"] == c, "text"]]) for c in (0, 1)}
 
@@ -130,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
         measure, "y int, g double, b double, n double").toPandas().sort_values(["y", "g", "b", "n"])
     y, x = seen["y"].to_numpy(), features(seen[["g", "b", "n"]].to_numpy())
     if len(set(y)) < 2:
-        return QualityModel(b"", b"", [0.0] * 7, constant=share[1] / (share[0] + share[1]))
+        return QualityModel(b"", b"", [0.0] * 4, constant=share[1] / (share[0] + share[1]))
     weight = np.where(y == 1, share[1] / (y == 1).sum(), share[0] / (y == 0).sum())
     return QualityModel(raw[1], raw[0], _logistic(x, y, weight).tolist())
 
