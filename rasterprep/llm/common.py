@@ -175,17 +175,6 @@ def id_crc(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string").cast("binary"))
 
 
-def sampled(df: DataFrame, id_col: str, bound: int) -> DataFrame:
-    """About ``bound`` rows at most (all of them if fewer), dealt by a hash of the id.
-
-    The same rows are taken whatever the partitioning.
-    """
-    n = df.count()
-    if n <= bound:
-        return df
-    return df.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000)) < int(1e6 * bound / n))
-
-
 def local_path(uri: str) -> str:
     return uri[len("file://"):] if uri.startswith("file://") else uri
 

@@ -16,15 +16,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterprep.llm.common import chunk_texts, id_crc, mix64, sampled, text_chunks
+from rasterprep.llm.common import chunk_texts, id_crc, mix64, text_chunks
 
 #: n-gram lengths in code points; what is not a letter counts as one gap.
 LENGTHS = (3, 4)
 #: A language's filter holds n-grams that make up at least this share of its n-grams,
 #: hence at most 1 / MIN_SHARE of them whatever the corpus.
 MIN_SHARE = 2e-5
-#: Documents the filters are fitted on, at most about.
-TRAIN_ROWS = 20_000
+#: Documents of each language that the filters are fitted on, at most about.
+TRAIN_ROWS = 6_000
 SLOTS_PER_GRAM = 8
 UNKNOWN = "und"
 
@@ -135,13 +135,18 @@ class MaskFilter:
 def fit(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
         rows: int = TRAIN_ROWS) -> MaskFilter:
     """The filter of the languages in ``docs`` (rows with a language and a text), fitted on
-    about ``rows`` of them at most, dealt by a hash of the id.
+    about ``rows`` of each at most, dealt by a hash of the id; a language of fewer rows is
+    learned from all of them.
 
     n-grams are counted by Spark; at most ``1 / MIN_SHARE`` per language come back.
     """
     named = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    picked = sampled(named, "id", rows).select("lang", "text")
+    # one row per language
+    share = named.groupBy("lang").agg((F.lit(1e6 * rows) / F.count(F.lit(1))).alias("cut"))
+    picked = (named.join(F.broadcast(share), "lang")
+              .where(F.coalesce(F.pmod(F.xxhash64("id"), F.lit(1_000_000)), F.lit(0)) < F.col("cut"))
+              .select("lang", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, data, offs in text_chunks(batches, "text"):
