@@ -23,17 +23,18 @@ from pyspark.sql import functions as F
 
 from rasterprep.llm.common import ascii_lower, id_crc, mix64, slice_hashes, text_chunks
 
-#: Confirmed toxic and unlabelled documents used for fitting, at most about.
+#: Confirmed toxic documents that are learned from, and unlabelled documents that the weights
+#: are fitted on, at most about.  The features' frequencies come from all unlabelled documents.
 POSITIVE_ROWS = 8_000
 UNLABELLED_ROWS = 16_000
 #: Hashed features.
 BITS = 20
 #: Bytes of the word pieces that are features beside whole words.
 PIECES = (4, 5)
-#: A feature is used if at least this share of the confirmed documents (and MIN_COUNT of
-#: them) has it, and if, by the class prior, at least MIN_PURE of the unlabelled documents
-#: that have it are toxic.
-MIN_SHARE, MIN_COUNT, MIN_PURE = 0.01, 4, 0.7
+#: A feature is used if MIN_COUNT of the confirmed documents have it and if, by the class
+#: prior, at least MIN_PURE of all unlabelled documents that have it are toxic; one standard
+#: deviation fewer confirmed documents must still make that MIN_BOUND of them.
+MIN_COUNT, MIN_PURE, MIN_BOUND = 4, 0.7, 0.5
 
 #: A document is toxic from this score on.
 TOXIC = 0.3
@@ -170,14 +171,31 @@ def _calibrate(z_p: np.ndarray, z_u: np.ndarray, prior: float) -> tuple[float, f
     return float(a), float(b)
 
 
+def _frequencies(docs: DataFrame, wanted: np.ndarray | None) -> DataFrame:
+    """``(feature, n)``: how many documents of ``docs`` have each (``wanted``) feature; a task
+    gives its sums, 2**BITS at most."""
+    flags = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << BITS, np.int64)
+        for _, data, offs in text_chunks(batches, "text", 2 << 20):
+            total += np.bincount(word_features(data, offs, flags.value)[0], minlength=1 << BITS)
+        found = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(total[found])],
+                                         names=["feature", "n"])
+
+    return docs.select("text").mapInArrow(count, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+
+
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
         text_col: str = "text", positives: int = POSITIVE_ROWS,
         unlabelled: int = UNLABELLED_ROWS) -> ToxicModel:
     """Learn from rows of ``labels`` with ``label_col`` 1 as confirmed toxic, and from
     ``docs`` as unlabelled text; the class prior is the labelled rows' toxic share.
 
-    Spark turns the chosen documents into word features; those of about ``positives``
-    and ``unlabelled`` documents at most come to the driver, dealt by a hash of the id.
+    Spark counts the features of about ``positives`` confirmed documents and of all of
+    ``docs``; the optimiser gets those of the confirmed and of about ``unlabelled`` other
+    documents at most, dealt by a hash of the id.
     """
     marked = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
               .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("y")))
@@ -191,26 +209,18 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
     rest = texts.where(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1_000_000))
                        < int(1e6 * min(1.0, unlabelled / max(1, total)))).select(F.lit(0).alias("y"), "id", "text")
 
-    both = known.unionByName(rest)
-
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offs in text_chunks(batches, "text"):
-            feature, text = word_features(data, offs)
-            y = rows.column(0).to_numpy(zero_copy_only=False)
-            for c in (0, 1):
-                f, n = np.unique(feature[y[text] == c], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(f.astype(np.int32)), pa.array(n * (c == 1)), pa.array(n * (c == 0))],
-                    names=["feature", "p", "u"])
-
-    found = both.groupBy("y").count().collect()
-    n_p, n_u = (next((r["count"] for r in found if r["y"] == c), 0) for c in (1, 0))
-    counts = both.mapInArrow(frequencies, "feature int, p long, u long").groupBy("feature").agg(
-        F.sum("p").alias("p"), F.sum("u").alias("u"))
-    used = counts.where((F.col("p") >= max(MIN_COUNT, MIN_SHARE * n_p))
-                        & (F.col("p") * (prior * n_u) >= F.col("u") * (MIN_PURE * n_p))
-                        ).select("feature").toPandas()
-    names = np.sort(used["feature"].to_numpy(np.int64))
+    n_p = known.count()
+    p = _frequencies(known, None).where(F.col("n") >= MIN_COUNT).toPandas()
+    candidate = np.zeros(1 << BITS, bool)
+    candidate[p["feature"].to_numpy(np.int64)] = True
+    u = _frequencies(texts, candidate).toPandas()
+    p_of, u_of = np.zeros(1 << BITS), np.zeros(1 << BITS)
+    p_of[p["feature"].to_numpy(np.int64)] = p["n"]
+    u_of[u["feature"].to_numpy(np.int64)] = u["n"]
+    # toxic among the unlabelled documents with a feature, as the confirmed ones let expect
+    pure = p_of * (prior * total / max(1, n_p))
+    names = np.flatnonzero(candidate & (pure >= MIN_PURE * u_of)
+                           & (pure * (1 - 1 / np.sqrt(np.maximum(p_of, 1))) >= MIN_BOUND * u_of))
     wanted = np.zeros(1 << BITS, bool)
     wanted[names] = True
 
@@ -224,6 +234,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
                 names=["y", "id", "features"])
 
     kind = texts.schema["id"].dataType.simpleString()
+    both = known.unionByName(rest)
     got = both.mapInArrow(run, f"y int, id {kind}, features array<int>").toPandas()
     got = got.sort_values(["y", "id"], kind="stable")
     rows = {y: [np.searchsorted(names, np.asarray(f, np.int64)) for f in got.loc[got["y"] == y, "features"]]

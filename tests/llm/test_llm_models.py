@@ -98,6 +98,103 @@ def test_toxicity_of_held_out_text(spark, odd):
     assert all(r["score"] < pulearn.TOXIC for r in pulearn.score(odd, nothing).collect())
 
 
+def test_a_rare_language_is_learned_from_all_its_rows(spark):
+    rng = random.Random(4)
+    rows = [(i, sentences(rng, SYLLABLES["aa" if i % 100 else "cc"], 12), "aa" if i % 100 else "cc") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, rows=200)
+    assert model.languages == ["aa", "cc"]
+    fresh = [sentences(rng, SYLLABLES[x], 12) for x in ("aa", "cc") for _ in range(50)]
+    assert model.predict(fresh)[0] == ["aa"] * 50 + ["cc"] * 50
+
+
+def test_language_shares_equal_plain_sets():
+    rng = random.Random(5)
+    texts = [sentences(rng, SYLLABLES[x], 40) for x in ("aa", "bb", "cc", "aa")] + ["", "1 2 3", "Zu"]
+    sets = [set(langid.grams([t])[0].tolist()) for t in texts[:3]]
+    model = langid.MaskFilter(["aa", "bb", "cc"], [np.array(sorted(s), np.uint64) for s in sets])
+    shares, letters = model.shares(texts)
+    for text, share, n in zip(texts, shares, letters):
+        own = langid.grams([text])[0].tolist()
+        plain = [np.mean([g in s for g in own]) if own else 0 for s in sets]
+        assert np.allclose(share, plain, atol=0.05) and n == sum(map(str.isalpha, text))
+
+
+def test_quality_that_shows_late_in_long_texts(spark):
+    def make(rng):
+        good = rng.random() < 0.5
+        late = sentences(rng, SYLLABLES["bb"], 1500)
+        return (sentences(rng, SYLLABLES["aa"], 1500) + " "
+                + (late if good else " ".join(w + rng.choice(["***", "$$$"]) for w in late.split())), int(good))
+
+    rows, docs, labels = _labelled(spark, make, 120)
+    assert min(len(t) for _, t, _ in rows) > 2 * zquality.SAMPLE_CHARS
+    model = zquality.fit(docs, labels.where(~zquality.held_out()), label_col="y")
+    got = {r["id"]: r["score"] for r in zquality.score(docs, model).collect()}
+    held = {r["doc_id"] for r in docs.where(zquality.held_out()).collect()}
+    assert np.mean([(got[i] >= zquality.GOOD) == y for i, _, y in rows if i in held]) > 0.95
+    assert model.good.count(b"zu") + model.good.count(b"wex") > 50        # words of the later half
+
+
+def test_spans_cover_all_parts_of_a_text(spark):
+    text = "".join(chr(0x4E00 + i) for i in range(20_000))
+    rows = spark.range(400).select("id", F.lit(text).alias("text")).select(
+        zquality.spread("text", "id", 400, 4).alias("s")).collect()
+    assert {len(r["s"]) for r in rows} == {400}
+    seen = {c for r in rows for c in r["s"]}
+    assert len(seen) > 0.99 * len(text)
+    assert all(text[k * 5000:][:5000].find(r["s"][k * 100:][:100]) >= 0 for r in rows[:20] for k in range(4))
+    for short in ("", "é" * 400):
+        assert spark.createDataFrame([(1, short)], "id long, text string").select(
+            zquality.spread("text", "id", 400, 4)).first()[0] == short
+
+
+def test_sizes_are_sums_over_portions():
+    import zstandard
+    rng = random.Random(6)
+    texts = [sentences(rng, SYLLABLES["aa"], n).encode() for n in (1, 40, 900)] + [b"", b"x" * zquality.PORTION]
+    pair = [zquality._compressor(b"kalomi" * 50), zquality._compressor(b"zuwexpid" * 50)]
+    for text, row in zip(texts, zquality.sizes(*pair, texts)):
+        parts = [text[i:i + zquality.PORTION] for i in range(0, len(text), zquality.PORTION)] or [b""]
+        assert row.tolist() == [sum(len(c.compress(p)) for p in parts) for c in pair] + [len(text)]
+    assert zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(b"kalomi" * 50)).decompress(
+        pair[0].compress(texts[1]), max_output_size=1 << 20) == texts[1]
+
+
+def test_a_toxic_term_of_twenty_documents(spark):
+    rng = random.Random(7)
+
+    def text(*extra):
+        words = sentences(rng, SYLLABLES["aa"], 15).split() + list(extra)
+        rng.shuffle(words)
+        return " ".join(words)
+
+    rows = [(i, text("vraxul"), 1) for i in range(2500)] + [(i, text("gromphet"), 1) for i in range(2500, 2520)]
+    rows += [(i, text(), 0) for i in range(2520, 6000)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, y int")
+    model = pulearn.fit(docs, labels, label_col="y", unlabelled=1500)
+    fresh = spark.createDataFrame([(0, text("gromphet")), (1, text("vraxul")), (2, text()), (3, text())],
+                                  "doc_id long, text string")
+    got = {r["id"]: r["score"] for r in pulearn.score(fresh, model).collect()}
+    assert got[0] >= pulearn.TOXIC and got[1] >= pulearn.TOXIC
+    assert got[2] < pulearn.TOXIC and got[3] < pulearn.TOXIC
+
+
+def test_feature_frequencies_are_plain_document_counts(spark):
+    from collections import Counter
+    texts = ["Vrax lo lo", "vrax!", None, "", "été vrax-lomi"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    plain = Counter()
+    for t in texts:
+        data = np.frombuffer((t or "").encode(), np.uint8)
+        plain.update(set(pulearn.word_features(data, np.array([0, len(data)]))[0].tolist()))
+    got = {r["feature"]: r["n"] for r in pulearn._frequencies(docs, None).collect()}
+    assert got == dict(plain) and max(got.values()) == 3
+    one = np.zeros(1 << pulearn.BITS, bool)
+    one[max(got, key=got.get)] = True
+    assert [r["n"] for r in pulearn._frequencies(docs, one).collect()] == [3]
+
 
 def test_folds_follow_the_id_text(spark):
     import zlib
