@@ -20,6 +20,7 @@ of digests asks for; each block has its own sketch and retries.
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,9 +30,10 @@ MEAN_WORDS, MAX_WORDS = 16, 128
 BLOCK_DIGESTS = 24
 #: Cells in each of a block's three rows: the first try and the retries.
 ROW_CELLS = (11, 37, 149, 601, 2411)
-#: Ids in a range that one shuffle group holds, at least; there are at most MAX_RANGES of them.
-RANGE_IDS = 256
-MAX_RANGES = 1 << 16
+#: Rows of a range of ids, which is one shuffle group, about; there are at most MAX_RANGES of
+#: them, cut by about RANGE_SAMPLE sampled ids for each.
+RANGE_IDS, RANGE_SAMPLE = 512, 16
+MAX_RANGES = 1 << 14
 
 _SPACES = r"[\\x20\\x09-\\x0D]+"
 _CHECK = "xxhash64({0}, 7)"
@@ -60,7 +62,7 @@ def starts(hashes: str) -> str:
 def digests(hashes: str, ends: str) -> str:
     """SQL: the distinct digests of the paragraphs between :func:`starts`."""
     return (f"array_distinct(transform(slice({ends}, 1, size({ends}) - 1), "
-            f"(x, i) -> xxhash64(transform(sequence(x, {ends}[i + 1] - 1), j -> {hashes}[j]))))")
+            f"(x, i) -> xxhash64(slice({hashes}, x + 1, {ends}[i + 1] - x))))")
 
 
 def paragraphs(df: DataFrame, text: str, prefix: str) -> DataFrame:
@@ -84,45 +86,61 @@ def of_block(keys: str, block: str, blocks: str) -> str:
 
 # --- sketches -----------------------------------------------------------------------------------
 
-def _cell(key: str, row: str, cells: int) -> str:
-    """SQL: the cell of a digest within a row."""
-    return f"cast(pmod(shiftrightunsigned({key}, 17 * cast({row} as int)), {cells}L) as int)"
+def _cells(key: str, cells: int) -> str:
+    """SQL: the fields with a digest's cells within the three rows."""
+    return ", ".join(f"'c{r}', cast(pmod(shiftrightunsigned({key}, {17 * r}), {cells}L) as int)" for r in range(3))
+
+
+def _rows(row: str) -> str:
+    """SQL: a sketch's three rows, from the text of one with ``#`` as its number."""
+    return "named_struct(" + ", ".join(f"'s{r}', {row.replace('#', str(r))}" for r in range(3)) + ")"
 
 
 def sketch(keys: str, cells: int) -> str:
-    """SQL: the sketch of an array of digests, ``3 * cells`` structs ``(n, k, h)``."""
-    own = f"filter({keys}, x -> {_cell('x', f'(c div {cells})', cells)} = c % {cells})"
-    return (f"transform(sequence(0, {3 * cells - 1}), c -> aggregate({own}, "
-            f"named_struct('n', 0, 'k', 0L, 'h', 0L), (a, x) -> named_struct("
-            f"'n', a.n + 1, 'k', a.k ^ x, 'h', a.h ^ {_CHECK.format('x')})))")
+    """SQL: the sketch of an array of digests, three rows of ``cells`` structs ``(n, k, h)``.
+
+    A digest's cells and check are computed once."""
+    hashed = f"transform({keys}, x -> named_struct('k', x, 'h', {_CHECK.format('x')}, {_cells('x', cells)}))"
+    cell = ("aggregate(filter(e, x -> x.c# = c), named_struct('n', 0, 'k', 0L, 'h', 0L), (y, x) -> "
+            "named_struct('n', y.n + 1, 'k', y.k ^ x.k, 'h', y.h ^ x.h))")
+    rows = _rows(f"transform(sequence(0, {cells - 1}), c -> {cell})")
+    return f"transform(array({hashed}), e -> {rows})[0]"
 
 
 def subtract(a: str, b: str) -> str:
     """SQL: the cellwise difference of two sketches."""
-    return f"zip_with({a}, {b}, (p, q) -> named_struct('n', p.n - q.n, 'k', p.k ^ q.k, 'h', p.h ^ q.h))"
+    cell = "named_struct('n', p.n - q.n, 'k', p.k ^ q.k, 'h', p.h ^ q.h)"
+    rows = _rows(f"zip_with(v.a.s#, v.b.s#, (p, q) -> {cell})")
+    return f"transform(array(named_struct('a', {a}, 'b', {b})), v -> {rows})[0]"
 
 
 def peel(difference: str, cells: int) -> str:
     """SQL: ``(a, b)`` numbers of digests recovered from either side, null if stuck.
 
-    Each round takes all cells that hold one digest and removes those digests from
-    all cells; rounds end when none is left.
+    By turns, all cells that hold one digest are read, and those digests removed from the cells
+    that are not empty; it ends when there is no such cell.
     """
-    pure = (f"array_distinct(transform(filter(s, x -> abs(x.n) = 1 AND x.h = {_CHECK.format('x.k')}), "
-            f"x -> named_struct('n', x.n, 'k', x.k)))")
-    hit = f"{_cell('p.k', f'(c div {cells})', cells)} = c % {cells}"
-    removed = (f"transform(t.s, (x, c) -> aggregate(t.p, x, (y, p) -> if({hit}, named_struct("
-               f"'n', y.n - p.n, 'k', y.k ^ p.k, 'h', y.h ^ {_CHECK.format('p.k')}), y)))")
+    # each step of aggregate() copies its state, so at the end the cells are dropped: the steps left
+    # over cost nothing
+    pure = (f"transform(array_distinct(transform(filter(concat(t.s.s0, t.s.s1, t.s.s2), x -> abs(x.n) = 1 "
+            f"AND x.h = {_CHECK.format('x.k')}), x -> named_struct('n', x.n, 'k', x.k, 'h', x.h))), "
+            f"x -> named_struct('n', x.n, 'k', x.k, 'h', x.h, {_cells('x.k', cells)}))")
+    cell = ("if(x.n = 0 AND x.k = 0L, x, aggregate(filter(t.p, p -> p.c# = c), x, (y, p) -> "
+            "named_struct('n', y.n - p.n, 'k', y.k ^ p.k, 'h', y.h ^ p.h)))")
+    removed = _rows(f"transform(t.s.s#, (x, c) -> {cell})")
+    ones = "size(filter(t.p, p -> p.n > 0))"
 
-    def state(cells_sql: str, a: str, b: str) -> str:     # binds the cells to s, once
-        return (f"transform(array({cells_sql}), s -> named_struct('s', s, 'p', {pure}, 'a', {a}, 'b', {b}))[0]")
+    def state(cells_sql: str, found: str, a: str, b: str, done: str) -> str:
+        return f"named_struct('s', {cells_sql}, 'p', {found}, 'a', {a}, 'b', {b}, 'done', {done})"
 
-    ones = "size(filter(t.p, p -> p.n > 0))"
-    step = state(removed, f"t.a + {ones}", f"t.b + size(t.p) - {ones}")
-    rounds = (f"aggregate(sequence(1, {3 * cells}), {state(difference, '0', '0')}, "
-              f"(t, r) -> if(size(t.p) = 0, t, {step}))")
-    return (f"transform(array({rounds}), t -> if(forall(t.s, x -> x.n = 0 AND x.k = 0L), "
-            f"named_struct('a', t.a, 'b', t.b), null))[0]")
+    none = f"filter(array(named_struct('n', 0, 'k', 0L, 'h', 0L, {_cells('0L', cells)})), x -> false)"
+    read = state("t.s", pure, "t.a", "t.b", "0")
+    remove = state(removed, "t.p", f"t.a + {ones}", f"t.b + size(t.p) - {ones}", "0")
+    empty = "forall(concat(t.s.s0, t.s.s1, t.s.s2), x -> x.n = 0 AND x.k = 0L)"
+    end = state(_rows("filter(t.s.s#, x -> false)"), "t.p", "t.a", "t.b", f"if({empty}, 1, 2)")
+    return (f"aggregate(sequence(0, {6 * cells + 1}), {state(difference, none, '0', '0', '0')}, (t, i) -> "
+             f"if(t.done > 0, t, if(i % 2 = 0, {read}, if(size(t.p) = 0, {end}, {remove}))), "
+             f"t -> if(t.done = 1, named_struct('a', t.a, 'b', t.b), null))")
 
 
 def likeness(a: str, b: str, row_cells: tuple[int, ...] = ROW_CELLS) -> Column:
@@ -151,8 +169,9 @@ def fingerprint(prefix: str) -> Column:
     """The numbers of blocks and paragraphs and each block's smallest sketch as one string:
     per cell the count, the digests' xor and the low half of the checks' xor, in hex."""
     keys, blocks = f"{prefix}_digests", n_blocks(f"size({prefix}_digests)")
-    cells = (f"transform(array({blocks}), m -> flatten(transform(transform(sequence(0, m - 1), "
-             f"j -> {of_block(keys, 'j', 'm')}), v -> {sketch('v', ROW_CELLS[0])})))[0]")
+    cells = (f"transform(array({blocks}), m -> flatten(transform(transform(transform(sequence(0, m - 1), "
+             f"j -> {of_block(keys, 'j', 'm')}), v -> {sketch('v', ROW_CELLS[0])}), "
+             f"t -> concat(t.s0, t.s1, t.s2))))[0]")
     return F.expr(
         f"concat('iblt2:', {blocks}, ':', size({keys}), ':', array_join(transform({cells}, "
         f"x -> concat(lpad(lower(hex(x.n)), 2, '0'), lpad(lower(hex(x.k)), 16, '0'), "
@@ -161,9 +180,40 @@ def fingerprint(prefix: str) -> Column:
 
 # --- the next document and the edited text ------------------------------------------------------
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def with_ranges(ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``ids`` with the ``range`` of the column ``id``, and ``(range, last)``: the largest id of
+    each range.
+
+    Ranges are cut at quantiles of sampled ids, so that they hold about as many rows each
+    whatever the gaps between ids; all rows of an id are in one.  The sample, at most about
+    MAX_RANGES * RANGE_SAMPLE ids, decides on balance alone.  Rows without an id are dealt over
+    negative ranges by a hash of their text.
+    """
+    named = ids.select("id").where("id IS NOT NULL")
+    n = named.count()
+    ranges = min(MAX_RANGES, n // RANGE_IDS + 1)
+    share = int(1e9 * min(1.0, RANGE_SAMPLE * ranges / max(1, n)))
+    picked = named.where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1_000_000_000)) < share)
+    sample = picked.agg(F.sort_array(F.collect_list("id"))).first()[0]
+    cuts = sorted({float(sample[len(sample) * i // ranges]) for i in range(1, ranges)} if sample else ())
+
+    def ranged(rows: DataFrame) -> DataFrame:
+        place = F.lit(0)
+        if cuts:
+            rows = Bucketizer(splits=[-float("inf"), *cuts, float("inf")], inputCol="at", outputCol="spot").transform(
+                rows.withColumn("at", F.coalesce(F.col("id").cast("double"), F.lit(0.0))))
+            place = F.col("spot").cast("int")
+        return rows.withColumn("range", F.when(F.col("id").isNotNull(), place)
+                               .otherwise(-1 - F.pmod(F.xxhash64("text"), F.lit(MAX_RANGES)))).drop("at", "spot")
+
+    lasts = ranged(named.withColumn("text", F.lit(""))).groupBy("range").agg(F.max("id").alias("last"))
+    return ranged(ids), lasts
+
+
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digested: bool = False) -> DataFrame:
     """``(id, text, next)``: each row's text and that of the row next in descending id;
-    after the last comes the first.
+    after the last comes the first.  With ``digested`` also both texts' paragraph digests,
+    ``a_digests`` and ``b_digests``, made once per row before the shuffle.
 
     Rows are shuffled once, by ranges of ids.  A range's first row needs the text of an
     earlier range's last row, which is fetched by a broadcast of at most MAX_RANGES ids
@@ -172,29 +222,24 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ends = docs.select(F.col(id_col).cast("long").alias("id")).agg(
-        F.min("id").alias("lo"), F.max("id").alias("hi")).first()
-    if ends["lo"] is None:
-        return texts.withColumn("next", F.lit(""))
-    low, width = ends["lo"], max(RANGE_IDS, -(-(ends["hi"] - ends["lo"] + 1) // MAX_RANGES))
-    # the difference may pass 2**63, so it is taken as a decimal
-    spot = F.floor((F.col("id").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")) / F.lit(width)).cast("long")
-
-    lasts = (docs.select(F.col(id_col).cast("long").alias("id")).where("id IS NOT NULL")
-             .groupBy(spot.alias("range")).agg(F.max("id").alias("last")))
+    own_rows, lasts = with_ranges(texts)
     by_range = Window.orderBy("range")              # at most MAX_RANGES rows
-    edges = lasts.select("range", F.coalesce(F.lag("last").over(by_range), F.lit(ends["hi"])).alias("id"))
-    edge_rows = texts.join(F.broadcast(edges), "id").select(
-        "range", F.lit(0).alias("own"), "id", "text")
-    own_rows = texts.select(
-        F.coalesce(spot, -1 - F.pmod(F.xxhash64("text"), F.lit(MAX_RANGES))).alias("range"),
-        F.lit(1).alias("own"), "id", "text")
+    before = F.lag("last").over(by_range)
+    top = F.max("last").over(by_range.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    edges = lasts.select("range", F.coalesce(before, top).alias("id"))
+    edge_rows = texts.join(F.broadcast(edges), "id").select("range", F.lit(0).alias("own"), "id", "text")
+    own_rows = own_rows.select("range", F.lit(1).alias("own"), "id", "text")
+    if digested:
+        edge_rows, own_rows = paragraphs(edge_rows, "text", "a"), paragraphs(own_rows, "text", "a")
     order = Window.partitionBy("range").orderBy("own", "id", F.xxhash64("text"))
-    return (edge_rows.unionByName(own_rows)
-            .withColumn("next", F.lag("text").over(order))
-            .where("own = 1")
-            .select("id", "text", F.when(F.col("id").isNull(), F.lit(""))
-                    .otherwise(F.coalesce("next", F.lit(""))).alias("next")))
+    placed = edge_rows.unionByName(own_rows).withColumn("next", F.lag("text").over(order))
+    named = F.col("id").isNotNull()
+    columns = ["id", "text", F.when(named, F.coalesce("next", F.lit(""))).otherwise(F.lit("")).alias("next")]
+    if digested:
+        placed = placed.withColumn("b", F.lag("a_digests").over(order))
+        none = F.array().cast("array<bigint>")
+        columns += ["a_digests", F.when(named, F.coalesce("b", none)).otherwise(none).alias("b_digests")]
+    return placed.where("own = 1").select(*columns)
 
 
 def with_edit(rows: DataFrame) -> DataFrame:
@@ -214,10 +259,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ids and rows without an id are kept (see :func:`with_next`); an empty table gives an
     empty result.
     """
-    rows = with_edit(with_next(docs, id_col, text_col))
-    rows = rows.withColumn("edited_sha256", F.sha2("edited", 256))
-    for text, prefix in (("text", "a"), ("edited", "e"), ("next", "b")):
-        rows = paragraphs(rows, text, prefix)
+    rows = with_edit(with_next(docs, id_col, text_col, digested=True))
+    rows = paragraphs(rows.withColumn("edited_sha256", F.sha2("edited", 256)), "edited", "e")
     # neighbours mostly share nothing, for which the smallest sketch is too small
     return rows.select(
         "id", "n_chars", "edited_sha256", fingerprint("a").alias("fingerprint"),

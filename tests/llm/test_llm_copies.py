@@ -4,9 +4,11 @@ import hashlib
 import itertools
 import random
 import re
+import struct
 
 import numpy as np
 import pytest
+import xxhash
 from llm_fixtures import SCHEMA, odd_rows
 from pyspark.sql import functions as F
 
@@ -89,6 +91,70 @@ def test_likeness_of_edited_copies(spark):
                for i, (n, _, _) in enumerate(pairs))
 
 
+def _plain_digests(text):
+    """Paragraph digests in plain Python."""
+    def h(raw, seed=42):
+        return xxhash.xxh64_intdigest(raw, seed)
+
+    words = [h(w.encode()) for w in re.split("[\\x20\\x09-\\x0D]+", text) if w]
+    runs, run = [], []
+    for i, w in enumerate(words):
+        if run and (len(run) == iblt.MAX_WORDS or (words[i - 1] ^ (w >> 23)) % iblt.MEAN_WORDS == 0):
+            runs.append(run)
+            run = []
+        run.append(w)
+    out = set()
+    for run in runs + [run] * bool(run):
+        seed = 42
+        for w in run:
+            seed = h(struct.pack("<Q", w), seed)
+        out.add(seed)
+    return out
+
+
+def _plain_fingerprint(keys):
+    blocks = 1
+    while blocks * iblt.BLOCK_DIGESTS < len(keys):
+        blocks *= 2
+    size, out = iblt.ROW_CELLS[0], []
+    for j in range(blocks):
+        cells = [[0, 0, 0] for _ in range(3 * size)]
+        for k in keys:
+            if (k >> 51) % blocks == j:
+                check = xxhash.xxh64_intdigest(struct.pack("<i", 7), xxhash.xxh64_intdigest(struct.pack("<Q", k), 42))
+                for r in range(3):
+                    at = k >> 17 * r
+                    at = (at - (1 << 64) if at >> 63 else at) % size
+                    c = cells[r * size + at]
+                    c[0], c[1], c[2] = c[0] + 1, c[1] ^ k, c[2] ^ check
+        out += [f"{n:02x}{k:016x}{h & 0xFFFFFFFF:08x}" for n, k, h in cells]
+    return f"iblt2:{blocks}:{len(keys)}:" + "".join(out)
+
+
+def test_fingerprints_equal_plain_sketches(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(300)}é" for _ in range(n))) for i, n in enumerate([0, 1, 9, 200, 900, 2500])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    edits = {r["id"]: r["edited"] for r in iblt.with_edit(iblt.with_next(docs)).collect()}
+    for r in iblt.fingerprints(docs).collect():
+        text, edited = rows[r["id"]][1], edits[r["id"]]
+        a, e = _plain_digests(text), _plain_digests(edited)
+        assert r["fingerprint"] == _plain_fingerprint(a) and r["edited_fingerprint"] == _plain_fingerprint(e)
+        assert r["near_edited"] == (len(a & e) / len(a | e) if a | e else 1.0)
+        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+
+
+def test_ranges_hold_like_numbers_of_rows_whatever_the_ids(spark):
+    n = 40 * iblt.RANGE_IDS
+    ids = spark.range(n).select("id", F.lit("t").alias("text"))
+    for rows in (ids, ids.unionByName(spark.createDataFrame([(10**15, "t"), (-10**18, "t")], "id long, text string"))):
+        ranged, lasts = iblt.with_ranges(rows)
+        sizes = [r["count"] for r in ranged.groupBy("range").count().collect()]
+        assert max(sizes) < 0.05 * n and lasts.count() == len(sizes)
+    no_id = spark.range(3000).select(F.lit(None).cast("long").alias("id"), F.col("id").cast("string").alias("text"))
+    assert iblt.with_ranges(no_id)[0].groupBy("range").count().agg(F.max("count")).first()[0] < 100
+
+
 def test_fingerprint_plan_has_no_python(odd):
     plan = iblt.fingerprints(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
