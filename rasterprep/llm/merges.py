@@ -13,6 +13,7 @@ import base64
 import heapq
 import json
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -180,11 +181,24 @@ def merge_pieces(table: PairTable, pieces: list[bytes]) -> tuple[np.ndarray, np.
 
 # --- ids of many keys, remembered -------------------------------------------------------
 
+#: Characters (or bytes) of keys that a cache holds before it starts afresh, whatever their number.
+KEY_CHARS = 48 << 20
+
+
+class _Numbering(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key):
+        number = self[key] = len(self)
+        return number
+
+
 class RaggedCache:
     """Remembers the ids of keys (words, pieces) across the batches of a Python worker.
 
     ``encode(keys) -> (flat ids, lengths)`` is asked only for keys not yet seen.  The
-    cache holds ``limit`` keys at most and starts afresh beyond that.
+    cache starts afresh beyond ``limit`` keys or ``KEY_CHARS`` characters in them, so it holds
+    at most these and what one batch adds.
     """
 
     def __init__(self, encode: Callable[[list], tuple[np.ndarray, np.ndarray]], limit: int = 500_000):
@@ -192,39 +206,42 @@ class RaggedCache:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict = {}
+        self.known = _Numbering()
         self.ids = np.empty(1 << 16, np.int32)
         self.first = np.zeros(1 << 14, np.int64)
         self.size = np.zeros(1 << 14, np.int32)
-        self.used = 0
+        self.used = self.chars = 0
 
     def numbers(self, keys: list) -> np.ndarray:
         """The cache's number of every key, learning those not seen before."""
-        if len(self.known) > self.limit:
+        if len(self.known) > self.limit or self.chars > KEY_CHARS:
             self._clear()
-        get = self.known.get
-        got = [get(k, -1) for k in keys]
-        found = np.array(got, np.int64) if got else np.empty(0, np.int64)
-        missing = np.flatnonzero(found < 0)
-        if len(missing):
-            new = list(dict.fromkeys([keys[i] for i in missing.tolist()]))
-            flat, lens = self.encode(new)
-            lens = np.asarray(lens, np.int64)
-            base, n = len(self.known), len(new)
-            self.known.update(zip(new, range(base, base + n)))
-            while base + n > len(self.first):
-                self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-                self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-            while self.used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            self.ids[self.used:self.used + len(flat)] = flat
-            self.first[base:base + n] = self.used + np.cumsum(lens) - lens
-            self.size[base:base + n] = lens
-            self.used += len(flat)
-            known = self.known
-            found[missing] = [known[keys[i]] for i in missing.tolist()]
+        base = len(self.known)
+        found = np.fromiter(map(self.known.__getitem__, keys), np.int64, len(keys))
+        if len(self.known) > base:
+            try:
+                self._learn(base, list(islice(reversed(self.known), len(self.known) - base))[::-1])
+            except BaseException:
+                self._clear()              # no numbers without ids
+                raise
         return found
 
+    def _learn(self, base: int, new: list) -> None:
+        """Store the ids of the newest keys, numbered from ``base``."""
+        flat, lens = self.encode(new)
+        lens = np.asarray(lens, np.int64)
+        n = len(new)
+        while base + n > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.ids[self.used:self.used + len(flat)] = flat
+        self.first[base:base + n] = self.used + np.cumsum(lens) - lens
+        self.size[base:base + n] = lens
+        self.used += len(flat)
+        self.chars += sum(map(len, new))
+
     def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(flat ids, lengths)`` of the numbered keys, in order."""
         lens = self.size[numbers].astype(np.int64)
@@ -263,7 +280,7 @@ class TokenCounter:
         self.pattern = regex.compile(pattern)
         self.cut = regex.compile("|".join(map(regex.escape, self.special))) if self.special else None
         self.known: dict[str, int] = {}
-        self.limit = limit
+        self.limit, self.chars = limit, 0
 
     def _learn(self, words: list[str]) -> None:
         """Count the tokens of words: pre-tokenise, merge the distinct pre-tokens as one
@@ -277,10 +294,11 @@ class TokenCounter:
         get = size.__getitem__
         self.known.update((w, size[w]) for w in plain)
         self.known.update((w, sum(map(get, ps))) for w, ps in pieces.items())
+        self.chars += sum(map(len, words))
 
     def counts(self, texts: list[str]) -> list[int]:
-        if len(self.known) > self.limit:
-            self.known = {}
+        if len(self.known) > self.limit or self.chars > KEY_CHARS:
+            self.known, self.chars = {}, 0
         parts, extra = [], []
         for text in texts:
             pieces, special = [text], 0

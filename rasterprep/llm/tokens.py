@@ -39,7 +39,7 @@ class LibraryEncoder:
         ids: list[int] = []
         ends = []
         for lo in range(0, len(words), 8192):
-            for e in self.tokenizer.encode_batch(words[lo:lo + 8192], add_special_tokens=False):
+            for e in self.tokenizer.encode_batch_fast(words[lo:lo + 8192], add_special_tokens=False):
                 ids += e.ids
                 ends.append(len(ids))
         return np.array(ids, np.int32), np.diff(np.array(ends, np.int64), prepend=0)

@@ -120,6 +120,28 @@ def test_words_remembered_give_the_librarys_ids(path, blank_free):
             [e.ids for e in library.encode_batch(t[lo:lo + 300], add_special_tokens=False)]
 
 
+def test_a_cache_is_limited_by_characters_and_never_numbers_what_failed(monkeypatch):
+    monkeypatch.setattr(merges, "KEY_CHARS", 50)
+    asked = []
+
+    def lengths(keys):
+        if "bad" in keys:
+            raise ValueError("bad")
+        asked.append(list(keys))
+        return np.array([len(k) for k in keys], np.int32), np.ones(len(keys), np.int64)
+
+    cache = merges.RaggedCache(lengths)
+    assert cache.gather(cache.numbers(["a", "bb", "a"]))[0].tolist() == [1, 2, 1]
+    assert cache.gather(cache.numbers(["ccc", "bb", "d" * 60]))[0].tolist() == [3, 2, 60]
+    assert asked == [["a", "bb"], ["ccc", "d" * 60]]
+    assert cache.gather(cache.numbers(["bb", "e"]))[0].tolist() == [2, 1]       # afresh: 66 characters held
+    assert asked[-1] == ["bb", "e"]
+    with pytest.raises(ValueError):
+        cache.numbers(["f", "bad"])
+    assert cache.gather(cache.numbers(["f", "bb"]))[0].tolist() == [1, 2]
+    assert cache.numbers([]).tolist() == []
+
+
 def test_lowering_first_gives_the_librarys_ids():
     library = Tokenizer.from_file(WORD_JSON)
     t = texts(1500, 8) + [c + m for c in "JHTWYKA" for m in ("\u030c", "\u0331", "\u0308", "\u030a", "")] + \
