@@ -86,6 +86,11 @@ def then_released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """The batches; once they are all made, what Arrow and the C library keep of freed memory goes
     back to the system, so that an idle worker leaves it to the next stage."""
     yield from batches
+    release_freed()
+
+
+def release_freed() -> None:
+    """Give back to the system what Arrow and the C library keep of freed memory."""
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

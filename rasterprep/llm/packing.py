@@ -23,10 +23,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rasterprep.llm.common import chunk_texts, materialize, text_chunks
+from rasterprep.llm.common import chunk_texts, materialize, release_freed, text_chunks
 from rasterprep.llm.tokens import REMEMBERED, encoder, forget_encoders
 
 PIECE_COLUMNS = "piece int, start long, length long, ids binary, part int, nth long"
+#: Bytes of text encoded together: their ids and words take some thirty times as much meanwhile.
+CHUNK = 1 << 19
 PLAN_SCHEMA = ("length long, rank_lo long, rank_hi long, per_bin long, first_sequence long, "
                "first_offset long")
 
@@ -109,17 +111,19 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int,
     tokenizer) when a task ends.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_freed()                  # what earlier stages left in the worker
         try:
             yield from encoded(batches)
         finally:
             if not keep_words:
                 forget_encoders()
+            release_freed()
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, False, remembered)
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
-        for rows, data, offs in text_chunks(batches, "text", 2 << 20):
+        for rows, data, offs in text_chunks(batches, "text", CHUNK):
             ids, n = enc.encode(chunk_texts(data, offs))
             ends = np.cumsum(n)
             whole = np.insert(ids, ends, end_id).astype("<u4")   # the end id after each document

@@ -12,20 +12,34 @@ import os
 import numpy as np
 
 from rasterprep.llm.common import ascii_lower
-from rasterprep.llm.merges import RaggedCache, space_words
+from rasterprep.llm.merges import RaggedCache, byte_alphabet, space_keys
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 
 #: Words that a worker remembers, about 300 bytes each.
 REMEMBERED = 1_200_000
+#: New words that the library is asked for as one text.
+JOINED = 64
+
+
+def byte_sizes(tokenizer) -> np.ndarray | None:
+    """Bytes of every id of a byte-level tokenizer; None for one of another kind."""
+    alphabet, vocab = byte_alphabet(), tokenizer.get_vocab()
+    if not vocab or not all(c in vocab for c in alphabet):
+        return None
+    sizes = np.zeros(max(vocab.values()) + 1, np.int64)
+    for token, i in vocab.items():
+        sizes[i] = len(token)
+    return sizes
 
 
 class LibraryEncoder:
     """Ids of whole texts by a ``tokenizer.json``, without added special tokens.
 
     ``blank_free`` says that the tokenizer drops white space (its words are cut at every
-    space and line feed); otherwise words keep the space before them.
+    space and line feed); otherwise words keep the space before them, and the cache knows them
+    by :func:`~rasterprep.llm.merges.space_keys`.
     """
 
     def __init__(self, path: str, blank_free: bool, limit: int = REMEMBERED):
@@ -33,23 +47,65 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.blank_free = blank_free
+        self.sizes = None if blank_free else byte_sizes(self.tokenizer)
         self.cache = RaggedCache(self._ask, limit)
 
-    def _ask(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _ask(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids, lens = [], []
+        for lo in range(0, len(keys), 8192):
+            got = self._ask_joined(keys[lo:lo + 8192]) or self._ask_each(keys[lo:lo + 8192])
+            ids.append(got[0]), lens.append(got[1])
+        return np.concatenate(ids), np.concatenate(lens)
+
+    def _ask_each(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        words = keys if self.blank_free else [k[1:] if k[:1] == " " else " " + k for k in keys]
         ids: list[int] = []
         ends = []
-        for lo in range(0, len(words), 8192):
-            for e in self.tokenizer.encode_batch_fast(words[lo:lo + 8192], add_special_tokens=False):
-                ids += e.ids
-                ends.append(len(ids))
+        for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False):
+            ids += e.ids
+            ends.append(len(ids))
         return np.array(ids, np.int32), np.diff(np.array(ends, np.int64), prepend=0)
 
+    def _ask_joined(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same for words that are asked for some ``JOINED`` at a time: one text costs less than
+        its words one by one.  Words that begin with a space and are visible at both ends are cut
+        there again by the tokenizer, and the bytes of the ids tell where; None if they do not."""
+        if self.sizes is None:
+            return None
+        texts, run = [], []
+        for k in keys:
+            if k and not (k[0].isspace() or k[-1].isspace()):
+                run.append(k)
+                if len(run) < JOINED:
+                    continue
+            if run:
+                texts.append(" " + " ".join(run))
+            if not run or run[-1] is not k:
+                texts.append(k[1:] if k[:1] == " " else " " + k)
+            run = []
+        if run:
+            texts.append(" " + " ".join(run))
+        if any(s in t for s in self.special if " " in s for t in texts):
+            return None                    # a special string might arise from several words
+        ids: list[int] = []
+        for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            ids += e.ids
+        flat = np.array(ids, np.int32)
+        ends = np.cumsum(self.sizes[flat])
+        # a word has a space more than its key, the first of a text one less
+        size = np.array([len(k.encode()) + (-1 if k[:1] == " " else 1) for k in keys], np.int64)
+        last = np.cumsum(size)
+        at = np.searchsorted(ends, last)
+        if not len(ends) or ends[-1] != last[-1] or (ends[at] != last).any():
+            return None
+        return flat, np.diff(at + 1, prepend=0)
+
     def _words(self, text: str) -> list[str] | None:
         if self.blank_free:
             return [w for w in text.replace("\n", " ").split(" ") if w]
         if any(s in text for s in self.special):
             return None
-        return space_words(text)
+        return space_keys(text)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(flat ids, ids per text)``."""

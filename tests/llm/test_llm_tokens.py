@@ -142,6 +142,37 @@ def test_a_cache_is_limited_by_characters_and_never_numbers_what_failed(monkeypa
     assert cache.numbers([]).tolist() == []
 
 
+def test_new_words_are_asked_for_some_at_a_time():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgéß日'.,1" * 16 + "\n\t") for _ in range(rng.randint(0, 9))) for _ in range(4000)]
+    t = [" ".join(words[i:i + 40]) for i in range(0, 4000, 40)] + texts(300, 6)
+    enc, library = tokens.LibraryEncoder(BYTE_JSON, False), Tokenizer.from_file(BYTE_JSON)
+    asked = []
+
+    class Counting:
+        def encode_batch_fast(self, some, **more):
+            asked.extend(some)
+            return library.encode_batch_fast(some, **more)
+
+        def encode(self, text, **more):
+            return library.encode(text, **more)
+
+    enc.tokenizer = Counting()
+    ids, n = enc.encode(t)
+    want = [e.ids for e in library.encode_batch(t, add_special_tokens=False)]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == want
+    assert len(asked) < len(enc.cache.known) / 4
+
+
+def test_words_are_asked_for_one_by_one_where_ids_do_not_show_their_bytes():
+    t = texts(300, 7) + ["some plain words, twice: some plain words"]
+    enc = tokens.LibraryEncoder(BYTE_JSON, False)
+    enc.sizes = np.zeros_like(enc.sizes)             # as if bytes of ids did not end where words do
+    ids, n = enc.encode(t)
+    want = [e.ids for e in Tokenizer.from_file(BYTE_JSON).encode_batch(t, add_special_tokens=False)]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == want
+
+
 def test_lowering_first_gives_the_librarys_ids():
     library = Tokenizer.from_file(WORD_JSON)
     t = texts(1500, 8) + [c + m for c in "JHTWYKA" for m in ("\u030c", "\u0331", "\u0308", "\u030a", "")] + \
