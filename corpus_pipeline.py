@@ -49,7 +49,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents' tokens, packed into sequences of at most 2048."""
     # executors come here with the heap of four stages, and a next run's stages follow: a worker
     # remembers fewer words, and none beyond its task
-    packed = packing.pack(docs, TOKENIZER, instead_of_ids={"ids_crc32": F.crc32("ids")}, remembered=150_000,
+    packed = packing.pack(docs, TOKENIZER, instead_of_ids={"ids_crc32": F.crc32("ids")}, remembered=50_000,
                           keep_words=False)
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32",
                          "sequence_id", "offset")

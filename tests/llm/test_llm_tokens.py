@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -244,6 +245,25 @@ def test_plan_places_every_piece_once():
     assert sum(t for _, t in bins) <= 1.02 * least + 1
 
 
+def test_packing_encodes_half_a_megabyte_at_a_time(spark, monkeypatch):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    tasks, sizes = [], []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: tasks.append(f))
+    packing.token_pieces(docs, BYTE_JSON, 0, 2048, keep_words=False)
+
+    class Recording:
+        def encode(self, some):
+            sizes.append(sum(map(len, some)))
+            return np.zeros(len(some), np.int32), np.ones(len(some), np.int64)
+
+    monkeypatch.setattr(packing, "encoder", lambda *_: Recording())
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    batch = pa.RecordBatch.from_pydict({"id": list(range(300)), "text": ["word " * 2000] * 300})
+    out = list(tasks[0](iter([batch])))
+    assert sum(b.num_rows for b in out) == 300 and sum(sizes) == 3_000_000
+    assert max(sizes) <= 1 << 19
+
+
 def test_packing_of_odd_rows(odd):
     library = Tokenizer.from_file(BYTE_JSON)
     got = packing.pack(odd, BYTE_JSON, capacity=512).toPandas()
