@@ -50,7 +50,7 @@ GROUP_ROWS = 4096
 #: Bits of the parity bitmap, and min-hash values of a set.
 BITS, MINS = 512, 32
 #: Bytes of text whose words are hashed together: numpy takes some fifty times as much meanwhile.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Bits of the bitmap that paired nodes are compared by before their texts are, at most.
 MAX_BITS = 1 << 17
 #: An element of more nodes than this is busy: its nodes meet leaders before all pairs are taken.
@@ -141,10 +141,19 @@ def frequency_sketch(docs: DataFrame, width: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SLOTS, np.uint32)
+        held, waiting = [], 0
+
+        def add_held() -> None:
+            h = np.concatenate(held) if held else np.empty(0, np.uint64)
+            np.add(total, np.bincount((h >> shift).astype(np.int64), minlength=SLOTS), out=total, casting="unsafe")
+
         for _, data, offs in text_chunks(batches, "text", CHUNK):
-            sets = shingle_sets(data, offs, width)
-            h = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-            total += np.bincount((h >> shift).astype(np.int64), minlength=SLOTS).astype(np.uint32)
+            held += shingle_sets(data, offs, width)
+            waiting += sum(map(len, held[-(len(offs) - 1):]))
+            if waiting > SLOTS // 2:            # counters are added up for many shingles at once
+                add_held()
+                held, waiting = [], 0
+        add_held()
         pieces = total.reshape(SKETCH_ROWS, size)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.arange(SKETCH_ROWS, dtype=np.int32)),
@@ -374,10 +383,16 @@ def _wide_enough(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         f"{100 + percent}L * ({differ}) <= {100 - percent}L * (an + bn)")).select("a", "b")
 
 
-def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` whose texts' sets are similar enough, by exact comparison.
+def _of_pairs(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The nodes that are in a pair."""
+    return nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi")
+
+
+def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame | None:
+    """The pairs ``(a, b)`` whose texts' sets are similar enough, by exact comparison; None if there
+    is none to compare.
 
-    Most nodes are in no pair, so a round reads the texts of its own pairs' nodes, once each.
+    Most nodes are in no pair, so a round reads bitmaps and texts of its own pairs' nodes, once each.
     """
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offs in text_chunks(batches, "text", CHUNK):
@@ -390,13 +405,19 @@ def _links(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, perc
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1)], names=["a", "b"]).filter(
                 pa.array(ok, pa.bool_()))
 
-    pairs = materialize(_wide_enough(materialize(pairs, "candidates"), nodes, percent), "pairs")
-    paired = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = _node_texts(docs, nodes.join(paired, "node", "left_semi"), width)
+    pairs = materialize(pairs, "candidates")
+    if pairs.isEmpty():
+        return None
+    nodes = materialize(_of_pairs(nodes, pairs), "paired")
+    pairs = materialize(_wide_enough(pairs, nodes, percent), "pairs")
+    if pairs.isEmpty():
+        return None
+    texts = _node_texts(docs, _of_pairs(nodes, pairs), width)
     one = pairs.join(texts.select(F.col("node").alias("a"), "text"), "a")
     two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("other")), "b")
-    return two.select("a", "b", "text", "other").mapInArrow(
-        lambda b: then_released(check(b)), "a long, b long")
+    links = materialize(two.select("a", "b", "text", "other").mapInArrow(
+        lambda b: then_released(check(b)), "a long, b long"), "links")
+    return None if links.isEmpty() else links
 
 
 def _row_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -421,8 +442,14 @@ def _row_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     labels = postings.sparkSession.createDataFrame([], "node long, label long")
     for seed in range(1 + ELEMENT_ROUNDS):
         keyed = (_element_buckets if seed else _min_hash_buckets)(busy, marks, labels)
-        labels = _merged(labels, _links(_leader_pairs(keyed, 10 * seed, percent), docs, nodes, width, percent))
-    labels = _merged(labels, _links(_cross_pairs(postings, marks, labels, percent), docs, nodes, width, percent))
+        links = _links(_leader_pairs(keyed, 10 * seed, percent), docs, nodes, width, percent)
+        if links is not None:
+            labels = _merged(labels, links)
+        elif seed:
+            break                       # other leaders would seldom link more; the last round is exact
+    links = _links(_cross_pairs(postings, marks, labels, percent), docs, nodes, width, percent)
+    if links is not None:
+        labels = _merged(labels, links)
 
     low = nodes.select("node", "low").join(labels, "node", "left").select(
         "node", F.coalesce("label", "node").alias("component"), "low")

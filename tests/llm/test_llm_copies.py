@@ -12,7 +12,7 @@ import xxhash
 from llm_fixtures import SCHEMA, odd_rows
 from pyspark.sql import functions as F
 
-from rasterprep.llm import adaptjoin, fuse, iblt
+from rasterprep.llm import adaptjoin, components, fuse, iblt
 from rasterprep.llm.components import connected
 
 
@@ -365,3 +365,30 @@ def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 60)] + [(1, 1)]
     got = dict(map(tuple, connected(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in range(5, 60)} == {5}
+
+
+def _written(monkeypatch):
+    """The names of the tables that the join and its components write."""
+    names, write = [], components.materialize
+    for module in (adaptjoin, components):
+        monkeypatch.setattr(module, "materialize", lambda df, name: names.append(name) or write(df, name))
+    return names
+
+
+def test_stars_need_no_round(spark, monkeypatch):
+    names = _written(monkeypatch)
+    stars = spark.createDataFrame([(5, 1), (6, 1), (1, 7), (9, 8), (8, 9), (3, 3)], "a long, b long")
+    got = {tuple(r) for r in components.connected(stars).collect()}
+    assert got == {(1, 1), (5, 1), (6, 1), (7, 1), (8, 8), (9, 8)} and names == ["edges"]
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 49), (50, 48)], "a long, b long")
+    got = {tuple(r) for r in components.connected(chain).collect()}
+    assert got == {(i, 0) for i in range(41)} | {(i, 48) for i in range(48, 51)}
+
+
+def test_rounds_without_pairs_write_no_texts(spark, monkeypatch):
+    names = _written(monkeypatch)
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(30))) for i in range(40)]
+    got = adaptjoin.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["id"], r["component_id"]) for r in got} == {(i, i) for i in range(40)}
+    assert not {"node-texts", "labels"} & set(names)
