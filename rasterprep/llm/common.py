@@ -11,7 +11,7 @@ import ctypes
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -89,6 +89,16 @@ def then_released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     release_freed()
 
 
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, in a worker that gives freed memory back before it starts, as
+    earlier stages may have left some, and when it ends."""
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_freed()
+        yield from then_released(run(batches))
+
+    return tidy
+
+
 def release_freed() -> None:
     """Give back to the system what Arrow and the C library keep of freed memory."""
     pa.default_memory_pool().release_unused()

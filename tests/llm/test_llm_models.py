@@ -1,13 +1,16 @@
 """Language, quality and toxicity on invented text with a known answer."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_fixtures import SCHEMA, auc, odd_rows, sentences
 from pyspark.sql import functions as F
 
 from rasterprep.llm import langid, pulearn, zquality
+from rasterprep.llm.common import slice_hashes, utf8
 
 SYLLABLES = {"aa": ["ka", "lo", "mi", "ren", "tos"], "bb": ["zu", "wex", "pid", "gor", "lan"],
              "cc": ["été", "çou", "pre", "nif", "ol"]}
@@ -202,3 +205,32 @@ def test_folds_follow_the_id_text(spark):
                                    pulearn.held_out().alias("b")).collect()
     assert [(r["a"], r["b"]) for r in rows] == \
         [(zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1, zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows]
+
+
+def test_a_word_is_hashed_once_a_chunk(monkeypatch):
+    hashed = []
+
+    def counted(data, starts, ends):
+        hashed.append(len(starts))
+        return slice_hashes(data, starts, ends)
+
+    monkeypatch.setattr(pulearn, "slice_hashes", counted)
+    texts = ["Abcdef xyz " * 500, "", "abcdef-XYZ", "été", "xyz"]
+    data, offs = utf8(pa.array(texts))
+    feature, text = pulearn.word_features(data, offs)
+    assert sum(hashed) == 3                                   # abcdef, xyz, été
+    alone = [pulearn.word_features(*utf8(pa.array([t])))[0].tolist() for t in texts]
+    assert [feature[text == i].tolist() for i in range(len(texts))] == alone
+    assert len(alone[0]) == 7 and alone[0] == alone[2]        # 2 words, 3 + 2 pieces of abcdef
+
+
+def test_features_of_a_chunk_take_little_memory():
+    rng = random.Random(6)
+    text = " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(pulearn.CHUNK // 7))
+    data, offs = utf8(pa.array([text[i:i + 2000] for i in range(0, len(text), 2000)]))
+    pulearn.word_features(data[:100], np.array([0, 100]))     # tables of the hashes
+    tracemalloc.start()
+    pulearn.word_features(data, offs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20
