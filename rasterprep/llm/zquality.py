@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rasterprep.llm.common import id_crc, text_chunks
+from rasterprep.llm.common import id_crc, released, text_chunks
 
 #: Labelled documents of each class used for fitting, at most about.
 TRAIN_ROWS = 6_000
@@ -145,7 +145,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
                                              names=["y", "g", "b", "n"])
 
     seen = texts.where("own").select("y", "text").mapInArrow(
-        measure, "y int, g double, b double, n double").toPandas().sort_values(["y", "g", "b", "n"])
+        released(measure), "y int, g double, b double, n double").toPandas().sort_values(["y", "g", "b", "n"])
     y, x = seen["y"].to_numpy(), features(seen[["g", "b", "n"]].to_numpy())
     if len(set(y)) < 2:
         return QualityModel(b"", b"", [0.0] * 4, constant=share[1] / (share[0] + share[1]))
@@ -185,7 +185,7 @@ def score(docs: DataFrame, model: QualityModel, id_col: str = "doc_id",
 
     picked = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     kind = picked.schema["id"].dataType.simpleString()
-    return picked.mapInArrow(run, f"id {kind}, score double")
+    return picked.mapInArrow(released(run), f"id {kind}, score double")
 
 
 def keep_rows(docs: DataFrame, model: QualityModel, text_col: str = "text") -> DataFrame:
@@ -195,7 +195,7 @@ def keep_rows(docs: DataFrame, model: QualityModel, text_col: str = "text") -> D
         for rows, data, offs in text_chunks(batches, text_col):
             yield rows.filter(pa.array(_probabilities(model, data, offs) >= GOOD))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(released(run), docs.schema)
 
 
 def held_out(id_col: str = "doc_id"):
