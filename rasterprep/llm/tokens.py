@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
 
 from rasterprep.llm.common import ascii_lower
 from rasterprep.llm.merges import RaggedCache, byte_alphabet, space_keys
@@ -24,13 +25,15 @@ JOINED = 64
 
 
 def byte_sizes(tokenizer) -> np.ndarray | None:
-    """Bytes of every id of a byte-level tokenizer; None for one of another kind."""
+    """Bytes of every id of a byte-level tokenizer, without the mark of a word's end; None for one of
+    another kind."""
     alphabet, vocab = byte_alphabet(), tokenizer.get_vocab()
+    mark = getattr(tokenizer.model, "end_of_word_suffix", None) or ""
     if not vocab or not all(c in vocab for c in alphabet):
         return None
     sizes = np.zeros(max(vocab.values()) + 1, np.int64)
     for token, i in vocab.items():
-        sizes[i] = len(token)
+        sizes[i] = len(token.removesuffix(mark)) or len(token)
     return sizes
 
 
@@ -47,13 +50,14 @@ class LibraryEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.blank_free = blank_free
-        self.sizes = None if blank_free else byte_sizes(self.tokenizer)
+        self.sizes = byte_sizes(self.tokenizer)
         self.cache = RaggedCache(self._ask, limit)
 
     def _ask(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids, lens = [], []
         for lo in range(0, len(keys), 8192):
-            got = self._ask_joined(keys[lo:lo + 8192]) or self._ask_each(keys[lo:lo + 8192])
+            joined = self._ask_spaced if self.blank_free else self._ask_joined
+            got = joined(keys[lo:lo + 8192]) or self._ask_each(keys[lo:lo + 8192])
             ids.append(got[0]), lens.append(got[1])
         return np.concatenate(ids), np.concatenate(lens)
 
@@ -66,6 +70,34 @@ class LibraryEncoder:
             ends.append(len(ids))
         return np.array(ids, np.int32), np.diff(np.array(ends, np.int64), prepend=0)
 
+    def _ask_spaced(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The same for a tokenizer that drops white space: words of visible ASCII, which keep their
+        bytes whatever it normalises, are asked for ``JOINED`` at a time with spaces between; the
+        others one by one.  None if the bytes of the ids do not end where the words do."""
+        if self.sizes is None:
+            return None
+        plain = np.array([k.isascii() and k.isprintable() and "<|" not in k for k in keys], bool)
+        words = [k for k, p in zip(keys, plain.tolist()) if p]
+        if not words or any(s in " ".join(words) for s in self.special):
+            return None
+        ids: list[int] = []
+        for e in self.tokenizer.encode_batch_fast(
+                [" ".join(words[lo:lo + JOINED]) for lo in range(0, len(words), JOINED)], add_special_tokens=False):
+            ids += e.ids
+        flat = np.array(ids, np.int32)
+        ends, last = np.cumsum(self.sizes[flat]), np.cumsum(list(map(len, words)))
+        at = np.searchsorted(ends, last)
+        if not len(ends) or ends[-1] != last[-1] or (ends[at] != last).any():
+            return None
+        if len(words) == len(keys):
+            return flat, np.diff(at + 1, prepend=0)
+        other, other_lens = self._ask_each([k for k, p in zip(keys, plain.tolist()) if not p])
+        lens = np.empty(len(keys), np.int64)
+        lens[plain], lens[~plain] = np.diff(at + 1, prepend=0), other_lens
+        mixed, of_plain = np.empty(int(lens.sum()), np.int32), np.repeat(plain, lens)
+        mixed[of_plain], mixed[~of_plain] = flat, other
+        return mixed, lens
+
     def _ask_joined(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """The same for words that are asked for some ``JOINED`` at a time: one text costs less than
         its words one by one.  Words that begin with a space and are visible at both ends are cut
@@ -117,7 +149,10 @@ class LibraryEncoder:
                 got = []
             words += got
             counts.append(len(got))
-        ids, lens = self.cache.gather(self.cache.numbers(words))
+        # the cache is asked once for each distinct word
+        distinct = pa.array(words, pa.large_string()).dictionary_encode()
+        numbers = self.cache.numbers(distinct.dictionary.to_pylist())
+        ids, lens = self.cache.gather(numbers[distinct.indices.to_numpy(zero_copy_only=False)])
         ends = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(counts)])]
         per_text = np.diff(ends)
         if not whole:

@@ -282,3 +282,19 @@ def test_packing_of_odd_rows(odd):
     assert sorted(own) == sorted(want)
     assert got["sequence_id"].nunique() <= -(-int(got["length"].sum()) // 512) + 1
     assert packing.pack(odd.where("false"), BYTE_JSON).count() == 0
+
+
+def test_visible_words_are_asked_together_of_a_tokenizer_that_drops_space():
+    enc, asked = tokens.LibraryEncoder(WORD_JSON, blank_free=True), []
+    library = enc.tokenizer
+
+    def counted(many, add_special_tokens):
+        asked.extend(many)
+        return library.encode_batch_fast(many, add_special_tokens=add_special_tokens)
+
+    enc.tokenizer = SimpleNamespace(encode_batch_fast=counted)
+    t = [" ".join(f"it's{i} <b>{i}</w>don't" for i in range(1000)), "", "été it's1", "a\x1cb <|endoftext|>x a\tb\x85c"]
+    ids, n = enc.encode(t)
+    want = [e.ids for e in library.encode_batch(t, add_special_tokens=False)]
+    assert ids.tolist() == sum(want, []) and n.tolist() == list(map(len, want))
+    assert len(asked) < 2000 // tokens.JOINED + 10
