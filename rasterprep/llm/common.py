@@ -12,6 +12,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text handled by one round of numpy work.
 CHUNK_BYTES = 4 << 20
+#: Spark's setting that a query removes its shuffle files when it ends.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 # --- tables shared between driver and executors ------------------------------------
@@ -39,11 +42,27 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries that run meanwhile remove their shuffle files when they end, not when the driver
+    happens to collect its garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet to a fresh shared folder and read it back: lineage ends
-    there, and a lost executor costs only the tasks that read it."""
+    there, a lost executor costs only the tasks that read it, and shuffle files go."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    with shuffles_dropped(df.sparkSession):
+        df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -5,6 +5,7 @@ import itertools
 import random
 import re
 import struct
+import time
 
 import numpy as np
 import pytest
@@ -13,6 +14,7 @@ from llm_fixtures import SCHEMA, odd_rows
 from pyspark.sql import functions as F
 
 from rasterprep.llm import adaptjoin, components, fuse, iblt
+from rasterprep.llm.common import SHUFFLE_CLEANUP, materialize
 from rasterprep.llm.components import connected
 
 
@@ -392,3 +394,22 @@ def test_rounds_without_pairs_write_no_texts(spark, monkeypatch):
     got = adaptjoin.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r["id"], r["component_id"]) for r in got} == {(i, i) for i in range(40)}
     assert not {"node-texts", "labels"} & set(names)
+
+
+def test_shuffle_files_of_a_written_table_go(spark):
+    def shuffles():
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().iterator()
+        found = set()
+        while files.hasNext():
+            found.add(files.next().getName())
+        return {f for f in found if f.startswith("shuffle_")}
+
+    before = shuffles()
+    table = materialize(spark.range(1000).repartition("id").groupBy((F.col("id") % 7).alias("k")).count(), "seven")
+    for _ in range(50):
+        left = shuffles() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and {r["k"]: r["count"] for r in table.collect()} == {k: 142 + (k < 6) for k in range(7)}
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
