@@ -35,7 +35,7 @@ PIECES = (4, 5)
 #: prior, at least MIN_PURE of all unlabelled documents that have it are toxic; one standard
 #: deviation fewer confirmed documents must still make that MIN_BOUND of them.
 MIN_COUNT, MIN_PURE, MIN_BOUND = 4, 0.7, 0.5
-#: Bytes of text whose features are found together: numpy takes some thirty times as much meanwhile.
+#: Bytes of text whose features are found together: numpy takes many times as much meanwhile.
 CHUNK = 1 << 19
 
 #: A document is toxic from this score on.
