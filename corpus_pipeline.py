@@ -3,7 +3,8 @@
 Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; :func:`run` writes
 each result as Parquet below the shared folder and reads it back for the next.  All
 stages but the last return the columns of ``documents``; the last returns one row per
-packed piece.  Null texts count as empty, empty tables give empty results, and rows
+packed piece.  A stage hands rows to Python workers some megabytes at a time
+(:func:`~rasterprep.llm.common.bounded_batches`).  Null texts count as empty, empty tables give empty results, and rows
 without an id are duplicates like others.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterprep.llm import adaptjoin, fuse, packing, pulearn, zquality
-from rasterprep.llm.common import materialize
+from rasterprep.llm.common import bounded_batches, materialize
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -25,28 +26,33 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose compression score is good; labels of the held-out fold are not learned."""
+    bounded_batches(spark)
     model = zquality.fit(docs, _labels(spark, sf_dir).where(~zquality.held_out()))
     return zquality.keep_rows(docs, model)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not toxic; labels of the held-out fold are not learned."""
+    bounded_batches(spark)
     model = pulearn.fit(docs.where(~pulearn.held_out()), _labels(spark, sf_dir).where(~pulearn.held_out()))
     return pulearn.keep_rows(docs, model)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of equal texts."""
+    bounded_batches(spark)
     return fuse.keep_rows(docs, fuse.exact_dedup(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of near copies (five words, 0.8)."""
+    bounded_batches(spark)
     return adaptjoin.near_dedup(docs, width=5, percent=80)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The kept documents' tokens, packed into sequences of at most 2048."""
+    bounded_batches(spark)
     # executors come here with the heap of four stages, and a next run's stages follow: a worker
     # remembers fewer words, and none beyond its task
     packed = packing.pack(docs, TOKENIZER, instead_of_ids={"ids_crc32": F.crc32("ids")}, remembered=50_000,

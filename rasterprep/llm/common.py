@@ -24,6 +24,17 @@ CHUNK_BYTES = 4 << 20
 #: Spark's setting that a query removes its shuffle files when it ends.
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+#: Spark's setting for the bytes of an Arrow batch (it has only a number of rows otherwise), and ours.
+ARROW_BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on the session hands rows to Python workers in batches of ``BATCH_BYTES``, about: ten
+    thousand rows of whole texts are tens of megabytes, several times, in the executor and in its
+    workers.  A limit that the session has stays."""
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
+
 
 # --- tables shared between driver and executors ------------------------------------
 

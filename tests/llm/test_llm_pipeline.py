@@ -1,9 +1,11 @@
 """The registered corpus queries and the pipeline on the smallest tables."""
 
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
 from rasterprep.llm import queries
+from rasterprep.llm.common import ARROW_BYTES, BATCH_BYTES, bounded_batches
 
 SF = "/root/testdata/sf0.001"
 
@@ -57,3 +59,25 @@ def test_stages_take_an_empty_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_workers_get_whole_texts_some_megabytes_at_a_time(spark):
+    docs = spark.range(300, numPartitions=1).selectExpr("id AS doc_id", "repeat(cast(id % 10 as string), 100000) AS text")
+
+    def measure(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+
+    before = spark.conf.get(ARROW_BYTES, None)
+    try:
+        spark.conf.set(ARROW_BYTES, "1234567")
+        bounded_batches(spark)
+        assert spark.conf.get(ARROW_BYTES) == "1234567"          # the session's own limit stays
+        spark.conf.unset(ARROW_BYTES)
+        corpus_pipeline.pack(spark, docs.where("false"), SF)
+        got = docs.mapInArrow(measure, "n long, bytes long").collect()
+        assert sum(r["n"] for r in got) == 300 and max(r["bytes"] for r in got) < 2 * BATCH_BYTES
+    finally:
+        spark.conf.unset(ARROW_BYTES)
+        if before is not None:
+            spark.conf.set(ARROW_BYTES, before)
