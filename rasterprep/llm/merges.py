@@ -270,17 +270,9 @@ def space_words(text: str) -> list[str] | None:
     return [head, *words] if head else words
 
 
-def space_keys(text: str) -> list[str] | None:
-    """The words of :func:`space_words` without the space that they begin with, and a first word
-    without one after a space: as they come from one split, each still a key of one word."""
-    if _ENTANGLED.search(text):
-        return None
-    keys = text.split(" ")
-    if keys[0]:
-        keys[0] = " " + keys[0]
-    else:
-        del keys[0]
-    return keys
+def safe_at_spaces(text: str) -> bool:
+    """Whether the text may be cut before every space (see :func:`space_words`)."""
+    return _ENTANGLED.search(text) is None
 
 
 # --- op5: token counts -----------------------------------------------------------------

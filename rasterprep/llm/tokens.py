@@ -11,9 +11,11 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 
 from rasterprep.llm.common import ascii_lower
-from rasterprep.llm.merges import RaggedCache, byte_alphabet, space_keys
+from rasterprep.llm.merges import RaggedCache, byte_alphabet, safe_at_spaces
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -22,6 +24,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 REMEMBERED = 1_200_000
 #: New words that the library is asked for as one text.
 JOINED = 64
+#: A space beside other white space: some word between spaces is empty or begins or ends with it.
+_SPACED = regex.compile(r" \s|\s ")
 
 
 def byte_sizes(tokenizer) -> np.ndarray | None:
@@ -42,7 +46,7 @@ class LibraryEncoder:
 
     ``blank_free`` says that the tokenizer drops white space (its words are cut at every
     space and line feed); otherwise words keep the space before them, and the cache knows them
-    by :func:`~rasterprep.llm.merges.space_keys`.
+    by their letters after it (a first word without one after a space).
     """
 
     def __init__(self, path: str, blank_free: bool, limit: int = REMEMBERED):
@@ -71,9 +75,9 @@ class LibraryEncoder:
         return np.array(ids, np.int32), np.diff(np.array(ends, np.int64), prepend=0)
 
     def _ask_spaced(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """The same for a tokenizer that drops white space: words of visible ASCII, which keep their
-        bytes whatever it normalises, are asked for ``JOINED`` at a time with spaces between; the
-        others one by one.  None if the bytes of the ids do not end where the words do."""
+        """The same for a tokenizer that drops white space: words of visible ASCII, which keep their bytes whatever
+        it normalises, are asked for ``JOINED`` at a time with spaces between; the others one by one.
+        None if the bytes of the ids do not end where the words do."""
         if self.sizes is None:
             return None
         plain = np.array([k.isascii() and k.isprintable() and "<|" not in k for k in keys], bool)
@@ -85,7 +89,8 @@ class LibraryEncoder:
                 [" ".join(words[lo:lo + JOINED]) for lo in range(0, len(words), JOINED)], add_special_tokens=False):
             ids += e.ids
         flat = np.array(ids, np.int32)
-        ends, last = np.cumsum(self.sizes[flat]), np.cumsum(list(map(len, words)))
+        ends = np.cumsum(self.sizes[flat])
+        last = np.cumsum(pc.binary_length(pa.array(words, pa.large_string())).to_numpy(zero_copy_only=False).astype(np.int64))
         at = np.searchsorted(ends, last)
         if not len(ends) or ends[-1] != last[-1] or (ends[at] != last).any():
             return None
@@ -104,19 +109,24 @@ class LibraryEncoder:
         there again by the tokenizer, and the bytes of the ids tell where; None if they do not."""
         if self.sizes is None:
             return None
-        texts, run = [], []
-        for k in keys:
-            if k and not (k[0].isspace() or k[-1].isspace()):
-                run.append(k)
-                if len(run) < JOINED:
+        texts = []
+        for lo in range(0, len(keys), JOINED):
+            run = keys[lo:lo + JOINED]
+            joined = " " + " ".join(run)
+            if not _SPACED.search(joined + " "):
+                texts.append(joined)
+                continue
+            visible: list[str] = []
+            for k in run:
+                if k and not (k[0].isspace() or k[-1].isspace()):
+                    visible.append(k)
                     continue
-            if run:
-                texts.append(" " + " ".join(run))
-            if not run or run[-1] is not k:
+                if visible:
+                    texts.append(" " + " ".join(visible))
+                    visible = []
                 texts.append(k[1:] if k[:1] == " " else " " + k)
-            run = []
-        if run:
-            texts.append(" " + " ".join(run))
+            if visible:
+                texts.append(" " + " ".join(visible))
         if any(s in t for s in self.special if " " in s for t in texts):
             return None                    # a special string might arise from several words
         ids: list[int] = []
@@ -125,34 +135,47 @@ class LibraryEncoder:
         flat = np.array(ids, np.int32)
         ends = np.cumsum(self.sizes[flat])
         # a word has a space more than its key, the first of a text one less
-        size = np.array([len(k.encode()) + (-1 if k[:1] == " " else 1) for k in keys], np.int64)
-        last = np.cumsum(size)
+        held = pa.array(keys, pa.large_string())
+        first = pc.starts_with(held, " ").to_numpy(zero_copy_only=False)
+        last = np.cumsum(pc.binary_length(held).to_numpy(zero_copy_only=False) + np.where(first, -1, 1))
         at = np.searchsorted(ends, last)
         if not len(ends) or ends[-1] != last[-1] or (ends[at] != last).any():
             return None
         return flat, np.diff(at + 1, prepend=0)
 
-    def _words(self, text: str) -> list[str] | None:
+    def _cut(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, list[int]]:
+        """``(distinct keys, the key of every word, words per text, texts to be asked for whole)``, without
+        a Python string for every word: Arrow cuts the texts at their spaces."""
         if self.blank_free:
-            return [w for w in text.replace("\n", " ").split(" ") if w]
-        if any(s in text for s in self.special):
-            return None
-        return space_keys(text)
+            words, ends = split_at_spaces([t.replace("\n", " ") for t in texts])
+            filled = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
+            before = np.concatenate([[0], np.cumsum(filled)])[ends]
+            return (*distinct_words(words.filter(pa.array(filled))), np.diff(before), [])
+        heads, rests, headed, whole = [], [], np.zeros(len(texts), bool), []
+        counts = np.zeros(len(texts), np.int64)
+        spaced = []
+        for i, text in enumerate(texts):
+            if not safe_at_spaces(text) or any(s in text for s in self.special):
+                whole.append(i)
+                continue
+            head, space, rest = text.partition(" ")
+            if head:                       # the only word without a space before it
+                heads.append(" " + head)
+                headed[i] = True
+            if space:
+                rests.append(rest)
+                spaced.append(i)
+        words, ends = split_at_spaces(rests)
+        counts[spaced] = np.diff(ends)
+        keys, at = distinct_words(words)
+        before = (np.cumsum(counts) - counts)[headed]
+        return keys + heads, np.insert(at, before, np.arange(len(keys), len(keys) + len(heads))), counts + headed, whole
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(flat ids, ids per text)``."""
-        words, counts, whole = [], [], []
-        for i, text in enumerate(texts):
-            got = self._words(text)
-            if got is None:
-                whole.append(i)
-                got = []
-            words += got
-            counts.append(len(got))
+        keys, at, counts, whole = self._cut(texts)
         # the cache is asked once for each distinct word
-        distinct = pa.array(words, pa.large_string()).dictionary_encode()
-        numbers = self.cache.numbers(distinct.dictionary.to_pylist())
-        ids, lens = self.cache.gather(numbers[distinct.indices.to_numpy(zero_copy_only=False)])
+        ids, lens = self.cache.gather(self.cache.numbers(keys)[at])
         ends = np.concatenate([[0], np.cumsum(lens)])[np.concatenate([[0], np.cumsum(counts)])]
         per_text = np.diff(ends)
         if not whole:
@@ -163,6 +186,18 @@ class LibraryEncoder:
         return np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
 
 
+def split_at_spaces(texts: list[str]) -> tuple[pa.Array, np.ndarray]:
+    """``(the parts of all texts, where each text's parts begin and end)``, as ``str.split(" ")``."""
+    parts = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    return parts.values, parts.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def distinct_words(words: pa.Array) -> tuple[list[str], np.ndarray]:
+    """``(the distinct words, the place of every word in them)``."""
+    distinct = words.dictionary_encode()
+    return distinct.dictionary.to_numpy(zero_copy_only=False).tolist(), distinct.indices.to_numpy(zero_copy_only=False)
+
+
 def lower_where_safe(data: np.ndarray) -> np.ndarray:
     """The UTF-8 bytes with A-Z in lower case, for a tokenizer that composes (NFC) and then
     lower-cases: fewer distinct words.  Bytes with a combining mark (some compose with a

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 from types import SimpleNamespace
 
@@ -298,3 +299,17 @@ def test_visible_words_are_asked_together_of_a_tokenizer_that_drops_space():
     want = [e.ids for e in library.encode_batch(t, add_special_tokens=False)]
     assert ids.tolist() == sum(want, []) and n.tolist() == list(map(len, want))
     assert len(asked) < 2000 // tokens.JOINED + 10
+
+
+def test_a_text_is_cut_without_a_string_for_every_word():
+    enc = tokens.LibraryEncoder(BYTE_JSON, False)
+    text = " ".join(["ab", "c\nd", "é"] * 100_000)
+    tracemalloc.start()
+    try:
+        keys, at, counts, whole = enc._cut([text, "", " x", "a   b", "y z"])
+        assert tracemalloc.get_traced_memory()[1] < 12_000_000
+    finally:
+        tracemalloc.stop()
+    assert counts.tolist() == [300_000, 0, 1, 0, 2] and whole == [3]
+    assert [keys[i] for i in at[:4].tolist()] == [" ab", "c\nd", "é", "ab"]
+    assert [keys[i] for i in at[-3:].tolist()] == ["x", " y", "z"]
