@@ -8,6 +8,7 @@ for new ones; texts for which a cut would not be safe go to the library whole.
 from __future__ import annotations
 
 import os
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,11 @@ def byte_sizes(tokenizer) -> np.ndarray | None:
     return sizes
 
 
+def is_normal(word: str) -> bool:
+    """Whether composing (NFC) and lower-casing leave the word as it is."""
+    return unicodedata.is_normalized("NFC", word) and word.lower() == word
+
+
 class LibraryEncoder:
     """Ids of whole texts by a ``tokenizer.json``, without added special tokens.
 
@@ -75,12 +81,12 @@ class LibraryEncoder:
         return np.array(ids, np.int32), np.diff(np.array(ends, np.int64), prepend=0)
 
     def _ask_spaced(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """The same for a tokenizer that drops white space: words of visible ASCII, which keep their bytes whatever
-        it normalises, are asked for ``JOINED`` at a time with spaces between; the others one by one.
+        """The same for a tokenizer that drops white space: visible words that keep their bytes whatever
+        it normalises are asked for ``JOINED`` at a time with spaces between; the others one by one.
         None if the bytes of the ids do not end where the words do."""
         if self.sizes is None:
             return None
-        plain = np.array([k.isascii() and k.isprintable() and "<|" not in k for k in keys], bool)
+        plain = np.array([k.isprintable() and "<|" not in k and (k.isascii() or is_normal(k)) for k in keys], bool)
         words = [k for k, p in zip(keys, plain.tolist()) if p]
         if not words or any(s in " ".join(words) for s in self.special):
             return None

@@ -301,6 +301,24 @@ def test_visible_words_are_asked_together_of_a_tokenizer_that_drops_space():
     assert len(asked) < 2000 // tokens.JOINED + 10
 
 
+def test_normal_words_of_any_letters_are_asked_together():
+    enc, asked = tokens.LibraryEncoder(WORD_JSON, blank_free=True), []
+    library = enc.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, words, **more):
+            asked.extend(words)
+            return library.encode_batch_fast(words, **more)
+
+    enc.tokenizer = Counted()
+    t = ["".join(chr(0xE0 + int(c)) for c in str(i)) + " straße日本́" for i in range(2000)]
+    t += ["é Éa İ ΣΣ a　b   ́x <|x é", "ﬁ Ω ẞ ǅ ça"]   # composed or lower-cased
+    ids, n = enc.encode(t)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == \
+        [e.ids for e in library.encode_batch(t, add_special_tokens=False)]
+    assert len(asked) < 2000 // tokens.JOINED + 20
+
+
 def test_a_text_is_cut_without_a_string_for_every_word():
     enc = tokens.LibraryEncoder(BYTE_JSON, False)
     text = " ".join(["ab", "c\nd", "é"] * 100_000)
